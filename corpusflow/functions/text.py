@@ -119,15 +119,13 @@ def truncate_at_stop(c: ColumnOrName, stops: Sequence[str] = STOP_STRINGS) -> Co
 def strip_trailing_stop(c: ColumnOrName, stops: Sequence[str] = ("<|endoftext|>",)) -> Column:
     """Take a stop string and the white space before it off the end, one stop after the other."""
     c = as_column(c)
-    for stop in stops:
-        if stop:
-            c = let(
-                c,
-                lambda x, stop=stop: F.when(
-                    F.endswith(x, F.lit(stop)),
-                    strip_end(F.substr(x, F.lit(1), F.length(x) - F.lit(len(stop)))),
-                ).otherwise(x),
-            )
+
+    def without(x: Column, stop: str) -> Column:
+        rest = F.substr(x, F.lit(1), F.length(x) - F.lit(len(stop)))
+        return F.when(F.endswith(x, F.lit(stop)), strip_end(rest)).otherwise(x)
+
+    for stop in filter(None, stops):
+        c = let(c, lambda x: without(x, stop))
     return c
 
 

@@ -8,6 +8,7 @@ each text once whatever the number of strings. Longer lists are joined on word s
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import ahocorasick
@@ -49,11 +50,11 @@ def _pattern_bytes(patterns: DataFrame) -> int:
     return patterns.agg(F.sum(F.octet_length("pattern")).alias("bytes")).first()["bytes"] or 0
 
 
-def _automaton(key, entries):
-    """Built once per Python worker and list."""
+def _automaton(key: str, entries):
+    """Built once per Python worker and list; a worker keeps the latest only."""
     if key not in _automata:
         automaton = ahocorasick.Automaton()
-        for number, pattern in entries:
+        for number, pattern in entries.value:
             automaton.add_word(pattern, number)
         automaton.make_automaton()
         _automata.clear()
@@ -67,9 +68,10 @@ def _first_hit(spark, entries: list, any_hit: bool):
     ``any_hit`` stops at the first string found, where only the fact matters.
     """
     shared = spark.sparkContext.broadcast(entries)
+    key = uuid.uuid4().hex
 
     def scan(texts: pd.Series) -> pd.Series:
-        automaton = _automaton(shared.id, shared.value)
+        automaton = _automaton(key, shared)
         found = []
         for text in texts:
             if text is None:

@@ -19,18 +19,21 @@ from corpusflow.operators.sizing import HOT_ROWS, join_on_unique
 from corpusflow.session import checkpointed
 
 NGRAM, BANDS, ROWS = 5, 14, 8
-# Shingle hashes are polynomials in this base over 60-bit word hashes, modulo 2^64.
-BASE = 1_000_003
+# All arithmetic is modulo this prime (2^31 - 1), on the two 30-bit halves of a 60-bit hash, so that
+# every product fits 63 bits.
+PRIME = 2_147_483_647
+HALF = 30
+# Shingle hashes are polynomials over word hashes, with one base per half.
+BASES = (1_000_003, 754_974_721)
 # Shingles handled at a time, so that the arrays stay in the processor's cache.
-BLOCK = 1 << 16
+BLOCK = 1 << 14
 MAX_ROUNDS = 100
 
 
-def permutation(i: int) -> tuple[int, int]:
-    """Multiplier (odd) and offset of hash function ``i``, 60 bits of an md5 each."""
-    a = int(hashlib.md5(f"a:{i}".encode()).hexdigest()[:15], 16) | 1
-    b = int(hashlib.md5(f"b:{i}".encode()).hexdigest()[:15], 16)
-    return a, b
+def permutation(i: int) -> tuple[int, int, int]:
+    """Two multipliers (not 0) and an offset of hash function ``i``, from md5."""
+    draw = [int(hashlib.md5(f"{part}:{i}".encode()).hexdigest()[:15], 16) for part in "abc"]
+    return draw[0] % (PRIME - 1) + 1, draw[1] % (PRIME - 1) + 1, draw[2] % PRIME
 
 
 def word_hashes(text: Column) -> Column:
@@ -38,30 +41,39 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: hex_to_long(F.md5(w)))
 
 
-def _shingle_hashes(flat: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams of each list; a shorter list gives one hash of all its words."""
+def _mod(x: np.ndarray) -> np.ndarray:
+    """Remainder by multiply and subtract; numpy divides by a scalar faster than it takes ``%``."""
+    return x - (x // np.int64(PRIME)) * np.int64(PRIME)
+
+
+def _shingles(flat: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two halves of the hashes of all n-grams of each list, and where each list's begin.
+
+    A list shorter than n has one hash, of all its words.
+    """
     lengths = np.diff(offsets)
     counts = np.where(lengths >= n, lengths - n + 1, np.minimum(lengths, 1))
     starts = np.concatenate(([0], np.cumsum(counts)))
     owner = np.repeat(np.arange(len(lengths)), counts)
     first = np.arange(starts[-1]) - starts[owner] + offsets[owner]
     width = np.minimum(lengths, n)[owner]
-    total = np.zeros(starts[-1], dtype=np.uint64)
-    padded = np.concatenate((flat, np.zeros(n, dtype=np.uint64)))
-    for j in range(n):
-        # Horner's rule; lists shorter than n stop after their last word.
-        step = total * np.uint64(BASE) + padded[first + j]
-        total = np.where(width > j, step, total)
-    return total, starts
-
-
-def _minima(shingles: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
-    """Matrix of minima, one row per list that has shingles, 63 bits each."""
-    rows = len(starts) - 1
-    out = np.empty((rows, len(permutations)), dtype=np.int64)
-    for k, (a, b) in enumerate(permutations):
-        values = (shingles * np.uint64(a) + np.uint64(b)) >> np.uint64(1)
-        out[:, k] = np.minimum.reduceat(values, starts[:-1]).astype(np.int64)
+    padded = np.concatenate((flat, np.zeros(n, dtype=np.int64)))
+    halves = []
+    for base, part in zip(BASES, (padded >> HALF, padded & ((1 << HALF) - 1))):
+        total = np.zeros(starts[-1], dtype=np.int64)
+        for j in range(n):
+            # Horner's rule; lists shorter than n stop after their last word.
+            total = np.where(width > j, _mod(total * np.int64(base) + part[first + j]), total)
+        halves.append(total)
+    return halves[0], halves[1], starts
+
+
+def _minima(high: np.ndarray, low: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
+    """Matrix of minima, one row per list; no list is empty."""
+    out = np.empty((len(starts), len(permutations)), dtype=np.int64)
+    for k, (a, b, c) in enumerate(permutations):
+        values = _mod(high * np.int64(a) + _mod(low * np.int64(b)) + np.int64(c))
+        out[:, k] = np.minimum.reduceat(values, starts)
     return out
 
 
@@ -70,26 +82,21 @@ def _signature_udf(n: int, hashes: int):
 
     def signatures(lists: pa.Array) -> pa.Array:
         offsets = lists.offsets.to_numpy().astype(np.int64)
-        flat = lists.values.to_numpy(zero_copy_only=False).astype(np.uint64)
-        shingles, starts = _shingle_hashes(flat, offsets, n)
+        flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        high, low, starts = _shingles(flat, offsets, n)
         counts = np.diff(starts)
-        filled = np.flatnonzero(counts)
-        out = np.zeros((len(filled), hashes), dtype=np.int64)
-        edges = starts[filled]
+        edges = starts[np.flatnonzero(counts)]
+        out = np.zeros((len(edges), hashes), dtype=np.int64)
         done = 0
-        while done < len(filled):
-            stop = int(np.searchsorted(edges, edges[done] + BLOCK, side="left"))
-            stop = max(stop, done + 1)
-            end = edges[stop] if stop < len(filled) else starts[-1]
-            block = shingles[edges[done]:end]
-            bounds = np.append(edges[done:stop], end) - edges[done]
-            out[done:stop] = _minima(block, bounds, permutations)
+        while done < len(edges):
+            # Whole lists up to the block size, one at least.
+            stop = max(int(np.searchsorted(edges, edges[done] + BLOCK)), done + 1)
+            end = edges[stop] if stop < len(edges) else starts[-1]
+            block = slice(edges[done], end)
+            out[done:stop] = _minima(high[block], low[block], edges[done:stop] - edges[done], permutations)
             done = stop
-        sizes = np.zeros(len(counts) + 1, dtype=np.int32)
-        sizes[1:] = np.cumsum(np.where(counts > 0, hashes, 0))
-        return pa.ListArray.from_arrays(
-            pa.array(sizes, type=pa.int32()), pa.array(out.ravel(), type=pa.int64())
-        )
+        sizes = np.concatenate(([0], np.cumsum(np.where(counts > 0, hashes, 0)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(sizes), pa.array(out.ravel()))
 
     return F.arrow_udf(signatures, "array<bigint>")
 
@@ -108,15 +115,21 @@ def minhash_signature(
     return docs.select(doc_id, signature(hashed).alias("signature"))
 
 
-def band_keys(
+def band_arrays(
     signatures: DataFrame, doc_id: str, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(id, band, key): one row per band, equal keys for equal eight minima."""
+    """(id, keys): one key per band, equal for equal minima; no keys without a signature."""
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda band: F.xxhash64(F.slice(F.col("signature"), band * F.lit(rows) + F.lit(1), rows)),
     )
-    return signatures.where(F.size("signature") > 0).select(doc_id, F.posexplode(keys).alias("band", "key"))
+    some = F.when(F.size("signature") > 0, keys).otherwise(F.array().cast("array<bigint>"))
+    return signatures.select(doc_id, some.alias("keys"))
+
+
+def band_keys(arrays: DataFrame, doc_id: str) -> DataFrame:
+    """(id, band, key): one row per band."""
+    return arrays.select(doc_id, F.posexplode("keys").alias("band", "key"))
 
 
 def band_edges(keys: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -218,35 +231,34 @@ def remove_ids(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
     return docs.join(ids, doc_id, "left_anti")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    text: str,
-    doc_id: str,
-    n: int = NGRAM,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """(id, cluster) of the documents to remove. Texts are read once and never shuffled."""
-    keys = checkpointed(
-        band_keys(minhash_signature(docs, text, doc_id, n, bands, rows), doc_id, bands, rows)
-    )
-    edges = band_edges(keys, doc_id, hot_rows)
+def near_duplicates(arrays: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(id, cluster) of the documents to remove, from the band keys of all."""
+    edges = band_edges(band_keys(arrays, doc_id), doc_id, hot_rows)
     clusters = duplicate_clusters(edges, doc_id, "hub", hot_rows)
     return clusters.withColumnRenamed("id", doc_id)
 
 
+def document_bands(
+    docs: DataFrame, text: str, doc_id: str, n: int = NGRAM, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """Band keys of all documents, written down: texts are read once and never shuffled."""
+    signatures = minhash_signature(docs, text, doc_id, n, bands, rows)
+    return checkpointed(band_arrays(signatures, doc_id, bands, rows))
+
+
 def keep_one_per_cluster(docs: DataFrame, text: str, doc_id: str, **options) -> DataFrame:
     """Documents without the larger ids of each near-duplicate cluster."""
-    return remove_ids(docs, near_duplicates(docs, text, doc_id, **options).select(doc_id), doc_id)
+    removed = near_duplicates(document_bands(docs, text, doc_id, **options), doc_id)
+    return remove_ids(docs, removed.select(doc_id), doc_id)
 
 
 def flag_duplicates(
     docs: DataFrame, text: str, doc_id: str, out: str = "keep", **options
 ) -> DataFrame:
     """``docs`` with a flag that is false for rows to remove."""
-    removed = near_duplicates(docs, text, doc_id, **options).select(doc_id, F.lit(True).alias("_gone"))
-    return docs.join(removed, doc_id, "left").withColumn(out, F.col("_gone").isNull()).drop("_gone")
+    removed = near_duplicates(document_bands(docs, text, doc_id, **options), doc_id)
+    gone = removed.select(doc_id, F.lit(True).alias("_gone"))
+    return docs.join(gone, doc_id, "left").withColumn(out, F.col("_gone").isNull()).drop("_gone")
 
 
 def dedup_report(flagged: DataFrame, tokens: Column, keep: str = "keep") -> DataFrame:

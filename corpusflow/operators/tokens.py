@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.numbers import ColumnOrName, as_column
 from corpusflow.operators.index import global_index, prefix_sums, shuffle_seeded
 from corpusflow.operators.sizing import fits, join_on_unique
+from corpusflow.session import checkpointed
 
 # Runs of letters, single digits, runs of anything else but white space.
 PIECES = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -33,9 +34,9 @@ def token_length(text: ColumnOrName) -> Column:
 def build_vocab(df: DataFrame, text: str, size: int | None = None, **options) -> DataFrame:
     """(token, n, id): ids count up from the most frequent token, ties by token."""
     counts = df.select(F.explode(pieces(text)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    ranked = global_index(
-        counts.withColumn("_rare", -F.col("n")), ["_rare", "token"], out="id", **options
-    ).drop("_rare")
+    # The counts are read several times below; the texts only here.
+    counts = checkpointed(counts.withColumn("_rare", -F.col("n")))
+    ranked = global_index(counts, ["_rare", "token"], out="id", **options).drop("_rare")
     return ranked if size is None else ranked.where(F.col("id") < size)
 
 

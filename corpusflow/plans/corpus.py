@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.consistency import document_scores, split_sentences, support_scores
 from corpusflow.operators.decontam import decontaminate
-from corpusflow.operators.dedup import keep_one_per_cluster
+from corpusflow.operators.dedup import document_bands, near_duplicates, remove_ids
 from corpusflow.operators.mixture import manifest_path, shard_size, weights_override_first_shard
 from corpusflow.operators.rows import filter_min_score
-from corpusflow.session import checkpointed
 
 
 def clean_corpus(
@@ -26,9 +25,11 @@ def clean_corpus(
 ) -> DataFrame:
     """Documents with a sufficient score, without benchmark text, one per near-duplicate cluster."""
     scored = docs.join(filter_min_score(scores, score, least).select(doc_id), doc_id, "left_semi")
-    # Read twice below, for the signatures and for the result.
-    clean = checkpointed(decontaminate(scored, strings, text, doc_id))
-    return keep_one_per_cluster(clean, text, doc_id)
+    # Texts are read here for the band keys and once more for the result; only ids and keys are
+    # written down in between.
+    bands = document_bands(decontaminate(scored, strings, text, doc_id), text, doc_id)
+    kept = remove_ids(bands.select(doc_id), near_duplicates(bands, doc_id).select(doc_id), doc_id)
+    return scored.join(kept, doc_id, "left_semi")
 
 
 def weighted_manifest(

@@ -43,9 +43,7 @@ def write_nested_generations(
 
 def write_text_per_row(df: DataFrame, path: str, index: str, text: str, mode: str = "errorifexists") -> None:
     """One folder with one text file per index; for samples that people read."""
-    df.select(index, F.col(text).alias("value")).write.mode(mode).option("lineSep", "\x00").partitionBy(
-        index
-    ).text(path)
+    df.select(index, F.col(text).alias("value")).write.mode(mode).partitionBy(index).text(path)
 
 
 def write_manifest(manifest: DataFrame, path: str, mode: str = "errorifexists") -> None:
