@@ -8,8 +8,7 @@ each text once whatever the number of strings. Longer lists are joined on word s
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import pandas as pd
@@ -25,8 +24,6 @@ from corpusflow.session import checkpointed
 AUTOMATON_BYTES = 2 * 1024 * 1024
 SHINGLE_WORDS = (8, 4, 2, 1)
 
-_automata: dict = {}
-
 
 def benchmark_strings(
     bench: DataFrame, column: str, generic: Sequence[str] = (), benchmark: str = "benchmark"
@@ -50,39 +47,30 @@ def _pattern_bytes(patterns: DataFrame) -> int:
     return patterns.agg(F.sum(F.octet_length("pattern")).alias("bytes")).first()["bytes"] or 0
 
 
-def _automaton(key: str, entries):
-    """Built once per Python worker and list; a worker keeps the latest only."""
-    if key not in _automata:
-        automaton = ahocorasick.Automaton()
-        for number, pattern in entries.value:
-            automaton.add_word(pattern, number)
-        automaton.make_automaton()
-        _automata.clear()
-        _automata[key] = automaton
-    return _automata[key]
-
-
 def _first_hit(spark, entries: list, any_hit: bool):
     """A function from lower-cased text to the smallest number of a contained string, or null.
 
-    ``any_hit`` stops at the first string found, where only the fact matters.
+    ``any_hit`` stops at the first string found, where only the fact matters. Each task builds the
+    automaton once.
     """
     shared = spark.sparkContext.broadcast(entries)
-    key = uuid.uuid4().hex
 
-    def scan(texts: pd.Series) -> pd.Series:
-        automaton = _automaton(key, shared)
-        found = []
-        for text in texts:
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for number, pattern in shared.value:
+            automaton.add_word(pattern, number)
+        automaton.make_automaton()
+
+        def first(text: str | None) -> int | None:
             if text is None:
-                found.append(None)
-            elif any_hit:
-                found.append(next((n for _, n in automaton.iter(text)), None))
-            else:
-                found.append(min((n for _, n in automaton.iter(text)), default=None))
-        return pd.Series(found, dtype="Int64")
-
-    # Extracted once per row even though filter and projection may both use it.
+                return None
+            numbers = (number for _, number in automaton.iter(text))
+            return next(numbers, None) if any_hit else min(numbers, default=None)
+
+        for texts in batches:
+            yield pd.Series([first(text) for text in texts], dtype="Int64")
+
+    # Not deterministic, so that the optimizer does not run it once per use of its result.
     return F.pandas_udf(scan, "long").asNondeterministic()
 
 

@@ -71,18 +71,17 @@ def encode(
     A vocabulary within the bounds goes to the tasks, and documents are neither exploded nor
     shuffled. A larger one is joined token by token.
     """
-    vocab = vocab.select("token", F.col("id").cast("long").alias("id"))
+    vocab = vocab.select(F.col("token").alias("_token"), F.col("id").cast("long").alias("_number"))
     if fits(vocab, max_rows, max_bytes):
         rows = vocab.collect()
-        lookup = _lookup(df.sparkSession, [r["token"] for r in rows], [r["id"] for r in rows], unknown)
+        lookup = _lookup(df.sparkSession, [r["_token"] for r in rows], [r["_number"] for r in rows], unknown)
         return df.withColumn(out, lookup(pieces(text)))
-    placed = df.select(doc_id, F.posexplode(pieces(text)).alias("_pos", "token"))
-    found = join_on_unique(placed, vocab, ["token"], "left")
-    ordered = F.array_sort(
-        F.collect_list(F.struct("_pos", F.coalesce("id", F.lit(unknown).cast("long")).alias("id")))
-    )
+    placed = df.select(doc_id, F.posexplode(pieces(text)).alias("_pos", "_token"))
+    found = join_on_unique(placed, vocab, ["_token"], "left")
+    number = F.coalesce("_number", F.lit(unknown).cast("long"))
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", number.alias("n"))))
     # One group is one document, which was a single row before.
-    encoded = found.groupBy(doc_id).agg(F.transform(ordered, lambda t: t["id"]).alias(out))
+    encoded = found.groupBy(doc_id).agg(F.transform(ordered, lambda t: t["n"]).alias(out))
     empty = F.array().cast("array<bigint>")
     return df.join(encoded, doc_id, "left").withColumn(out, F.coalesce(out, empty))
 
