@@ -12,17 +12,20 @@ from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.text import let
+from corpusflow.operators.ngrams import ngram_hashes
 from corpusflow.operators.rows import exclude_values, strip_non_empty
-from corpusflow.operators.sizing import join_on_unique
+from corpusflow.operators.sizing import broadcast_if_small, join_on_unique
 from corpusflow.session import checkpointed
 
 # An automaton takes roughly a hundred bytes of worker memory per byte of text.
 AUTOMATON_BYTES = 2 * 1024 * 1024
 SHINGLE_WORDS = (8, 4, 2, 1)
+# Hashes of word runs are sent to the executors up to these bounds.
+RUN_ROWS = 8_000_000
+RUN_BYTES = 128 * 1024 * 1024
 
 
 def benchmark_strings(
@@ -114,35 +117,25 @@ def decontaminate(
     return flagged.where("_keep").drop("_keep")
 
 
-def _shingle_hashes(tokens: Column, sizes: Sequence[int], inner: bool) -> Column:
-    """Hashes of all runs of 8, 4, 2 and 1 tokens; ``inner`` leaves out the edge tokens.
-
-    The token next to the edge of a pattern may be part of a longer token in a text.
-    """
-    skip = 1 if inner else 0
-
-    def of_size(w: Column, k: int) -> Column:
-        count = F.size(w) - F.lit(2 * skip + k - 1)
-        starts = F.when(count > 0, F.sequence(F.lit(1 + skip), count + F.lit(skip))).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.transform(starts, lambda i: F.xxhash64(F.lit(k), F.slice(w, i, k)))
-
-    return let(tokens, lambda w: F.array_distinct(F.concat(*[of_size(w, k) for k in sizes])))
-
-
 def _tokens(c: Column) -> Column:
     return F.split(c, r"\s+", -1)
 
 
+def _token_hashes(tokens: Column) -> Column:
+    """60-bit hashes of tokens."""
+    return F.transform(tokens, lambda t: F.shiftrightunsigned(F.xxhash64(t), 4))
+
+
 def contained_ids_by_anchor(
     docs: DataFrame, patterns: DataFrame, text: str, doc_id: str
 ) -> DataFrame:
     """Distinct ids of documents that contain a pattern with at least one inner token.
 
-    The inner tokens of a pattern stand whole and in a row in every text that contains it, so a
-    run of them (the anchor) occurs there too. Each pattern takes as its anchor the run that the
-    fewest documents hold. Documents and patterns meet on the hash of the anchor, and
+    The inner tokens of a pattern stand whole and in a row in every text that contains it (the
+    first and the last may be parts of longer tokens there). So every run of 8, 4, 2 or 1 of them
+    occurs in the text; which length is used depends on the pattern. A pattern with a run that
+    occurs in no text is contained nowhere; of the others, each takes the run that the fewest
+    documents hold as its anchor. Documents and patterns meet on the hash of the anchor, and
     ``contains`` decides.
     """
     inner = F.size(_tokens(F.col("pattern"))) - 2
@@ -150,40 +143,37 @@ def contained_ids_by_anchor(
     for k in reversed(SHINGLE_WORDS):
         size = F.when(inner >= k, F.lit(k)).otherwise(size)
     sized = patterns.withColumn("_size", size).withColumn("_pid", F.xxhash64("pattern"))
-
-    options = None
-    for k in SHINGLE_WORDS:
-        part = sized.where(F.col("_size") == k).select(
-            "_pid", F.explode(_shingle_hashes(_tokens(F.col("pattern")), (k,), True)).alias("_h")
-        )
-        options = part if options is None else options.unionByName(part)
-    options = checkpointed(options.distinct())
-
-    shingles = docs.select(
-        F.col(doc_id).alias("_id"),
-        F.explode(_shingle_hashes(_tokens(F.lower(F.col(text))), SHINGLE_WORDS, False)).alias("_h"),
+    sizes = sorted(r["_size"] for r in sized.select("_size").distinct().collect() if r["_size"])
+    if not sizes:
+        return docs.select(doc_id).limit(0)
+
+    runs = None
+    for k in sizes:
+        of_size = sized.where(F.col("_size") == k).withColumn("_all", _tokens(F.col("pattern")))
+        middle = F.slice(F.col("_all"), F.lit(2), F.size("_all") - 2)
+        part = of_size.select("_pid", F.explode(ngram_hashes([k])(_token_hashes(middle))).alias("_h"))
+        runs = part if runs is None else runs.unionByName(part)
+    runs = checkpointed(runs.distinct())
+
+    found = ngram_hashes(sizes)(_token_hashes(_tokens(F.lower(F.col(text)))))
+    shingles = docs.where(F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("_id"), F.explode(found).alias("_h")
     )
-    # Only shingles that occur in some pattern go on; they are few.
-    wanted = options.select("_h").distinct()
+    # Only runs that occur in some pattern go on; they are few. A list of runs that fits the
+    # executors is sent there, and then no run of a document is shuffled.
+    wanted = broadcast_if_small(runs.select("_h").distinct(), RUN_ROWS, RUN_BYTES)
     met = checkpointed(shingles.join(wanted, "_h", "left_semi"))
     spread = met.groupBy("_h").agg(F.count("*").alias("_docs"))
-    rarest = Window.partitionBy("_pid").orderBy("_docs", "_h")
     anchors = (
-        options.join(spread, "_h")
-        .withColumn("_rank", F.row_number().over(rarest))
-        .where(F.col("_rank") == 1)
-        .select("_pid", "_h")
-    )
-    # Patterns with an anchor that occurs nowhere have dropped out: options.join(spread) lost the
-    # shingle, and a pattern any of whose shingles is missing everywhere is contained nowhere.
-    complete = (
-        options.join(spread.select("_h", F.lit(1).alias("_seen")), "_h", "left")
+        runs.join(spread, "_h", "left")
         .groupBy("_pid")
-        .agg(F.count("*").alias("_all"), F.count("_seen").alias("_some"))
-        .where(F.col("_all") == F.col("_some"))
-        .select("_pid")
+        .agg(
+            F.min_by("_h", F.struct("_docs", "_h")).alias("_h"),
+            F.bool_and(F.col("_docs").isNotNull()).alias("_everywhere"),
+        )
+        .where("_everywhere")
+        .select("_pid", "_h")
     )
-    anchors = anchors.join(complete, "_pid", "left_semi")
     pairs = checkpointed(met.join(anchors, "_h").select("_id", "_pid").distinct())
     with_pattern = join_on_unique(pairs, sized.select("_pid", "pattern"), ["_pid"])
     texts = docs.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))

@@ -15,16 +15,11 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import hex_to_long
 from corpusflow.functions.text import let, words
+from corpusflow.operators.ngrams import PRIME, flatten, ngrams, remainder
 from corpusflow.operators.sizing import HOT_ROWS, join_on_unique
 from corpusflow.session import checkpointed
 
 NGRAM, BANDS, ROWS = 5, 14, 8
-# All arithmetic is modulo this prime (2^31 - 1), on the two 30-bit halves of a 60-bit hash, so that
-# every product fits 63 bits.
-PRIME = 2_147_483_647
-HALF = 30
-# Shingle hashes are polynomials over word hashes, with one base per half.
-BASES = (1_000_003, 754_974_721)
 # Shingles handled at a time, so that the arrays stay in the processor's cache.
 BLOCK = 1 << 14
 MAX_ROUNDS = 100
@@ -41,38 +36,11 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: hex_to_long(F.md5(w)))
 
 
-def _mod(x: np.ndarray) -> np.ndarray:
-    """Remainder by multiply and subtract; numpy divides by a scalar faster than it takes ``%``."""
-    return x - (x // np.int64(PRIME)) * np.int64(PRIME)
-
-
-def _shingles(flat: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two halves of the hashes of all n-grams of each list, and where each list's begin.
-
-    A list shorter than n has one hash, of all its words.
-    """
-    lengths = np.diff(offsets)
-    counts = np.where(lengths >= n, lengths - n + 1, np.minimum(lengths, 1))
-    starts = np.concatenate(([0], np.cumsum(counts)))
-    owner = np.repeat(np.arange(len(lengths)), counts)
-    first = np.arange(starts[-1]) - starts[owner] + offsets[owner]
-    width = np.minimum(lengths, n)[owner]
-    padded = np.concatenate((flat, np.zeros(n, dtype=np.int64)))
-    halves = []
-    for base, part in zip(BASES, (padded >> HALF, padded & ((1 << HALF) - 1))):
-        total = np.zeros(starts[-1], dtype=np.int64)
-        for j in range(n):
-            # Horner's rule; lists shorter than n stop after their last word.
-            total = np.where(width > j, _mod(total * np.int64(base) + part[first + j]), total)
-        halves.append(total)
-    return halves[0], halves[1], starts
-
-
 def _minima(high: np.ndarray, low: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
     """Matrix of minima, one row per list; no list is empty."""
     out = np.empty((len(starts), len(permutations)), dtype=np.int64)
     for k, (a, b, c) in enumerate(permutations):
-        values = _mod(high * np.int64(a) + _mod(low * np.int64(b)) + np.int64(c))
+        values = remainder(high * np.int64(a) + remainder(low * np.int64(b)) + np.int64(c))
         out[:, k] = np.minimum.reduceat(values, starts)
     return out
 
@@ -81,17 +49,15 @@ def _signature_udf(n: int, hashes: int):
     permutations = [permutation(i) for i in range(hashes)]
 
     def signatures(lists: pa.Array) -> pa.Array:
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
-        high, low, starts = _shingles(flat, offsets, n)
-        counts = np.diff(starts)
-        edges = starts[np.flatnonzero(counts)]
+        flat, offsets = flatten(lists)
+        high, low, counts = ngrams(flat, offsets, n, short=True)
+        edges = (np.cumsum(counts) - counts)[np.flatnonzero(counts)]
         out = np.zeros((len(edges), hashes), dtype=np.int64)
         done = 0
         while done < len(edges):
             # Whole lists up to the block size, one at least.
             stop = max(int(np.searchsorted(edges, edges[done] + BLOCK)), done + 1)
-            end = edges[stop] if stop < len(edges) else starts[-1]
+            end = edges[stop] if stop < len(edges) else len(high)
             block = slice(edges[done], end)
             out[done:stop] = _minima(high[block], low[block], edges[done:stop] - edges[done], permutations)
             done = stop

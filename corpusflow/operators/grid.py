@@ -17,7 +17,7 @@ from corpusflow.functions.numbers import (
     tokens_per_step,
     warmup_steps,
 )
-from corpusflow.operators.index import edges_at_or_below
+from corpusflow.operators.index import edges_at_or_below, sorted_keys
 from corpusflow.operators.sizing import fits
 
 MAX_STAGES = 10_000
@@ -85,7 +85,7 @@ def stage_of_step(
     """
     if not fits(stages, max_rows=MAX_STAGES):
         raise ValueError(f"more than {MAX_STAGES} stages")
-    starts = stages.select(F.col(start).alias(step)).distinct().orderBy(step).collect()
+    starts = sorted_keys(stages.select(F.col(start).alias(step)).distinct(), [step])
     if not starts:
         raise ValueError("no stages")
     rank = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(start))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, seeded_digest
+from corpusflow.functions.text import let
 from corpusflow.operators.sizing import broadcast_if_small
 
 ROWS_PER_BUCKET = 65_536
@@ -24,31 +25,39 @@ def _key(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
-def edges_at_or_below(df: DataFrame, keys: Sequence[str], edges: list) -> Column:
-    """How many of the sorted ``edges`` are at or below the key, by binary search in a literal."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    literal = F.array(
-        *[F.struct(*[F.lit(edge[k]).cast(types[k]).alias(k) for k in keys]) for edge in edges]
-    )
+def sorted_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """All keys of a small table in order, as JSON; collects them."""
+    return [row[0] for row in df.orderBy(*keys).select(F.to_json(_key(keys))).collect()]
+
+
+def edges_at_or_below(df: DataFrame, keys: Sequence[str], edges: Sequence[str]) -> Column:
+    """How many of the sorted ``edges`` (JSON) are at or below the key.
+
+    A binary search in an array that the optimizer folds into one literal.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = "array<struct<" + ",".join(f"`{k}`:{fields[k]}" for k in keys) + ">>"
+    literal = F.from_json(F.lit("[" + ",".join(edges) + "]"), schema)
     steps, step = [], 1
     while step <= len(edges):
         steps.insert(0, F.lit(step))
         step *= 2
-    key = _key(keys)
 
-    def advance(low: Column, step: Column) -> Column:
-        inside = F.coalesce(F.get(literal, low + step - F.lit(1)) <= key, F.lit(False))
-        return F.when(inside, low + step).otherwise(low)
+    def search(key: Column) -> Column:
+        def advance(low: Column, step: Column) -> Column:
+            inside = F.coalesce(F.get(literal, low + step - F.lit(1)) <= key, F.lit(False))
+            return F.when(inside, low + step).otherwise(low)
+
+        return F.aggregate(F.array(*steps), F.lit(0), advance)
 
-    return F.aggregate(F.array(*steps), F.lit(0), advance)
+    return let(_key(keys), search)
 
 
-def _edges(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list:
+def _edges(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list[str]:
+    """Keys that cut the table into buckets of about equal size, from a bounded sample."""
     share = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
     sample = df.select(*keys)
-    if share < 1.0:
-        sample = sample.sample(fraction=share, seed=7)
-    picked = sample.orderBy(*keys).collect()
+    picked = sorted_keys(sample.sample(fraction=share, seed=7) if share < 1.0 else sample, keys)
     stride = len(picked) / buckets
     return [picked[int(i * stride)] for i in range(1, buckets)] if picked else []
 

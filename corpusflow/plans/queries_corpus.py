@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import GENERIC_SOLUTIONS
-from corpusflow.operators import decontam, dedup, tokens
+from corpusflow.operators import decontam, dedup, ngrams, tokens
 from corpusflow.plans.corpus import clean_corpus
 from corpusflow.plans.queries_tokens import PIECES_SQL
-from corpusflow.plans.registry import query, table
+from corpusflow.plans.registry import query, table, texts
 
 # ---- decontamination ---------------------------------------------------------------------------
 
@@ -22,13 +22,13 @@ def _strings(spark, sf):
 
 @query("decontaminate", _CLEAN)
 def decontaminate(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     return decontam.decontaminate(docs, _strings(spark, sf), "text", "doc_id").select("doc_id", "lang")
 
 
 @query("decontaminate_anchored", _CLEAN)
 def decontaminate_anchored(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     return decontam.decontaminate_anchored(docs, _strings(spark, sf), "text", "doc_id").select("doc_id", "lang")
 
 
@@ -54,7 +54,7 @@ def _listed(spark, sf):
     """,
 )
 def contamination_hits(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     hits = decontam.contamination_hits(docs, _listed(spark, sf), "text", "ord")
     return hits.select("doc_id", "hit_ord", "hit_benchmark", F.md5("hit_string").alias("hit_md5"))
 
@@ -67,7 +67,7 @@ def contamination_hits(spark, sf):
     """,
 )
 def removal_report(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return decontam.removal_report(decontam.flag_contaminated(docs, _strings(spark, sf), "text", "doc_id"))
 
 
@@ -82,7 +82,7 @@ def minhash_sql(docs: str, n: int = dedup.NGRAM, hashes: int = _HASHES) -> str:
         f"({k}, {a}::BIGINT, {b}::BIGINT, {c}::BIGINT)"
         for k, (a, b, c) in enumerate(map(dedup.permutation, range(hashes)))
     )
-    p, (base_high, base_low) = dedup.PRIME, dedup.BASES
+    p, (base_high, base_low) = ngrams.PRIME, ngrams.BASES
     powers = ", ".join(
         f"({e}, {pow(base_high, e, p)}::BIGINT, {pow(base_low, e, p)}::BIGINT)" for e in range(n)
     )
@@ -98,8 +98,8 @@ def minhash_sql(docs: str, n: int = dedup.NGRAM, hashes: int = _HASHES) -> str:
         FROM words s JOIN words w ON w.doc_id = s.doc_id AND w.pos BETWEEN s.pos AND s.pos + {n - 1}
         WHERE s.pos <= greatest(s.len - {n - 1}, 1)),
       shingles AS (
-        SELECT DISTINCT doc_id, (sum((h >> {dedup.HALF}) % {p} * high_power % {p}) % {p})::BIGINT AS high,
-               (sum((h & {(1 << dedup.HALF) - 1}) % {p} * low_power % {p}) % {p})::BIGINT AS low
+        SELECT DISTINCT doc_id, (sum((h >> {ngrams.HALF}) % {p} * high_power % {p}) % {p})::BIGINT AS high,
+               (sum((h & {(1 << ngrams.HALF) - 1}) % {p} * low_power % {p}) % {p})::BIGINT AS low
         FROM grams JOIN powers USING (e) GROUP BY doc_id, pos),
       minima AS (
         SELECT doc_id, k, min((high * a + low * b % {p} + c) % {p}) AS m
@@ -134,19 +134,19 @@ def clusters_sql(docs: str) -> str:
     """,
 )
 def minhash_signature(spark, sf):
-    signatures = dedup.minhash_signature(table(spark, sf, "documents"), "text", "doc_id")
+    signatures = dedup.minhash_signature(texts(spark, sf, "documents"), "text", "doc_id")
     return signatures.select("doc_id", F.md5(F.array_join("signature", " ")).alias("signature_md5"))
 
 
 @query("band_edges", f"WITH RECURSIVE {clusters_sql('documents')} SELECT doc_id, hub FROM edges")
 def band_edges(spark, sf):
-    bands = dedup.document_bands(table(spark, sf, "documents"), "text", "doc_id")
+    bands = dedup.document_bands(texts(spark, sf, "documents"), "text", "doc_id")
     return dedup.band_edges(dedup.band_keys(bands, "doc_id"), "doc_id")
 
 
 @query("duplicate_clusters", f"WITH RECURSIVE {clusters_sql('documents')} SELECT doc_id, cluster FROM removed")
 def duplicate_clusters(spark, sf):
-    bands = dedup.document_bands(table(spark, sf, "documents"), "text", "doc_id")
+    bands = dedup.document_bands(texts(spark, sf, "documents"), "text", "doc_id")
     return dedup.near_duplicates(bands, "doc_id")
 
 
@@ -158,7 +158,7 @@ def duplicate_clusters(spark, sf):
     """,
 )
 def keep_one_per_cluster(spark, sf):
-    kept = dedup.keep_one_per_cluster(table(spark, sf, "documents"), "text", "doc_id")
+    kept = dedup.keep_one_per_cluster(texts(spark, sf, "documents"), "text", "doc_id")
     return kept.select("doc_id", "source", F.md5("text").alias("text_md5"))
 
 
@@ -172,7 +172,7 @@ def keep_one_per_cluster(spark, sf):
     """,
 )
 def dedup_report(spark, sf):
-    flagged = dedup.flag_duplicates(table(spark, sf, "documents"), "text", "doc_id")
+    flagged = dedup.flag_duplicates(texts(spark, sf, "documents"), "text", "doc_id")
     return dedup.dedup_report(flagged, tokens.token_length("text"))
 
 
@@ -194,7 +194,7 @@ def dedup_report(spark, sf):
     """,
 )
 def verify_jaccard(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     bands = dedup.document_bands(docs, "text", "doc_id")
     edges = dedup.band_edges(dedup.band_keys(bands, "doc_id"), "doc_id")
     return dedup.verify_jaccard(edges, docs, "text", "doc_id", 0.8)
@@ -212,6 +212,6 @@ def verify_jaccard(spark, sf):
     """,
 )
 def clean_corpus_query(spark, sf):
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs, labels = texts(spark, sf, "documents"), table(spark, sf, "labels")
     clean = clean_corpus(docs, labels, _strings(spark, sf), least=1)
     return tokens.count_tokens(clean, tokens.token_length("text"), ["source"])

@@ -11,7 +11,7 @@ from corpusflow.functions import text as tx
 from corpusflow.functions.fim import fim_transform
 from corpusflow.operators import consistency, generations
 from corpusflow.plans.corpus import self_consistency
-from corpusflow.plans.registry import query, table
+from corpusflow.plans.registry import query, table, texts
 from corpusflow.session import scratch_path
 from corpusflow.sources import sinks
 
@@ -22,7 +22,7 @@ STOPS_SQL = r"(?s)(\? |\n|\. E).*$"
 
 @query("truncate_at_stop", f"SELECT doc_id, regexp_replace(text, '{STOPS_SQL}', '') AS text FROM documents")
 def truncate_at_stop(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.truncate_at_stop("text", STOPS).alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", tx.truncate_at_stop("text", STOPS).alias("text"))
 
 
 @query(
@@ -35,7 +35,7 @@ def truncate_at_stop(spark, sf):
     """,
 )
 def strip_trailing_stop(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.strip_trailing_stop("text", [".", "in."]).alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", tx.strip_trailing_stop("text", [".", "in."]).alias("text"))
 
 
 _PAIRS = """
@@ -179,12 +179,12 @@ def _sentences_sql(of: str, key: str) -> str:
 
 @query("split_sentences", f"SELECT doc_id, sent_idx::INTEGER AS sent_idx, sentence FROM ({_sentences_sql('documents', 'doc_id')})")
 def split_sentences(spark, sf):
-    return consistency.split_sentences(table(spark, sf, "documents"), "text", ["doc_id"])
+    return consistency.split_sentences(texts(spark, sf, "documents"), "text", ["doc_id"])
 
 
 @query("normalize_newlines", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
 def normalize_newlines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.normalize_newlines("text").alias("text"))
+    return texts(spark, sf, "documents").select("doc_id", tx.normalize_newlines("text").alias("text"))
 
 
 @query(
@@ -210,7 +210,7 @@ def fill_template(spark, sf):
 )
 def answer_to_score(spark, sf):
     start = F.when(F.col("doc_id") % 3 == 0, " Yes, ").when(F.col("doc_id") % 3 == 1, "\nNO").otherwise("")
-    return table(spark, sf, "documents").select("doc_id", tx.answer_to_score(F.concat(start, "text")).alias("score"))
+    return texts(spark, sf, "documents").select("doc_id", tx.answer_to_score(F.concat(start, "text")).alias("score"))
 
 
 @query(
@@ -327,11 +327,11 @@ _FIM_PARTS = f"""
     """,
 )
 def fim(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     return docs.select("doc_id", F.md5(fim_transform("text", "doc_id", 1234)).alias("text_md5"))
 
 
 @query("fim_transform_fragments", _FIM_PARTS)
 def fim_fragments(spark, sf):
     moved = fim_transform("text", "doc_id", 1234, separator="\n", no_fim_prefix="Th")
-    return table(spark, sf, "documents").select("doc_id", F.md5(moved).alias("text_md5"))
+    return texts(spark, sf, "documents").select("doc_id", F.md5(moved).alias("text_md5"))

@@ -8,7 +8,7 @@ from corpusflow.functions.numbers import round_half_even
 from corpusflow.operators import audit, generations, mixture, tokens
 from corpusflow.operators.rows import merge_shuffled
 from corpusflow.plans.corpus import weighted_manifest, with_shard
-from corpusflow.plans.registry import query, table
+from corpusflow.plans.registry import query, table, texts
 
 PIECES_SQL = r"regexp_extract_all(text, '\p{L}+|\p{N}|[^\s\p{L}\p{N}]+')"
 EOD = 0
@@ -30,11 +30,11 @@ _ENCODED = f"""
 
 @query("build_vocab", _VOCAB)
 def build_vocab(spark, sf):
-    return tokens.build_vocab(table(spark, sf, "documents"), "text")
+    return tokens.build_vocab(texts(spark, sf, "documents"), "text")
 
 
 def _encoded(spark, sf, **options):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     vocab = tokens.build_vocab(docs, "text", size=300)
     return tokens.encode(docs, "text", vocab, "doc_id", **options)
 
@@ -71,7 +71,7 @@ def append_eod(spark, sf):
 
 @query("token_length", f"SELECT doc_id, len({PIECES_SQL}) AS token_length FROM documents")
 def token_length(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     return docs.select("doc_id", tokens.token_length("text").alias("token_length"))
 
 
@@ -83,7 +83,7 @@ def token_length(spark, sf):
     """,
 )
 def count_tokens(spark, sf):
-    return tokens.count_tokens(table(spark, sf, "documents"), tokens.token_length("text"), ["source", "lang"])
+    return tokens.count_tokens(texts(spark, sf, "documents"), tokens.token_length("text"), ["source", "lang"])
 
 
 @query(
@@ -106,7 +106,7 @@ _BEFORE = f"""
 
 
 def _sized(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     return docs.select("doc_id", "source", tokens.token_length("text").alias("n"))
 
 
@@ -140,7 +140,7 @@ def _packed_sql(length: int, extra: int) -> str:
 
 
 def _packed(spark, sf, plus_one):
-    docs = table(spark, sf, "documents").select("doc_id", tokens.pieces("text").alias("tokens"))
+    docs = texts(spark, sf, "documents").select("doc_id", tokens.pieces("text").alias("tokens"))
     packed = tokens.pack_sequences(docs, "tokens", 512, ["doc_id"], plus_one=plus_one)
     return packed.select("seq", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 
@@ -187,7 +187,7 @@ _SHARDS = f"""
 
 
 def _sharded(spark, sf):
-    return with_shard(table(spark, sf, "documents"), 4)
+    return with_shard(texts(spark, sf, "documents"), 4)
 
 
 def _shards(spark, sf):
@@ -305,7 +305,7 @@ _EXPECTED = "SELECT source, unnest(range(5)) AS shard FROM (SELECT DISTINCT sour
 def _expected(spark, sf):
     from corpusflow.operators.rows import expand_shards
 
-    sources = table(spark, sf, "documents").select("source").distinct().withColumn("n", F.lit(5))
+    sources = texts(spark, sf, "documents").select("source").distinct().withColumn("n", F.lit(5))
     return expand_shards(sources, "n").select("source", "shard")
 
 
@@ -341,7 +341,7 @@ _QUOTAS = f"""
 
 
 def _weights(spark, sf):
-    return table(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("weight"))
+    return texts(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("weight"))
 
 
 @query(
@@ -367,7 +367,7 @@ _MIXED = f"""
 
 
 def _mixed(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source")
+    docs = texts(spark, sf, "documents").select("doc_id", "source")
     return mixture.mix(docs, _weights(spark, sf), 2500, 5, ["doc_id"])
 
 
@@ -399,7 +399,7 @@ def interleave(spark, sf):
 )
 def epochs(spark, sf):
     shares = mixture.normalize_weights(_weights(spark, sf))
-    sizes = tokens.count_tokens(table(spark, sf, "documents"), tokens.token_length("text"), ["source"])
+    sizes = tokens.count_tokens(texts(spark, sf, "documents"), tokens.token_length("text"), ["source"])
     seen = mixture.epochs(shares, sizes, 1e6)
     return seen.select("source", F.round("epochs", 9).alias("epochs"))
 
@@ -416,11 +416,11 @@ def epochs(spark, sf):
     """,
 )
 def pass_at_k(spark, sf):
-    tried = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    tried = texts(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     rates = generations.pass_rates(tried, ["source"], F.col("quality") == 1, (1, 3), ["lang"])
     return rates.select("lang", "problems", *[F.round(c, 9).alias(c) for c in ("pass_at_1", "pass_at_3")])
 
 
 @query("round_half_even", "SELECT doc_id, round_even(n_chars / 2000.0::DOUBLE * 100, 0) / 100 AS rounded FROM documents")
 def round_half_even_query(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", round_half_even(F.col("n_chars") / 2000.0).alias("rounded"))
+    return texts(spark, sf, "documents").select("doc_id", round_half_even(F.col("n_chars") / 2000.0).alias("rounded"))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusflow.sources.readers import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,5 +28,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows need much work: a small file is spread over the cores."""
+    return spread(table(spark, folder, name))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

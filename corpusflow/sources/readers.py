@@ -45,6 +45,15 @@ def rename_text(df: DataFrame, text_key: str | None) -> DataFrame:
     return df if text_key in (None, "text") else df.withColumnRenamed(text_key, "text")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores cut finer, before heavy work on each row.
+
+    A large input has far more partitions than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def list_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """(path, folder, bytes, modified) of the files below a folder; contents are not read."""
     files = (

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import dedup
+from corpusflow.operators import dedup, ngrams
 
 
 def brute_signature(text, hashes):
@@ -16,12 +16,12 @@ def brute_signature(text, hashes):
         return []
     h = [int(hashlib.md5(w.encode()).hexdigest()[:15], 16) for w in words]
     grams = [h[i:i + 5] for i in range(max(1, len(h) - 4))]
-    p, shingles = dedup.PRIME, set()
+    p, shingles = ngrams.PRIME, set()
     for g in grams:
         high = low = 0
         for x in g:
-            high = (high * dedup.BASES[0] + (x >> 30)) % p
-            low = (low * dedup.BASES[1] + (x & (2**30 - 1))) % p
+            high = (high * ngrams.BASES[0] + (x >> 30)) % p
+            low = (low * ngrams.BASES[1] + (x & (2**30 - 1))) % p
         shingles.add((high, low))
     perms = [dedup.permutation(k) for k in range(hashes)]
     return [min((x * a + y * b + c) % p for x, y in shingles) for a, b, c in perms]
