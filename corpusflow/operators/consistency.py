@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import answer_to_score, sentences, strip, words
-from corpusflow.operators.sizing import join_on_unique
+from corpusflow.operators.sizing import HOT_ROWS, skew_join
+from corpusflow.session import checkpointed
 
 SAMPLES_PER_CHUNK = 32
 
@@ -26,6 +27,7 @@ def support_scores(
     sentence: str = "sentence",
     sent_idx: str = "sent_idx",
     passage: str = "text",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(key, sent_idx, score): the mean over samples of 1 - share of sentence words in the sample.
 
@@ -40,14 +42,15 @@ def support_scores(
         .agg(F.count("*").alias("_held"))
     )
     number = samples.groupBy(key).agg(F.count("*").alias("_samples"))
-    bag = sents.select(key, sent_idx, F.array_distinct(words(sentence)).alias("_words"))
+    bag = checkpointed(sents.select(key, sent_idx, F.array_distinct(words(sentence)).alias("_words")))
     asked = bag.select(key, sent_idx, F.size("_words").alias("_size"), F.explode_outer("_words").alias("word"))
-    found = join_on_unique(asked, held, [key, "word"], "left")
+    found = skew_join(asked, held, [key, "word"], "left", hot_rows=hot_rows)
     summed = found.groupBy(key, sent_idx).agg(
         F.max("_size").alias("_size"), F.coalesce(F.sum("_held"), F.lit(0)).alias("_found")
     )
     supported = F.try_divide(F.col("_found"), F.col("_size") * F.col("_samples"))
-    return join_on_unique(summed, number, [key]).select(
+    summed = checkpointed(summed)
+    return skew_join(summed, number, [key], hot_rows=hot_rows).select(
         key, sent_idx, (F.lit(1.0) - supported).alias("score")
     )
 
@@ -62,12 +65,13 @@ def score_pairs(
     sent_idx: str = "sent_idx",
     passage: str = "text",
     chunk: int = SAMPLES_PER_CHUNK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(key, sent_idx, score) by a model that has to see each sentence with each sample.
 
     ``scorer`` takes sentences and passages and returns a score per pair. Samples are numbered from
     0 and handed over in chunks, so that the shuffle carries a sentence once per chunk and the
-    pairs exist only inside the call.
+    pairs exist only inside the call. Sentences of a key with very many are dealt over several tasks.
     """
     packed = (
         samples.withColumn("_chunk", F.floor(F.col(sample_idx) / F.lit(chunk)))
@@ -82,7 +86,7 @@ def score_pairs(
 
     summed = F.pandas_udf(total, "double")
     return (
-        sents.join(packed, key)
+        skew_join(checkpointed(sents.select(key, sent_idx, sentence)), packed, [key], hot_rows=hot_rows)
         .select(key, sent_idx, F.size("_passages").alias("_n"), summed(sentence, "_passages").alias("_sum"))
         .groupBy(key, sent_idx)
         .agg((F.sum("_sum") / F.sum("_n")).alias("score"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.ngrams import ngram_hashes
 from corpusflow.operators.rows import exclude_values, strip_non_empty
-from corpusflow.operators.sizing import broadcast_if_small, join_on_unique
+from corpusflow.operators.sizing import broadcast_if_small, settle, skew_join
 from corpusflow.session import checkpointed
 
 # An automaton takes roughly a hundred bytes of worker memory per byte of text.
@@ -100,7 +100,7 @@ def flag_contaminated(
         entries = [(i, row["pattern"]) for i, row in enumerate(patterns.collect())]
         flagged = _hits_small(docs, text, entries, any_hit=True)
         return flagged.withColumn(out, F.col("_hit").isNull()).drop("_hit")
-    hit = contained_ids(docs, strings, text, doc_id, string, max_bytes).withColumn("_hit", F.lit(True))
+    hit = settle(contained_ids(docs, strings, text, doc_id, string, max_bytes).withColumn("_hit", F.lit(True)))
     return docs.join(hit, doc_id, "left").withColumn(out, F.col("_hit").isNull()).drop("_hit")
 
 
@@ -175,8 +175,11 @@ def contained_ids_by_anchor(
         .select("_pid", "_h")
     )
     pairs = checkpointed(met.join(anchors, "_h").select("_id", "_pid").distinct())
-    with_pattern = join_on_unique(pairs, sized.select("_pid", "pattern"), ["_pid"])
-    texts = docs.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
+    with_pattern = skew_join(pairs, sized.select("_pid", "pattern"), ["_pid"])
+    # Candidates are few: their texts are picked out by a broadcast of ids where that is possible.
+    candidates = broadcast_if_small(pairs.select(F.col("_id").alias(doc_id)).distinct())
+    picked = docs.select(doc_id, text).join(candidates, doc_id, "left_semi")
+    texts = picked.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
     verified = with_pattern.join(texts, "_id").where(F.contains("_text", "pattern"))
     return verified.select(F.col("_id").alias(doc_id)).distinct()
 
@@ -211,7 +214,7 @@ def decontaminate_anchored(
     docs: DataFrame, strings: DataFrame, text: str, doc_id: str, string: str = "string"
 ) -> DataFrame:
     """``decontaminate`` by the shuffled join, whatever the length of the list."""
-    return docs.join(contained_ids(docs, strings, text, doc_id, string), doc_id, "left_anti")
+    return docs.join(settle(contained_ids(docs, strings, text, doc_id, string)), doc_id, "left_anti")
 
 
 def contamination_hits(
@@ -244,7 +247,10 @@ def contamination_hits(
         F.col(order).cast("long").alias("_hit"),
         *[F.col(c).alias(f"hit_{c}") for c in strings.columns],
     )
-    return join_on_unique(found, info, ["_hit"]).drop("_hit")
+    if parts == 1:
+        # The list is within ``max_bytes``.
+        return found.join(F.broadcast(info), "_hit").drop("_hit")
+    return skew_join(checkpointed(found), info, ["_hit"]).drop("_hit")
 
 
 def removal_report(flagged: DataFrame, keep: str = "keep") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.numbers import hex_to_long
 from corpusflow.functions.text import let, words
 from corpusflow.operators.ngrams import PRIME, flatten, ngrams, remainder
-from corpusflow.operators.sizing import HOT_ROWS, join_on_unique
+from corpusflow.operators.sizing import HOT_ROWS, broadcast_if_small, skew_join
 from corpusflow.session import checkpointed
 
 NGRAM, BANDS, ROWS = 5, 14, 8
@@ -102,14 +102,14 @@ def band_edges(keys: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFr
     """Star edges (id, hub): every member of a bucket to its smallest id.
 
     ``m`` copies give ``m - 1`` edges per band, never pairs. Bucket minima are pre-aggregated before
-    the shuffle, and members of very large buckets meet them by broadcast.
+    the shuffle, and very large buckets are salted.
     """
     buckets = (
         keys.groupBy("band", "key")
         .agg(F.min(doc_id).alias("hub"), F.count("*").alias("_n"))
         .where(F.col("_n") > 1)
     )
-    members = join_on_unique(keys, buckets.drop("_n"), ["band", "key"], hot_rows=hot_rows)
+    members = skew_join(keys, buckets.drop("_n"), ["band", "key"], hot_rows=hot_rows)
     return members.where(F.col(doc_id) != F.col("hub")).select(doc_id, "hub").distinct()
 
 
@@ -146,7 +146,7 @@ def duplicate_clusters(
         )
         around = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         moved = (
-            join_on_unique(both, around, ["u"], hot_rows=hot_rows)
+            skew_join(both, around, ["u"], hot_rows=hot_rows)
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
             .distinct()
@@ -154,7 +154,7 @@ def duplicate_clusters(
         moved = checkpointed(moved)
         # Small star: smaller neighbours of a node, and the node, move to the smallest of them.
         least = moved.groupBy("hi").agg(F.min("lo").alias("m"))
-        joined = join_on_unique(moved, least, ["hi"], hot_rows=hot_rows)
+        joined = skew_join(moved, least, ["hi"], hot_rows=hot_rows)
         pulled = joined.where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         kept = least.select("hi", F.col("m").alias("lo"))
         current = checkpointed(pulled.unionAll(kept).distinct())
@@ -166,8 +166,8 @@ def verify_jaccard(
 ) -> DataFrame:
     """Edges (id, hub) whose exact n-gram Jaccard similarity is at least ``least``, with it.
 
-    Shingle sets are joined to the edges, so only linked documents are read in full. A hub with
-    very many members goes by broadcast.
+    Shingle sets are joined to the edges, so only linked documents are read in full. The set of a
+    hub with very many members is repeated over salts.
     """
 
     def grams(w: Column) -> Column:
@@ -178,12 +178,12 @@ def verify_jaccard(
         )
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(many))
 
-    linked = edges.select(F.explode(F.array(doc_id, "hub")).alias(doc_id)).distinct()
+    linked = broadcast_if_small(edges.select(F.explode(F.array(doc_id, "hub")).alias(doc_id)).distinct())
     sets = checkpointed(
         docs.join(linked, doc_id, "left_semi").select(doc_id, let(words(F.col(text)), grams).alias("_set"))
     )
     left = edges.join(sets, doc_id)
-    both = join_on_unique(
+    both = skew_join(
         left.select(doc_id, "hub", F.col("_set").alias("_a")),
         sets.select(F.col(doc_id).alias("hub"), F.col("_set").alias("_b")),
         ["hub"],
@@ -215,7 +215,7 @@ def document_bands(
 def keep_one_per_cluster(docs: DataFrame, text: str, doc_id: str, **options) -> DataFrame:
     """Documents without the larger ids of each near-duplicate cluster."""
     removed = near_duplicates(document_bands(docs, text, doc_id, **options), doc_id)
-    return remove_ids(docs, removed.select(doc_id), doc_id)
+    return remove_ids(docs, broadcast_if_small(removed.select(doc_id)), doc_id)
 
 
 def flag_duplicates(
@@ -223,7 +223,7 @@ def flag_duplicates(
 ) -> DataFrame:
     """``docs`` with a flag that is false for rows to remove."""
     removed = near_duplicates(document_bands(docs, text, doc_id, **options), doc_id)
-    gone = removed.select(doc_id, F.lit(True).alias("_gone"))
+    gone = broadcast_if_small(removed.select(doc_id, F.lit(True).alias("_gone")))
     return docs.join(gone, doc_id, "left").withColumn(out, F.col("_gone").isNull()).drop("_gone")
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, seeded_digest
 from corpusflow.functions.text import let
-from corpusflow.operators.sizing import broadcast_if_small
+from corpusflow.operators.sizing import settle
+from corpusflow.session import checkpointed
 
 ROWS_PER_BUCKET = 65_536
 MAX_BUCKETS = 20_000
@@ -108,6 +109,9 @@ def prefix_sums(
     if not partition:
         # One row per bucket, MAX_BUCKETS at most.
         offsets = F.broadcast(offsets)
+    else:
+        # One row per bucket and one more per partition.
+        offsets = settle(offsets)
     same = F.col("_bucket") == F.col("_b")
     for i, p in enumerate(partition):
         same = same & F.col(p).eqNullSafe(F.col(f"_p_{i}"))
@@ -171,7 +175,7 @@ def shard_files_floor(
     in its last shard.
     """
     counts = files.groupBy(chunk).agg(F.count("*").alias("_files"))
-    chunks = broadcast_if_small(global_index(counts, [chunk], out="_chunk"))
+    chunks = settle(global_index(checkpointed(counts), [chunk], out="_chunk"))
     indexed = prefix_sums(files, order, partition=[chunk], out="_index", **options)
     per_shard = F.floor(F.col("_files") / F.lit(n))
     position = F.when(

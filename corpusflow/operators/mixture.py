@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, round_half_even, seeded_digest
 from corpusflow.operators.index import global_index, prefix_sums
-from corpusflow.operators.sizing import broadcast_if_small, fits
+from corpusflow.operators.sizing import broadcast_if_small, fits, settle
 
 # Weights set by hand, for the large and for the small mixture.
 OVERRIDES_LARGE = {"ir_python": 1.0, "ir_cpp": 1.0, "ir_rust": 1.0, "ir_low_resource": 3.0}
@@ -157,9 +157,9 @@ def mix(
     A source with a quota above its size is repeated whole and then once more in part; ``copy``
     counts the repeats. Sources without a weight, or without documents, give nothing.
     """
-    asked = broadcast_if_small(quotas(weights, n, key, weight))
-    sizes = broadcast_if_small(docs.groupBy(key).agg(F.count("*").alias("_size")).join(asked, key))
-    wanted = docs.join(broadcast_if_small(asked.select(key)), key, "left_semi")
+    sizes = docs.groupBy(key).agg(F.count("*").alias("_size"))
+    sizes = settle(sizes.join(quotas(weights, n, key, weight), key).where(F.col("quota") > 0))
+    wanted = docs.join(sizes.select(key), key, "left_semi")
     drawn = wanted.withColumn("_digest", seeded_digest(seed, *ids))
     ranked = prefix_sums(drawn, ["_digest", *ids], partition=[key], out="_rank", **options)
     whole = F.floor(F.col("quota") / F.col("_size"))
@@ -186,7 +186,7 @@ def interleave(
 
     Row ``k`` of a source stands at ``(k + 0.5) / share``; equal places are ordered by source.
     """
-    known = mixed.join(broadcast_if_small(shares.select(key, F.col(share).alias("_share"))), key)
+    known = mixed.join(settle(shares.select(key, F.col(share).alias("_share"))), key)
     placed = known.withColumn("_at", (F.col(place) + F.lit(0.5)) / F.col("_share"))
     return global_index(placed, ["_at", key, place], out=out, **options).drop("_at", "_share")
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.session import checkpointed
+
 # A side may be broadcast up to these bounds.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -46,7 +48,12 @@ def broadcast_if_small(
     return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
-def join_on_unique(
+def settle(df: DataFrame) -> DataFrame:
+    """A derived table, expected to be short, written down once and then broadcast if it fits."""
+    return broadcast_if_small(checkpointed(df))
+
+
+def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
@@ -55,23 +62,30 @@ def join_on_unique(
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Join a side with hot keys to a side that has one row per key (``inner`` or ``left``).
+    """Equi-join (``inner`` or ``left``) whose left side may hold a large share under one key.
 
-    Keys above ``hot_share`` of the left rows are few, so their right rows are broadcast and the
-    hot left rows stay where they are. All other keys take a shuffled join, in which none is hot.
+    A key above ``hot_share`` of the left rows is salted: its left rows are dealt out over as many
+    salts as bring each below that share, and its right rows are repeated for every salt. There are
+    at most ``1 / hot_share`` such keys, and only they are broadcast. Left rows are counted, so
+    write an expensive left side down first.
     """
     on = list(on)
     rows = left.count() if rows is None else rows
     if rows <= hot_rows:
         return left.join(right, on, how)
-    hot = (
+    bound = max(1, int(rows * hot_share))
+    hot = F.broadcast(
         left.groupBy(*on)
         .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > F.lit(int(rows * hot_share)))
-        .select(*on)
+        .where(F.col("_n") > bound)
+        .select(*on, F.ceil(F.col("_n") / F.lit(bound)).cast("int").alias("_salts"))
+    )
+    others = [F.col(c) for c in left.columns if c not in on]
+    deal = F.xxhash64(*others) if others else F.monotonically_increasing_id()
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(deal, F.col("_salts")).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(
+        F.array(F.lit(0))
     )
-    hot = F.broadcast(hot)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    hot_left = left.join(hot, on, "left_semi")
-    cold_left = left.join(hot, on, "left_anti")
-    return hot_left.join(hot_right, on, how).unionByName(cold_left.join(right, on, how))
+    dealt = left.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")

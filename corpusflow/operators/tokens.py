@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column
 from corpusflow.operators.index import global_index, prefix_sums, shuffle_seeded
-from corpusflow.operators.sizing import fits, join_on_unique
+from corpusflow.operators.sizing import fits, skew_join
 from corpusflow.session import checkpointed
 
 # Runs of letters, single digits, runs of anything else but white space.
 PIECES = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 VOCAB_ROWS = 1_000_000
 VOCAB_BYTES = 64 * 1024 * 1024
+PACK_ROWS_PER_BUCKET = 2_048
 
 
 def pieces(text: ColumnOrName) -> Column:
@@ -76,8 +77,8 @@ def encode(
         rows = vocab.collect()
         lookup = _lookup(df.sparkSession, [r["_token"] for r in rows], [r["_number"] for r in rows], unknown)
         return df.withColumn(out, lookup(pieces(text)))
-    placed = df.select(doc_id, F.posexplode(pieces(text)).alias("_pos", "_token"))
-    found = join_on_unique(placed, vocab, ["_token"], "left")
+    placed = checkpointed(df.select(doc_id, F.posexplode(pieces(text)).alias("_pos", "_token")))
+    found = skew_join(placed, vocab, ["_token"], "left")
     number = F.coalesce("_number", F.lit(unknown).cast("long"))
     ordered = F.array_sort(F.collect_list(F.struct("_pos", number.alias("n"))))
     # One group is one document, which was a single row before.
@@ -146,8 +147,11 @@ def pack_sequences(
     into its pieces in place; a group holds one sample.
     """
     extra = 1 if plus_one else 0
-    sized = df.withColumn("_size", F.size(tokens).cast("long")).where(F.col("_size") > 0)
-    placed = prefix_sums(sized, order, weight="_size", out="_start", **options)
+    sized = df.withColumn("_size", F.greatest(F.size(tokens), F.lit(0)).cast("long"))
+    # Rows carry their tokens along, so buckets are small. Positions need counting and sampling of
+    # the order columns only; the tokens are read for the totals and for the result.
+    options = {"rows": df.count(), "rows_per_bucket": PACK_ROWS_PER_BUCKET, **options}
+    placed = prefix_sums(sized, order, weight="_size", out="_start", **options).where(F.col("_size") > 0)
     start, end = F.col("_start"), F.col("_start") + F.col("_size")
     first = F.floor(F.greatest(start - extra, F.lit(0)) / F.lit(length)).cast("long")
     last = F.floor((end - 1) / F.lit(length)).cast("long")

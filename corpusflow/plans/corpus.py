@@ -29,7 +29,7 @@ def clean_corpus(
     # written down in between.
     bands = document_bands(decontaminate(scored, strings, text, doc_id), text, doc_id)
     kept = remove_ids(bands.select(doc_id), near_duplicates(bands, doc_id).select(doc_id), doc_id)
-    return scored.join(kept, doc_id, "left_semi")
+    return docs.join(kept, doc_id, "left_semi")
 
 
 def weighted_manifest(

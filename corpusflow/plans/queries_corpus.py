@@ -172,8 +172,9 @@ def keep_one_per_cluster(spark, sf):
     """,
 )
 def dedup_report(spark, sf):
-    flagged = dedup.flag_duplicates(texts(spark, sf, "documents"), "text", "doc_id")
-    return dedup.dedup_report(flagged, tokens.token_length("text"))
+    # Tokens are counted before the join, so that texts stay out of it.
+    docs = texts(spark, sf, "documents").withColumn("n_tokens", tokens.token_length("text"))
+    return dedup.dedup_report(dedup.flag_duplicates(docs, "text", "doc_id"), F.col("n_tokens"))
 
 
 @query(

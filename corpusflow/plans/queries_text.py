@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as tx
 from corpusflow.functions.fim import fim_transform
 from corpusflow.operators import consistency, generations
+from corpusflow.operators.sizing import skew_join
 from corpusflow.plans.corpus import self_consistency
 from corpusflow.plans.registry import query, table, texts
 from corpusflow.session import scratch_path
@@ -98,10 +99,10 @@ def _problems(spark, sf):
         .where("_t < 2")
         .drop("_t")
     )
-    said = turns.where("role = 'assistant'").join(first, "conv_id")
+    said = skew_join(turns.where("role = 'assistant'"), first, ["conv_id"])
     start = F.when(F.col("turn") % 4 == 1, "").otherwise("x")
     nested = generations.nest_in_blocks(said, ["conv_id"], "turn", F.concat(start, "prompt", "text"), "completion")
-    return nested.join(first, "conv_id")
+    return skew_join(nested, first, ["conv_id"])
 
 
 @query("clean_solutions", _SOLUTIONS)

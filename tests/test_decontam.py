@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import decontam
-from corpusflow.operators.sizing import join_on_unique
+from corpusflow.operators.sizing import skew_join
 
 
 def contaminated(docs, strings):
@@ -80,10 +80,10 @@ def test_benchmark_strings(spark):
     assert [tuple(r) for r in got] == [("solutions", "real answer")]
 
 
-def test_join_on_unique_splits_hot_keys(spark):
+def test_skew_join_splits_hot_keys(spark):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left"):
         plain = left.join(right, "k", how)
-        split = join_on_unique(left, right, ["k"], how, hot_rows=10, hot_share=0.01)
+        split = skew_join(left, right, ["k"], how, hot_rows=10, hot_share=0.01)
         assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
