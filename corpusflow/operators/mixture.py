@@ -81,15 +81,16 @@ def source_stats(
 def apply_overrides(
     weights: DataFrame, overrides: Mapping[str, float] | DataFrame, key: str = "source", out: str = "override"
 ) -> DataFrame:
-    """Add the override of each source, null where there is none."""
+    """Add the override of each source, null where there is none.
+
+    A mapping becomes a literal, looked up in place; a table (key, override) is joined.
+    """
     if isinstance(overrides, DataFrame):
         return weights.join(broadcast_if_small(overrides), key, "left")
     if not overrides:
         return weights.withColumn(out, F.lit(None).cast("double"))
-    table = weights.sparkSession.createDataFrame(
-        [(k, float(v)) for k, v in overrides.items()], f"`{key}` string, `{out}` double"
-    )
-    return weights.join(F.broadcast(table), key, "left")
+    entries = [F.lit(x) for name, value in overrides.items() for x in (name, float(value))]
+    return weights.withColumn(out, F.try_element_at(F.create_map(*entries), F.col(key)))
 
 
 def weights_override_first_shard(
