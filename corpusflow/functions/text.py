@@ -37,7 +37,7 @@ SUPPORT_TEMPLATE_STEPS = (
     "Think step by step and put your answer of Yes or No first.\n\nAnswer: "
 )
 
-WORD = r"[\p{L}\p{N}_]+"
+NOT_WORD = r"[^\p{L}\p{N}_]+"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 
 
@@ -61,7 +61,8 @@ def strip_end(c: ColumnOrName) -> Column:
 
 def words(c: ColumnOrName) -> Column:
     """Lower-cased runs of letters, digits and underscores."""
-    return F.regexp_extract_all(F.lower(as_column(c)), F.lit(WORD), F.lit(0))
+    # Splitting costs half of what extracting does; it leaves an empty string at an edge.
+    return F.array_remove(F.split(F.lower(as_column(c)), NOT_WORD, -1), "")
 
 
 def normalize_newlines(c: ColumnOrName) -> Column:

@@ -121,11 +121,6 @@ def _tokens(c: Column) -> Column:
     return F.split(c, r"\s+", -1)
 
 
-def _token_hashes(tokens: Column) -> Column:
-    """60-bit hashes of tokens."""
-    return F.transform(tokens, lambda t: F.shiftrightunsigned(F.xxhash64(t), 4))
-
-
 def contained_ids_by_anchor(
     docs: DataFrame, patterns: DataFrame, text: str, doc_id: str
 ) -> DataFrame:
@@ -151,11 +146,11 @@ def contained_ids_by_anchor(
     for k in sizes:
         of_size = sized.where(F.col("_size") == k).withColumn("_all", _tokens(F.col("pattern")))
         middle = F.slice(F.col("_all"), F.lit(2), F.size("_all") - 2)
-        part = of_size.select("_pid", F.explode(ngram_hashes([k])(_token_hashes(middle))).alias("_h"))
+        part = of_size.select("_pid", F.explode(ngram_hashes([k])(middle)).alias("_h"))
         runs = part if runs is None else runs.unionByName(part)
     runs = checkpointed(runs.distinct())
 
-    found = ngram_hashes(sizes)(_token_hashes(_tokens(F.lower(F.col(text)))))
+    found = ngram_hashes(sizes)(_tokens(F.lower(F.col(text))))
     shingles = docs.where(F.col(text).isNotNull()).select(
         F.col(doc_id).alias("_id"), F.explode(found).alias("_h")
     )

@@ -13,15 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import hex_to_long
 from corpusflow.functions.text import let, words
-from corpusflow.operators.ngrams import PRIME, flatten, ngrams, remainder
+from corpusflow.operators.ngrams import PRIME, blocks, ngrams, word_hashes
 from corpusflow.operators.sizing import HOT_ROWS, broadcast_if_small, skew_join
 from corpusflow.session import checkpointed
 
 NGRAM, BANDS, ROWS = 5, 14, 8
 # Shingles handled at a time, so that the arrays stay in the processor's cache.
-BLOCK = 1 << 14
+CACHED = 1 << 14
 MAX_ROUNDS = 100
 
 
@@ -31,39 +30,46 @@ def permutation(i: int) -> tuple[int, int, int]:
     return draw[0] % (PRIME - 1) + 1, draw[1] % (PRIME - 1) + 1, draw[2] % PRIME
 
 
-def word_hashes(text: Column) -> Column:
-    """One 60-bit hash per word, in order."""
-    return F.transform(words(text), lambda w: hex_to_long(F.md5(w)))
-
-
 def _minima(high: np.ndarray, low: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
     """Matrix of minima, one row per list; no list is empty."""
-    out = np.empty((len(starts), len(permutations)), dtype=np.int64)
+    out = np.empty((len(permutations), len(starts)), dtype=np.uint64)
+    values, other = np.empty_like(high), np.empty_like(high)
+    prime = np.uint64(PRIME)
     for k, (a, b, c) in enumerate(permutations):
-        values = remainder(high * np.int64(a) + remainder(low * np.int64(b)) + np.int64(c))
-        out[:, k] = np.minimum.reduceat(values, starts)
-    return out
+        # (high * a + low * b + c) mod prime, without new arrays; the sum stays below 2^63.
+        np.multiply(high, np.uint64(a), out=values)
+        np.multiply(low, np.uint64(b), out=other)
+        values += other
+        values += np.uint64(c)
+        np.floor_divide(values, prime, out=other)
+        other *= prime
+        values -= other
+        np.minimum.reduceat(values, starts, out=out[k])
+    return out.T
 
 
 def _signature_udf(n: int, hashes: int):
     permutations = [permutation(i) for i in range(hashes)]
 
-    def signatures(lists: pa.Array) -> pa.Array:
-        flat, offsets = flatten(lists)
-        high, low, counts = ngrams(flat, offsets, n, short=True)
+    def of_block(lists: pa.Array) -> pa.Array:
+        high, low, counts = ngrams(*word_hashes(lists), n, short=True)
         edges = (np.cumsum(counts) - counts)[np.flatnonzero(counts)]
-        out = np.zeros((len(edges), hashes), dtype=np.int64)
+        out = np.empty((len(edges), hashes), dtype=np.int64)
         done = 0
         while done < len(edges):
-            # Whole lists up to the block size, one at least.
-            stop = max(int(np.searchsorted(edges, edges[done] + BLOCK)), done + 1)
+            # Whole lists up to the size of the cache, one at least.
+            stop = max(int(np.searchsorted(edges, edges[done] + CACHED)), done + 1)
             end = edges[stop] if stop < len(edges) else len(high)
-            block = slice(edges[done], end)
-            out[done:stop] = _minima(high[block], low[block], edges[done:stop] - edges[done], permutations)
+            part = slice(edges[done], end)
+            out[done:stop] = _minima(high[part], low[part], edges[done:stop] - edges[done], permutations)
             done = stop
         sizes = np.concatenate(([0], np.cumsum(np.where(counts > 0, hashes, 0)))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(sizes), pa.array(out.ravel()))
 
+    def signatures(lists: pa.Array) -> pa.Array:
+        parts = [of_block(block) for block in blocks(lists)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
     return F.arrow_udf(signatures, "array<bigint>")
 
 
@@ -77,8 +83,8 @@ def minhash_signature(
 ) -> DataFrame:
     """(id, signature) with ``bands * rows`` minima; an empty array for a text without words."""
     signature = _signature_udf(n, bands * rows)
-    hashed = F.coalesce(word_hashes(F.col(text)), F.array().cast("array<bigint>"))
-    return docs.select(doc_id, signature(hashed).alias("signature"))
+    listed = F.coalesce(words(text), F.array().cast("array<string>"))
+    return docs.select(doc_id, signature(listed).alias("signature"))
 
 
 def band_arrays(

@@ -1,11 +1,13 @@
 """Hashes of word n-grams, computed on whole Arrow batches.
 
-Spark splits and hashes the words; numpy rolls the n-gram hashes over all lists of a batch at once.
+Spark splits the texts into words. Each batch hashes its distinct words once, and numpy rolls the
+n-gram hashes over all its lists together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +21,30 @@ HALF = 30
 BASES = (1_000_003, 754_974_721)
 
 
-def remainder(x: np.ndarray) -> np.ndarray:
-    """Remainder by multiply and subtract; numpy divides by a scalar faster than it takes ``%``."""
-    return x - (x // np.int64(PRIME)) * np.int64(PRIME)
+# Lists are handled in blocks of about this many words, whatever the size of the Arrow batch.
+BLOCK_WORDS = 1 << 21
 
 
-def flatten(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of all lists, and where each list begins and ends in them."""
+def blocks(lists: pa.Array, words: int = BLOCK_WORDS) -> Iterator[pa.Array]:
+    """The lists in consecutive slices of at most ``words`` words, or one list where it is longer."""
+    offsets, start = lists.offsets.to_numpy(), 0
+    while start < len(lists):
+        stop = int(np.searchsorted(offsets, offsets[start] + words, side="right")) - 1
+        stop = min(max(stop, start + 1), len(lists))
+        yield lists.slice(start, stop - start)
+        start = stop
+
+
+def word_hashes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """60 bits of md5 per word of all lists, and where each list begins and ends in them."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    return lists.values.to_numpy(zero_copy_only=False).astype(np.int64), offsets
+    encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    distinct = (
+        int.from_bytes(hashlib.md5(word.encode()).digest()[:8], "big") >> 4
+        for word in encoded.dictionary.to_pylist()
+    )
+    table = np.fromiter(distinct, dtype=np.uint64, count=len(encoded.dictionary))
+    return table[encoded.indices.to_numpy(zero_copy_only=False)], offsets - offsets[0]
 
 
 def ngrams(
@@ -38,42 +55,53 @@ def ngrams(
     A list shorter than n has one hash, of all its words, if ``short``; otherwise none.
     """
     lengths = np.diff(offsets)
-    fewer = np.minimum(lengths, 1) if short else 0
-    counts = np.where(lengths >= n, lengths - n + 1, fewer)
-    starts = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(lengths)), counts)
-    first = np.arange(counts.sum()) - starts[owner] + offsets[:-1][owner]
-    width = np.minimum(lengths, n)[owner]
-    all_full = bool((width == n).all())
-    padded = np.concatenate((flat, np.zeros(n, dtype=np.int64)))
+    full = lengths >= n
+    counts = np.where(full, lengths - n + 1, np.minimum(lengths, 1) if short else 0)
+    begin = np.cumsum(counts) - counts
+    # Where in ``flat`` each n-gram starts.
+    first = np.arange(counts.sum()) + np.repeat(offsets[:-1] - begin, counts)
+    prime, mask = np.uint64(PRIME), np.uint64((1 << HALF) - 1)
     halves = []
-    for base, part in zip(BASES, (padded >> HALF, padded & ((1 << HALF) - 1))):
-        total = np.zeros(len(first), dtype=np.int64)
+    for base, part in zip(BASES, (flat >> np.uint64(HALF), flat & mask)):
+        padded = np.concatenate((part, np.zeros(n, dtype=np.uint64)))
+        # Horner's rule at every position at once, whether a list has an n-gram there or not.
+        total, whole = part.copy(), np.empty_like(part)
+        few = {}
         for j in range(n):
-            # Horner's rule; lists shorter than n stop after their last word.
-            step = remainder(total * np.int64(base) + part[first + j])
-            total = step if all_full else np.where(width > j, step, total)
-        halves.append(total)
+            if j:
+                total *= np.uint64(base)
+                total += padded[j: j + len(flat)]
+                np.floor_divide(total, prime, out=whole)
+                whole *= prime
+                total -= whole
+            if short and j + 1 < n:
+                few[j + 1] = total[offsets[:-1][lengths == j + 1]]
+        found = total[first]
+        for width, values in few.items():
+            found[begin[lengths == width]] = values
+        halves.append(found)
     return halves[0], halves[1], counts
 
 
 def ngram_hashes(sizes: Sequence[int]):
-    """A column function from word hashes (60 bits) to the hashes of all their n-grams.
-
-    The position of a size among ``sizes`` does not matter: equal n-grams hash alike.
-    """
+    """A column function from words to the hashes of all their n-grams of the given sizes."""
 
-    def hashes(lists: pa.Array) -> pa.Array:
-        flat, offsets = flatten(lists)
+    def of_block(lists: pa.Array) -> pa.Array:
+        flat, offsets = word_hashes(lists)
         values, owners = [], []
         for n in sizes:
             high, low, counts = ngrams(flat, offsets, n, short=False)
-            values.append((high << 31) + low + n)
+            values.append(((high << np.uint64(31)) + low + np.uint64(n)).astype(np.int64))
             owners.append(np.repeat(np.arange(len(lists)), counts))
         value, owner = np.concatenate(values), np.concatenate(owners)
         if len(sizes) > 1:
-            value, owner = value[order := np.argsort(owner, kind="stable")], owner[order]
+            by_owner = np.argsort(owner, kind="stable")
+            value, owner = value[by_owner], owner[by_owner]
         ends = np.searchsorted(owner, np.arange(len(lists) + 1)).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(value))
 
+    def hashes(lists: pa.Array) -> pa.Array:
+        parts = [of_block(block) for block in blocks(lists)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
     return F.arrow_udf(hashes, "array<bigint>")

@@ -102,7 +102,7 @@ def minhash_sql(docs: str, n: int = dedup.NGRAM, hashes: int = _HASHES) -> str:
                (sum((h & {(1 << ngrams.HALF) - 1}) % {p} * low_power % {p}) % {p})::BIGINT AS low
         FROM grams JOIN powers USING (e) GROUP BY doc_id, pos),
       minima AS (
-        SELECT doc_id, k, min((high * a + low * b % {p} + c) % {p}) AS m
+        SELECT doc_id, k, min((high * a + low * b + c) % {p}) AS m
         FROM shingles, functions GROUP BY doc_id, k)
     """
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +28,18 @@ def brute_signature(text, hashes):
     return [min((x * a + y * b + c) % p for x, y in shingles) for a, b, c in perms]
 
 
-def test_signature(spark, monkeypatch):
+@pytest.mark.parametrize("block", [1, 7, 500, 1 << 21])
+def test_blocks(block):
+    rng = random.Random(6)
+    rows = [["w%d" % rng.randrange(9) for _ in range(rng.choice([0, 1, 4, 5, 6, 40]))] for _ in range(60)]
+    lists = pa.array([["x"]] + rows, pa.list_(pa.string())).slice(1)
+    parts = list(ngrams.blocks(lists, block))
+    assert [x for part in parts for x in part.to_pylist()] == rows
+    for part in parts:
+        assert len(part) == 1 or sum(map(len, part.to_pylist())) <= block
+
+
+def test_signature(spark):
     rng = random.Random(1)
     texts = ["", "one", "one two three four", "!!!", None, "Ünïcode wörds hier, und_mehr 42"]
     texts += [" ".join(rng.choices("abcdefghij", k=rng.randrange(0, 300))) for _ in range(80)]
