@@ -14,6 +14,12 @@ def as_column(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def div(a: ColumnOrName, b: ColumnOrName | int) -> Column:
+    """Whole-number quotient of two long columns, exact for any size."""
+    b = F.lit(b) if isinstance(b, int) else as_column(b)
+    return F.call_function("div", as_column(a), b)
+
+
 def round_half_even(x: ColumnOrName, digits: int = 2) -> Column:
     """Round by multiply, ``rint``, divide, which sends binary ties to the even digit."""
     scale = float(10**digits)
@@ -44,13 +50,13 @@ MICRO_BATCH_DEFAULT_NODES = 32
 
 def save_interval(iterations: ColumnOrName) -> Column:
     """About five checkpoints per run, on multiples of 1000, at least 1000."""
-    thousands = F.rint(F.floor(as_column(iterations) / F.lit(5)) / F.lit(1000.0))
+    thousands = F.rint(div(iterations, 5) / F.lit(1000.0))
     return (F.greatest(thousands, F.lit(1.0)) * F.lit(1000)).cast("long")
 
 
 def warmup_steps(iterations: ColumnOrName) -> Column:
     """A tenth of the iterations, at most 1000."""
-    return F.least(F.lit(1000), F.floor(as_column(iterations) / F.lit(10))).cast("long")
+    return F.least(F.lit(1000), div(iterations, 10)).cast("long")
 
 
 def tokens_per_step(replicas, accumulation, micro_batch, sequence_length) -> Column:

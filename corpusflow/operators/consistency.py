@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.numbers import div
 from corpusflow.functions.text import answer_to_score, sentences, strip, words
 from corpusflow.operators.sizing import HOT_ROWS, skew_join
 from corpusflow.session import checkpointed
@@ -74,7 +75,7 @@ def score_pairs(
     pairs exist only inside the call. Sentences of a key with very many are dealt over several tasks.
     """
     packed = (
-        samples.withColumn("_chunk", F.floor(F.col(sample_idx) / F.lit(chunk)))
+        samples.withColumn("_chunk", div(F.col(sample_idx).cast("long"), chunk))
         .groupBy(key, "_chunk")
         .agg(F.collect_list(F.translate(passage, "\n", " ")).alias("_passages"))
     )

@@ -169,13 +169,15 @@ def contained_ids_by_anchor(
         .where("_everywhere")
         .select("_pid", "_h")
     )
-    pairs = checkpointed(met.join(anchors, "_h").select("_id", "_pid").distinct())
-    with_pattern = skew_join(pairs, sized.select("_pid", "pattern"), ["_pid"])
+    pairs = checkpointed(skew_join(met, anchors, ["_h"]).select("_id", "_pid").distinct())
+    rows = pairs.count()
+    with_pattern = skew_join(pairs, sized.select("_pid", "pattern"), ["_pid"], rows=rows)
     # Candidates are few: their texts are picked out by a broadcast of ids where that is possible.
     candidates = broadcast_if_small(pairs.select(F.col("_id").alias(doc_id)).distinct())
     picked = docs.select(doc_id, text).join(candidates, doc_id, "left_semi")
     texts = picked.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
-    verified = with_pattern.join(texts, "_id").where(F.contains("_text", "pattern"))
+    both = skew_join(with_pattern, texts, ["_id"], rows=rows)
+    verified = both.where(F.contains("_text", "pattern"))
     return verified.select(F.col("_id").alias(doc_id)).distinct()
 
 

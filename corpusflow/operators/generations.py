@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import pass_at_k
+from corpusflow.functions.numbers import div, pass_at_k
 from corpusflow.functions.text import STOP_STRINGS, clean_all, let, starts_with_prompt, turn_piece
 from corpusflow.operators.index import global_index
 
@@ -59,7 +59,7 @@ def nest_in_blocks(
     A key with positions beyond ``block_size`` has several rows, so that no group grows without
     bound; ``block`` orders them. Positions are whole numbers, one row each.
     """
-    block = F.floor(F.col(position) / F.lit(block_size)).cast("long")
+    block = div(F.col(position).cast("long"), block_size)
     listed = F.array_sort(F.collect_list(F.struct(F.col(position), value.alias("_v"))))
     return (
         rows.withColumn("block", block)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, seeded_digest
+from corpusflow.functions.numbers import ColumnOrName, div, seeded_digest
 from corpusflow.functions.text import let
 from corpusflow.operators.sizing import settle
 from corpusflow.session import checkpointed
@@ -141,8 +141,8 @@ def shard_contiguous(
     small, extra = divmod(rows, n)
     i = F.col("_index")
     head = F.lit(extra * (small + 1))
-    shard = F.when(i < head, F.floor(i / F.lit(small + 1))).otherwise(
-        F.lit(extra) + F.floor((i - head) / F.lit(max(small, 1)))
+    shard = F.when(i < head, div(i, small + 1)).otherwise(
+        F.lit(extra) + div(i - head, max(small, 1))
     )
     indexed = global_index(df, order, out="_index", rows=rows, **options)
     return indexed.withColumn(out, shard.cast("long")).drop("_index")
@@ -155,9 +155,7 @@ def shard_files_ceil(
     rows = files.count()
     per_shard = max(1, -(-rows // n))
     indexed = global_index(files, order, out="_index", rows=rows, **options)
-    return indexed.withColumn(
-        out, F.floor(F.col("_index") / F.lit(per_shard)).cast("long")
-    ).drop("_index")
+    return indexed.withColumn(out, div("_index", per_shard)).drop("_index")
 
 
 def shard_files_floor(
@@ -177,9 +175,9 @@ def shard_files_floor(
     counts = files.groupBy(chunk).agg(F.count("*").alias("_files"))
     chunks = settle(global_index(checkpointed(counts), [chunk], out="_chunk"))
     indexed = prefix_sums(files, order, partition=[chunk], out="_index", **options)
-    per_shard = F.floor(F.col("_files") / F.lit(n))
+    per_shard = div("_files", n)
     position = F.when(
-        per_shard > 0, F.least(F.floor(F.col("_index") / F.greatest(per_shard, F.lit(1))), F.lit(n - 1))
+        per_shard > 0, F.least(div("_index", F.greatest(per_shard, F.lit(1))), F.lit(n - 1))
     ).otherwise(F.lit(n - 1))
     shard = F.lit(first_shard) + F.col("_chunk") * F.lit(n) + position
     return (

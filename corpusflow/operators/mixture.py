@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, as_column, round_half_even, seeded_digest
+from corpusflow.functions.numbers import ColumnOrName, as_column, div, round_half_even, seeded_digest
 from corpusflow.operators.index import global_index, prefix_sums
 from corpusflow.operators.sizing import broadcast_if_small, fits, settle
 
@@ -163,7 +163,7 @@ def mix(
     wanted = docs.join(sizes.select(key), key, "left_semi")
     drawn = wanted.withColumn("_digest", seeded_digest(seed, *ids))
     ranked = prefix_sums(drawn, ["_digest", *ids], partition=[key], out="_rank", **options)
-    whole = F.floor(F.col("quota") / F.col("_size"))
+    whole = div("quota", "_size")
     copies = whole + F.when(F.col("_rank") < F.col("quota") % F.col("_size"), 1).otherwise(0)
     return (
         ranked.join(sizes, key)

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, as_column
+from corpusflow.functions.numbers import ColumnOrName, as_column, div
 from corpusflow.operators.index import global_index, prefix_sums, shuffle_seeded
 from corpusflow.operators.sizing import fits, skew_join
 from corpusflow.session import checkpointed
@@ -112,7 +112,7 @@ def files_by_max_tokens(
 ) -> DataFrame:
     """Number of the output file of each document: a new file per ``max_tokens`` tokens before it."""
     before = prefix_sums(df, order, weight=tokens, out="_before", **options)
-    return before.withColumn(out, F.floor(F.col("_before") / F.lit(max_tokens)).cast("long")).drop("_before")
+    return before.withColumn(out, div("_before", max_tokens)).drop("_before")
 
 
 def skip_and_cap_tokens(
@@ -153,8 +153,8 @@ def pack_sequences(
     options = {"rows": df.count(), "rows_per_bucket": PACK_ROWS_PER_BUCKET, **options}
     placed = prefix_sums(sized, order, weight="_size", out="_start", **options).where(F.col("_size") > 0)
     start, end = F.col("_start"), F.col("_start") + F.col("_size")
-    first = F.floor(F.greatest(start - extra, F.lit(0)) / F.lit(length)).cast("long")
-    last = F.floor((end - 1) / F.lit(length)).cast("long")
+    first = div(F.greatest(start - extra, F.lit(0)), length)
+    last = div(end - 1, length)
 
     def cut(seq: Column) -> Column:
         low = F.greatest(seq * length, start)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.text import STOP_STRINGS
 from corpusflow.operators.consistency import document_scores, split_sentences, support_scores
 from corpusflow.operators.decontam import decontaminate
 from corpusflow.operators.dedup import document_bands, near_duplicates, remove_ids
+from corpusflow.operators.generations import align_by_position, clean_solutions
 from corpusflow.operators.mixture import manifest_path, shard_size, weights_override_first_shard
 from corpusflow.operators.rows import filter_min_score
 
@@ -49,6 +51,20 @@ def self_consistency(
     return document_scores(support_scores(sents, samples, key, passage=passage), key)
 
 
+def solutions(
+    generations: DataFrame,
+    prompts: DataFrame,
+    generation_order: Sequence[str],
+    prompt_order: Sequence[str],
+    stops: Sequence[str] = STOP_STRINGS,
+    completion: str = "completion",
+    prompt: str = "prompt",
+) -> DataFrame:
+    """Row ``i`` of the generations with prompt ``i``, every completion cleaned."""
+    aligned = align_by_position(generations, prompts, generation_order, prompt_order)
+    return clean_solutions(aligned, completion, prompt, stops)
+
+
 def with_shard(docs: DataFrame, n: int, doc_id: str = "doc_id") -> DataFrame:
     """A shard per document from the digest of its id."""
     digits = F.conv(F.substring(F.md5(F.col(doc_id).cast("string")), 1, 8), 16, 10).cast("long")

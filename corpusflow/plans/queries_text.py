@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from corpusflow.functions import text as tx
 from corpusflow.functions.fim import fim_transform
 from corpusflow.operators import consistency, generations
+from corpusflow.operators.index import global_index
 from corpusflow.operators.sizing import skew_join
-from corpusflow.plans.corpus import self_consistency
+from corpusflow.plans.corpus import self_consistency, solutions
 from corpusflow.plans.registry import query, table, texts
 from corpusflow.session import scratch_path
 from corpusflow.sources import sinks
@@ -142,6 +143,37 @@ def align_by_position(spark, sf):
     return aligned.select("position", "generation", "prompt")
 
 
+_POSITIONED = f"""
+  SELECT position, mismatches, string_agg({_CLEAN}, chr(1) ORDER BY turn) AS solutions FROM (
+    SELECT position, turn, prompt, generation,
+           count(*) FILTER (WHERE NOT starts_with(generation, left({_PROMPT}, 20))) OVER (PARTITION BY position) AS mismatches
+    FROM (SELECT position, a.turn, p.text AS prompt, p.text || a.text AS generation FROM
+      (SELECT conv_id, turn, text, dense_rank() OVER (ORDER BY conv_id) - 1 AS position FROM conversations WHERE role = 'assistant') a
+      JOIN (SELECT text, row_number() OVER (ORDER BY conv_id, turn) - 1 AS position FROM conversations WHERE role = 'user') p
+      USING (position)))
+  GROUP BY position, mismatches
+"""
+
+
+@query("solutions_by_position", _POSITIONED)
+def solutions_by_position(spark, sf):
+    """All answers of a conversation as completions of the question at the same position."""
+    turns = table(spark, sf, "conversations")
+    asked = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("conv"), F.col("turn").alias("at"), F.col("text").alias("prompt")
+    )
+    said = turns.where("role = 'assistant'")
+    answers = generations.nest_in_blocks(said, ["conv_id"], "turn", F.col("text"), "answers")
+    # The model's output repeats its prompt, so the prompt of the position is put in front.
+    numbered = global_index(asked, ["conv", "at"], out="p").select("p", "prompt")
+    placed = global_index(answers, ["conv_id", "block"], out="p").join(numbered, "p")
+    generated = placed.select(
+        "conv_id", "block", F.transform("answers", lambda a: F.concat(F.col("prompt"), a)).alias("completion")
+    )
+    cleaned = solutions(generated, asked, ["conv_id", "block"], ["conv", "at"], STOPS)
+    return cleaned.select("position", "mismatches", F.array_join("solutions", "\x01").alias("solutions"))
+
+
 def _chat_sql(preamble: str) -> str:
     return f"""
       SELECT conv_id, 0::BIGINT AS block, '<s>' || string_agg(CASE role

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusflow.operators.rows import union_sources
+from corpusflow.operators.sizing import fits
 
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
@@ -89,6 +90,17 @@ def sharded_sources(prefix: str, n: int, name: str, text_column: str) -> list[So
     ]
 
 
+def folder_sources(
+    spark: SparkSession, base: str, text_column: str, glob: str = "*.parquet", max_folders: int = 10_000
+) -> list[Source]:
+    """One source per folder directly above the files of a dataset, by name."""
+    folders = list_files(spark, base, glob).select("folder").distinct()
+    if not fits(folders, max_folders):
+        raise ValueError(f"more than {max_folders} folders")
+    names = sorted(row["folder"] for row in folders.collect())
+    return [Source(name, base, text_column, subset=name) for name in names]
+
+
 def source_catalog(spark: SparkSession, families: Sequence[Sequence[Source]], output: str) -> DataFrame:
     """(name, path, subset, output, text_column) of all families, one after the other."""
     rows = [

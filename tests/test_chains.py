@@ -36,6 +36,15 @@ def test_subset_is_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(lang" in subset._jdf.queryExecution().executedPlan().toString()
 
 
+def test_one_source_per_folder(spark, tmp_path):
+    for lang in ("c", "ada"):
+        spark.createDataFrame([(f"text in {lang}",)], "content string").write.parquet(f"{tmp_path}/data/{lang}")
+    sources = readers.folder_sources(spark, f"{tmp_path}/data", "content")
+    assert [s.name for s in sources] == ["ada", "c"]
+    got = readers.read_sources(spark, sources)
+    assert sorted(map(tuple, got.collect())) == [("ada", "text in ada"), ("c", "text in c")]
+
+
 def test_score_filter_is_pushed_down(spark, sf):
     plan = rows.filter_min_score(spark.read.parquet(f"{sf}/labels.parquet"), "quality", 4)
     assert "GreaterThanOrEqual(quality,4)" in plan._jdf.queryExecution().executedPlan().toString()
@@ -142,14 +151,15 @@ def test_support_scores_like_pairs(spark):
         w = words(sentence)
         scores = [1 - len(w & words(t)) / len(w) for kk, _, t in samples if kk == k]
         expected[(k, i)] = pytest.approx(sum(scores) / len(scores))
-    grouped = consistency.support_scores(s, p, "k")
-    assert {(r["k"], r["sent_idx"]): r["score"] for r in grouped.collect()} == expected
+    for hot in (10, 1_000_000):
+        grouped = consistency.support_scores(s, p, "k", hot_rows=hot)
+        assert {(r["k"], r["sent_idx"]): r["score"] for r in grouped.collect()} == expected
 
     def scorer(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([1 - len(words(x) & words(y)) / len(words(x)) for x, y in zip(a, b)], index=a.index)
 
     for chunk in (1, 3, 100):
-        pairs = consistency.score_pairs(s, p, "k", scorer, "j", chunk=chunk)
+        pairs = consistency.score_pairs(s, p, "k", scorer, "j", chunk=chunk, hot_rows=10 * chunk)
         assert {(r["k"], r["sent_idx"]): r["score"] for r in pairs.collect()} == expected
 
 

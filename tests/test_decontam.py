@@ -83,6 +83,7 @@ def test_benchmark_strings(spark):
 def test_skew_join_splits_hot_keys(spark):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    left = left.unionByName(spark.range(5).select(F.lit(None).cast("bigint").alias("k"), "id"))
     for how in ("inner", "left"):
         plain = left.join(right, "k", how)
         split = skew_join(left, right, ["k"], how, hot_rows=10, hot_share=0.01)
