@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, as_column, seeded_digest, unit_interval
+from corpusflow.functions.numbers import ColumnOrName, as_column, digest_below, seeded_digest, unit_interval
 from corpusflow.functions.text import let
 
 PREFIX, MIDDLE, SUFFIX = "<fim_prefix>", "<fim_middle>", "<fim_suffix>"
@@ -15,6 +15,10 @@ def _draw(seed, name: str, *ids) -> Column:
     return unit_interval(seeded_digest(f"{seed}:{name}", *ids))
 
 
+def _chance(rate: float, seed, name: str, *ids) -> Column:
+    return digest_below(seeded_digest(f"{seed}:{name}", *ids), rate)
+
+
 def _reorder(fragment: Column, u: Column, v: Column, spm: Column) -> Column:
     """Cut at the two (sorted) positions drawn as shares of the length."""
 
@@ -54,14 +58,14 @@ def fim_transform(
     text, doc_id = as_column(text), as_column(doc_id)
 
     def one(fragment: Column, index: Column, several: Column) -> Column:
-        chosen = ~several | (_draw(seed, "fragment", doc_id, index) < F.lit(fragment_rate))
+        chosen = ~several | _chance(fragment_rate, seed, "fragment", doc_id, index)
         if no_fim_prefix:
             chosen = chosen & ~F.startswith(fragment, F.lit(no_fim_prefix))
         reordered = _reorder(
             fragment,
             _draw(seed, "u", doc_id, index),
             _draw(seed, "v", doc_id, index),
-            _draw(seed, "spm", doc_id, index) < F.lit(spm_rate),
+            _chance(spm_rate, seed, "spm", doc_id, index),
         )
         return F.when(chosen, reordered).otherwise(fragment)
 
@@ -75,4 +79,4 @@ def fim_transform(
         )
     else:
         whole = one(text, F.lit(0), F.lit(False))
-    return F.when(_draw(seed, "document", doc_id) < F.lit(rate), whole).otherwise(text)
+    return F.when(_chance(rate, seed, "document", doc_id), whole).otherwise(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -86,6 +87,13 @@ def unit_interval(digest: Column) -> Column:
     return hex_to_long(digest, 1, 8) / F.lit(float(2**32))
 
 
+def digest_below(digest: Column, rate: float) -> Column:
+    """``unit_interval(digest) < rate``, by comparing hex digits as text."""
+    if rate >= 1:
+        return F.lit(True)
+    return F.substring(digest, 1, 8) < F.lit(f"{max(0, math.ceil(rate * 2**32)):08x}")
+
+
 def pass_at_k(n: ColumnOrName, c: ColumnOrName, k: int) -> Column:
     """Unbiased pass@k for ``c`` passes in ``n`` samples: 1 - prod((n-c-i)/(n-i), i < k).
 

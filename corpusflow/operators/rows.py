@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, as_column, seeded_digest, unit_interval
+from corpusflow.functions.numbers import ColumnOrName, as_column, digest_below, seeded_digest
 from corpusflow.functions.text import leading_number, number_in, strip
 from corpusflow.operators.index import shuffle_seeded
 from corpusflow.operators.sizing import broadcast_if_small
@@ -76,7 +76,7 @@ def take_first(df: DataFrame, n: int, seed: int, ids: Sequence[str]) -> DataFram
     rows = df.count()
     rate = (n + 10 * math.sqrt(n)) / max(rows, 1)
     if rate < 0.5:
-        small = df.where(unit_interval(seeded_digest(seed, *ids)) < F.lit(rate))
+        small = df.where(digest_below(seeded_digest(seed, *ids), rate))
         if small.count() >= n:
             df = small
     return shuffle_seeded(df, seed, ids).limit(n)
@@ -84,7 +84,7 @@ def take_first(df: DataFrame, n: int, seed: int, ids: Sequence[str]) -> DataFram
 
 def sample_rate(df: DataFrame, rate: float, seed: int, ids: Sequence[str]) -> DataFrame:
     """A share of the rows, the same ones on any partitioning."""
-    return df.where(unit_interval(seeded_digest(seed, *ids)) < F.lit(rate))
+    return df.where(digest_below(seeded_digest(seed, *ids), rate))
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:

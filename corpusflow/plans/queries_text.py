@@ -84,7 +84,7 @@ _SOLUTIONS = f"""
          count(*) FILTER (WHERE NOT starts_with(generation, left({_PROMPT}, 20))) AS mismatches
   FROM (SELECT u.conv_id, u.text AS prompt, a.turn, CASE WHEN a.turn % 4 = 1 THEN u.text ELSE 'x' || u.text END || a.text AS generation
         FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id
-        WHERE u.role = 'user' AND u.turn < 2 AND a.role = 'assistant'
+        WHERE u.role = 'user' AND a.role = 'assistant'
           AND u.turn = (SELECT min(f.turn) FROM conversations f WHERE f.conv_id = u.conv_id AND f.role = 'user'))
   GROUP BY conv_id, prompt
 """
@@ -96,9 +96,7 @@ def _problems(spark, sf):
     first = (
         turns.where("role = 'user'")
         .groupBy("conv_id")
-        .agg(F.min("turn").alias("_t"), F.min_by("text", "turn").alias("prompt"))
-        .where("_t < 2")
-        .drop("_t")
+        .agg(F.min_by("text", "turn").alias("prompt"))
     )
     said = skew_join(turns.where("role = 'assistant'"), first, ["conv_id"])
     start = F.when(F.col("turn") % 4 == 1, "").otherwise("x")

@@ -132,6 +132,15 @@ def test_pass_at_k(spark, n, c, k):
         assert got == pytest.approx(1 - comb(n - c, k) / comb(n, k))
 
 
+@pytest.mark.parametrize("rate", [0.0, 1e-9, 0.25, 0.333, 0.999999, 1.0, 2.0, -1.0])
+def test_digest_below(spark, rate):
+    digests = spark.range(3000).select(nm.seeded_digest(1, "id").alias("d")).unionByName(
+        spark.createDataFrame([("0" * 32,), ("f" * 32,), ("40000000" + "0" * 24,)], "d string")
+    )
+    wrong = digests.where(nm.digest_below(F.col("d"), rate) != (nm.unit_interval(F.col("d")) < F.lit(rate)))
+    assert wrong.count() == 0
+
+
 def test_fim_keeps_every_character(spark):
     texts = [f"line {i}<sep><repo>x{i}<sep>été {i} end" for i in range(200)] + ["", "a"]
     df = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string")
