@@ -7,6 +7,8 @@ same result; they only decide how even the work is.
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,9 +38,18 @@ def edges_at_or_below(df: DataFrame, keys: Sequence[str], edges: Sequence[str])
 
     A binary search in an array that the optimizer folds into one literal.
     """
+    if len(keys) == 1:
+        # Outside a struct nothing is at or above a null, which is right for a key that sorts
+        # first; as an edge it has no use.
+        edges = [edge for edge in edges if json.loads(edge).get(keys[0]) is not None]
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = "array<struct<" + ",".join(f"`{k}`:{fields[k]}" for k in keys) + ">>"
     literal = F.from_json(F.lit("[" + ",".join(edges) + "]"), schema)
+    if len(keys) == 1:
+        # Plain values compare faster than structs.
+        literal = literal[keys[0]]
+    if not edges:
+        return F.lit(0)
     steps, step = [], 1
     while step <= len(edges):
         steps.insert(0, F.lit(step))
@@ -46,21 +57,34 @@ def edges_at_or_below(df: DataFrame, keys: Sequence[str], edges: Sequence[str])
 
     def search(key: Column) -> Column:
         def advance(low: Column, step: Column) -> Column:
-            inside = F.coalesce(F.get(literal, low + step - F.lit(1)) <= key, F.lit(False))
+            inside = F.get(literal, low + step - F.lit(1)) <= key
             return F.when(inside, low + step).otherwise(low)
 
         return F.aggregate(F.array(*steps), F.lit(0), advance)
 
-    return let(_key(keys), search)
+    return let(F.col(keys[0]) if len(keys) == 1 else _key(keys), search)
+
 
+def _edges(
+    df: DataFrame, keys: Sequence[str], rows: int, buckets: int
+) -> tuple[list[str], list[str]]:
+    """Keys that cut the table into buckets of about equal size, from a bounded sample.
 
-def _edges(df: DataFrame, keys: Sequence[str], rows: int, buckets: int) -> list[str]:
-    """Keys that cut the table into buckets of about equal size, from a bounded sample."""
+    Uses the first of the key columns only, as long as no value of theirs fills a bucket alone.
+    """
     share = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
     sample = df.select(*keys)
     picked = sorted_keys(sample.sample(fraction=share, seed=7) if share < 1.0 else sample, keys)
+    if not picked:
+        return list(keys), []
     stride = len(picked) / buckets
-    return [picked[int(i * stride)] for i in range(1, buckets)] if picked else []
+    edges = [picked[int(i * stride)] for i in range(1, buckets)]
+    parsed = [json.loads(key) for key in picked]
+    for n in range(1, len(keys)):
+        ties = Counter(tuple(row.get(k) for k in keys[:n]) for row in parsed)
+        if max(ties.values()) <= stride:
+            return list(keys[:n]), edges
+    return list(keys), edges
 
 
 def prefix_sums(
@@ -84,7 +108,7 @@ def prefix_sums(
     )
     rows = df.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket)) if rows else 1
-    edges = _edges(df, keys, rows, buckets) if buckets > 1 else []
+    cut_by, edges = _edges(df, keys, rows, buckets) if buckets > 1 else (keys, [])
 
     def within(groups: Sequence[str]) -> Column:
         window = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order)
@@ -96,7 +120,7 @@ def prefix_sums(
     if not edges:
         return df.withColumn(out, within(partition))
 
-    bucketed = df.withColumn("_bucket", edges_at_or_below(df, keys, edges))
+    bucketed = df.withColumn("_bucket", edges_at_or_below(df, cut_by, edges))
     totals = bucketed.groupBy(*partition, "_bucket").agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*(partition or [F.lit(0)])).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1

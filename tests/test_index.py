@@ -42,8 +42,9 @@ def test_prefix_sums_by_partition(skewed, per_bucket):
 
 def test_hot_key_is_spread_over_buckets(skewed):
     buckets = 30
-    edges = index._edges(skewed, ["k", "id"], 3000, buckets)
-    sizes = skewed.groupBy(index.edges_at_or_below(skewed, ["k", "id"], edges).alias("b")).count()
+    cut_by, edges = index._edges(skewed, ["k", "id"], 3000, buckets)
+    assert cut_by == ["k", "id"]
+    sizes = skewed.groupBy(index.edges_at_or_below(skewed, cut_by, edges).alias("b")).count()
     assert sizes.agg(F.max("count")).first()[0] < 3000 / buckets * 4
 
 
@@ -103,6 +104,45 @@ def test_last_n_is_cut_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_spread_keys_are_cut_by_the_first_column(skewed):
+    assert index._edges(skewed, ["id", "k"], 3000, 30)[0] == ["id"]
+    assert index._edges(skewed, ["w", "id"], 3000, 5)[0] == ["w"]
+    assert index._edges(skewed, ["w", "id"], 3000, 500)[0] == ["w", "id"]
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "timestamp", "date", "decimal(9,3)", "binary"])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_any_type_of_key(spark, kind, nulls):
+    n = (F.col("id") * 7919) % 1009
+    value = {
+        "double": F.when(n % 50 == 0, F.lit(float("nan"))).otherwise(n / 8 - 60),
+        "string": F.concat(F.lit("é"), F.hex(n)),
+        "timestamp": F.timestamp_micros(n * 1_234_567_891),
+        "date": F.date_add(F.lit("2020-01-01"), n.cast("int")),
+        "decimal(9,3)": n.cast("decimal(9,3)") / 8,
+        "binary": F.encode(F.hex(n), "utf-8"),
+    }[kind]
+    df = spark.range(1000).select("id", value.alias("v"))
+    if nulls:
+        df = df.withColumn("v", F.when(F.col("id") % 10 != 0, F.col("v")))
+    ordered = [r["id"] for r in df.orderBy("v", "id").collect()]
+    got = index.global_index(df, ["v", "id"], rows_per_bucket=37)
+    assert [r["id"] for r in got.orderBy("index").collect()] == ordered
+
+
+def test_single_key_with_nulls(spark):
+    df = spark.createDataFrame([(None,)] + [(i,) for i in range(100)], "id bigint")
+    got = index.global_index(df, ["id"], rows_per_bucket=9).orderBy("index").collect()
+    assert [r["id"] for r in got] == [None] + list(range(100))
+
+
+def test_null_edges_are_left_out(spark):
+    df = spark.createDataFrame([(None,), (1,), (5,), (9,)], "k bigint")
+    found = df.select("k", index.edges_at_or_below(df, ["k"], ["{}", "{}", '{"k":5}', '{"k":7}']).alias("n"))
+    assert {r["k"]: r["n"] for r in found.collect()} == {None: 0, 1: 0, 5: 1, 9: 2}
+    assert df.select(index.edges_at_or_below(df, ["k"], ["{}"]).alias("n")).distinct().collect()[0]["n"] == 0
+
+
 def test_empty_table(spark):
     empty = spark.range(0)
     assert index.global_index(empty, ["id"]).count() == 0
