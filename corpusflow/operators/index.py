@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, div, seeded_digest
 from corpusflow.functions.text import let
-from corpusflow.operators.sizing import settle
+from corpusflow.operators.sizing import lookup, settle
 from corpusflow.session import checkpointed
 
 ROWS_PER_BUCKET = 65_536
@@ -197,7 +197,7 @@ def shard_files_floor(
     in its last shard.
     """
     counts = files.groupBy(chunk).agg(F.count("*").alias("_files"))
-    chunks = settle(global_index(checkpointed(counts), [chunk], out="_chunk"))
+    chunks = global_index(checkpointed(counts), [chunk], out="_chunk")
     indexed = prefix_sums(files, order, partition=[chunk], out="_index", **options)
     per_shard = div("_files", n)
     position = F.when(
@@ -205,7 +205,7 @@ def shard_files_floor(
     ).otherwise(F.lit(n - 1))
     shard = F.lit(first_shard) + F.col("_chunk") * F.lit(n) + position
     return (
-        indexed.join(chunks, chunk)
+        lookup(indexed, chunks, [chunk])
         .withColumn(out, shard.cast("long"))
         .select(*files.columns, out)
     )

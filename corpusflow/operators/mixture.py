@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, div, round_half_even, seeded_digest
 from corpusflow.operators.index import global_index, prefix_sums
-from corpusflow.operators.sizing import broadcast_if_small, fits, settle
+from corpusflow.operators.sizing import fits, lookup
+from corpusflow.session import checkpointed
 
 # Weights set by hand, for the large and for the small mixture.
 OVERRIDES_LARGE = {"ir_python": 1.0, "ir_cpp": 1.0, "ir_rust": 1.0, "ir_low_resource": 3.0}
@@ -67,12 +68,12 @@ def source_stats(
         F.min_by(gb, "shard").alias("first_shard_size"),
     )
     if used is not None:
-        stats = stats.join(broadcast_if_small(used), "source", "left")
+        stats = lookup(stats, used, ["source"], "left")
         stats = stats.withColumn("used_tokens", F.coalesce("used_tokens", "total_tokens"))
     else:
         stats = stats.withColumn("used_tokens", F.col("total_tokens"))
     if expected is not None:
-        stats = stats.join(broadcast_if_small(expected), "source", "left").withColumn(
+        stats = lookup(stats, expected, ["source"], "left").withColumn(
             "difference", F.abs(F.col("expected_tokens") - F.col("total_tokens"))
         )
     return stats
@@ -86,7 +87,7 @@ def apply_overrides(
     A mapping becomes a literal, looked up in place; a table (key, override) is joined.
     """
     if isinstance(overrides, DataFrame):
-        return weights.join(broadcast_if_small(overrides), key, "left")
+        return lookup(weights, overrides, [key], "left")
     if not overrides:
         return weights.withColumn(out, F.lit(None).cast("double"))
     entries = [F.lit(x) for name, value in overrides.items() for x in (name, float(value))]
@@ -159,15 +160,13 @@ def mix(
     counts the repeats. Sources without a weight, or without documents, give nothing.
     """
     sizes = docs.groupBy(key).agg(F.count("*").alias("_size"))
-    sizes = settle(sizes.join(quotas(weights, n, key, weight), key).where(F.col("quota") > 0))
-    wanted = docs.join(sizes.select(key), key, "left_semi")
-    drawn = wanted.withColumn("_digest", seeded_digest(seed, *ids))
+    sizes = checkpointed(sizes.join(quotas(weights, n, key, weight), key).where(F.col("quota") > 0))
+    drawn = lookup(docs, sizes, [key]).withColumn("_digest", seeded_digest(seed, *ids))
     ranked = prefix_sums(drawn, ["_digest", *ids], partition=[key], out="_rank", **options)
     whole = div("quota", "_size")
     copies = whole + F.when(F.col("_rank") < F.col("quota") % F.col("_size"), 1).otherwise(0)
     return (
-        ranked.join(sizes, key)
-        .withColumn("_copies", copies.cast("long"))
+        ranked.withColumn("_copies", copies.cast("long"))
         .where(F.col("_copies") > 0)
         .withColumn(out, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
         .select(*docs.columns, out, (F.col(out) * F.col("_size") + F.col("_rank")).alias("place"))
@@ -187,7 +186,7 @@ def interleave(
 
     Row ``k`` of a source stands at ``(k + 0.5) / share``; equal places are ordered by source.
     """
-    known = mixed.join(settle(shares.select(key, F.col(share).alias("_share"))), key)
+    known = lookup(mixed, checkpointed(shares.select(key, F.col(share).alias("_share"))), [key])
     placed = known.withColumn("_at", (F.col(place) + F.lit(0.5)) / F.col("_share"))
     return global_index(placed, ["_at", key, place], out=out, **options).drop("_at", "_share")
 

@@ -89,3 +89,17 @@ def skew_join(
     dealt = left.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
     repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def lookup(
+    left: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Join a table with one row per key: by broadcast if it fits, else salted and shuffled."""
+    if fits(table, max_rows, max_bytes):
+        return left.join(F.broadcast(table), list(on), how)
+    return skew_join(left, table, on, how)

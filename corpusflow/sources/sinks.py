@@ -19,6 +19,8 @@ def write_jsonl(
     if shard is None:
         df.write.mode(mode).json(path)
         return
+    if not order:
+        raise ValueError("give order columns, by which a large shard can be cut")
     laid_out = df.repartitionByRange(shard, *order).sortWithinPartitions(shard, *order)
     laid_out.write.mode(mode).partitionBy(shard).json(path)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import decontam
-from corpusflow.operators.sizing import skew_join
+from corpusflow.operators.sizing import lookup, skew_join
 
 
 def contaminated(docs, strings):
@@ -80,6 +80,15 @@ def test_benchmark_strings(spark):
     assert [tuple(r) for r in got] == [("solutions", "real answer")]
 
 
+def test_lookup_with_and_without_broadcast(spark):
+    left = spark.range(300).select((F.col("id") % 7).alias("k"), "id")
+    table = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        plain = sorted(map(repr, left.join(table, "k", how).collect()))
+        assert sorted(map(repr, lookup(left, table, ["k"], how).collect())) == plain
+        assert sorted(map(repr, lookup(left, table, ["k"], how, max_rows=2).collect())) == plain
+
+
 def test_skew_join_splits_hot_keys(spark):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
