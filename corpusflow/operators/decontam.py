@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ def _first_hit(spark, entries: list, any_hit: bool):
     """
     shared = spark.sparkContext.broadcast(entries)
 
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = ahocorasick.Automaton()
         for number, pattern in shared.value:
             automaton.add_word(pattern, number)
@@ -71,10 +71,10 @@ def _first_hit(spark, entries: list, any_hit: bool):
             return next(numbers, None) if any_hit else min(numbers, default=None)
 
         for texts in batches:
-            yield pd.Series([first(text) for text in texts], dtype="Int64")
+            yield pa.array([first(text.as_py()) for text in texts], pa.int64())
 
     # Not deterministic, so that the optimizer does not run it once per use of its result.
-    return F.pandas_udf(scan, "long").asNondeterministic()
+    return F.arrow_udf(scan, "long").asNondeterministic()
 
 
 def _hits_small(docs: DataFrame, text: str, entries: list, any_hit: bool) -> DataFrame:
