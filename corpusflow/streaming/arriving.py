@@ -11,8 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from corpusflow.session import scratch_path
-
 
 def process_arrived(
     spark: SparkSession,
@@ -20,13 +18,13 @@ def process_arrived(
     schema: StructType | str,
     transform: Callable[[DataFrame], DataFrame],
     out: str,
-    progress: str | None = None,
+    progress: str,
     file_format: str = "parquet",
     files_per_batch: int = 10_000,
 ) -> None:
     """Read what has arrived since the last call, transform it and append it to ``out``.
 
-    ``progress`` is the folder that remembers the files already done.
+    ``progress`` is the shared folder that remembers the files already done.
     """
     stream = (
         spark.readStream.format(file_format)
@@ -38,7 +36,7 @@ def process_arrived(
         transform(stream)
         .writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", progress or scratch_path(spark, "progress"))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
