@@ -110,12 +110,15 @@ def band_edges(keys: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFr
     ``m`` copies give ``m - 1`` edges per band, never pairs. Bucket minima are pre-aggregated before
     the shuffle, and very large buckets are salted.
     """
-    buckets = (
+    buckets = checkpointed(
         keys.groupBy("band", "key")
         .agg(F.min(doc_id).alias("hub"), F.count("*").alias("_n"))
         .where(F.col("_n") > 1)
     )
-    members = skew_join(keys, buckets.drop("_n"), ["band", "key"], hot_rows=hot_rows)
+    # Only buckets of several members matter, so only their members count.
+    rows = buckets.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hubs = buckets.select("band", "key", "hub")
+    members = skew_join(keys, hubs, ["band", "key"], rows=rows, hot_rows=hot_rows, counts=buckets)
     return members.where(F.col(doc_id) != F.col("hub")).select(doc_id, "hub").distinct()
 
 

@@ -61,25 +61,25 @@ def skew_join(
     rows: int | None = None,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join (``inner`` or ``left``) whose left side may hold a large share under one key.
 
     A key above ``hot_share`` of the left rows is salted: its left rows are dealt out over as many
     salts as bring each below that share, and its right rows are repeated for every salt. There are
     at most ``1 / hot_share`` such keys, and only they are broadcast. Left rows are counted, so
-    write an expensive left side down first.
+    write an expensive left side down first; where the rows per key are known already, give them
+    as ``counts`` (on, _n).
     """
     on = list(on)
     rows = left.count() if rows is None else rows
     if rows <= hot_rows:
         return left.join(right, on, how)
     bound = max(1, int(rows * hot_share))
-    hot = F.broadcast(
-        left.groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > bound)
-        .select(*on, F.ceil(F.col("_n") / F.lit(bound)).cast("int").alias("_salts"))
-    )
+    if counts is None:
+        counts = left.groupBy(*on).agg(F.count("*").alias("_n"))
+    needed = F.ceil(F.col("_n") / F.lit(bound)).cast("int").alias("_salts")
+    hot = F.broadcast(counts.where(F.col("_n") > bound).select(*on, needed))
     others = [F.col(c) for c in left.columns if c not in on]
     deal = F.xxhash64(*others) if others else F.monotonically_increasing_id()
     salt = F.when(F.col("_salts").isNotNull(), F.pmod(deal, F.col("_salts")).cast("int")).otherwise(F.lit(0))
