@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import chat, licenses, minhash, sharding
+from corpusflow.llm import chat, licenses, lines, minhash, sharding
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op4_lines")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    done = lines.dedup_lines(table(spark, folder, "documents"))
+    kept = F.coalesce(F.col("text"), F.lit(""))
+    return done.select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"),
+        F.sha2(kept, 256).alias("text_sha256"),
+    )
+
+
 @query("op8_licenses")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses_of(table(spark, folder, "documents"))
@@ -51,7 +61,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     template = chat.Template()
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"),
+    )
     done = chat.format_chat(turns.unionByName(more), template)
     # What follows reads the output alone.
     back = done.withColumn("turns", chat.read_turns(F.col("formatted"), template))
