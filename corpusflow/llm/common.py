@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import scratch_path
 
-# Bytes of text handled at a time; only word-level arrays outlive a chunk.
-CHUNK = 1 << 20
+# Bytes of text handled at a time, so that they stay in the cache; only word-level arrays outlive a chunk.
+CHUNK = 1 << 16
 # Words handled at a time in shingle arithmetic.
 BLOCK_WORDS = 1 << 16
 
-_WHITE = np.zeros(256, dtype=bool)
-_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+
+def _white(b: np.ndarray) -> np.ndarray:
+    return (b == 0x20) | ((b - np.uint8(9)) < 5)
+
+
+def _plain(b: np.ndarray) -> np.ndarray:
+    letter = ((b | np.uint8(0x20)) - np.uint8(97)) < 26
+    return ~(letter | ((b - np.uint8(48)) < 10) | (b >= 128))
+
+
 #: Separators by name: ASCII white space, or everything in ASCII but letters and digits.
-_PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-SEPARATORS = {"white": _WHITE, "plain": _PLAIN}
+SEPARATORS = {"white": _white, "plain": _plain}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -33,23 +40,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values() -> np.ndarray:
-    values = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    values[65:91] = values[97:123]  # A-Z count as a-z
-    return values
-
-
-_VALUES = _byte_values()
 _BASE = 0x9FB21C651E98DF25
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE, dtype=np.uint64)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
-_SHORT_POWERS = _powers(256)
+_TABLES: list[np.ndarray] = []
+
+
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, made once per process."""
+    if not _TABLES or len(_TABLES[0]) < n:
+        _TABLES[:] = [_powers(_BASE, max(n, 2 * CHUNK)), _powers(_INVERSE, max(n, 2 * CHUNK))]
+    return _TABLES[0], _TABLES[1]
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,18 +69,19 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]] if len(texts) else data[:0], offsets - offsets[0] if len(texts) else np.zeros(1, np.int64)
 
 
-def _chunks(data: np.ndarray, edges: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, int]]:
+def _chunks(data: np.ndarray, edges: np.ndarray, separators) -> Iterator[tuple[int, int]]:
     """Pieces of about CHUNK bytes that end at a separator or where a text begins."""
     low, size = 0, len(data)
     while low < size:
         high = min(low + CHUNK, size)
-        while high < size and not separator[data[high]]:
+        while high < size:
             stop = int(edges[np.searchsorted(edges, high)])
-            found = np.flatnonzero(separator[data[high: min(stop, high + 65536)]])
-            if len(found) or stop <= high + 65536:
+            ahead = min(stop, high + 4096)
+            found = np.flatnonzero(separators(data[high:ahead]))
+            if len(found) or ahead == stop:
                 high = high + int(found[0]) if len(found) else stop
                 break
-            high += 65536
+            high = ahead
         yield low, high
         low = high
 
@@ -86,14 +95,14 @@ def hash_words(
     ``breaks`` (a line end, say) in the bytes of all texts.
     """
     data, offsets = flat_bytes(texts)
-    separator = SEPARATORS[separators]
+    separated = SEPARATORS[separators]
     hashes, firsts, cuts = [], [], []
     edges = np.unique(offsets)
-    for low, high in _chunks(data, edges, separator):
+    for low, high in _chunks(data, edges, separated):
         piece = data[low:high]
         if breaks is not None:
             cuts.append(np.flatnonzero(piece == breaks) + low)
-        inside = ~separator[piece]
+        inside = ~separated(piece)
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]
         heads = edges[np.searchsorted(edges, low): np.searchsorted(edges, high)] - low
@@ -101,16 +110,15 @@ def hash_words(
         first = np.flatnonzero(begin)
         if not len(first):
             continue
-        used = np.cumsum(inside)  # bytes of words up to and with each byte
-        start = used[first] - 1
-        sizes = np.diff(np.append(start, used[-1]))
-        longest = int(sizes.max())
-        powers = _SHORT_POWERS if longest <= len(_SHORT_POWERS) else _powers(longest)
-        place = np.arange(used[-1]) - np.repeat(start, sizes)
-        values = _VALUES[piece[inside]]
-        values *= powers[place]
-        total = np.add.reduceat(values, start)
-        hashes.append(mix64(total + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        # Sum of byte times base^place; dividing by base^start makes it the word's alone.
+        powers, inverses = _tables(len(piece))
+        lower = piece + ((piece - np.uint8(65)) < 26) * np.uint8(32) + np.uint8(1)
+        lower *= inside
+        values = lower.astype(np.uint64)
+        values *= powers[: len(piece)]
+        total = np.add.reduceat(values, first)
+        total *= inverses[first]
+        hashes.append(mix64(total))
         firsts.append(first + low)
     joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
     first = joined(firsts, np.int64)

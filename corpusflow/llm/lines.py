@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity self-join of lines, without the matches that come later.
 
 A line is the set of its words. Two lines match at Jaccard similarity ``least`` or more; a line goes if
-any line before it, in the order of (id, text, line number), matches it. Equal sets are one class that
+any line before it, in the order of ids and line numbers, matches it. Equal sets are one class that
 stands where its first line stands, so copies never meet each other.
 
 Words are ordered by rarity: their counts over all lines, hashed into a table of fixed size, then by
@@ -10,14 +10,16 @@ few. Classes that can match share a word in their prefixes, and pass the length
 filter and a bitmap filter (each set bit that the other lacks stands for a word that it lacks); the
 pairs left are verified on the full sets.
 
-Classes that share a word are compared with the first of them, then, in rounds, with growing samples
-of the others; a class that has found an earlier match takes part as an earlier line only, and a
-word is left when no class under it is open or all its pairs have been seen. A large group of near
-copies is settled by its first members instead of by all its pairs, and no match is lost.
+A class needs one earlier match to go. Under each word it first names the few candidates right before
+it; only a class that none of them matches, and that has more, names all of them. Words too frequent for
+that are worked off in rounds: all classes under a word meet the first of them, then growing samples of
+the others, until no class is open or every class has been in a sample. So a large group of near copies
+is settled by a few pairs per line instead of by all its pairs, and no match is lost.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; lines end at ``\\n``; a line without
 words always stays; a null text has no lines and stays null. Rows with equal id and text are one
-document and get the same lines removed; null ids come first. A document may lose all its lines; it
+document and get the same lines removed; other rows with equal ids follow each other as they are
+read; null ids come first. A document may lose all its lines; it
 stays, with an empty text. Columns beside id and text pass through.
 """
 
@@ -32,42 +34,60 @@ from corpusflow.llm import common
 from corpusflow.llm.common import written
 from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
 
-#: Counters of the rarity table: 4 MB in each worker, whatever the vocabulary.
-COUNTERS = 1 << 20
+#: Counters of the rarity table: one byte each in every worker, whatever the vocabulary.
+COUNTERS = 1 << 24
+#: Counters that travel together.
+PACKED = 1 << 16
 #: Words of texts that are sorted together.
 SORTED_WORDS = 1 << 18
-HUBS, GROWTH = 8, 4
+#: Words counted this often or more are worked off in rounds; under other words there are fewer classes.
+FREQUENT = 1 << 12
+#: Candidates that a class names under a word at first.
+NAMED = 1
+#: Classes per frequent word that the others meet in the first round, and their growth per round.
+HUBS, GROWTH = 32, 8
+#: Entries that are compared together.
+COMPARED = 1 << 18
 
 
-def word_counts(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndarray:
-    """How many words of all texts fall to each counter; the driver gets one number per counter."""
+def code_of(n):
+    """The byte that stands for a count."""
+    return np.minimum(255, np.floor(12 * np.log2(n)))
+
+
+def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndarray:
+    """One byte per counter: 0 if one word of all texts at most falls to it, else the log of how many.
+
+    Words are counted where they are read; the driver gets one byte per counter.
+    """
 
     def count(batches):
-        total = np.zeros(counters, dtype=np.int64)
+        total = np.zeros(counters, dtype=np.int32)
         for batch in batches:
             words = common.hash_words(batch.column(0))[0]
-            total += np.bincount((words & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
+            np.add.at(total, (words & np.uint64(counters - 1)).astype(np.int64), 1)
         used = np.flatnonzero(total)
-        for low in range(0, len(used), 1 << 16):
-            part = used[low: low + (1 << 16)]
+        for low in range(0, len(used), PACKED):
+            part = used[low: low + PACKED]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["word", "n"])
 
-    counted = docs.select(text).mapInArrow(count, "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()
-    out = np.zeros(counters, dtype=np.int64)
-    out[found["word"].to_numpy()] = found["n"].to_numpy()
+    def pack(part: pa.Table) -> pa.Table:
+        word, n = part["word"].to_numpy(), part["n"].to_numpy()
+        codes = np.zeros(PACKED, dtype=np.uint8)
+        codes[word % PACKED] = code_of(n)
+        return pa.table({"block": pa.array([int(word[0]) // PACKED], pa.int32()), "codes": pa.array([codes.tobytes()])})
+
+    counted = docs.select(text).mapInArrow(count, "word int, n int").groupBy("word").agg(F.sum("n").alias("n"))
+    packed = counted.groupBy(F.shiftright("word", 16)).applyInArrow(pack, "block int, codes binary")
+    out = np.zeros(counters, dtype=np.uint8)
+    for block, codes in packed.collect():
+        stop = min(counters, (block + 1) * PACKED)
+        out[block * PACKED: stop] = np.frombuffer(codes, dtype=np.uint8)[: stop - block * PACKED]
     return out
 
 
-def rarity(counts: np.ndarray) -> np.ndarray:
-    """The place of each counter in the order of rarity."""
-    ranks = np.empty(len(counts), dtype=np.uint32)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
-    return ranks
-
-
-def _line_sets(texts: pa.Array, ranks: np.ndarray):
-    """Sorted sets of the lines with words: (text, line, size, start of its words) and the words."""
+def _line_sets(texts: pa.Array, codes: np.ndarray):
+    """Lines with words as sets in the order of rarity: (text, line, size, start), the words, their codes."""
     words, first, edges, cuts = common.hash_words(texts, breaks=0x0A)
     offsets = common.flat_bytes(texts)[1]
     owner = np.repeat(np.arange(len(texts)), np.diff(edges))
@@ -86,143 +106,245 @@ def _line_sets(texts: pa.Array, ranks: np.ndarray):
         at = np.flatnonzero(heads)
         # One sortable number: the line, the rarity of the word's counter, then bits of its hash.
         bits = max(1, int(len(at) - 1).bit_length())
-        rank_bits = max(1, int(len(ranks) - 1).bit_length())
+        code = codes[(h & np.uint64(len(codes) - 1)).astype(np.int64)]
         key = group.astype(np.uint64) << np.uint64(64 - bits)
-        key |= ranks[(h & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(64 - bits - rank_bits)
-        key |= h >> np.uint64(bits + rank_bits)
+        key |= code.astype(np.uint64) << np.uint64(56 - bits)
+        key |= h >> np.uint64(bits + 8)
         order = np.argsort(key)
-        h, group = h[order], group[order]
+        h, group, code = h[order], group[order], code[order]
         new = np.append(True, (h[1:] != h[:-1]) | (group[1:] != group[:-1]))
-        h, group = h[new], group[new]
+        h, group, code = h[new], group[new], code[new]
         sizes = np.bincount(group, minlength=len(at))
-        yield text[at], line[at], sizes, np.cumsum(sizes) - sizes, h
+        yield text[at], line[at], sizes, np.cumsum(sizes) - sizes, h, code
+
 
+def _sketch(codes, least: int):
+    """text -> its lines with words: (line, n, node, bitmap, prefix, frequent).
 
-def _sketch(ranks, least: int):
-    """text -> its lines with words: (line, n, node, two words of bitmap, prefix)."""
-    kind = "array<struct<line:int,n:int,node:binary,x:bigint,y:bigint,prefix:array<int>>>"
+    An entry of the prefix is a place (upper half) and 32 bits of the word there; ``frequent`` holds
+    those of frequent words. A word that occurs once in all texts can be shared with no line, so it is
+    left out. The bitmap holds every second word by hash.
+    """
+    entry = pa.struct([
+        ("line", pa.int32()), ("n", pa.int32()), ("node", pa.binary()), ("x", pa.int64()),
+        ("prefix", pa.list_(pa.int64())), ("frequent", pa.list_(pa.int64())),
+    ])
 
     def of(texts: pa.Array) -> pa.Array:
-        owners, columns = [], [[] for _ in range(6)]
-        prefix_sizes = []
-        for text, line, sizes, starts, h in _line_sets(texts, ranks.value):
+        owners, columns, sizes_of = [], [[] for _ in range(6)], ([], [])
+        for text, line, sizes, starts, h, code in _line_sets(texts, codes.value):
             owners.append(text)
             columns[0].append(line)
             columns[1].append(sizes)
             columns[2].append(common.digests(h, starts))
-            bit = np.left_shift(np.uint64(1), (h >> np.uint64(57)) & np.uint64(63))
-            upper = (h >> np.uint64(63)).astype(bool)
-            columns[3].append(np.bitwise_or.reduceat(np.where(upper, np.uint64(0), bit), starts))
-            columns[4].append(np.bitwise_or.reduceat(np.where(upper, bit, np.uint64(0)), starts))
+            bit = np.left_shift(np.uint64(1), h >> np.uint64(58))
+            bit[((h >> np.uint64(57)) & np.uint64(1)).astype(bool)] = 0
+            columns[3].append(np.bitwise_or.reduceat(bit, starts))
             length = sizes - (least * sizes + 99) // 100 + 1
             place = np.arange(len(h)) - np.repeat(starts, sizes)
-            columns[5].append(h[place < np.repeat(length, sizes)])
-            prefix_sizes.append(length)
+            chosen = (place < np.repeat(length, sizes)) & (code > 0)
+            entries = (place << 32) | (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            for part, kept in enumerate((chosen & (code < code_of(FREQUENT)), chosen & (code >= code_of(FREQUENT)))):
+                columns[4 + part].append(entries[kept])
+                sizes_of[part].append(np.add.reduceat(kept.astype(np.int64), starts))
         if not owners:
-            return pa.array([[]] * len(texts), pa.list_(pa.struct([
-                ("line", pa.int32()), ("n", pa.int32()), ("node", pa.binary()), ("x", pa.int64()), ("y", pa.int64()),
-                ("prefix", pa.list_(pa.int32())),
-            ])))
+            return pa.array([[]] * len(texts), pa.list_(entry))
         owner = np.concatenate(owners)
         flat = [np.concatenate(c) for c in columns]
-        prefix = common.lists((flat[5] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), np.concatenate(prefix_sizes))
         rows = pa.StructArray.from_arrays([
             pa.array(flat[0].astype(np.int32)), pa.array(flat[1].astype(np.int32)),
-            common.binary16(flat[2], np.arange(len(owner)), len(owner)),
-            pa.array(flat[3].view(np.int64)), pa.array(flat[4].view(np.int64)), prefix,
-        ], ["line", "n", "node", "x", "y", "prefix"])
+            common.binary16(flat[2], np.arange(len(owner)), len(owner)), pa.array(flat[3].view(np.int64)),
+            common.lists(flat[4], np.concatenate(sizes_of[0])), common.lists(flat[5], np.concatenate(sizes_of[1])),
+        ], names=[f.name for f in entry])
         return pa.ListArray.from_arrays(_ends(owner, len(texts)), rows)
 
-    return F.arrow_udf(of, kind)
+    return F.arrow_udf(of, "array<struct<line:int,n:int,node:binary,x:bigint,prefix:array<bigint>,frequent:array<bigint>>>")
 
 
 def _ends(owner: np.ndarray, rows: int) -> pa.Array:
     return pa.array(np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32))
 
 
-def _chosen_sets(ranks):
-    """(text, lines) -> (node, set) of the given lines."""
+def _chosen_sets(codes):
+    """(text, lines, cids) -> (cid, set) of the given lines."""
 
-    def of(texts: pa.Array, wanted: pa.Array) -> pa.Array:
-        ask = wanted.flatten().to_numpy(zero_copy_only=False)
+    def of(texts: pa.Array, wanted: pa.Array, cids: pa.Array) -> pa.Array:
         asker = np.repeat(np.arange(len(texts)), np.diff(wanted.offsets.to_numpy()))
-        asked = set(zip(asker.tolist(), ask.tolist()))
-        owners, nodes, sizes_out, values = [], [], [], []
-        for text, line, sizes, starts, h in _line_sets(texts, ranks.value):
-            chosen = np.fromiter(((t, n) in asked for t, n in zip(text.tolist(), line.tolist())), bool, len(text))
+        asked = dict(zip(zip(asker.tolist(), wanted.flatten().to_pylist()), cids.flatten().to_pylist()))
+        owners, ids, sizes_out, values = [], [], [], []
+        for text, line, sizes, starts, h, _ in _line_sets(texts, codes.value):
+            found = [asked.get(place, -1) for place in zip(text.tolist(), line.tolist())]
+            found = np.array(found, dtype=np.int64)
+            chosen = found >= 0
             owners.append(text[chosen])
-            nodes.append(common.digests(h, starts)[chosen])
+            ids.append(found[chosen])
             sizes_out.append(sizes[chosen])
             values.append(h[np.repeat(chosen, sizes)])
         if not owners:
-            return pa.array([[]] * len(texts), pa.list_(pa.struct([("node", pa.binary()), ("set", pa.list_(pa.int64()))])))
-        owner = np.concatenate(owners)
+            return pa.array([[]] * len(texts), pa.list_(pa.struct([("cid", pa.int64()), ("set", pa.list_(pa.int64()))])))
         rows = pa.StructArray.from_arrays([
-            common.binary16(np.concatenate(nodes), np.arange(len(owner)), len(owner)),
-            common.lists(np.concatenate(values).view(np.int64), np.concatenate(sizes_out)),
-        ], ["node", "set"])
-        return pa.ListArray.from_arrays(_ends(owner, len(texts)), rows)
+            pa.array(np.concatenate(ids)), common.lists(np.concatenate(values).view(np.int64), np.concatenate(sizes_out)),
+        ], ["cid", "set"])
+        return pa.ListArray.from_arrays(_ends(np.concatenate(owners), len(texts)), rows)
+
+    return F.arrow_udf(of, "array<struct<cid:bigint,set:array<bigint>>>")
 
-    return F.arrow_udf(of, "array<struct<node:binary,set:array<bigint>>>")
+
+def _passing(n, m, pos, at, apart, least: int):
+    """Whether a pair can match: lengths, places of the word, words that one side lacks."""
+    # 100 |intersection| >= least |union| turned into words in common, and into words not in common.
+    both = n + m
+    shared = (least * both + 99 + least) // (100 + least)
+    small, large = np.minimum(n, m), np.maximum(n, m)
+    return (
+        (100 * small >= least * large) & (np.minimum(n - pos, m - at) >= shared) & (apart <= both - 2 * shared)
+    )
+
+
+def named_pairs(entries: DataFrame, least: int, named: int | None) -> DataFrame:
+    """(cid, other, more): pairs under a word that pass all filters, ``other`` earlier.
+
+    ``entries`` is (word, _id, cid, pos, n, x, ask), of words that are not frequent. A class names the
+    ``named`` candidates right before it (None: all) if ``ask``; ``more`` says that it has others.
+    """
+
+    def compare(word, cid, pos, n, x, ask):
+        starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        sizes = np.diff(np.append(starts, len(word)))
+        left = np.repeat(sizes, sizes) - (np.arange(len(word)) - np.repeat(starts, sizes))  # rows to the end of the word
+        count = np.zeros(len(word), dtype=np.int32)
+        out, step = [], 0
+        at = np.flatnonzero(left > 1)
+        while len(at):
+            step += 1
+            at = at[left[at] > step]
+            later = at + step
+            fair = (100 * np.minimum(n[at], n[later]) >= least * np.maximum(n[at], n[later])) & ask[later] & (cid[at] != cid[later])
+            i, j = at[fair], later[fair]
+            good = _passing(n[j], n[i], pos[j], pos[i], np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64), least)
+            i, j = i[good], j[good]
+            count[j] += 1
+            if named is not None:
+                few = count[j] <= named
+                i, j = i[few], j[few]
+            out.append((i, j))
+        if not out:
+            return
+        i, j = (np.concatenate(v) for v in zip(*out))
+        more = count[j] > named if named is not None else np.zeros(len(j), dtype=bool)
+        yield pa.RecordBatch.from_arrays([pa.array(cid[j]), pa.array(cid[i]), pa.array(more)], ["cid", "other", "more"])
+
+    def run(batches):
+        held = []
+
+        def columns(parts):
+            return [np.concatenate(c) for c in zip(*parts)]
+
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if sum(len(h[0]) for h in held) < COMPARED:
+                continue
+            word, *rest = columns(held)
+            cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
+            if cut:
+                yield from compare(word[:cut], *[c[:cut] for c in rest])
+            held = [[c[cut:] for c in (word, *rest)]]
+        if held:
+            parts = columns(held)
+            if len(parts[0]):
+                yield from compare(*parts)
+
+    dealt = entries.repartition("word").sortWithinPartitions("word", "_id", "cid")
+    return dealt.select("word", "cid", "pos", "n", "x", "ask").mapInArrow(run, "cid bigint, other bigint, more boolean").groupBy("cid", "other").agg(
+        F.max(F.col("more").cast("int")).alias("more")
+    )
 
 
 def candidates(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
-    """Distinct (node, other, …) under a common prefix word that pass all filters."""
+    """Distinct (cid, other) under a frequent word that pass all filters; ``other`` comes first."""
     hub = earlier.select(
-        "word", F.col("node").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"),
-        F.col("x").alias("u"), F.col("y").alias("v"), F.col("first").alias("before"),
+        "word", F.struct("_id", "cid").alias("before"), F.col("cid").alias("other"), F.col("n").alias("m"),
+        F.col("pos").alias("at"), F.col("x").alias("u"),
     )
     met = skew_join(later, hub, ["word"])
     both = F.col("n") + F.col("m")
-    # 100 |intersection| >= least |union| turned into words in common, and into words not in common.
-    common_least = F.ceil(F.lit(least) * both / F.lit(100 + least))
-    apart = F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) + F.bit_count(F.col("y").bitwiseXOR(F.col("v")))
+    shared = F.ceil(F.lit(least) * both / F.lit(100 + least))
     passing = (
-        (F.col("before") < F.col("first"))
+        (F.col("before") < F.struct("_id", "cid"))
         & (F.lit(100) * F.least("n", "m") >= F.lit(least) * F.greatest("n", "m"))
-        & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) >= common_least)
-        & (apart <= both - F.lit(2) * common_least)
+        & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) >= shared)
+        & (F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) <= both - F.lit(2) * shared)
     )
-    return met.where(passing).select("node", "other").distinct()
-
-
-def earlier_matches(members: DataFrame, sets_of, least: int) -> DataFrame:
-    """(node): the classes that an earlier class matches.
-
-    ``members`` is (word, pos, node, n, x, y, first) under words of several classes.
+    return met.where(passing).select("cid", "other").distinct()
+
+
+def settled(pairs: DataFrame, sets_of, least: int) -> DataFrame:
+    """(cid): the classes of written pairs (cid, other) that match on their full sets."""
+    sets = sets_of(pairs.select("cid").unionAll(pairs.select("other")).distinct())
+    # Both sides have one shape, so their exchange is made once.
+    left = sets.select(F.col("cid").alias("i"), F.col("set").alias("a"))
+    right = sets.select(F.col("cid").alias("j"), F.col("set").alias("b"))
+    named = pairs.select(F.col("cid").alias("i"), F.col("other").alias("j"))
+    counts = named.groupBy("j").agg(F.count("*").alias("_n"))
+    both = skew_join(named.join(left, "i"), right, ["j"], rows=pairs.count(), counts=counts)
+    shared = F.size(F.array_intersect("a", "b"))
+    union = F.size("a") + F.size("b") - shared
+    good = both.where(F.lit(100) * shared >= F.lit(least) * union)
+    return written(good.select(F.col("i").alias("cid")).distinct(), "line-matches")
+
+
+def matches_by_name(entries: DataFrame, sets_of, least: int) -> DataFrame:
+    """(cid) of classes with an earlier match under a word that is not frequent."""
+    pairs = written(named_pairs(entries.withColumn("ask", F.lit(True)), least, NAMED), "line-pairs")
+    matched = settled(pairs, sets_of, least)
+    rest = pairs.where(F.col("more") == 1).select("cid").distinct().join(matched, "cid", "left_anti")
+    rest = written(rest, "line-rest")
+    if rest.isEmpty():
+        return matched
+    asking = lookup(entries, rest.withColumn("ask", F.lit(True)), ["cid"], "left").withColumn("ask", F.col("ask").isNotNull())
+    words = written(asking.where("ask").select("word").distinct(), "line-words")
+    fresh = named_pairs(lookup(asking, words, ["word"]), least, None).join(pairs, ["cid", "other"], "left_anti")
+    return matched.unionByName(settled(written(fresh, "line-pairs"), sets_of, least)).distinct()
+
+
+def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFrame) -> DataFrame:
+    """``matched`` and the (cid) of classes with an earlier match under a frequent word.
+
+    ``members`` is (word, _id, cid, pos, n, x), written down.
     """
-    columns = ["pos", "node", "n", "x", "y", "first"]
-
-    def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = written(pairs, "line-pairs")
-        sets = sets_of(pairs.select("node").unionAll(pairs.select("other")).distinct())
-        left = pairs.join(sets, "node").withColumnRenamed("set", "a")
-        right = sets.select(F.col("node").alias("other"), F.col("set").alias("b"))
-        counts = pairs.groupBy("other").agg(F.count("*").alias("_n"))
-        both = skew_join(left, right, ["other"], rows=pairs.count(), counts=counts)
-        shared = F.size(F.array_intersect("a", "b"))
-        union = F.size("a") + F.size("b") - shared
-        good = both.where(F.lit(100) * shared >= F.lit(least) * union)
-        return pairs, written(good.select("node").distinct(), "line-matches")
-
-    lead = members.groupBy("word").agg(F.min(F.struct("first", *[c for c in columns if c != "first"])).alias("h"))
-    tested, matched = settle(candidates(members, lead.select("word", "h.*"), least))
-    reach = HUBS
+    first = F.min(F.struct("_id", "cid", "pos", "n", "x"))
+    lead = members.groupBy("word").agg(first.alias("h"), F.count("*").alias("size"))
+    lead = written(lead.where(F.col("size") > 1).select("word", "h.*", "size"), "line-leads")
+    if lead.isEmpty():
+        return matched
+
+    def meet(later: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        pairs = candidates(later, hubs, least)
+        pairs = written(pairs if tested is None else pairs.join(tested, ["cid", "other"], "left_anti"), "line-pairs")
+        return pairs, settled(pairs, sets_of, least)
+
+    def and_done(rows: DataFrame) -> DataFrame:
+        return written(lookup(rows, matched.withColumn("done", F.lit(True)), ["cid"], "left"), "line-members")
+
+    now = and_done(members)
+    tested, more = meet(now.where(F.col("done").isNull()).drop("done"), lead.drop("size"), None)
+    matched = written(matched.unionByName(more).distinct(), "line-matches")
+    # Two classes under a word have met already.
+    left, reach = lookup(members, lead.where(F.col("size") > 2).select("word", "size"), ["word"]), HUBS
     while True:
-        done = matched.withColumn("done", F.lit(True))
-        now = lookup(members, done, ["node"], "left")
-        sizes = now.groupBy("word").agg(F.count("*").alias("size"), F.count_if(F.col("done").isNull()).alias("open"))
-        # The first line under a word is always open; two lines have met already.
-        left = sizes.where((F.col("open") > 1) & (F.col("size") > F.lit(2 if reach == HUBS else reach // GROWTH)))
-        open_now = written(lookup(now, left.select("word", "size"), ["word"]), "open-words")
+        now = and_done(left)
+        # The first class under a word is always open.
+        words = now.where(F.col("done").isNull()).groupBy("word").agg(F.count("*").alias("open"))
+        open_now = written(lookup(now, words.where(F.col("open") > 1).select("word"), ["word"]), "open-words")
         if open_now.isEmpty():
             return matched
-        share = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        share = F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
         hubs = open_now.where(share * F.col("size") < F.lit(reach))
-        rest = candidates(open_now.where(F.col("done").isNull()).drop("done", "size"), hubs, least)
-        tried, more = settle(rest.join(tested, ["node", "other"], "left_anti"))
+        tried, more = meet(open_now.where(F.col("done").isNull()).drop("done", "size"), hubs, tested)
         tested = written(tested.unionByName(tried), "tested")
         matched = written(matched.unionByName(more).distinct(), "line-matches")
+        # Under words of this size every class has been a hub.
+        left = open_now.where(F.col("size") > reach).drop("done")
         reach *= GROWTH
 
 
@@ -230,32 +352,39 @@ def removed_lines(
     docs: DataFrame, least: int = 80, doc_id: str = "doc_id", text: str = "text", counters: int = COUNTERS
 ) -> DataFrame:
     """(_id, _ref, removed): numbers from 0, in order, of the lines to remove from each text that loses any."""
-    spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(rarity(word_counts(docs, text, counters)))
+    codes = docs.sparkSession.sparkContext.broadcast(word_rarity(docs, text, counters))
     ident = [F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_ref")]
-    sketched = docs.select(*ident, F.explode(_sketch(ranks, least)(F.col(text))).alias("l"))
-    lines = written(sketched.select("_id", "_ref", "l.*"), "lines")
-    place = F.struct("_id", "_ref", "line")
-    several = lines.groupBy("node").agg(F.min(place).alias("lead"), F.count("*").alias("_c")).where(F.col("_c") > 1)
+    sketched = docs.select(*ident, F.explode(_sketch(codes, least)(F.col(text))).alias("l"))
+    lines = written(sketched.select("_id", "_ref", "l.*", F.monotonically_increasing_id().alias("cid")), "lines")
+    first = F.min(F.struct("_id", "cid", "_ref", "line"))
+    several = lines.groupBy("node").agg(first.alias("lead"), F.count("*").alias("_c")).where(F.col("_c") > 1)
     several = written(several.select("node", "lead"), "line-classes")
-    marked = lookup(lines.withColumn("first", place), several, ["node"], "left")
-    is_first = F.coalesce(F.col("first") == F.col("lead"), F.lit(True))
-    reps = marked.where(is_first)
-    entries = reps.select(F.posexplode("prefix").alias("pos", "word"), "node", "n", "x", "y", "first")
-    shared = entries.groupBy("word").agg(F.count("*").alias("_c")).where(F.col("_c") > 1).select("word")
-    members = written(lookup(entries, written(shared, "words"), ["word"]), "line-members")
-
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        leads = lookup(reps.select("node", "first"), written(nodes, "line-nodes"), ["node"])
-        ask = leads.groupBy(F.col("first._ref").alias("_ref")).agg(F.collect_set("first.line").alias("_lines"))
-        texts = docs.select(F.xxhash64(text).alias("_ref"), F.col(text).alias("_t"))
-        held = lookup(texts, written(ask, "line-texts"), ["_ref"])
-        found = held.select(F.explode(_chosen_sets(ranks)(F.col("_t"), F.col("_lines"))).alias("s")).select("s.*")
-        return written(found.groupBy("node").agg(F.first("set").alias("set")), "line-sets")
-
-    matched = earlier_matches(members, sets_of, least)
-    flagged = lookup(marked.select("_id", "_ref", "line", "node", (~is_first).alias("later")),
-                     matched.withColumn("matched", F.lit(True)), ["node"], "left")
+    marked = lookup(lines, several, ["node"], "left")
+    classes = marked.where(F.col("lead").isNull() | (F.col("cid") == F.col("lead.cid")))
+
+    def entries(column: str) -> DataFrame:
+        flat = classes.select(F.explode(column).alias("e"), "_id", "cid", "n", "x")
+        word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
+        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x")
+
+    def sets_of(cids: DataFrame) -> DataFrame:
+        asked = lookup(lines.select("cid", "_id", "_ref", "line"), written(cids, "line-cids"), ["cid"])
+        ask = asked.groupBy("_id", "_ref").agg(F.collect_list("line").alias("at"), F.collect_list("cid").alias("cids"))
+        ask = broadcast_if_small(written(ask, "line-texts"))
+        texts = docs.select(F.col(doc_id).alias("own"), F.xxhash64(text).alias("ref"), F.col(text).alias("t"))
+        held = texts.join(ask, F.col("own").eqNullSafe(F.col("_id")) & (F.col("ref") == F.col("_ref")))
+        found = held.select(F.explode(_chosen_sets(codes)(F.col("t"), F.col("at"), F.col("cids"))).alias("s"))
+        return found.select("s.cid", "s.set")
+
+    matched = matches_by_name(entries("prefix"), sets_of, least)
+    matched = matches_in_rounds(written(entries("frequent"), "line-entries"), sets_of, least, matched)
+    names = lookup(lines.select("cid", "node"), matched, ["cid"]).select("node", F.lit(True).alias("matched"))
+    # A repeated row has the place of its first; only lines at another place come later.
+    same = F.col("_id").eqNullSafe(F.col("lead._id")) & (F.col("_ref") == F.col("lead._ref")) & (F.col("line") == F.col("lead.line"))
+    later = F.col("lead").isNotNull() & ~same
+    flagged = lookup(
+        marked.select("_id", "_ref", "line", "node", later.alias("later")), written(names, "line-nodes"), ["node"], "left"
+    )
     gone = flagged.where(F.col("later") | F.col("matched").isNotNull())
     return written(gone.groupBy("_id", "_ref").agg(F.sort_array(F.collect_set("line")).alias("removed")), "removed-lines")
 
