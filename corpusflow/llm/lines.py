@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import common
 from corpusflow.llm.common import written
-from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
+from corpusflow.operators.sizing import broadcast_if_small, fits, lookup, skew_join
 
 #: Counters of the rarity table: one byte each in every worker, whatever the vocabulary.
 COUNTERS = 1 << 24
@@ -40,14 +40,16 @@ COUNTERS = 1 << 24
 PACKED = 1 << 16
 #: Words of texts that are sorted together.
 SORTED_WORDS = 1 << 18
-#: Words counted this often or more are worked off in rounds; under other words there are fewer classes.
-FREQUENT = 1 << 12
+#: Words counted this often or more are worked off in rounds, so that a bucket of the others stays small.
+FREQUENT = 1 << 16
+#: So are words with more classes than this: all pairs under fewer are compared where they are.
+CROWDED = 1 << 12
+#: Buckets of words per shuffle partition, and entries that a task packs at a time.
+BUCKETS, PACKED_ENTRIES = 16, 1 << 20
 #: Candidates that a class names under a word at first.
 NAMED = 1
 #: Classes per frequent word that the others meet in the first round, and their growth per round.
-HUBS, GROWTH = 32, 8
-#: Entries that are compared together.
-COMPARED = 1 << 18
+HUBS, GROWTH = 256, 16
 
 
 def code_of(n):
@@ -86,12 +88,23 @@ def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndar
     return out
 
 
-def _line_sets(texts: pa.Array, codes: np.ndarray):
-    """Lines with words as sets in the order of rarity: (text, line, size, start), the words, their codes."""
+def _line_sets(texts: pa.Array, codes: np.ndarray, asked=None):
+    """Lines with words as sets in the order of rarity: (text, line, size, start), the words, their codes.
+
+    ``asked`` (text, line) restricts them to some lines.
+    """
     words, first, edges, cuts = common.hash_words(texts, breaks=0x0A)
     offsets = common.flat_bytes(texts)[1]
     owner = np.repeat(np.arange(len(texts)), np.diff(edges))
     number = np.searchsorted(cuts, first) - np.searchsorted(cuts, offsets[:-1])[owner]
+    if asked is not None:
+        # Lines are numbered over all texts, in order, so a sorted search finds the asked ones.
+        before = np.searchsorted(cuts, offsets[:-1])
+        wanted = np.sort(before[asked[0]] + asked[0] + asked[1])
+        own = before[owner] + owner + number
+        held = wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own if len(wanted) else np.zeros(len(own), bool)
+        words, owner, number = words[held], owner[held], number[held]
+        edges = np.searchsorted(owner, np.arange(len(texts) + 1))
     low = 0
     while low < len(texts):
         # Whole texts up to SORTED_WORDS words, one at least.
@@ -119,33 +132,34 @@ def _line_sets(texts: pa.Array, codes: np.ndarray):
 
 
 def _sketch(codes, least: int):
-    """text -> its lines with words: (line, n, node, bitmap, prefix, frequent).
+    """text -> its lines with words: (line, n, node, two bitmaps, prefix, frequent).
 
     An entry of the prefix is a place (upper half) and 32 bits of the word there; ``frequent`` holds
     those of frequent words. A word that occurs once in all texts can be shared with no line, so it is
-    left out. The bitmap holds every second word by hash.
+    left out. Words go to one of the two bitmaps by hash.
     """
     entry = pa.struct([
-        ("line", pa.int32()), ("n", pa.int32()), ("node", pa.binary()), ("x", pa.int64()),
+        ("line", pa.int32()), ("n", pa.int32()), ("node", pa.binary()), ("x", pa.int64()), ("y", pa.int64()),
         ("prefix", pa.list_(pa.int64())), ("frequent", pa.list_(pa.int64())),
     ])
 
     def of(texts: pa.Array) -> pa.Array:
-        owners, columns, sizes_of = [], [[] for _ in range(6)], ([], [])
+        owners, columns, sizes_of = [], [[] for _ in range(7)], ([], [])
         for text, line, sizes, starts, h, code in _line_sets(texts, codes.value):
             owners.append(text)
             columns[0].append(line)
             columns[1].append(sizes)
             columns[2].append(common.digests(h, starts))
             bit = np.left_shift(np.uint64(1), h >> np.uint64(58))
-            bit[((h >> np.uint64(57)) & np.uint64(1)).astype(bool)] = 0
-            columns[3].append(np.bitwise_or.reduceat(bit, starts))
+            second = ((h >> np.uint64(57)) & np.uint64(1)).astype(bool)
+            columns[3].append(np.bitwise_or.reduceat(np.where(second, np.uint64(0), bit), starts))
+            columns[4].append(np.bitwise_or.reduceat(np.where(second, bit, np.uint64(0)), starts))
             length = sizes - (least * sizes + 99) // 100 + 1
             place = np.arange(len(h)) - np.repeat(starts, sizes)
             chosen = (place < np.repeat(length, sizes)) & (code > 0)
             entries = (place << 32) | (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
             for part, kept in enumerate((chosen & (code < code_of(FREQUENT)), chosen & (code >= code_of(FREQUENT)))):
-                columns[4 + part].append(entries[kept])
+                columns[5 + part].append(entries[kept])
                 sizes_of[part].append(np.add.reduceat(kept.astype(np.int64), starts))
         if not owners:
             return pa.array([[]] * len(texts), pa.list_(entry))
@@ -154,11 +168,12 @@ def _sketch(codes, least: int):
         rows = pa.StructArray.from_arrays([
             pa.array(flat[0].astype(np.int32)), pa.array(flat[1].astype(np.int32)),
             common.binary16(flat[2], np.arange(len(owner)), len(owner)), pa.array(flat[3].view(np.int64)),
-            common.lists(flat[4], np.concatenate(sizes_of[0])), common.lists(flat[5], np.concatenate(sizes_of[1])),
+            pa.array(flat[4].view(np.int64)),
+            common.lists(flat[5], np.concatenate(sizes_of[0])), common.lists(flat[6], np.concatenate(sizes_of[1])),
         ], names=[f.name for f in entry])
         return pa.ListArray.from_arrays(_ends(owner, len(texts)), rows)
 
-    return F.arrow_udf(of, "array<struct<line:int,n:int,node:binary,x:bigint,prefix:array<bigint>,frequent:array<bigint>>>")
+    return F.arrow_udf(of, "array<struct<line:int,n:int,node:binary,x:bigint,y:bigint,prefix:array<bigint>,frequent:array<bigint>>>")
 
 
 def _ends(owner: np.ndarray, rows: int) -> pa.Array:
@@ -172,14 +187,12 @@ def _chosen_sets(codes):
         asker = np.repeat(np.arange(len(texts)), np.diff(wanted.offsets.to_numpy()))
         asked = dict(zip(zip(asker.tolist(), wanted.flatten().to_pylist()), cids.flatten().to_pylist()))
         owners, ids, sizes_out, values = [], [], [], []
-        for text, line, sizes, starts, h, _ in _line_sets(texts, codes.value):
-            found = [asked.get(place, -1) for place in zip(text.tolist(), line.tolist())]
-            found = np.array(found, dtype=np.int64)
-            chosen = found >= 0
-            owners.append(text[chosen])
-            ids.append(found[chosen])
-            sizes_out.append(sizes[chosen])
-            values.append(h[np.repeat(chosen, sizes)])
+        places = asker, wanted.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        for text, line, sizes, starts, h, _ in _line_sets(texts, codes.value, places):
+            owners.append(text)
+            ids.append(np.array([asked[place] for place in zip(text.tolist(), line.tolist())], dtype=np.int64))
+            sizes_out.append(sizes)
+            values.append(h)
         if not owners:
             return pa.array([[]] * len(texts), pa.list_(pa.struct([("cid", pa.int64()), ("set", pa.list_(pa.int64()))])))
         rows = pa.StructArray.from_arrays([
@@ -201,79 +214,118 @@ def _passing(n, m, pos, at, apart, least: int):
     )
 
 
-def named_pairs(entries: DataFrame, least: int, named: int | None) -> DataFrame:
-    """(cid, other, more): pairs under a word that pass all filters, ``other`` earlier.
+ENTRY = np.dtype([("word", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("id", "<i8"), ("cid", "<i8"), ("x", "<u8"), ("y", "<u8")])
 
-    ``entries`` is (word, _id, cid, pos, n, x, ask), of words that are not frequent. A class names the
-    ``named`` candidates right before it (None: all) if ``ask``; ``more`` says that it has others.
-    """
 
-    def compare(word, cid, pos, n, x, ask):
+def named_pairs(classes: DataFrame, least: int, parts: int) -> DataFrame:
+    """(cid, other, more, word): pairs under a word that pass all filters, ``other`` read earlier.
+
+    A class names the NAMED candidates right before it; ``more`` says that it has others. A word that
+    is too crowded gives one row with no ``cid``. Entries travel packed by bucket of words, and a task
+    holds one bucket at a time; no word in it is frequent.
+    """
+    buckets = parts * BUCKETS
+
+    def pack(batches):
+        def flush(held):
+            rows = np.concatenate(held)
+            bucket = rows["word"] % np.uint32(buckets)
+            order = np.argsort(bucket, kind="stable")
+            rows, bucket = rows[order], bucket[order]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            data = [rows[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rows)))]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(data, pa.binary())], ["bucket", "data"])
+
+        held, size = [], 0
+        for batch in batches:
+            prefix, ids, cid, n, x, y = batch.columns
+            sizes = np.diff(prefix.offsets.to_numpy())
+            flat = prefix.flatten().to_numpy()
+            rows = np.empty(len(flat), dtype=ENTRY)
+            rows["word"], rows["pos"] = flat & 0xFFFFFFFF, flat >> 32
+            for name, column in (("id", ids.fill_null(-(1 << 63))), ("cid", cid), ("n", n), ("x", x), ("y", y)):
+                values = column.to_numpy(zero_copy_only=False)
+                rows[name] = np.repeat(values.view(np.uint64) if name in "xy" else values, sizes)
+            held.append(rows)
+            size += len(rows)
+            if size >= PACKED_ENTRIES:
+                yield flush(held)
+                held, size = [], 0
+        if size:
+            yield flush(held)
+
+    def compare(rows):
+        rows = rows[np.lexsort((rows["cid"], rows["id"], rows["word"]))]
+        word, cid, pos, n = (rows[c].astype(np.int64) for c in ("word", "cid", "pos", "n"))
+        x, y = rows["x"].copy(), rows["y"].copy()
         starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         sizes = np.diff(np.append(starts, len(word)))
-        left = np.repeat(sizes, sizes) - (np.arange(len(word)) - np.repeat(starts, sizes))  # rows to the end of the word
+        crowded = word[starts[sizes > CROWDED]]
+        rest = np.repeat(sizes, sizes) - (np.arange(len(word)) - np.repeat(starts, sizes))  # rows to the end of the word
         count = np.zeros(len(word), dtype=np.int32)
-        out, step = [], 0
-        at = np.flatnonzero(left > 1)
+        out, step = [(np.zeros(0, np.int64),) * 2], 0
+        at = np.flatnonzero((rest > 1) & np.repeat(sizes <= CROWDED, sizes))
         while len(at):
             step += 1
-            at = at[left[at] > step]
+            at = at[rest[at] > step]
             later = at + step
-            fair = (100 * np.minimum(n[at], n[later]) >= least * np.maximum(n[at], n[later])) & ask[later] & (cid[at] != cid[later])
-            i, j = at[fair], later[fair]
-            good = _passing(n[j], n[i], pos[j], pos[i], np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64), least)
+            near = 100 * np.minimum(n[at], n[later]) >= least * np.maximum(n[at], n[later])
+            i, j = at[near], later[near]
+            apart = np.bitwise_count(x[i] ^ x[j]).astype(np.int64) + np.bitwise_count(y[i] ^ y[j])
+            good = _passing(n[j], n[i], pos[j], pos[i], apart, least) & (cid[i] != cid[j])
             i, j = i[good], j[good]
             count[j] += 1
-            if named is not None:
-                few = count[j] <= named
-                i, j = i[few], j[few]
-            out.append((i, j))
-        if not out:
-            return
+            few = count[j] <= NAMED
+            out.append((i[few], j[few]))
         i, j = (np.concatenate(v) for v in zip(*out))
-        more = count[j] > named if named is not None else np.zeros(len(j), dtype=bool)
-        yield pa.RecordBatch.from_arrays([pa.array(cid[j]), pa.array(cid[i]), pa.array(more)], ["cid", "other", "more"])
+        pairs = len(i)
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([pa.array(cid[j]), pa.nulls(len(crowded), pa.int64())]),
+            pa.concat_arrays([pa.array(cid[i]), pa.nulls(len(crowded), pa.int64())]),
+            pa.array(np.append(count[j] > NAMED, np.zeros(len(crowded), bool))),
+            pa.array(np.append(word[i], crowded), mask=np.append(np.ones(pairs, bool), np.zeros(len(crowded), bool))),
+        ], ["cid", "other", "more", "word"])
 
     def run(batches):
-        held = []
-
-        def columns(parts):
-            return [np.concatenate(c) for c in zip(*parts)]
-
+        current, held = None, []
         for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            if sum(len(h[0]) for h in held) < COMPARED:
-                continue
-            word, *rest = columns(held)
-            cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
-            if cut:
-                yield from compare(word[:cut], *[c[:cut] for c in rest])
-            held = [[c[cut:] for c in (word, *rest)]]
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != current and held:
+                    yield compare(np.concatenate(held))
+                    held = []
+                current = bucket
+                held.append(np.frombuffer(data.as_buffer(), dtype=ENTRY))
         if held:
-            parts = columns(held)
-            if len(parts[0]):
-                yield from compare(*parts)
+            yield compare(np.concatenate(held))
 
-    dealt = entries.repartition("word").sortWithinPartitions("word", "_id", "cid")
-    return dealt.select("word", "cid", "pos", "n", "x", "ask").mapInArrow(run, "cid bigint, other bigint, more boolean").groupBy("cid", "other").agg(
-        F.max(F.col("more").cast("int")).alias("more")
+    whole = dict(classes.dtypes)["_id"] in ("bigint", "int", "smallint", "tinyint")
+    ids = F.col("_id").cast("long") if whole else F.lit(0).cast("long")
+    packed = classes.where(F.size("prefix") > 0).select("prefix", ids, "cid", "n", "x", "y").mapInArrow(
+        pack, "bucket int, data binary"
     )
+    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInArrow(run, "cid bigint, other bigint, more boolean, word bigint")
+    return found.groupBy("cid", "other", "word").agg(F.max(F.col("more").cast("int")).alias("more"))
 
 
 def candidates(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
     """Distinct (cid, other) under a frequent word that pass all filters; ``other`` comes first."""
     hub = earlier.select(
         "word", F.struct("_id", "cid").alias("before"), F.col("cid").alias("other"), F.col("n").alias("m"),
-        F.col("pos").alias("at"), F.col("x").alias("u"),
+        F.col("pos").alias("at"), F.col("x").alias("u"), F.col("y").alias("v"),
     )
-    met = skew_join(later, hub, ["word"])
+    if fits(later):
+        met = hub.join(F.broadcast(later), "word")
+    else:
+        met = skew_join(later, hub, ["word"])
     both = F.col("n") + F.col("m")
     shared = F.ceil(F.lit(least) * both / F.lit(100 + least))
+    apart = F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) + F.bit_count(F.col("y").bitwiseXOR(F.col("v")))
     passing = (
         (F.col("before") < F.struct("_id", "cid"))
         & (F.lit(100) * F.least("n", "m") >= F.lit(least) * F.greatest("n", "m"))
         & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) >= shared)
-        & (F.bit_count(F.col("x").bitwiseXOR(F.col("u"))) <= both - F.lit(2) * shared)
+        & (apart <= both - F.lit(2) * shared)
     )
     return met.where(passing).select("cid", "other").distinct()
 
@@ -293,26 +345,28 @@ def settled(pairs: DataFrame, sets_of, least: int) -> DataFrame:
     return written(good.select(F.col("i").alias("cid")).distinct(), "line-matches")
 
 
-def matches_by_name(entries: DataFrame, sets_of, least: int) -> DataFrame:
-    """(cid) of classes with an earlier match under a word that is not frequent."""
-    pairs = written(named_pairs(entries.withColumn("ask", F.lit(True)), least, NAMED), "line-pairs")
+def matches_by_name(classes: DataFrame, entries: DataFrame, sets_of, least: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """(cid) of classes with an earlier match under a word, and the (word) that are too crowded for it."""
+    named = written(named_pairs(classes, least, parts), "line-pairs")
+    pairs = named.where(F.col("cid").isNotNull())
+    crowded = written(named.where(F.col("cid").isNull()).select("word").distinct(), "line-crowded")
     matched = settled(pairs, sets_of, least)
     rest = pairs.where(F.col("more") == 1).select("cid").distinct().join(matched, "cid", "left_anti")
     rest = written(rest, "line-rest")
     if rest.isEmpty():
-        return matched
-    asking = lookup(entries, rest.withColumn("ask", F.lit(True)), ["cid"], "left").withColumn("ask", F.col("ask").isNotNull())
-    words = written(asking.where("ask").select("word").distinct(), "line-words")
-    fresh = named_pairs(lookup(asking, words, ["word"]), least, None).join(pairs, ["cid", "other"], "left_anti")
-    return matched.unionByName(settled(written(fresh, "line-pairs"), sets_of, least)).distinct()
+        return matched, crowded
+    asking = written(lookup(entries, rest, ["cid"]).join(broadcast_if_small(crowded), "word", "left_anti"), "line-asking")
+    fresh = candidates(asking, entries, least).join(pairs, ["cid", "other"], "left_anti")
+    more = settled(written(fresh, "line-pairs"), sets_of, least)
+    return matched.unionByName(more).distinct(), crowded
 
 
 def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFrame) -> DataFrame:
     """``matched`` and the (cid) of classes with an earlier match under a frequent word.
 
-    ``members`` is (word, _id, cid, pos, n, x), written down.
+    ``members`` is (word, _id, cid, pos, n, x, y), written down.
     """
-    first = F.min(F.struct("_id", "cid", "pos", "n", "x"))
+    first = F.min(F.struct("_id", "cid", "pos", "n", "x", "y"))
     lead = members.groupBy("word").agg(first.alias("h"), F.count("*").alias("size"))
     lead = written(lead.where(F.col("size") > 1).select("word", "h.*", "size"), "line-leads")
     if lead.isEmpty():
@@ -363,9 +417,9 @@ def removed_lines(
     classes = marked.where(F.col("lead").isNull() | (F.col("cid") == F.col("lead.cid")))
 
     def entries(column: str) -> DataFrame:
-        flat = classes.select(F.explode(column).alias("e"), "_id", "cid", "n", "x")
+        flat = classes.select(F.explode(column).alias("e"), "_id", "cid", "n", "x", "y")
         word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
-        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x")
+        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y")
 
     def sets_of(cids: DataFrame) -> DataFrame:
         asked = lookup(lines.select("cid", "_id", "_ref", "line"), written(cids, "line-cids"), ["cid"])
@@ -376,8 +430,10 @@ def removed_lines(
         found = held.select(F.explode(_chosen_sets(codes)(F.col("t"), F.col("at"), F.col("cids"))).alias("s"))
         return found.select("s.cid", "s.set")
 
-    matched = matches_by_name(entries("prefix"), sets_of, least)
-    matched = matches_in_rounds(written(entries("frequent"), "line-entries"), sets_of, least, matched)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    matched, crowded = matches_by_name(classes, entries("prefix"), sets_of, least, parts)
+    many = entries("frequent").unionByName(lookup(entries("prefix"), crowded, ["word"]))
+    matched = matches_in_rounds(written(many, "line-entries"), sets_of, least, matched)
     names = lookup(lines.select("cid", "node"), matched, ["cid"]).select("node", F.lit(True).alias("matched"))
     # A repeated row has the place of its first; only lines at another place come later.
     same = F.col("_id").eqNullSafe(F.col("lead._id")) & (F.col("_ref") == F.col("lead._ref")) & (F.col("line") == F.col("lead.line"))

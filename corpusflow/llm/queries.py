@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import chat, licenses, lines, minhash, sharding
+from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, sharding
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,37 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_language")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    apart = language.held_out(F.col("doc_id"))
+    model = language.fit(docs.where(~apart))
+    found = docs.select("doc_id", apart.alias("held_out"), language.predict(docs, model).alias("p"))
+    return found.select(
+        "doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"),
+        F.col("p.ambiguous").alias("ambiguous"),
+    )
+
+
+def vocabulary() -> str:
+    """Where the public tokenizer file lies; the only place that names it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op6_bpe")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    encode, decode = bpe.encoder(spark, vocabulary()), bpe.decoder(spark, vocabulary())
+    coded = docs.select("doc_id", encode(F.col("text")).alias("ids"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op8_licenses")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses_of(table(spark, folder, "documents"))
