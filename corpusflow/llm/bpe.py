@@ -9,7 +9,8 @@ words are encoded once per cache.
 The vocabulary is a public tokenizer file (a parameter); it is read by the driver and sent to the tasks.
 
 Defined cases: a null text is empty and has no tokens; special strings in a text are their special tokens;
-no tokens decode to an empty text; an unknown id raises. Decoding joins the tokens' names by blanks, which is
+no tokens decode to an empty text; an unknown id raises. Letters that are newer than Unicode 15.1, the
+version of Python's tables, may be cut or lower-cased differently from other libraries. Decoding joins the tokens' names by blanks, which is
 what the file defines. Columns beside the text are passed through by the caller.
 """
 

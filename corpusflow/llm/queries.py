@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, sharding
+from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, sharding, tiling
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,15 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_tiling")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = tiling.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", F.col("item").alias("item_id"), F.col("n_words").cast("long").alias("n_words"),
+        F.col("covered").cast("long").alias("covered"), F.size("tiles").cast("long").alias("n_tiles"),
+    )
+
+
 @query("op8_licenses")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses_of(table(spark, folder, "documents"))
