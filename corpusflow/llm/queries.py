@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, sharding, tiling
+from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, repeats, sharding, tiling, vectors
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op2_repeats")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, folder, "documents"))
+
+
+@query("op3_vectors")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.components(table(spark, folder, "embeddings"))
+
+
 @query("op4_lines")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     done = lines.dedup_lines(table(spark, folder, "documents"))
