@@ -29,8 +29,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words kept by a task before it forgets them all.
-CACHED_WORDS = 1 << 18
-#: Characters of texts that are cut into words together.
+CACHED_WORDS = 1 << 17
+#: Bytes of texts that are cut into words together.
 BLOCK = 1 << 20
 NEVER = np.iinfo(np.int64).max
 
@@ -78,9 +78,13 @@ def load(path: str) -> dict:
         "text": text, "specials": specials, "inner": inner, "final": final, "rank": rank, "left": left, "right": right,
         "pair": (merges[:, 0] << 32) | merges[:, 1], "pair_rank": merges[:, 2],
         "merge": {(a, b): (i, token) for a, b, i, token in pairs},
-        "longest": max(map(len, chain(inner, final))),
     }
     out["sound"] = _sound(out, twice)
+    # The longest token that begins with two given bytes; a single byte alone ends a word.
+    reach: dict[bytes, int] = {}
+    for raw in chain(inner, final):
+        reach[raw[:2]] = max(reach.get(raw[:2], 1), len(raw))
+    out["reach"] = reach
     return out
 
 
@@ -129,14 +133,14 @@ def _sound(tables: dict, twice: set[int]) -> np.ndarray:
 
 def greedy(tables: dict, word: bytes) -> list[int]:
     """The longest token at each place; tokens that reach the end are word ends."""
-    inner, final, longest = tables["inner"], tables["final"], tables["longest"]
+    inner, final, reach = tables["inner"], tables["final"], tables["reach"]
     out, at, size = [], 0, len(word)
     while at < size:
-        token = final.get(word[at:]) if size - at <= longest else None
-        if token is not None:
-            out.append(token)
+        most = reach.get(word[at: at + 2], 1)
+        if size - at <= most and word[at:] in final:
+            out.append(final[word[at:]])
             break
-        stop = min(size - 1, at + longest)
+        stop = min(size - 1, at + most)
         while stop > at + 1 and word[at:stop] not in inner:
             stop -= 1
         out.append(inner[word[at:stop]])
@@ -148,12 +152,19 @@ def merged(tables: dict, word: bytes) -> list[int]:
     """Exact merging, the lowest rank first and leftmost among equals."""
     inner, final, merge = tables["inner"], tables["final"], tables["merge"]
     parts = [inner[word[i: i + 1]] for i in range(len(word) - 1)] + [final[word[-1:]]]
-    while len(parts) > 1:
-        found = [(merge[p][0], i) for i, p in enumerate(zip(parts, parts[1:])) if p in merge]
-        if not found:
+    none = (NEVER, -1)
+    ways = [merge.get(pair, none) for pair in zip(parts, parts[1:])]
+    while ways:
+        best = min(ways)
+        if best is none:
             break
-        i = min(found)[1]
-        parts[i: i + 2] = [merge[(parts[i], parts[i + 1])][1]]
+        i = ways.index(best)
+        parts[i: i + 2] = [best[1]]
+        del ways[i]
+        if i:
+            ways[i - 1] = merge.get((parts[i - 1], parts[i]), none)
+        if i < len(ways):
+            ways[i] = merge.get((parts[i], parts[i + 1]), none)
     return parts
 
 
@@ -203,32 +214,37 @@ def encoder(spark: SparkSession, path: str):
     def encode(texts: pa.Array) -> pa.Array:
         known = tables.value
         special = re.compile("(" + "|".join(map(re.escape, known["specials"])) + ")") if known["specials"] else NOTHING
-        rows, parts, low = texts.to_pylist(), [], 0
-        while low < len(rows):
-            high, size = low, 0
-            while high < len(rows) and (high == low or size < BLOCK):
-                size += len(rows[high] or "")
-                high += 1
-            parts.append(block(known, [cut(row or "", special) for row in rows[low:high]]))
+        parts, low = [], 0
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        while low < len(texts):
+            done = ends[low - 1] if low else 0
+            high = max(int(np.searchsorted(ends, done + BLOCK, side="right")), low + 1)
+            rows = texts.slice(low, high - low).to_pylist()
+            parts.append(block(known, [cut(row or "", special) for row in rows]))
             low = high
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
-    state: dict = {"place": {}, "ids": [], "sizes": []}
+    def forget() -> dict:
+        return {"place": {}, "flat": np.zeros(0, np.int32), "sizes": np.zeros(0, np.int64)}
+
+    state = forget()
 
     def block(known: dict, cuts: list[list[str]]) -> pa.Array:
         if len(state["place"]) > CACHED_WORDS:
-            state.update(place={}, ids=[], sizes=[])
-        place, ids = state["place"], state["ids"]
+            state.update(forget())
+        place = state["place"]
         new = [w for w in dict.fromkeys(chain.from_iterable(cuts)) if w not in place]
-        plain = [w for w in new if w not in known["specials"]]
-        found = dict(zip(plain, encode_words(known, [w.encode() for w in plain])))
-        for word in new:
-            place[word] = len(ids)
-            ids.append(found[word] if word in found else [known["specials"][word]])
-        # Flat tokens of all known words, then one gather for all texts.
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
+        special = known["specials"]
+        plain = [w for w in new if w not in special]
+        rest = [w for w in new if w in special]
+        found = encode_words(known, [w.encode() for w in plain]) + [[special[w]] for w in rest]
+        place.update(zip(plain + rest, range(len(place), len(place) + len(new))))
+        more = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        tokens_of = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(more.sum()))
+        sizes = state["sizes"] = np.append(state["sizes"], more)
+        flat = state["flat"] = np.append(state["flat"], tokens_of)
         starts = np.cumsum(sizes) - sizes
+        # One gather for all texts.
         counts = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
         at = np.fromiter(map(place.__getitem__, chain.from_iterable(cuts)), dtype=np.int64, count=int(counts.sum()))
         own = sizes[at]
@@ -237,7 +253,8 @@ def encoder(spark: SparkSession, path: str):
         edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(tokens))
 
-    return F.arrow_udf(encode, "array<int>")
+    # Marked so that a plan that uses the tokens more than once does not encode more than once.
+    return F.arrow_udf(encode, "array<int>").asNondeterministic()
 
 
 def decoder(spark: SparkSession, path: str):
