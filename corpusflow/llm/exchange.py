@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Buckets per shuffle partition; a task holds one bucket at a time.
-BUCKETS = 16
+#: Buckets per shuffle partition; a task holds one bucket at a time, so set as many shuffle partitions
+#: that a partition's records fit in memory.
+BUCKETS = 2
 #: Records that a task gathers before it packs them.
 HELD = 1 << 20
 
