@@ -45,7 +45,7 @@ FREQUENT = 1 << 16
 #: So are words with more classes than this: all pairs under fewer are compared where they are.
 CROWDED = 1 << 12
 #: Buckets of words per shuffle partition, and entries that a task packs at a time.
-BUCKETS, PACKED_ENTRIES = 16, 1 << 20
+BUCKETS, PACKED_ENTRIES = 2, 1 << 20
 #: Candidates that a class names under a word at first.
 NAMED = 1
 #: Classes per frequent word that the others meet in the first round, and their growth per round.
