@@ -107,7 +107,7 @@ def codewords(k: int) -> np.ndarray:
             if abs(sum(column)) < k and column not in seen:
                 seen |= {column, tuple(-c for c in column)}
                 columns.append(column)
-    return np.array(columns, dtype=np.float64).reshape(-1, k).T
+    return np.array(columns, dtype=np.float64).reshape(len(columns), k).T
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
