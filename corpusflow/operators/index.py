@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, div, seeded_digest
 from corpusflow.functions.text import let
-from corpusflow.operators.sizing import lookup, settle
+from corpusflow.operators.sizing import broadcast_if_small, settle
 from corpusflow.session import checkpointed
 
 ROWS_PER_BUCKET = 65_536
@@ -99,13 +99,16 @@ def prefix_sums(
     """Add the sum of ``weight`` over all earlier rows (of the same ``partition``).
 
     Without a weight every row counts 1, which makes ``out`` the 0-based position. ``order`` must
-    tell any two rows of a partition apart. Partitions of any size are cut into buckets as well.
+    tell any two rows of a partition apart. Partitions of any size are cut into buckets as well. A
+    null weight counts 0.
     """
     order, partition = list(order), list(partition)
     keys = partition + [c for c in order if c not in partition]
     value = F.lit(1).cast("long") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight
     )
+    if weight is not None:
+        value = F.coalesce(value, F.lit(0))
     rows = df.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket)) if rows else 1
     cut_by, edges = _edges(df, keys, rows, buckets) if buckets > 1 else (keys, [])
@@ -204,8 +207,10 @@ def shard_files_floor(
         per_shard > 0, F.least(div("_index", F.greatest(per_shard, F.lit(1))), F.lit(n - 1))
     ).otherwise(F.lit(n - 1))
     shard = F.lit(first_shard) + F.col("_chunk") * F.lit(n) + position
+    # Files without a chunk are a chunk of their own.
+    chunks = broadcast_if_small(chunks.withColumnRenamed(chunk, "_of"))
     return (
-        lookup(indexed, chunks, [chunk])
+        indexed.join(chunks, F.col(chunk).eqNullSafe(F.col("_of")))
         .withColumn(out, shard.cast("long"))
         .select(*files.columns, out)
     )

@@ -130,8 +130,9 @@ def normalize_weights(weights: DataFrame, weight: str = "weight", out: str = "sh
 
 
 def quotas(weights: DataFrame, n: int, key: str = "source", weight: str = "weight") -> DataFrame:
-    """(key, quota) with sum ``n`` by largest remainder, ties by name."""
-    shared = normalize_weights(weights.select(key, weight), weight, "_share")
+    """(key, quota) with sum ``n`` by largest remainder, ties by name; a null or negative weight counts 0."""
+    least = F.greatest(F.coalesce(F.col(weight), F.lit(0)), F.lit(0)).alias(weight)
+    shared = normalize_weights(weights.select(key, least), weight, "_share")
     exact = shared.withColumn("_exact", F.col("_share") * F.lit(n)).withColumn(
         "_floor", F.floor("_exact").cast("long")
     )
@@ -157,10 +158,14 @@ def mix(
     """``n`` rows in proportion to the weights of their sources, drawn in a seeded order.
 
     A source with a quota above its size is repeated whole and then once more in part; ``copy``
-    counts the repeats. Sources without a weight, or without documents, give nothing.
+    counts the repeats. Sources without a positive weight, or without documents, give nothing and
+    leave their share to the others; if none is left, the call raises.
     """
-    sizes = docs.groupBy(key).agg(F.count("*").alias("_size"))
-    sizes = checkpointed(sizes.join(quotas(weights, n, key, weight), key).where(F.col("quota") > 0))
+    sizes = checkpointed(docs.groupBy(key).agg(F.count("*").alias("_size")))
+    usable = checkpointed(weights.where(F.col(weight) > 0).join(sizes, key, "left_semi"))
+    if n > 0 and usable.isEmpty():
+        raise ValueError("no source has both documents and a positive weight")
+    sizes = checkpointed(sizes.join(quotas(usable, n, key, weight), key).where(F.col("quota") > 0))
     drawn = lookup(docs, sizes, [key]).withColumn("_digest", seeded_digest(seed, *ids))
     ranked = prefix_sums(drawn, ["_digest", *ids], partition=[key], out="_rank", **options)
     whole = div("quota", "_size")
@@ -184,10 +189,12 @@ def interleave(
 ) -> DataFrame:
     """Blend order in which every prefix follows the shares.
 
-    Row ``k`` of a source stands at ``(k + 0.5) / share``; equal places are ordered by source.
+    Row ``k`` of a source stands at ``(k + 0.5) / share``; equal places are ordered by source. Rows of
+    a source without a positive share come after all others.
     """
-    known = lookup(mixed, checkpointed(shares.select(key, F.col(share).alias("_share"))), [key])
-    placed = known.withColumn("_at", (F.col(place) + F.lit(0.5)) / F.col("_share"))
+    known = lookup(mixed, checkpointed(shares.select(key, F.col(share).alias("_share"))), [key], "left")
+    at = F.try_divide(F.col(place) + F.lit(0.5), F.col("_share"))
+    placed = known.withColumn("_at", F.when(F.col("_share") > 0, at).otherwise(F.lit(float("inf"))))
     return global_index(placed, ["_at", key, place], out=out, **options).drop("_at", "_share")
 
 

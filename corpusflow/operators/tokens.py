@@ -168,11 +168,3 @@ def pack_sequences(
     joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda p: p["piece"]))
     packed = pieces_of.groupBy("seq").agg(joined.alias("tokens"))
     return packed.where(F.size("tokens") == F.lit(length + extra))
-
-
-def merge_tokenized(parts: Sequence[DataFrame], seed: int, ids: Sequence[str]) -> DataFrame:
-    """All tokenized parts in one seeded order."""
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return shuffle_seeded(merged, seed, ids)

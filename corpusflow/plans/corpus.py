@@ -14,6 +14,7 @@ from corpusflow.operators.dedup import document_bands, near_duplicates, remove_i
 from corpusflow.operators.generations import align_by_position, clean_solutions
 from corpusflow.operators.mixture import manifest_path, shard_size, weights_override_first_shard
 from corpusflow.operators.rows import filter_min_score
+from corpusflow.operators.sizing import broadcast_if_small
 
 
 def clean_corpus(
@@ -30,8 +31,9 @@ def clean_corpus(
     # Texts are read here for the band keys and once more for the result; only ids and keys are
     # written down in between.
     bands = document_bands(decontaminate(scored, strings, text, doc_id), text, doc_id)
-    kept = remove_ids(bands.select(doc_id), near_duplicates(bands, doc_id).select(doc_id), doc_id)
-    return docs.join(kept, doc_id, "left_semi")
+    removed = broadcast_if_small(near_duplicates(bands, doc_id).select(doc_id))
+    # The cheap filters run again, so that only the ids to remove meet the texts.
+    return remove_ids(decontaminate(scored, strings, text, doc_id), removed, doc_id)
 
 
 def weighted_manifest(
