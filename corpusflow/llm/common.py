@@ -125,6 +125,15 @@ def hash_words(
     return joined(hashes, np.uint64), first, np.searchsorted(first, offsets), joined(cuts, np.int64)
 
 
+def row_blocks(texts: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of consecutive rows with about ``size`` bytes, one row at least."""
+    offsets, low = flat_bytes(texts)[1], 0
+    while low < len(texts):
+        high = max(int(np.searchsorted(offsets, offsets[low] + size, side="right")) - 1, low + 1)
+        yield low, texts.slice(low, high - low)
+        low = high
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams at every position of one sequence; a shorter one counts as one."""
     n = min(n, len(words))

@@ -35,7 +35,7 @@ from corpusflow.llm.common import written
 from corpusflow.operators.sizing import broadcast_if_small, fits, lookup, skew_join
 
 #: Counters of the rarity table: one byte each in every worker, whatever the vocabulary.
-COUNTERS = 1 << 24
+COUNTERS = 1 << 22
 #: Counters that travel together.
 PACKED = 1 << 16
 #: Words of texts that are sorted together.
@@ -45,7 +45,7 @@ FREQUENT = 1 << 16
 #: So are words with more classes than this: all pairs under fewer are compared where they are.
 CROWDED = 1 << 12
 #: Buckets of words per shuffle partition, and entries that a task packs at a time.
-BUCKETS, PACKED_ENTRIES = 2, 1 << 20
+BUCKETS, PACKED_ENTRIES = 2, 1 << 18
 #: Candidates that a class names under a word at first.
 NAMED = 1
 #: Classes per frequent word that the others meet in the first round, and their growth per round.
@@ -66,8 +66,9 @@ def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndar
     def count(batches):
         total = np.zeros(counters, dtype=np.int32)
         for batch in batches:
-            words = common.hash_words(batch.column(0))[0]
-            np.add.at(total, (words & np.uint64(counters - 1)).astype(np.int64), 1)
+            for _, texts in common.row_blocks(batch.column(0)):
+                words = common.hash_words(texts)[0]
+                np.add.at(total, (words & np.uint64(counters - 1)).astype(np.int64), 1)
         used = np.flatnonzero(total)
         for low in range(0, len(used), PACKED):
             part = used[low: low + PACKED]
@@ -93,6 +94,16 @@ def _line_sets(texts: pa.Array, codes: np.ndarray, asked=None):
 
     ``asked`` (text, line) restricts them to some lines.
     """
+    for low, part in common.row_blocks(texts):
+        own = None
+        if asked is not None:
+            inside = (asked[0] >= low) & (asked[0] < low + len(part))
+            own = asked[0][inside] - low, asked[1][inside]
+        for text, *rest in _block_line_sets(part, codes, own):
+            yield text + low, *rest
+
+
+def _block_line_sets(texts: pa.Array, codes: np.ndarray, asked=None):
     words, first, edges, cuts = common.hash_words(texts, breaks=0x0A)
     offsets = common.flat_bytes(texts)[1]
     owner = np.repeat(np.arange(len(texts)), np.diff(edges))
