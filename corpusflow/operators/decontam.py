@@ -94,14 +94,18 @@ def flag_contaminated(
     out: str = "keep",
     max_bytes: int = AUTOMATON_BYTES,
 ) -> DataFrame:
-    """Add a flag that is true for documents without any benchmark string (null text is kept)."""
+    """Add a flag that is true for documents without any benchmark string (null text is kept).
+
+    The flag of a row comes from its text alone, however long the list is and whatever ``doc_id`` it has.
+    """
     patterns = _patterns(strings, string)
     if _pattern_bytes(patterns) <= max_bytes:
         entries = [(i, row["pattern"]) for i, row in enumerate(patterns.collect())]
         flagged = _hits_small(docs, text, entries, any_hit=True)
         return flagged.withColumn(out, F.col("_hit").isNull()).drop("_hit")
-    hit = settle(contained_ids(docs, strings, text, doc_id, string, max_bytes).withColumn("_hit", F.lit(True)))
-    return docs.join(hit, doc_id, "left").withColumn(out, F.col("_hit").isNull()).drop("_hit")
+    hit = settle(contaminated_texts(docs, strings, text, string, max_bytes).withColumn("_hit", F.lit(True)))
+    keyed = docs.withColumn("_key", text_key(text))
+    return keyed.join(hit, "_key", "left").withColumn(out, F.col("_hit").isNull()).drop("_hit", "_key")
 
 
 def decontaminate(
@@ -157,7 +161,7 @@ def contained_ids_by_anchor(
     # Only runs that occur in some pattern go on; they are few. A list of runs that fits the
     # executors is sent there, and then no run of a document is shuffled.
     wanted = broadcast_if_small(runs.select("_h").distinct(), RUN_ROWS, RUN_BYTES)
-    met = checkpointed(shingles.join(wanted, "_h", "left_semi"))
+    met = checkpointed(shingles.join(wanted, "_h", "left_semi").distinct())
     spread = met.groupBy("_h").agg(F.count("*").alias("_docs"))
     anchors = (
         runs.join(spread, "_h", "left")
@@ -175,7 +179,7 @@ def contained_ids_by_anchor(
     # Candidates are few: their texts are picked out by a broadcast of ids where that is possible.
     candidates = broadcast_if_small(pairs.select(F.col("_id").alias(doc_id)).distinct())
     picked = docs.select(doc_id, text).join(candidates, doc_id, "left_semi")
-    texts = picked.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
+    texts = picked.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text")).distinct()
     both = skew_join(with_pattern, texts, ["_id"], rows=rows)
     verified = both.where(F.contains("_text", "pattern"))
     return verified.select(F.col("_id").alias(doc_id)).distinct()
@@ -207,11 +211,25 @@ def contained_ids(
     return ids.distinct()
 
 
+def text_key(text: str) -> Column:
+    """What a verdict belongs to: 128 bits of the lower-cased text, null for a null one."""
+    return F.md5(F.lower(F.col(text)))
+
+
+def contaminated_texts(
+    docs: DataFrame, strings: DataFrame, text: str, string: str = "string", max_bytes: int = AUTOMATON_BYTES
+) -> DataFrame:
+    """Distinct keys of texts that contain a string, as (_key)."""
+    keyed = docs.select(text_key(text).alias("_key"), F.col(text).alias("_whole"))
+    return contained_ids(keyed, strings, "_whole", "_key", string, max_bytes)
+
+
 def decontaminate_anchored(
     docs: DataFrame, strings: DataFrame, text: str, doc_id: str, string: str = "string"
 ) -> DataFrame:
     """``decontaminate`` by the shuffled join, whatever the length of the list."""
-    return docs.join(settle(contained_ids(docs, strings, text, doc_id, string)), doc_id, "left_anti")
+    hit = settle(contaminated_texts(docs, strings, text, string))
+    return docs.withColumn("_key", text_key(text)).join(hit, "_key", "left_anti").drop("_key")
 
 
 def contamination_hits(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import div, pass_at_k
-from corpusflow.functions.text import STOP_STRINGS, clean_all, let, starts_with_prompt, turn_piece
+from corpusflow.functions.text import STOP_STRINGS, clean_all, let, render_messages, starts_with_prompt
 from corpusflow.operators.index import global_index
 
 TURNS_PER_BLOCK = 1_000
@@ -46,7 +46,7 @@ def clean_solutions(
     )
 
 
-def nest_in_blocks(
+def nest(
     rows: DataFrame,
     keys: Sequence[str],
     position: str,
@@ -54,18 +54,25 @@ def nest_in_blocks(
     out: str = "items",
     block_size: int = TURNS_PER_BLOCK,
 ) -> DataFrame:
-    """(keys, block, items): values of each key in order of ``position``.
+    """(keys, items): the values of each key in order of ``position``, one row per key.
 
-    A key with positions beyond ``block_size`` has several rows, so that no group grows without
-    bound; ``block`` orders them. Positions are whole numbers, one row each.
+    Values are gathered by blocks of positions first, so that a long key is sorted in pieces, and the
+    blocks of a key then join in order. Positions are whole numbers; null ones come last.
     """
     block = div(F.col(position).cast("long"), block_size)
-    listed = F.array_sort(F.collect_list(F.struct(F.col(position), value.alias("_v"))))
-    return (
-        rows.withColumn("block", block)
-        .groupBy(*keys, "block")
-        .agg(F.transform(listed, lambda r: r["_v"]).alias(out))
+    # The flag puts null positions behind all others.
+    listed = F.array_sort(
+        F.collect_list(F.struct(F.col(position).isNull().alias("_last"), F.col(position).alias("_p"), value.alias("_v")))
     )
+    gathered = (
+        rows.withColumn("_block", block)
+        .groupBy(*keys, "_block")
+        .agg(F.transform(listed, lambda r: r["_v"]).alias("_items"))
+    )
+    blocks = F.array_sort(
+        F.collect_list(F.struct(F.col("_block").isNull().alias("_last"), F.col("_block"), F.col("_items")))
+    )
+    return gathered.groupBy(*keys).agg(F.flatten(F.transform(blocks, lambda b: b["_items"])).alias(out))
 
 
 def render_chat(
@@ -77,17 +84,13 @@ def render_chat(
     preamble: str | None = None,
     block_size: int = TURNS_PER_BLOCK,
 ) -> DataFrame:
-    """(keys, block, prompt): the chat of each key as one string.
+    """(keys, prompt): the chat of each key as one string.
 
-    A chat longer than ``block_size`` turns comes in consecutive blocks; only the first opens with
-    the start mark, so the blocks join to the whole. Turns count up from 0.
+    It opens with the start mark, and its first turn holds the preamble, whatever that turn's number.
     """
-    piece = F.concat(
-        F.when(F.col(turn) == 0, F.lit("<s>")).otherwise(F.lit("")),
-        turn_piece(role, text, F.col(turn) == 0, preamble),
-    )
-    nested = nest_in_blocks(turns, keys, turn, piece, "_pieces", block_size)
-    return nested.select(*keys, "block", F.array_join("_pieces", "").alias("prompt"))
+    said = F.struct(F.col(role).alias("role"), F.col(text).alias("text"))
+    nested = nest(turns, keys, turn, said, "_messages", block_size)
+    return nested.select(*keys, render_messages("_messages", preamble).alias("prompt"))
 
 
 def pass_rates(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -44,15 +45,16 @@ def build_vocab(df: DataFrame, text: str, size: int | None = None, **options) ->
 def _lookup(spark, tokens: list[str], ids: list[int], unknown: int):
     shared = spark.sparkContext.broadcast((tokens, np.asarray(ids + [unknown], dtype=np.int64)))
 
-    def encode(lists: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, numbers = shared.value
-        first, last = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
-        flat = lists.values.slice(first, last - first)
-        found = pc.index_in(flat, value_set=pa.array(known, type=flat.type))
-        # The last entry of ``numbers`` is that of unknown tokens.
-        position = pc.fill_null(found, len(known)).to_numpy(zero_copy_only=False)
-        offsets = pc.subtract(lists.offsets, first)
-        return pa.ListArray.from_arrays(offsets, pa.array(numbers[position]))
+        # One table for all batches of a task. Tokens it lacks have place -1, the last number.
+        places = pd.Index(known, dtype=object)
+        for lists in batches:
+            flat = lists.flatten().dictionary_encode()
+            distinct = places.get_indexer(flat.dictionary.to_pylist()) if len(places) else np.full(len(flat.dictionary), -1)
+            found = numbers[distinct][flat.indices.to_numpy()]
+            offsets = pc.subtract(lists.offsets, lists.offsets[0])
+            yield pa.ListArray.from_arrays(offsets, pa.array(found, pa.int64()))
 
     return F.arrow_udf(encode, "array<bigint>")
 
@@ -70,21 +72,24 @@ def encode(
     """Text to token ids by a vocabulary (token, id); tokens it lacks become ``unknown``.
 
     A vocabulary within the bounds goes to the tasks, and documents are neither exploded nor
-    shuffled. A larger one is joined token by token.
+    shuffled. A larger one is joined token by token, each distinct text once. Either way the tokens
+    of a row come from its text alone, whatever ``doc_id`` it has; null text has none.
     """
     vocab = vocab.select(F.col("token").alias("_token"), F.col("id").cast("long").alias("_number"))
     if fits(vocab, max_rows, max_bytes):
         rows = vocab.collect()
         lookup = _lookup(df.sparkSession, [r["_token"] for r in rows], [r["_number"] for r in rows], unknown)
         return df.withColumn(out, lookup(pieces(text)))
-    placed = checkpointed(df.select(doc_id, F.posexplode(pieces(text)).alias("_pos", "_token")))
+    key = F.md5(F.col(text)).alias("_key")
+    placed = checkpointed(df.select(key, F.posexplode(pieces(text)).alias("_pos", "_token")).distinct())
     found = skew_join(placed, vocab, ["_token"], "left")
     number = F.coalesce("_number", F.lit(unknown).cast("long"))
     ordered = F.array_sort(F.collect_list(F.struct("_pos", number.alias("n"))))
-    # One group is one document, which was a single row before.
-    encoded = found.groupBy(doc_id).agg(F.transform(ordered, lambda t: t["n"]).alias(out))
+    # One group is one text, which was a single row before.
+    encoded = checkpointed(found.groupBy("_key").agg(F.transform(ordered, lambda t: t["n"]).alias(out)))
     empty = F.array().cast("array<bigint>")
-    return df.join(encoded, doc_id, "left").withColumn(out, F.coalesce(out, empty))
+    keyed = df.drop(out).withColumn("_key", F.md5(F.col(text)))
+    return skew_join(keyed, encoded, ["_key"], "left").drop("_key").withColumn(out, F.coalesce(out, empty))
 
 
 def append_eod(tokens: ColumnOrName, eod: int) -> Column:

@@ -100,7 +100,7 @@ def _problems(spark, sf):
     )
     said = skew_join(turns.where("role = 'assistant'"), first, ["conv_id"])
     start = F.when(F.col("turn") % 4 == 1, "").otherwise("x")
-    nested = generations.nest_in_blocks(said, ["conv_id"], "turn", F.concat(start, "prompt", "text"), "completion")
+    nested = generations.nest(said, ["conv_id"], "turn", F.concat(start, "prompt", "text"), "completion")
     return skew_join(nested, first, ["conv_id"])
 
 
@@ -117,7 +117,7 @@ def clean_solutions(spark, sf):
 def write_nested_generations(spark, sf):
     path = scratch_path(spark, "generations")
     cleaned = generations.clean_solutions(_problems(spark, sf), stops=STOPS)
-    sinks.write_nested_generations(cleaned, path, "solutions", ["conv_id", "block"])
+    sinks.write_nested_generations(cleaned, path, "solutions", ["conv_id"])
     lines = spark.read.text(path).select(F.from_json("value", "array<string>").alias("s"))
     return lines.groupBy(F.md5(F.array_join("s", "\x01")).alias("solutions_md5")).agg(F.count("*").alias("n"))
 
@@ -161,23 +161,23 @@ def solutions_by_position(spark, sf):
         F.col("conv_id").alias("conv"), F.col("turn").alias("at"), F.col("text").alias("prompt")
     )
     said = turns.where("role = 'assistant'")
-    answers = generations.nest_in_blocks(said, ["conv_id"], "turn", F.col("text"), "answers")
+    answers = generations.nest(said, ["conv_id"], "turn", F.col("text"), "answers")
     # The model's output repeats its prompt, so the prompt of the position is put in front.
     numbered = global_index(asked, ["conv", "at"], out="p").select("p", "prompt")
-    placed = global_index(answers, ["conv_id", "block"], out="p").join(numbered, "p")
+    placed = global_index(answers, ["conv_id"], out="p").join(numbered, "p")
     generated = placed.select(
-        "conv_id", "block", F.transform("answers", lambda a: F.concat(F.col("prompt"), a)).alias("completion")
+        "conv_id", F.transform("answers", lambda a: F.concat(F.col("prompt"), a)).alias("completion")
     )
-    cleaned = solutions(generated, asked, ["conv_id", "block"], ["conv", "at"], STOPS)
+    cleaned = solutions(generated, asked, ["conv_id"], ["conv", "at"], STOPS)
     return cleaned.select("position", "mismatches", F.array_join("solutions", "\x01").alias("solutions"))
 
 
 def _chat_sql(preamble: str) -> str:
     return f"""
-      SELECT conv_id, 0::BIGINT AS block, '<s>' || string_agg(CASE role
-        WHEN 'user' THEN '[INST] ' || CASE WHEN turn = 0 THEN '{preamble}' ELSE '' END || ' ' || text || ' [/INST]'
+      SELECT conv_id, '<s>' || string_agg(CASE role
+        WHEN 'user' THEN '[INST] ' || CASE WHEN turn = first THEN '{preamble}' ELSE '' END || ' ' || text || ' [/INST]'
         WHEN 'assistant' THEN text || '</s> ' ELSE '' END, '' ORDER BY turn) AS prompt
-      FROM conversations GROUP BY conv_id
+      FROM (SELECT *, min(turn) OVER (PARTITION BY conv_id) AS first FROM conversations) GROUP BY conv_id
     """
 
 

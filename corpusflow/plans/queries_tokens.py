@@ -23,7 +23,7 @@ _VOCAB = (
 _ENCODED = f"""
   SELECT doc_id, string_agg(coalesce(id, -1)::VARCHAR, ' ' ORDER BY pos) AS tokens FROM (
     SELECT doc_id, unnest({PIECES_SQL}) AS token, generate_subscripts({PIECES_SQL}, 1) AS pos FROM documents)
-  LEFT JOIN (SELECT token, id FROM ({_VOCAB}) WHERE id < 300) USING (token)
+  LEFT JOIN (SELECT token, id FROM ({_VOCAB})) USING (token)
   GROUP BY doc_id
 """
 
@@ -35,7 +35,7 @@ def build_vocab(spark, sf):
 
 def _encoded(spark, sf, **options):
     docs = texts(spark, sf, "documents").select("doc_id", "text")
-    vocab = tokens.build_vocab(docs, "text", size=300)
+    vocab = tokens.build_vocab(docs, "text")
     return tokens.encode(docs, "text", vocab, "doc_id", **options)
 
 

@@ -124,15 +124,13 @@ def test_align_needs_enough_partners(spark):
         generations.align_by_position(b, a, ["y"], ["x"])
 
 
-def test_long_chats_come_in_blocks(spark):
+def test_long_chats_are_one_row(spark):
     turns = [(1, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(25)] + [(2, 0, "user", "u")]
     df = spark.createDataFrame(turns, "conv bigint, turn bigint, role string, text string").repartition(4)
     whole = {r["conv"]: r["prompt"] for r in generations.render_chat(df, ["conv"]).collect()}
-    blocks = generations.render_chat(df, ["conv"], block_size=4).orderBy("conv", "block").collect()
-    joined = {}
-    for r in blocks:
-        joined[r["conv"]] = joined.get(r["conv"], "") + r["prompt"]
-    assert joined == whole
+    blocks = generations.render_chat(df, ["conv"], block_size=4).collect()
+    assert len(blocks) == 2 and {r["conv"]: r["prompt"] for r in blocks} == whole
+    assert whole[1].startswith("<s>[INST]  t0 [/INST]t1</s> [INST]  t2 ")
     assert whole[2] == "<s>[INST]  u [/INST]"
 
 
@@ -225,3 +223,17 @@ def test_rows(spark):
     assert rows.take_first(ids, 7, 1, ["id"]).count() == 7
     shards = spark.createDataFrame([("a", 2), ("b", 0), ("c", None)], "s string, n int")
     assert [tuple(r) for r in rows.expand_shards(shards, "n").select("s", "shard").collect()] == [("a", 0), ("a", 1)]
+
+
+def test_1200_turns_and_turns_from_one(spark):
+    """A chat beyond one block is one row; the start mark and the preamble do not ask for turn 0."""
+    long = [(1, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(1200)]
+    turns = [*long, (2, 1, "user", "hi"), (2, 2, "assistant", "yo"), (None, 5, "user", "n")]
+    df = spark.createDataFrame(turns, "conv bigint, turn bigint, role string, text string").repartition(5)
+    got = {r["conv"]: r["prompt"] for r in generations.render_chat(df, ["conv"], preamble="Be.").collect()}
+    assert got[2] == "<s>[INST] Be.\n hi [/INST]yo</s> "
+    assert got[None] == "<s>[INST] Be.\n n [/INST]"
+    assert got[1].count("<s>") == 1 and got[1].count("Be.") == 1
+    assert re.findall(r"t(\d+)", got[1]) == [str(i) for i in range(1200)]
+    nested = generations.nest(df, ["conv"], "turn", F.col("text"), "items").collect()
+    assert sorted(len(r["items"]) for r in nested) == [1, 2, 1200]

@@ -97,3 +97,25 @@ def test_skew_join_splits_hot_keys(spark):
         plain = left.join(right, "k", how)
         split = skew_join(left, right, ["k"], how, hot_rows=10, hot_share=0.01)
         assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_verdicts_belong_to_texts(spark):
+    """Both paths judge rows by their text: repeated and null ids, repeated and null texts."""
+    rows = [(1, "all of the hidden test text here"), (1, "clean"), (None, "x of the hidden test text y"),
+            (None, "clean"), (2, None), (3, "clean"), (3, "clean"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    strings = spark.createDataFrame([("of the hidden test text",), ("HIDDEN",)], "string string")
+    want = sorted([(1, "clean"), (None, "clean"), (2, None), (3, "clean"), (3, "clean"), (4, "")], key=str)
+    for bound in (1, decontam.AUTOMATON_BYTES):
+        left = decontam.decontaminate(docs, strings, "text", "doc_id", max_bytes=bound)
+        assert sorted(map(tuple, left.collect()), key=str) == want
+    left = decontam.decontaminate_anchored(docs, strings, "text", "doc_id")
+    assert sorted(map(tuple, left.select("doc_id", "text").collect()), key=str) == want
+
+
+def test_common_words_around_a_run(spark):
+    docs = spark.createDataFrame([(1, "so a the b it is"), (2, "a the c"), (3, "the the the")], "doc_id int, text string")
+    strings = spark.createDataFrame([("a the b",)], "string string")
+    for bound in (1, decontam.AUTOMATON_BYTES):
+        left = decontam.decontaminate(docs, strings, "text", "doc_id", max_bytes=bound)
+        assert sorted(r["doc_id"] for r in left.collect()) == [2, 3]

@@ -81,7 +81,10 @@ def test_mix_gives_exact_counts(spark):
     assert sum(quota.values()) == 1001
     mixed = mixture.mix(docs, weights, 1001, 1, ["id"], rows_per_bucket=20)
     counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
-    assert counts == {s: q for s, q in quota.items() if q and s != "none"}
+    # A source without rows has no share: the others make up the whole mixture.
+    held = {r["source"]: r["quota"] for r in mixture.quotas(weights.where("source != 'none'"), 1001).collect()}
+    assert sum(counts.values()) == 1001
+    assert counts == {s: q for s, q in held.items() if q}
     # Copies of a source differ by one at most, and places are 0 … quota-1.
     for source in counts:
         places = sorted(r["place"] for r in mixed.where(F.col("source") == source).collect())
@@ -140,3 +143,16 @@ def test_sequences_stay_exact_beyond_one_bucket(spark):
     packed = tokens.pack_sequences(shuffled, "t", 100, ["id"], rows_per_bucket=33)
     flat = [x for i in range(500) for x in [i] * 3]
     assert {r["seq"]: r["tokens"] for r in packed.collect()} == {s: flat[s * 100: s * 100 + 101] for s in range(14)}
+
+
+def test_tokens_belong_to_texts(spark):
+    """Both paths encode rows by their text: repeated and null ids, repeated, empty and null texts."""
+    rows = [(1, "a b"), (1, "b"), (None, "a"), (2, "a b"), (3, ""), (4, None), (5, "z b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "token string, id bigint")
+    want = sorted([(1, [0, 1]), (1, [1]), (None, [0]), (2, [0, 1]), (3, []), (4, []), (5, [-1, 1])], key=str)
+    for bound in (1, tokens.VOCAB_ROWS):
+        got = tokens.encode(docs, "text", vocab, "doc_id", max_rows=bound).select("doc_id", "tokens")
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    nothing = tokens.encode(docs, "text", vocab.limit(0), "doc_id").select("tokens").collect()
+    assert sorted(len(r["tokens"]) for r in nothing) == [0, 0, 1, 1, 2, 2, 2]
