@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ from corpusflow.session import scratch_path
 
 # Bytes of text handled at a time, so that they stay in the cache; only word-level arrays outlive a chunk.
 CHUNK = 1 << 16
+# Bytes of an Arrow batch between Spark and Python. Both sides hold whole batches, and texts may be long.
+BATCH_BYTES = 8 << 20
 # Words handled at a time in shingle arithmetic.
 BLOCK_WORDS = 1 << 16
 
@@ -61,8 +64,9 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts on end and where each text begins; a null counts as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    """The bytes of all texts (or binaries) on end and where each begins; a null counts as empty."""
+    binary = pa.types.is_binary(texts.type)
+    texts = texts.cast(pa.large_binary()).fill_null(b"") if binary else texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset: texts.offset + len(texts) + 1]
     buffer = texts.buffers()[2]
     data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.zeros(0, dtype=np.uint8)
@@ -177,10 +181,25 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside exchange Arrow batches of at most BATCH_BYTES, or less where the session says so."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    digits = before.rstrip("b")
+    if digits.isdigit() and int(digits) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet in the shared folder, read again: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with short_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

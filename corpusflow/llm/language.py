@@ -112,7 +112,8 @@ def codewords(k: int) -> np.ndarray:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Languages, their codewords, and the weight of every n-gram for every bit."""
-    found = gram_counts(docs, text, lang).toArrow()
+    with common.short_batches(docs.sparkSession):
+        found = gram_counts(docs, text, lang).toArrow()
     names = sorted(set(found["lang"].to_pylist()))
     place = {name: i for i, name in enumerate(names)}
     counts = np.zeros((len(names), BUCKETS * len(SIZES)))

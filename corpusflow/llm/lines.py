@@ -83,7 +83,9 @@ def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndar
     counted = docs.select(text).mapInArrow(count, "word int, n int").groupBy("word").agg(F.sum("n").alias("n"))
     packed = counted.groupBy(F.shiftright("word", 16)).applyInArrow(pack, "block int, codes binary")
     out = np.zeros(counters, dtype=np.uint8)
-    for block, codes in packed.collect():
+    with common.short_batches(docs.sparkSession):
+        found = packed.collect()
+    for block, codes in found:
         stop = min(counters, (block + 1) * PACKED)
         out[block * PACKED: stop] = np.frombuffer(codes, dtype=np.uint8)[: stop - block * PACKED]
     return out
