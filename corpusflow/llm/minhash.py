@@ -34,6 +34,8 @@ from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
 BANDS, ROWS = 36, 5
 #: Distinct shingles whose minima are taken together; their 32-bit places stay in the cache.
 CACHED = 1 << 15
+#: Cells into which the shingles of a set are counted, and the highest count.
+CELLS, FULL = 256, 255
 #: Rounds with one hub per bucket; hubs per bucket in the round after them, and their growth per round.
 STARS, HUBS, GROWTH = 4, 8, 4
 
@@ -116,7 +118,7 @@ def _sketch(n: int, bands: int, rows: int):
 
 
 def _full_sets(n: int):
-    """text -> (digest of the set, sorted distinct shingle hashes)."""
+    """text -> (digest of the set, sorted distinct shingle hashes, how many fall into each cell)."""
 
     def of(texts: pa.Array) -> pa.Array:
         held = list(_sets(texts, n))
@@ -126,11 +128,31 @@ def _full_sets(n: int):
         pairs = np.zeros((0, 2))
         if len(at):
             pairs = common.digests(flat, (np.cumsum(sizes) - sizes)[at])
+        cells = np.repeat(np.arange(len(texts)) * CELLS, sizes) + (flat % np.uint64(CELLS)).astype(np.int64)
+        counts = np.minimum(np.bincount(cells, minlength=len(texts) * CELLS), FULL).astype(np.uint8)
+        counts = pa.FixedSizeBinaryArray.from_buffers(pa.binary(CELLS), len(texts), [None, pa.py_buffer(counts.tobytes())])
         return pa.StructArray.from_arrays(
-            [common.binary16(pairs, at, len(texts)), common.lists(flat.view(np.int64), sizes)], ["node", "set"]
+            [common.binary16(pairs, at, len(texts)), common.lists(flat.view(np.int64), sizes), counts.cast(pa.binary())],
+            ["node", "set", "cells"],
         )
 
-    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>>")
+    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>,cells:binary>")
+
+
+def _may_link(least: int):
+    """(cells, cells, size, size) -> whether the sets can be that similar.
+
+    Two sets share at most the smaller count of every cell. A full cell tells nothing.
+    """
+
+    def of(x: pa.Array, y: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
+        one, other = (common.flat_bytes(c)[0].reshape(-1, CELLS) for c in (x, y))
+        n, m = n.to_numpy().astype(np.int64), m.to_numpy().astype(np.int64)
+        lower = np.minimum(one, other)
+        shared = np.where((lower == FULL).any(axis=1), np.minimum(n, m), lower.sum(axis=1, dtype=np.int64))
+        return pa.array(100 * shared >= least * (n + m - shared))
+
+    return F.arrow_udf(of, "boolean")
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, n: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -142,7 +164,14 @@ def sketches(docs: DataFrame, doc_id: str, text: str, n: int, bands: int = BANDS
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) of classes with ``100 * intersection >= least * union`` on their full sets."""
+    """The pairs (a, b) of classes with ``100 * intersection >= least * union`` on their full sets.
+
+    Counts by cell refute most pairs below ``least``, so that their sets need not travel.
+    """
+    slim = sets.select("node", "cells", F.size("set").alias("size"))
+    near = lookup(pairs, slim.toDF("a", "ca", "na"), ["a"])
+    near = lookup(near, slim.toDF("b", "cb", "nb"), ["b"]).where(_may_link(least)("ca", "cb", "na", "nb"))
+    pairs = written(near.select("a", "b"), "near")
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     counts = pairs.groupBy("b").agg(F.count("*").alias("_n"))
@@ -234,7 +263,7 @@ def components(
     refs = lookup(classes.select("node", "_ref"), wanted, ["node"]).select("_ref").distinct()
     again = lookup(docs.select(F.xxhash64(text).alias("_ref"), F.col(text).alias("_t")), written(refs, "refs"), ["_ref"])
     full = again.dropDuplicates(["_ref"]).select(_full_sets(n)(F.col("_t")).alias("s")).select("s.*")
-    sets = written(full.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("set").alias("set")), "sets")
+    sets = written(full.where(F.col("node").isNotNull()).groupBy("node").agg(F.first(F.struct("set", "cells")).alias("s")).select("node", "s.*"), "sets")
     clusters = clusters_in_buckets(members, sets, least)
     # Only classes of several rows or of a larger component differ from their own id.
     grouped = lookup(classes.select("node", "low", "copies"), clusters, ["node"], "left").withColumn(

@@ -264,3 +264,22 @@ def test_pipeline(spark, sf):
         assert 100 * len(a & b) < 80 * len(a | b)
     rest = tiling.contamination(done.select("doc_id", "text"), corpus_pipeline.table(spark, sf, "benchmark"))
     assert rest.count() == 0
+
+
+def test_cells_refute_no_link():
+    """The bound by cells never falls below the true similarity, in full cells neither."""
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 200, 100_000):
+        pool = rng.integers(0, 1 << 62, 2 * size, dtype=np.int64).astype(np.uint64)
+        sets = [set(pool[rng.random(len(pool)) < share].tolist()) or {1} for share in (0.5, 0.9, 0.95, 0.97, 1.0)]
+        cells = []
+        for s in sets:
+            at = (np.array(sorted(s), dtype=np.uint64) % np.uint64(minhash.CELLS)).astype(np.int64)
+            cells.append(np.minimum(np.bincount(at, minlength=minhash.CELLS), minhash.FULL).astype(np.uint8).tobytes())
+        places = [(i, j) for i in range(len(sets)) for j in range(len(sets))]
+        x, y = (pa.array([cells[p[k]] for p in places], pa.binary()) for k in (0, 1))
+        n, m = (pa.array([len(sets[p[k]]) for p in places], pa.int32()) for k in (0, 1))
+        may = minhash._may_link(80).func(x, y, n, m).to_pylist()
+        for (i, j), passed in zip(places, may):
+            shared = len(sets[i] & sets[j])
+            assert passed or 100 * shared < 80 * (len(sets[i]) + len(sets[j]) - shared)
