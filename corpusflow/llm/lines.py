@@ -144,7 +144,7 @@ def _block_line_sets(texts: pa.Array, codes: np.ndarray, asked=None):
         yield text[at], line[at], sizes, np.cumsum(sizes) - sizes, h, code
 
 
-def _sketch(codes, least: int):
+def _sketch(codes, least: int, frequent: int = FREQUENT):
     """text -> its lines with words: (line, n, node, two bitmaps, prefix, frequent).
 
     An entry of the prefix is a place (upper half) and 32 bits of the word there; ``frequent`` holds
@@ -171,7 +171,7 @@ def _sketch(codes, least: int):
             place = np.arange(len(h)) - np.repeat(starts, sizes)
             chosen = (place < np.repeat(length, sizes)) & (code > 0)
             entries = (place << 32) | (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            for part, kept in enumerate((chosen & (code < code_of(FREQUENT)), chosen & (code >= code_of(FREQUENT)))):
+            for part, kept in enumerate((chosen & (code < code_of(frequent)), chosen & (code >= code_of(frequent)))):
                 columns[5 + part].append(entries[kept])
                 sizes_of[part].append(np.add.reduceat(kept.astype(np.int64), starts))
         if not owners:
@@ -230,7 +230,7 @@ def _passing(n, m, pos, at, apart, least: int):
 ENTRY = np.dtype([("word", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("id", "<i8"), ("cid", "<i8"), ("x", "<u8"), ("y", "<u8")])
 
 
-def named_pairs(classes: DataFrame, least: int, parts: int) -> DataFrame:
+def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED) -> DataFrame:
     """(cid, other, more, word): pairs under a word that pass all filters, ``other`` read earlier.
 
     A class names the NAMED candidates right before it; ``more`` says that it has others. A word that
@@ -273,11 +273,11 @@ def named_pairs(classes: DataFrame, least: int, parts: int) -> DataFrame:
         x, y = rows["x"].copy(), rows["y"].copy()
         starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         sizes = np.diff(np.append(starts, len(word)))
-        crowded = word[starts[sizes > CROWDED]]
+        crowded = word[starts[sizes > most]]
         rest = np.repeat(sizes, sizes) - (np.arange(len(word)) - np.repeat(starts, sizes))  # rows to the end of the word
         count = np.zeros(len(word), dtype=np.int32)
         out, step = [(np.zeros(0, np.int64),) * 2], 0
-        at = np.flatnonzero((rest > 1) & np.repeat(sizes <= CROWDED, sizes))
+        at = np.flatnonzero((rest > 1) & np.repeat(sizes <= most, sizes))
         while len(at):
             step += 1
             at = at[rest[at] > step]
@@ -358,9 +358,11 @@ def settled(pairs: DataFrame, sets_of, least: int) -> DataFrame:
     return written(good.select(F.col("i").alias("cid")).distinct(), "line-matches")
 
 
-def matches_by_name(classes: DataFrame, entries: DataFrame, sets_of, least: int, parts: int) -> tuple[DataFrame, DataFrame]:
+def matches_by_name(
+    classes: DataFrame, entries: DataFrame, sets_of, least: int, parts: int, most: int = CROWDED
+) -> tuple[DataFrame, DataFrame]:
     """(cid) of classes with an earlier match under a word, and the (word) that are too crowded for it."""
-    named = written(named_pairs(classes, least, parts), "line-pairs")
+    named = written(named_pairs(classes, least, parts, most), "line-pairs")
     pairs = named.where(F.col("cid").isNotNull())
     crowded = written(named.where(F.col("cid").isNull()).select("word").distinct(), "line-crowded")
     matched = settled(pairs, sets_of, least)
@@ -374,7 +376,7 @@ def matches_by_name(classes: DataFrame, entries: DataFrame, sets_of, least: int,
     return matched.unionByName(more).distinct(), crowded
 
 
-def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFrame) -> DataFrame:
+def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFrame, reach: int = HUBS) -> DataFrame:
     """``matched`` and the (cid) of classes with an earlier match under a frequent word.
 
     ``members`` is (word, _id, cid, pos, n, x, y), written down.
@@ -397,17 +399,18 @@ def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFram
     tested, more = meet(now.where(F.col("done").isNull()).drop("done"), lead.drop("size"), None)
     matched = written(matched.unionByName(more).distinct(), "line-matches")
     # Two classes under a word have met already.
-    left, reach = lookup(members, lead.where(F.col("size") > 2).select("word", "size"), ["word"]), HUBS
+    left = lookup(members, lead.where(F.col("size") > 2).select("word", "size", F.col("cid").alias("lead")), ["word"])
+    # The first class under a word has nothing before it there. It may have gone under another word, so it is
+    # told by its number: one other open class is enough to keep the word.
+    is_open = F.col("done").isNull() & (F.col("cid") != F.col("lead"))
     while True:
         now = and_done(left)
-        # The first class under a word is always open.
-        words = now.where(F.col("done").isNull()).groupBy("word").agg(F.count("*").alias("open"))
-        open_now = written(lookup(now, words.where(F.col("open") > 1).select("word"), ["word"]), "open-words")
+        open_now = written(lookup(now, now.where(is_open).select("word").distinct(), ["word"]), "open-words")
         if open_now.isEmpty():
             return matched
         share = F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
         hubs = open_now.where(share * F.col("size") < F.lit(reach))
-        tried, more = meet(open_now.where(F.col("done").isNull()).drop("done", "size"), hubs, tested)
+        tried, more = meet(open_now.where(is_open).drop("done", "size", "lead"), hubs, tested)
         tested = written(tested.unionByName(tried), "tested")
         matched = written(matched.unionByName(more).distinct(), "line-matches")
         # Under words of this size every class has been a hub.
@@ -416,12 +419,16 @@ def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFram
 
 
 def removed_lines(
-    docs: DataFrame, least: int = 80, doc_id: str = "doc_id", text: str = "text", counters: int = COUNTERS
+    docs: DataFrame, least: int = 80, doc_id: str = "doc_id", text: str = "text", counters: int = COUNTERS,
+    frequent: int = FREQUENT, crowded: int = CROWDED, hubs: int = HUBS,
 ) -> DataFrame:
-    """(_id, _ref, removed): numbers from 0, in order, of the lines to remove from each text that loses any."""
+    """(_id, _ref, removed): numbers from 0, in order, of the lines to remove from each text that loses any.
+
+    ``frequent``, ``crowded`` and ``hubs`` say which words are worked off in rounds and how; they decide speed, not results.
+    """
     codes = docs.sparkSession.sparkContext.broadcast(word_rarity(docs, text, counters))
     ident = [F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_ref")]
-    sketched = docs.select(*ident, F.explode(_sketch(codes, least)(F.col(text))).alias("l"))
+    sketched = docs.select(*ident, F.explode(_sketch(codes, least, frequent)(F.col(text))).alias("l"))
     lines = written(sketched.select("_id", "_ref", "l.*", F.monotonically_increasing_id().alias("cid")), "lines")
     first = F.min(F.struct("_id", "cid", "_ref", "line"))
     several = lines.groupBy("node").agg(first.alias("lead"), F.count("*").alias("_c")).where(F.col("_c") > 1)
@@ -444,9 +451,9 @@ def removed_lines(
         return found.select("s.cid", "s.set")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    matched, crowded = matches_by_name(classes, entries("prefix"), sets_of, least, parts)
-    many = entries("frequent").unionByName(lookup(entries("prefix"), crowded, ["word"]))
-    matched = matches_in_rounds(written(many, "line-entries"), sets_of, least, matched)
+    matched, full = matches_by_name(classes, entries("prefix"), sets_of, least, parts, crowded)
+    many = entries("frequent").unionByName(lookup(entries("prefix"), full, ["word"]))
+    matched = matches_in_rounds(written(many, "line-entries"), sets_of, least, matched, hubs)
     names = lookup(lines.select("cid", "node"), matched, ["cid"]).select("node", F.lit(True).alias("matched"))
     # A repeated row has the place of its first; only lines at another place come later.
     same = F.col("_id").eqNullSafe(F.col("lead._id")) & (F.col("_ref") == F.col("lead._ref")) & (F.col("line") == F.col("lead.line"))
@@ -459,13 +466,14 @@ def removed_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, least: int = 80, doc_id: str = "doc_id", text: str = "text", out: str = "removed", counters: int = COUNTERS
+    docs: DataFrame, least: int = 80, doc_id: str = "doc_id", text: str = "text", out: str = "removed", counters: int = COUNTERS,
+    **rounds: int,
 ) -> DataFrame:
     """``docs`` without repeated lines, and the numbers of the lines that went in the column ``out``.
 
-    A column of that name in ``docs`` is replaced.
+    A column of that name in ``docs`` is replaced. ``rounds`` are the sizes of ``removed_lines``.
     """
-    removed = broadcast_if_small(removed_lines(docs, least, doc_id, text, counters))
+    removed = broadcast_if_small(removed_lines(docs, least, doc_id, text, counters, **rounds))
     # Columns of the input travel in one struct, so that no name can clash.
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != out]).alias("row"),

@@ -149,6 +149,32 @@ def test_lines(docs, empty, spark):
     assert lines.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [{"frequent": 2, "hubs": 1}, {"crowded": 2, "hubs": 1}])
+def test_lines_in_rounds(spark, sizes):
+    """Sizes so small that the words are worked off in rounds, where classes go under one word and stay open under others."""
+    rng = np.random.default_rng(5)
+    pool = [f"v{i}" for i in range(30)]
+    # Under "w" the first class and the second go through other words; the third is open alone and matches the second.
+    c, d = ([f"{x}{i}" for i in range(7)] for x in "cd")
+    start = [["l", "z", *d], ["l", "w", *d], ["b", "y", *c], ["b", "w", *c], ["u", "w", *c], *[[x] * 9 for x in c + d]]
+    rows = []
+    for i in range(120):
+        if i < 30 or rng.random() < 0.3:
+            own = set(rng.choice(pool, int(rng.integers(5, 10)), replace=False).tolist())
+        else:
+            own = set(rows[int(rng.integers(len(rows)))])
+            own.discard(rng.choice(sorted(own)))
+            own.add(str(rng.choice(pool)))
+        rows.append(sorted(own))
+    rows, want = start + rows, []
+    for i, own in enumerate(rows):
+        if any(100 * len(set(own) & set(e)) >= 80 * len(set(own) | set(e)) for e in rows[:i]):
+            want.append(i)
+    df = spark.createDataFrame([(i, " ".join(own)) for i, own in enumerate(rows)], "doc_id long, text string")
+    got = lines.removed_lines(df, **sizes)
+    assert sorted(r["_id"] for r in got.collect()) == want and want[:3] == [1, 3, 4]
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     apart = language.held_out(F.col("doc_id"))
