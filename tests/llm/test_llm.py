@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -246,6 +247,49 @@ def test_licenses(spark):
     assert licenses.licenses_of(df.limit(0)).count() == 0
 
 
+ISC_FILE = """ISC License
+
+Copyright (c) 2004-2010 by Internet Systems Consortium, Inc. ("ISC")
+Copyright 1995-2003 by Internet Software Consortium
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND ISC DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL ISC BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE
+OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_published_licenses(spark):
+    """Files as they are published: with titles and notices, at any width of lines."""
+    def wrapped(text, width):
+        return "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+
+    texts = {}
+    for name, text in licenses.KNOWN:
+        texts.setdefault(name, text)
+    heads = {
+        "MIT": "MIT License\n\nCopyright (c) 2020 Jane Doe", "BSD-2-Clause": "BSD 2-Clause License\n\nCopyright 2020, Jane Doe\nAll rights reserved.",
+        "BSD-3-Clause": "BSD 3-Clause License\n\nCopyright Jane Doe", "ISC": "ISC License\n\n(c) 2020 Jane Doe", "0BSD": "Zero-Clause BSD",
+    }
+    rows = [("ISC", ISC_FILE)]
+    rows += [(name, head + "\n\n" + wrapped(texts[name], width)) for name, head in heads.items() for width in range(30, 100, 3)]
+    for file in licenses.resources.files("corpusflow.llm").joinpath("license_texts").iterdir():
+        rows.append((file.name.removesuffix(".txt"), file.read_text()))
+    apache = next(t for n, t in rows if n == "Apache-2.0")
+    rows += [("Apache-2.0", wrapped(apache.split(licenses.END)[0], width)) for width in (50, 65, 90)]
+    rows += [(None, ISC_FILE.replace("notice appear", "notice do not appear")), (None, "MIT License\n\nCopyright (c) 2020 Jane Doe")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df).where("line = -1").collect()}
+    assert [(i, got.get(i)) for i in range(len(rows))] == [(i, name) for i, (name, _) in enumerate(rows)]
+
+
 def test_sharding(spark, docs, empty):
     rows = [(i, "same text" if i % 3 else prose(int(RNG.integers(1, 40)))) for i in range(3000)] + [(0, None)] * 5
     df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, shard int, key string")
