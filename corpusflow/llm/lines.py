@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import common
 from corpusflow.llm.common import written
+from corpusflow.operators.index import global_index
 from corpusflow.operators.sizing import broadcast_if_small, fits, lookup, skew_join
 
 #: Counters of the rarity table: one byte each in every worker, whatever the vocabulary.
@@ -311,9 +312,7 @@ def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED)
         if held:
             yield compare(np.concatenate(held))
 
-    whole = dict(classes.dtypes)["_id"] in ("bigint", "int", "smallint", "tinyint")
-    ids = F.col("_id").cast("long") if whole else F.lit(0).cast("long")
-    packed = classes.where(F.size("prefix") > 0).select("prefix", ids, "cid", "n", "x", "y").mapInArrow(
+    packed = classes.where(F.size("prefix") > 0).select("prefix", "rank", "cid", "n", "x", "y").mapInArrow(
         pack, "bucket int, data binary"
     )
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
@@ -430,6 +429,12 @@ def removed_lines(
     ident = [F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_ref")]
     sketched = docs.select(*ident, F.explode(_sketch(codes, least, frequent)(F.col(text))).alias("l"))
     lines = written(sketched.select("_id", "_ref", "l.*", F.monotonically_increasing_id().alias("cid")), "lines")
+    # One number orders lines wherever they meet: an integer id itself, else the place of the id among all ids.
+    if dict(lines.dtypes)["_id"] in ("bigint", "int", "smallint", "tinyint"):
+        lines = lines.withColumn("rank", F.col("_id").cast("long"))
+    else:
+        ids = written(lines.where(F.col("_id").isNotNull()).select("_id").distinct(), "line-ids")
+        lines = written(lookup(lines, written(global_index(ids, ["_id"], out="rank"), "line-ranks"), ["_id"], "left"), "lines")
     first = F.min(F.struct("_id", "cid", "_ref", "line"))
     several = lines.groupBy("node").agg(first.alias("lead"), F.count("*").alias("_c")).where(F.col("_c") > 1)
     several = written(several.select("node", "lead"), "line-classes")
@@ -437,7 +442,7 @@ def removed_lines(
     classes = marked.where(F.col("lead").isNull() | (F.col("cid") == F.col("lead.cid")))
 
     def entries(column: str) -> DataFrame:
-        flat = classes.select(F.explode(column).alias("e"), "_id", "cid", "n", "x", "y")
+        flat = classes.select(F.explode(column).alias("e"), F.col("rank").alias("_id"), "cid", "n", "x", "y")
         word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
         return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y")
 

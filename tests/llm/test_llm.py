@@ -176,6 +176,14 @@ def test_lines_in_rounds(spark, sizes):
     assert sorted(r["_id"] for r in got.collect()) == want and want[:3] == [1, 3, 4]
 
 
+def test_lines_by_string_ids(spark):
+    """The order is that of the ids, not that of reading, whatever their type."""
+    rows = [("c", "p q r s t u"), ("b", "p q r s t"), ("a", "p q r s t v"), (None, "k l m n o"), ("d", "k l m n o j"), ("e", "x")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert sorted(r["_id"] for r in lines.removed_lines(df).collect()) == ["b", "c", "d"]
+    assert sorted(r["_id"] for r in lines.removed_lines(df, frequent=2).collect()) == ["b", "c", "d"]
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     apart = language.held_out(F.col("doc_id"))
