@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with production parameters, and their SQL."""
+"""The registered queries of the operators, with production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, language, licenses, lines, minhash, repeats, sharding, tiling, vectors
+from corpusflow.llm import bpe, chat, collocations, language, licenses, lines, minhash, repeats, sharding, tiling, vectors
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,47 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"), "valid",
     )
+
+
+OP11_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, doc_id,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\n\x0b\x0c\r]')) as piece
+  from documents),
+lists as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from lists),
+grams as (
+  select lang, w[i] as w1, case when s >= 2 then w[i + 1] end as w2, case when s = 3 then w[i + 2] end as w3, count(*) as f
+  from places, (values (1), (2), (3)) as sizes(s) where i + s - 1 <= len(w) group by all),
+f1 as (select lang, w1, f from grams where w2 is null),
+f2 as (select lang, w1, w2, f from grams where w2 is not null and w3 is null),
+f3 as (select lang, w1, w2, w3, f from grams where w3 is not null),
+cuts as (
+  select p.lang, p.w1, p.w2, null as w3, p.f as a, 1 as k, x.f as l, y.f as r
+  from f2 p join f1 x on x.lang = p.lang and x.w1 = p.w1 join f1 y on y.lang = p.lang and y.w1 = p.w2 where p.f >= 10
+  union all
+  select p.lang, p.w1, p.w2, p.w3, p.f, 1, x.f, y.f
+  from f3 p join f1 x on x.lang = p.lang and x.w1 = p.w1 join f2 y on y.lang = p.lang and y.w1 = p.w2 and y.w2 = p.w3 where p.f >= 10
+  union all
+  select p.lang, p.w1, p.w2, p.w3, p.f, 2, x.f, y.f
+  from f3 p join f2 x on x.lang = p.lang and x.w1 = p.w1 and x.w2 = p.w2 join f1 y on y.lang = p.lang and y.w1 = p.w3 where p.f >= 10),
+scored as (
+  select *, (cast(1000000 as hugeint) * a * a // (cast(l as hugeint) * r))::bigint as score from cuts),
+worst as (
+  select * from scored qualify row_number() over (partition by lang, w1, w2, w3 order by score, k) = 1),
+kept as (
+  select * from worst c where not (w3 is null and exists (
+    select 1 from worst t where t.w3 is not null and t.lang = c.lang and 100 * t.a >= 50 * c.a
+      and ((t.w1 = c.w1 and t.w2 = c.w2) or (t.w2 = c.w1 and t.w3 = c.w2))))),
+words as (select lang, sum(f)::bigint as n from f1 group by lang)
+select k.lang, row_number() over (
+    partition by k.lang order by score desc, a desc, concat_ws(' ', w1, w2, w3)) as rank,
+  concat_ws(' ', w1, w2, w3) as phrase, a, l, r, n, score
+from kept k join words on words.lang = k.lang qualify rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
