@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from corpusflow.llm.common import flat_bytes, written
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -100,12 +100,13 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple,
 def beside(blocks: DataFrame, notes: DataFrame) -> DataFrame:
     """Rows of ``notes`` (kind 0 and up), then the texts of their block (the last kind), in one stream per partition.
 
-    Both have (block, kind, place, ...) first and the same columns.
+    Both have (block, kind, place, ...) first and the same columns. Blocks are dealt out in turn.
     """
-    spark = blocks.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = notes.unionByName(blocks, allowMissingColumns=True)
-    return both.repartition(parts, "block").sortWithinPartitions("block", "kind", "place")
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = F.col("block").bitwiseAND((1 << 32) - 1)
+    most = blocks.agg(F.max(number)).first()[0] or 0
+    turn = F.pmod(F.shiftright("block", 32) * (most + 1) + number, F.lit(parts)).cast("int")
+    return notes.unionByName(blocks).repartitionById(parts, turn).sortWithinPartitions("block", "kind", "place")
 
 
 def padded(df: DataFrame, **missing: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, collocations, language, licenses, lines, minhash, repeats, sharding, tiling, vectors
+from corpusflow.llm import bpe, chat, collocations, language, licenses, lines, minhash, repeats, scoring, sharding, tiling, tries, vectors
 from corpusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,47 @@ from kept k join words on words.lang = k.lang qualify rank <= 2000
 @query("op11_collocations", OP11_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+with own as (
+  select conv_id as c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} order by turn nulls first, role, text) as seq
+  from conversations where conv_id is not null group by conv_id),
+hashed as (
+  select c, seq, xor(4294967295, list_reduce(
+      list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 4 as h
+  from own),
+rebuilt as (
+  select x.c, list_concat(case when b.c is null then [] else b.seq[1:x.h] end, x.seq[x.h + 1:]) as seq
+  from hashed x left join own b on b.c = x.c - x.c % 20),
+prefixes as (select c, len(seq) as size, d, seq[1:d] as p from (select *, unnest(range(0, len(seq) + 1)) as d from rebuilt)),
+nodes as (
+  select p, d, min(c) as conv_id, count(*) as n_convs, string_agg(c::varchar, ',' order by c) filter (size = d) as ends,
+    case when d = 0 then 0 else len(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+')) end as words
+  from prefixes group by p, d),
+kids as (select p[1:d - 1] as up, count(*) as n from nodes where d > 0 group by 1),
+facts as (select n.*, coalesce(k.n, 0) as n_children from nodes n left join kids k on k.up = n.p),
+sums as (
+  select p[1:a] as top, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * words)::bigint as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as a from facts) group by 1)
+select f.conv_id, f.d::bigint as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens,
+  sha256(coalesce(f.ends, '')) as ends_sha256
+from facts f join sums s on s.top = f.p left join nodes u on f.d > 0 and u.p = f.p[1:f.d - 1]
+"""
+
+
+@query("op12_trie", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    seqs = tries.with_shared_starts(tries.sequences(table(spark, folder, "conversations")))
+    return tries.nodes(seqs).drop("turn")
+
+
+@query("op13_scoring")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    apart = language.held_out(F.col("doc_id"), folds=7, fold=2)
+    found = scoring.score_texts(table(spark, folder, "documents"), ~apart)
+    return found.select(
+        F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "bits_per_byte",
+    )
