@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import asyncio
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
 from corpusflow.functions.fim import fim_transform
-from corpusflow.operators import consistency, generations
+from corpusflow.operators import async_rows, consistency, generations
 from corpusflow.operators.index import global_index
 from corpusflow.operators.sizing import skew_join
 from corpusflow.plans.corpus import self_consistency, solutions
@@ -305,6 +307,98 @@ def score_pairs(spark, sf):
     return scores.select("conv_id", "sent_idx", F.round("score", 9).alias("score"))
 
 
+class _Overlap:
+    """The default score as a model with state: the words of a passage are kept for the sentences that follow."""
+
+    def __init__(self) -> None:
+        self.word, self.known = re.compile(r"\w+"), {}
+
+    def words(self, x: str) -> frozenset[str]:
+        if len(self.known) > 10_000:
+            self.known.clear()
+        if x not in self.known:
+            self.known[x] = frozenset(self.word.findall(x.lower()))
+        return self.known[x]
+
+    def predict(self, sentences, passages):
+        return np.array([[1 - len(self.words(s) & self.words(p)) / len(self.words(s)) for p in passages] for s in sentences])
+
+
+@query("score_pairs_by_model", f"SELECT conv_id, sent_idx::INTEGER AS sent_idx, round(score, 9) AS score FROM ({_SCORES})")
+def score_pairs_by_model(spark, sf):
+    texts, later = _first_and_later(spark, sf)
+    sents = consistency.split_sentences(texts, "text", ["conv_id"])
+    scores = consistency.score_pairs(
+        sents, later, "conv_id", None, "turn", chunk=2, make_scorer=_Overlap, sentences_per_block=4
+    )
+    return scores.select("conv_id", "sent_idx", F.round("score", 9).alias("score"))
+
+
+def _judge(question: str) -> str:
+    """In the place of a judge model: it goes by the length of the question."""
+    return ("Yes.", " no, not at all", "Hard to say")[len(question) % 3]
+
+
+_QUESTION = "length('Context: ' || replace(l.text, chr(10), ' ') || chr(10) || chr(10) || 'Sentence: ' || s.sentence) + " + str(
+    len(tx.SUPPORT_TEMPLATE) - len("Context: {context}\n\nSentence: {sentence}")
+)
+
+
+@query(
+    "score_pairs_by_answers",
+    f"""
+    SELECT conv_id, sent_idx::INTEGER AS sent_idx,
+      round(avg(CASE ({_QUESTION}) % 3 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END), 9) AS score
+    FROM ({_sentences_sql(_FIRST, 'conv_id')}) s JOIN {_LATER} l USING (conv_id) GROUP BY conv_id, sent_idx
+    """,
+)
+def score_pairs_by_answers(spark, sf):
+    texts, later = _first_and_later(spark, sf)
+    sents = consistency.split_sentences(texts, "text", ["conv_id"])
+    make = lambda: consistency.AnswerScorer(_judge)
+    scores = consistency.score_pairs(sents, later, "conv_id", None, "turn", make_scorer=make)
+    return scores.select("conv_id", "sent_idx", F.round("score", 9).alias("score"))
+
+
+class _Service:
+    """In the place of a remote model, within the process: it is slow now and then, and refuses some prompts once or always."""
+
+    def __init__(self) -> None:
+        self.asked: dict[str, int] = {}
+
+    async def generate(self, chat: str) -> str:
+        self.asked[chat] = self.asked.get(chat, 0) + 1
+        await asyncio.sleep(0.002 if len(chat) % 7 == 0 else 0)
+        if len(chat) % 13 == 0:
+            raise RuntimeError("refused")
+        if len(chat) % 5 == 0 and self.asked[chat] == 1:
+            raise ConnectionError("busy")
+        return f"{len(chat)} {chat[9:49]} <|endoftext|>"
+
+
+_SENT = "'<s>[INST]  ' || text || ' [/INST]'"
+
+
+@query(
+    "complete",
+    rf"""
+    SELECT conv_id, turn, completion, error, attempts,
+      len(regexp_extract_all(completion, '\p{{L}}+|\p{{N}}|[^\s\p{{L}}\p{{N}}]+'))::BIGINT AS token_length
+    FROM (SELECT conv_id, turn,
+        CASE WHEN n % 13 <> 0 THEN rtrim(n || ' ' || substr({_SENT}, 10, 40), ' ' || chr(10)) END AS completion,
+        CASE WHEN n % 13 = 0 THEN 'RuntimeError: refused' END AS error,
+        CASE WHEN n % 13 = 0 THEN 3 WHEN n % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS attempts
+      FROM (SELECT *, length({_SENT}) AS n FROM (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations)))
+    """,
+)
+def complete(spark, sf):
+    prompts = table(spark, sf, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("prompt"))
+    # Prompts that are equal are asked by one task, so that the first attempt of each is known.
+    prompts = prompts.dropDuplicates(["conv_id", "turn"])
+    done = async_rows.complete(prompts, _Service, _Service.generate, in_flight=8, retries=2, wait=0.001, timeout=20)
+    return done.drop("prompt")
+
+
 _DOCUMENT_SCORES = f"SELECT conv_id, count(*) AS sentences, avg(score) AS score FROM ({_SCORES}) GROUP BY conv_id"
 
 
