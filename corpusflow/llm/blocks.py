@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from corpusflow.llm.common import flat_bytes, written
+from corpusflow.llm.common import flat_bytes, row_blocks, written
 
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
 
+#: Bytes of text that a task splits at a time.
+PIECE_BYTES = 1 << 21
+
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -82,8 +85,9 @@ def split_words(texts: pa.Array, kinds: np.ndarray) -> tuple[pa.Array, np.ndarra
     return words, edges, joined
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """(values of the first ``keys`` columns, rows) of neighbouring rows that agree in them; a run may come in parts."""
+def runs(batches: Iterator[pa.RecordBatch], keys: int, text: int | None = None) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(values of the first ``keys`` columns, rows) of neighbouring rows that agree in them; a run may come in parts,
+    and where column ``text`` is given, in parts of about PIECE_BYTES of it, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -94,7 +98,50 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple,
             new[1:] |= part[1:] != part[:-1]
         starts = np.flatnonzero(new)
         for low, high in zip(starts, np.append(starts[1:], batch.num_rows)):
-            yield tuple(int(part[low]) for part in parts), batch.slice(low, high - low)
+            run, key = batch.slice(low, high - low), tuple(int(part[low]) for part in parts)
+            if text is None:
+                yield key, run
+                continue
+            for first, piece in row_blocks(run.column(text), PIECE_BYTES):
+                yield key, run.slice(first, len(piece))
+
+
+def summed(columns: list[pa.Array], counts: np.ndarray) -> tuple[list[pa.Array], np.ndarray]:
+    """Distinct rows of string columns and the sums of their counts."""
+    codes, names = np.zeros(len(counts), dtype=np.int64), []
+    for column in columns:
+        column = column.dictionary_encode()
+        codes = codes * len(column.dictionary) + column.indices.to_numpy()
+        names.append(column.dictionary)
+    found, at = np.unique(codes, return_inverse=True)
+    sums = np.bincount(at, weights=counts, minlength=len(found)).astype(np.int64)
+    out = []
+    for name in reversed(names):
+        out.append(name.take(pa.array(found % len(name))))
+        found = found // len(name)
+    return out[::-1], sums
+
+
+def counted(parts: Iterator[tuple[int, list[pa.Array], np.ndarray]], most: int = 1 << 20) -> Iterator[tuple[int, list[pa.Array], np.ndarray]]:
+    """(block, columns, counts) of neighbouring parts of a block put together, up to ``most`` rows at a time."""
+    now, held, size = None, [], 0
+
+    def together() -> tuple[int, list[pa.Array], np.ndarray]:
+        columns = [pa.concat_arrays(c) for c in zip(*(h[0] for h in held))]
+        return now, *summed(columns, np.concatenate([h[1] for h in held]))
+
+    for block, columns, counts in parts:
+        if held and (block != now or size > most):
+            yield together()
+            held, size = [], 0
+        now = block
+        held.append((columns, counts))
+        size += len(counts)
+        if len(held) == 8 and size <= most:
+            held = [together()[1:]]
+            size = len(held[0][1])
+    if held:
+        yield together()
 
 
 def beside(blocks: DataFrame, notes: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from corpusflow.llm.common import flat_bytes
 #: No UTF-8 text holds it: before every text, and as the symbol of its end.
 EDGE = 0xFF
 #: Places of text whose grams are made together.
-WINDOW = 1 << 21
+WINDOW = 1 << 19
 #: Fractions of a sum of logarithms, so that sums do not depend on their order.
 UNIT = 1 << 16
 

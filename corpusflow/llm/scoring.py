@@ -47,17 +47,16 @@ def widened(data, depth: int) -> np.ndarray:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(block, word, n): the distinct words of every block and how often texts to learn from hold them."""
 
-    def count(batches):
-        for (block,), rows in blocks.runs(batches, 1):
+    def parts(batches):
+        for (block,), rows in blocks.runs(batches, 1, 2):
             words, edges, _ = blocks.split_words(rows.column(2), KINDS)
-            if not len(words):
-                continue
-            words = words.dictionary_encode()
-            learn = np.repeat(rows.column(1).to_numpy(zero_copy_only=False), np.diff(edges))
-            n = np.bincount(words.indices.to_numpy()[learn], minlength=len(words.dictionary))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), block)), words.dictionary, pa.array(n)], ["block", "word", "n"]
-            )
+            if len(words):
+                learn = np.repeat(rows.column(1).to_numpy(zero_copy_only=False), np.diff(edges))
+                yield block, *blocks.summed([words], learn)
+
+    def count(batches):
+        for block, (word,), n in blocks.counted(parts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), block)), word, pa.array(n)], ["block", "word", "n"])
 
     return texts.select("block", "learn", "text").mapInArrow(count, "block bigint, word string, n bigint")
 
@@ -80,7 +79,7 @@ def gram_lists(texts: DataFrame, shards: int, depth: int, low: int) -> DataFrame
             ], ["shard", "block", "codes", "counts"])
 
         now, held = None, []
-        for (block,), rows in blocks.runs(batches, 1):
+        for (block,), rows in blocks.runs(batches, 1, 2):
             if block != now and held:
                 yield rows_of(now, *_gathered(held))
                 held = []
@@ -180,7 +179,7 @@ def _scored(stream: DataFrame, id_kind: str, depth: int, places: int, words: int
 
     def score(batches):
         now, grams, listed = None, [], []
-        for (block, kind), rows in blocks.runs(batches, 2):
+        for (block, kind), rows in blocks.runs(batches, 2, 5):
             if block != now:
                 now, grams, listed = block, [], []
             if kind == 0:
