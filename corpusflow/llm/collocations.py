@@ -12,6 +12,8 @@ shortest first part, ties of the rank to the phrase's bytes. Columns beside thos
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,7 +28,7 @@ from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
 #: Between words, and between pieces that no phrase crosses.
 SPACES, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: n-grams that a task gathers before it makes a filter of them.
-HELD = 1 << 21
+HELD = 1 << 20
 #: n-grams per shard, by which the number of shards follows the corpus: a task holds one shard at a time.
 SHARD_GRAMS = 1 << 22
 #: Filters of a shard that are read before they are merged.
@@ -37,20 +39,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(block, lang, word, n): the distinct words of every block."""
     kinds = blocks.classes(SPACES, STOPS)
 
-    def count(batches):
-        for (block,), rows in blocks.runs(batches, 1):
-            langs = rows.column(1).dictionary_encode()
+    def parts(batches):
+        for (block,), rows in blocks.runs(batches, 1, 2):
             words, edges, _ = blocks.split_words(rows.column(2), kinds)
-            if not len(words):
-                continue
-            words = words.dictionary_encode()
-            lang = np.repeat(langs.indices.to_numpy().astype(np.int64), np.diff(edges))
-            both = lang * len(words.dictionary) + words.indices.to_numpy()
-            found, n = np.unique(both, return_counts=True)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(found), block)), langs.dictionary.take(pa.array(found // len(words.dictionary))),
-                words.dictionary.take(pa.array(found % len(words.dictionary))), pa.array(n),
-            ], ["block", "lang", "word", "n"])
+            if len(words):
+                langs = rows.column(1).take(pa.array(np.repeat(np.arange(rows.num_rows), np.diff(edges))))
+                yield block, *blocks.summed([langs, words], np.ones(len(words), np.int64))
+
+    def count(batches):
+        for block, (lang, word), n in blocks.counted(parts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), block)), lang, word, pa.array(n)], ["block", "lang", "word", "n"])
 
     return texts.select("block", "lang", "text").mapInArrow(count, "block bigint, lang string, word string, n bigint")
 
@@ -84,7 +82,7 @@ def filters(texts: DataFrame, known: DataFrame, shapes: dict[int, quotients.Shap
             ], ["shard", "size", "data"])
 
         at, names = None, {}
-        for (block, kind), rows in blocks.runs(batches, 2):
+        for (block, kind), rows in blocks.runs(batches, 2, 4):
             if block != at:
                 at, names = block, {}
             if kind == 0:
@@ -225,8 +223,12 @@ def collocations(
         F.struct(score(F.col("head"), F.col("f3")).alias("score"), F.lit(2).alias("k"), F.col("head").alias("l"), F.col("f3").alias("r")),
     ))
     scored = both.select("lang", F.concat_ws(" ", "t1", "t2", "t3").alias("phrase"), "a", F.array_min(cuts).alias("cut"))
-    best = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # The best of each group come from the best of its parts, so that no task reads what all tasks kept.
+    order = [F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase")]
+    dealt = F.pmod(F.xxhash64("phrase"), F.lit(math.isqrt(parts) + 1))
+    first = Window.partitionBy("lang", dealt).orderBy(*order)
+    ranked = scored.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     words = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(broadcast_if_small(words), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
