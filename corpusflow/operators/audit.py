@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.operators.selection import medians
+
 
 def first_file_per_folder(
     files: DataFrame, folder: str = "folder", path: str = "path", suffix: str = ".json"
@@ -46,13 +48,13 @@ def shard_audit(
     """Size and status of every expected shard.
 
     ``Empty`` where nothing is there, ``small`` below ``small`` times the median of all shards
-    that are there, else ``ok``. Sizes are a short table; their median is one aggregate.
+    that are there, else ``ok``. The exact median is selected by counting, in no single task.
     """
     present = actual.where(F.col(size) > 0)
-    middle = present.agg(F.median(size)).scalar()
+    middle = medians(present, size).first()
     status = (
         F.when(F.col(size).isNull(), F.lit("Empty"))
-        .when(F.col(size) < middle * F.lit(small), F.lit("small"))
+        .when(F.col(size) < F.lit(middle["median"] * small if middle else None), F.lit("small"))
         .otherwise(F.lit("ok"))
     )
     return expected.join(present.select(*keys, size), list(keys), "left").withColumn("status", status)

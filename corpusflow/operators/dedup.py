@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import let, words
-from corpusflow.operators.ngrams import PRIME, blocks, ngrams, word_hashes
+from corpusflow.operators.ngrams import LIMB, PRIME, blocks, ngrams, times_plus, word_hashes
 from corpusflow.operators.sizing import HOT_ROWS, broadcast_if_small, skew_join
 from corpusflow.session import checkpointed
 
@@ -24,27 +24,20 @@ CACHED = 1 << 14
 MAX_ROUNDS = 100
 
 
-def permutation(i: int) -> tuple[int, int, int]:
-    """Two multipliers (not 0) and an offset of hash function ``i``, from md5."""
-    draw = [int(hashlib.md5(f"{part}:{i}".encode()).hexdigest()[:15], 16) for part in "abc"]
-    return draw[0] % (PRIME - 1) + 1, draw[1] % (PRIME - 1) + 1, draw[2] % PRIME
+def permutation(i: int) -> tuple[int, int]:
+    """Multiplier (not 0) and offset of hash function ``i``, from md5."""
+    draw = [int(hashlib.md5(f"{part}:{i}".encode()).hexdigest()[:15], 16) for part in "ab"]
+    return draw[0] % (PRIME - 1) + 1, draw[1] % PRIME
 
 
-def _minima(high: np.ndarray, low: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
-    """Matrix of minima, one row per list; no list is empty."""
+def _minima(values: np.ndarray, starts: np.ndarray, permutations) -> np.ndarray:
+    """Matrix of minima of 61 bits, one row per list; no list is empty."""
     out = np.empty((len(permutations), len(starts)), dtype=np.uint64)
-    values, other = np.empty_like(high), np.empty_like(high)
-    prime = np.uint64(PRIME)
-    for k, (a, b, c) in enumerate(permutations):
-        # (high * a + low * b + c) mod prime, without new arrays; the sum stays below 2^63.
-        np.multiply(high, np.uint64(a), out=values)
-        np.multiply(low, np.uint64(b), out=other)
-        values += other
-        values += np.uint64(c)
-        np.floor_divide(values, prime, out=other)
-        other *= prime
-        values -= other
-        np.minimum.reduceat(values, starts, out=out[k])
+    high, low = values >> np.uint64(LIMB), values & np.uint64((1 << LIMB) - 1)
+    moved, spare, mid = (np.empty_like(values) for _ in range(3))
+    for k, (a, b) in enumerate(permutations):
+        times_plus(high, low, a, b, moved, spare, mid)
+        np.minimum.reduceat(moved, starts, out=out[k])
     return out.T
 
 
@@ -52,16 +45,16 @@ def _signature_udf(n: int, hashes: int):
     permutations = [permutation(i) for i in range(hashes)]
 
     def of_block(lists: pa.Array) -> pa.Array:
-        high, low, counts = ngrams(*word_hashes(lists), n, short=True)
+        found, counts = ngrams(*word_hashes(lists), n, short=True)
         edges = (np.cumsum(counts) - counts)[np.flatnonzero(counts)]
         out = np.empty((len(edges), hashes), dtype=np.int64)
         done = 0
         while done < len(edges):
             # Whole lists up to the size of the cache, one at least.
             stop = max(int(np.searchsorted(edges, edges[done] + CACHED)), done + 1)
-            end = edges[stop] if stop < len(edges) else len(high)
+            end = edges[stop] if stop < len(edges) else len(found)
             part = slice(edges[done], end)
-            out[done:stop] = _minima(high[part], low[part], edges[done:stop] - edges[done], permutations)
+            out[done:stop] = _minima(found[part], edges[done:stop] - edges[done], permutations)
             done = stop
         sizes = np.concatenate(([0], np.cumsum(np.where(counts > 0, hashes, 0)))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(sizes), pa.array(out.ravel()))

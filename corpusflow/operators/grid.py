@@ -17,10 +17,11 @@ from corpusflow.functions.numbers import (
     tokens_per_step,
     warmup_steps,
 )
-from corpusflow.operators.index import edges_at_or_below, sorted_keys
-from corpusflow.operators.sizing import fits
+from corpusflow.operators.index import edges_at_or_below, last_values, sorted_keys
+from corpusflow.session import checkpointed
 
-MAX_STAGES = 10_000
+# Starts up to this number are searched in place.
+STAGES_IN_PLACE = 10_000
 
 
 def derive_run_columns(
@@ -77,21 +78,41 @@ def decay_start(steps: ColumnOrName, percent: float) -> Column:
 
 
 def stage_of_step(
-    steps: DataFrame, stages: DataFrame, step: str = "step", start: str = "start_training_step"
+    steps: DataFrame, stages: DataFrame, step: str = "step", start: str = "start_training_step", in_place: int = STAGES_IN_PLACE,
+    **options,
 ) -> DataFrame:
     """Each step with the stage that started last at or before it; null before the first stage.
 
-    The starts of the few stages are searched in place, and the stage found is joined by its number.
+    Of stages that start together the last in the order of their other columns counts; a stage without a start never
+    does. The starts of a few stages are searched in place, and the stage found is joined by its number. With more
+    than ``in_place`` of them, stages and steps are put in one order, cut into ranges, and the last stage before each
+    step is carried along, over the borders of ranges too.
     """
-    if not fits(stages, max_rows=MAX_STAGES):
-        raise ValueError(f"more than {MAX_STAGES} stages")
-    starts = sorted_keys(stages.select(F.col(start).alias(step)).distinct(), [step])
-    if not starts:
-        raise ValueError("no stages")
-    rank = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(start))
-    numbered = F.broadcast(stages.withColumn("_stage", rank))
-    return (
-        steps.withColumn("_stage", edges_at_or_below(steps, [step], starts))
-        .join(numbered, "_stage", "left")
-        .drop("_stage")
-    )
+    others = [c for c in stages.columns if c != start]
+    both = F.struct(F.col(start), *[F.col(c) for c in others])
+    stages = stages.where(F.col(start).isNotNull()).groupBy(start).agg(F.max(both).alias("_stage")).select("_stage")
+    stages = checkpointed(stages)
+    names = [*[c for c in steps.columns], start, *others]
+    if stages.count() <= in_place:
+        starts = sorted_keys(stages.select(F.col("_stage")[start].alias(step)), [step])
+        rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("_stage")[start]))
+        numbered = F.broadcast(stages.withColumn("_number", rank))
+        placed = steps.withColumn("_number", edges_at_or_below(steps, [step], starts) if starts else F.lit(0))
+        return placed.join(numbered, "_number", "left").select(*steps.columns, *_fields(names, steps))
+    # Steps of one number may be many: a hash tells them apart, so that ranges can be cut through them.
+    own = F.struct(*[F.col(c) for c in steps.columns])
+    kind = stages.schema["_stage"].dataType
+    ordered = steps.select(
+        F.col(step).alias("_at"), F.lit(1).alias("_kind"), F.xxhash64(*steps.columns).alias("_tie"),
+        own.alias("_row"), F.lit(None).cast(kind).alias("_stage"),
+    ).unionByName(stages.select(
+        F.col("_stage")[start].alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"),
+        F.lit(None).cast(steps.select(own.alias("r")).schema["r"].dataType).alias("_row"), "_stage",
+    ))
+    found = last_values(ordered, ["_at", "_kind", "_tie"], "_stage", out="_last", **options).where(F.col("_kind") == 1)
+    rows = found.select("_row.*", F.col("_last").alias("_stage"))
+    return rows.select(*steps.columns, *_fields(names, steps))
+
+
+def _fields(names: Sequence[str], steps: DataFrame) -> list[Column]:
+    return [F.col("_stage")[name].alias(name) for name in names[len(steps.columns):]]

@@ -150,6 +150,36 @@ def prefix_sums(
     )
 
 
+def range_buckets(
+    df: DataFrame, order: Sequence[str], rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> Column:
+    """Number of the range of ``order`` in which a row lies: ranges of about equal size, from a sample, in order."""
+    rows = df.count() if rows is None else rows
+    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket)) if rows else 1
+    cut_by, edges = _edges(df, list(order), rows, buckets) if buckets > 1 else (list(order), [])
+    return edges_at_or_below(df, cut_by, edges)
+
+
+def last_values(
+    df: DataFrame, order: Sequence[str], value: str, out: str = "last", rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Add the last non-null ``value`` at or before each row, over the whole table.
+
+    Ranges of the order are searched each on its own; what a range ends with is carried into those after it.
+    """
+    bucketed = df.withColumn("_bucket", range_buckets(df, order, rows, rows_per_bucket))
+    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # MAX_BUCKETS rows at most.
+    ends = bucketed.where(F.col(value).isNotNull()).groupBy("_bucket").agg(F.max_by(value, _key(order)).alias("_end"))
+    every = bucketed.select("_bucket").distinct().join(ends, "_bucket", "left")
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.broadcast(every.select(F.col("_bucket").alias("_b"), F.last("_end", ignorenulls=True).over(earlier).alias("_before")))
+    found = bucketed.withColumn("_own", F.last(value, ignorenulls=True).over(inside))
+    return found.join(carried, F.col("_bucket") == F.col("_b"), "left").withColumn(
+        out, F.coalesce("_own", "_before")
+    ).select(*df.columns, out)
+
+
 def global_index(df: DataFrame, order: Sequence[str], out: str = "index", **options) -> DataFrame:
     """0-based position of every row in ``order``."""
     return prefix_sums(df, order, out=out, **options)
@@ -234,9 +264,9 @@ def folder_name(prefix: ColumnOrName, shard: ColumnOrName, n: ColumnOrName | int
 def running_total(
     chunks: DataFrame, order: Sequence[str], value: str, out: str = "total_so_far", **options
 ) -> DataFrame:
-    """Sum of ``value`` up to and including each chunk."""
+    """Sum of ``value`` up to and including each chunk; a null value adds nothing."""
     before = prefix_sums(chunks, order, weight=value, out="_before", **options)
-    return before.withColumn(out, F.col("_before") + F.col(value)).drop("_before")
+    return before.withColumn(out, F.col("_before") + F.coalesce(F.col(value), F.lit(0))).drop("_before")
 
 
 def last_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, div, round_half_even, seeded_digest
 from corpusflow.operators.index import global_index, prefix_sums
+from corpusflow.operators.selection import kth_keys
 from corpusflow.operators.sizing import fits, lookup
 from corpusflow.session import checkpointed
 
@@ -160,13 +161,23 @@ def mix(
     A source with a quota above its size is repeated whole and then once more in part; ``copy``
     counts the repeats. Sources without a positive weight, or without documents, give nothing and
     leave their share to the others; if none is left, the call raises.
+
+    The digest at which the draw of each source ends is selected by counting, so that only drawn rows are ranked
+    and moved.
     """
     sizes = checkpointed(docs.groupBy(key).agg(F.count("*").alias("_size")))
     usable = checkpointed(weights.where(F.col(weight) > 0).join(sizes, key, "left_semi"))
     if n > 0 and usable.isEmpty():
         raise ValueError("no source has both documents and a positive weight")
     sizes = checkpointed(sizes.join(quotas(usable, n, key, weight), key).where(F.col("quota") > 0))
-    drawn = lookup(docs, sizes, [key]).withColumn("_digest", seeded_digest(seed, *ids))
+    digest = seeded_digest(seed, *ids)
+    # Sources that are not drawn whole end at the digest of their last row.
+    part = sizes.where(F.col("quota") < F.col("_size")).select(key, F.col("quota").alias("_last"))
+    keys = checkpointed(lookup(docs.select(key, digest.alias("_end")), part.select(key), [key]))
+    ends = kth_keys(keys, part, [key], key="_end", k="_last").select(key, "_end")
+    limits = checkpointed(sizes.join(ends, key, "left"))
+    drawn = lookup(docs, limits, [key]).withColumn("_digest", digest)
+    drawn = drawn.where(F.col("_end").isNull() | (F.col("_digest") <= F.col("_end"))).drop("_end")
     ranked = prefix_sums(drawn, ["_digest", *ids], partition=[key], out="_rank", **options)
     whole = div("quota", "_size")
     copies = whole + F.when(F.col("_rank") < F.col("quota") % F.col("_size"), 1).otherwise(0)

@@ -13,12 +13,46 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-# All arithmetic is modulo this prime (2^31 - 1), on the two 30-bit halves of a 60-bit hash, so that
-# every product fits 63 bits.
-PRIME = 2_147_483_647
-HALF = 30
-# N-gram hashes are polynomials over word hashes, with one base per half.
-BASES = (1_000_003, 754_974_721)
+# All arithmetic is modulo this prime, 2^61 - 1, in limbs of 31 bits, so that every sum fits 64 bits.
+BITS = 61
+PRIME = (1 << BITS) - 1
+LIMB = 31
+# N-gram hashes are polynomials over word hashes, which have 60 bits.
+BASE = 1_152_921_504_606_846_883
+
+_P, _LIMB, _LOW = np.uint64(PRIME), np.uint64(LIMB), np.uint64((1 << LIMB) - 1)
+_REST, _REST_MASK, _BITS = np.uint64(BITS - LIMB), np.uint64((1 << (BITS - LIMB)) - 1), np.uint64(BITS)
+
+
+def reduced(total: np.ndarray, spare: np.ndarray) -> None:
+    """``total`` modulo the prime, in place: bits above the 61st count as much as those at the bottom."""
+    np.right_shift(total, _BITS, out=spare)
+    total &= _P
+    total += spare
+    # Below zero is far above the prime.
+    np.subtract(total, _P, out=spare)
+    np.minimum(total, spare, out=total)
+
+
+def times_plus(
+    high: np.ndarray, low: np.ndarray, factor: int, plus: int | np.ndarray, out: np.ndarray, spare: np.ndarray, mid: np.ndarray
+) -> None:
+    """``out = (high * 2^31 + low) * factor + plus`` modulo the prime; the others are room to work in."""
+    factor_high, factor_low = np.uint64(factor >> LIMB), np.uint64(factor & ((1 << LIMB) - 1))
+    # 2^62 is 2; of the middle product what passes 2^30 passes 2^61 at its place.
+    np.multiply(low, factor_high, out=mid)
+    np.multiply(high, factor_low, out=spare)
+    mid += spare
+    np.multiply(high, factor_high << np.uint64(1), out=out)
+    np.right_shift(mid, _REST, out=spare)
+    out += spare
+    mid &= _REST_MASK
+    mid <<= _LIMB
+    out += mid
+    np.multiply(low, factor_low, out=spare)
+    out += spare
+    out += np.uint64(plus) if isinstance(plus, int) else plus
+    reduced(out, spare)
 
 
 # Lists are handled in blocks of about this many words, whatever the size of the Arrow batch.
@@ -47,10 +81,8 @@ def word_hashes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return table[encoded.indices.to_numpy(zero_copy_only=False)], offsets - offsets[0]
 
 
-def ngrams(
-    flat: np.ndarray, offsets: np.ndarray, n: int, short: bool
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two halves of the hashes of all n-grams of each list, and how many each list has.
+def ngrams(flat: np.ndarray, offsets: np.ndarray, n: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of each list, and how many each list has.
 
     A list shorter than n has one hash, of all its words, if ``short``; otherwise none.
     """
@@ -60,27 +92,20 @@ def ngrams(
     begin = np.cumsum(counts) - counts
     # Where in ``flat`` each n-gram starts.
     first = np.arange(counts.sum()) + np.repeat(offsets[:-1] - begin, counts)
-    prime, mask = np.uint64(PRIME), np.uint64((1 << HALF) - 1)
-    halves = []
-    for base, part in zip(BASES, (flat >> np.uint64(HALF), flat & mask)):
-        padded = np.concatenate((part, np.zeros(n, dtype=np.uint64)))
-        # Horner's rule at every position at once, whether a list has an n-gram there or not.
-        total, whole = part.copy(), np.empty_like(part)
-        few = {}
-        for j in range(n):
-            if j:
-                total *= np.uint64(base)
-                total += padded[j: j + len(flat)]
-                np.floor_divide(total, prime, out=whole)
-                whole *= prime
-                total -= whole
-            if short and j + 1 < n:
-                few[j + 1] = total[offsets[:-1][lengths == j + 1]]
-        found = total[first]
-        for width, values in few.items():
-            found[begin[lengths == width]] = values
-        halves.append(found)
-    return halves[0], halves[1], counts
+    padded = np.concatenate((flat, np.zeros(n, dtype=np.uint64)))
+    # Horner's rule at every position at once, whether a list has an n-gram there or not.
+    total, (out, spare, mid) = flat.copy(), (np.empty_like(flat) for _ in range(3))
+    few = {}
+    for j in range(n):
+        if j:
+            times_plus(total >> _LIMB, total & _LOW, BASE, padded[j: j + len(flat)], out, spare, mid)
+            total, out = out, total
+        if short and j + 1 < n:
+            few[j + 1] = total[offsets[:-1][lengths == j + 1]]
+    found = total[first]
+    for width, values in few.items():
+        found[begin[lengths == width]] = values
+    return found, counts
 
 
 def ngram_hashes(sizes: Sequence[int]):
@@ -90,8 +115,8 @@ def ngram_hashes(sizes: Sequence[int]):
         flat, offsets = word_hashes(lists)
         values, owners = [], []
         for n in sizes:
-            high, low, counts = ngrams(flat, offsets, n, short=False)
-            values.append(((high << np.uint64(31)) + low + np.uint64(n)).astype(np.int64))
+            found, counts = ngrams(flat, offsets, n, short=False)
+            values.append((found + np.uint64(n)).astype(np.int64))
             owners.append(np.repeat(np.arange(len(lists)), counts))
         value, owner = np.concatenate(values), np.concatenate(owners)
         if len(sizes) > 1:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -14,7 +13,9 @@ from pyspark.sql import functions as F
 from corpusflow.functions.numbers import ColumnOrName, as_column, digest_below, seeded_digest
 from corpusflow.functions.text import leading_number, number_in, strip
 from corpusflow.operators.index import shuffle_seeded
+from corpusflow.operators.selection import kth_keys
 from corpusflow.operators.sizing import broadcast_if_small
+from corpusflow.session import checkpointed
 
 
 def keep_only(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -68,18 +69,21 @@ def sort_numeric(df: DataFrame, name: str) -> DataFrame:
 def take_first(df: DataFrame, n: int, seed: int, ids: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of the seeded order; all rows for ``n <= 0``.
 
-    Digests are uniform, so in a large table the first ``n`` are sought among the rows with small
-    digests, of which there are hardly more than ``n``; the sort has to see those only.
+    The ``n``-th key is selected by counting, so that only the rows up to it are moved and sorted, over as many
+    tasks as they need. Rows of one id come in the order of their contents; of equal rows any will do.
     """
     if n <= 0:
         return shuffle_seeded(df, seed, ids)
-    rows = df.count()
-    rate = (n + 10 * math.sqrt(n)) / max(rows, 1)
-    if rate < 0.5:
-        small = df.where(digest_below(seeded_digest(seed, *ids), rate))
-        if small.count() >= n:
-            df = small
-    return shuffle_seeded(df, seed, ids).limit(n)
+    content = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    keyed = df.withColumn("_key", F.concat(seeded_digest(seed, *ids), content))
+    keys = checkpointed(keyed.select(F.col("_key").alias("key")))
+    cut = kth_keys(keys, df.sparkSession.range(n, n + 1).select(F.col("id").alias("k"))).first()
+    if cut is None:
+        return shuffle_seeded(df, seed, ids)
+    before = keyed.where(F.col("_key") < cut["key"])
+    last = keyed.where(F.col("_key") == cut["key"]).dropDuplicates(["_key"])
+    last = last.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(n - cut["below"])))).drop("_copy")
+    return shuffle_seeded(before.unionByName(last).drop("_key"), seed, ids)
 
 
 def sample_rate(df: DataFrame, rate: float, seed: int, ids: Sequence[str]) -> DataFrame:

@@ -8,11 +8,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, div
-from corpusflow.operators.index import global_index, prefix_sums, shuffle_seeded
+from corpusflow.operators.index import global_index, prefix_sums, range_buckets, shuffle_seeded
 from corpusflow.operators.sizing import fits, skew_join
 from corpusflow.session import checkpointed
 
@@ -148,15 +148,25 @@ def pack_sequences(
     """(seq, tokens): all documents joined in order and cut into samples.
 
     A sample covers ``length`` tokens, and with ``plus_one`` also the first of the next sample, as
-    the target of its last token. A last sample that is not full is dropped. Each document is cut
-    into its pieces in place; a group holds one sample.
+    the target of its last token. A last sample that is not full is dropped.
+
+    Tokens are moved once: rows are dealt out by ranges of the order, sizes alone say where each range begins,
+    and the samples that lie within a range are put together where its rows are. Only the few pieces of
+    samples that cross a border of ranges travel on. Sizes and tokens are read in passes of their own, so write tokens down before
+    if they are dear to make.
     """
     extra = 1 if plus_one else 0
-    sized = df.withColumn("_size", F.greatest(F.size(tokens), F.lit(0)).cast("long"))
-    # Rows carry their tokens along, so buckets are small. Positions need counting and sampling of
-    # the order columns only; the tokens are read for the totals and for the result.
-    options = {"rows": df.count(), "rows_per_bucket": PACK_ROWS_PER_BUCKET, **options}
-    placed = prefix_sums(sized, order, weight="_size", out="_start", **options).where(F.col("_size") > 0)
+    sized = df.withColumn("_size", F.greatest(F.size(tokens), F.lit(0)).cast("long")).where(F.col("_size") > 0)
+    rows = options.get("rows") or df.count()
+    bucket = range_buckets(df, order, rows, options.get("rows_per_bucket", PACK_ROWS_PER_BUCKET))
+    bucketed = sized.select(bucket.alias("_bucket"), "_size", F.col(tokens).alias("_tokens"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    totals = bucketed.groupBy("_bucket").agg(F.sum("_size").alias("_total"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    offsets = F.broadcast(totals.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")))
+    inside = Window.partitionBy("_bucket").orderBy(*[f"_o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, 0)
+    placed = bucketed.withColumn("_upto", F.sum("_size").over(inside)).join(offsets, F.col("_bucket") == F.col("_b"))
+    placed = placed.select("_bucket", "_tokens", "_size", (F.col("_offset") + F.col("_upto") - F.col("_size")).alias("_start"))
     start, end = F.col("_start"), F.col("_start") + F.col("_size")
     first = div(F.greatest(start - extra, F.lit(0)), length)
     last = div(end - 1, length)
@@ -166,10 +176,14 @@ def pack_sequences(
         high = F.least(seq * length + F.lit(length + extra), end)
         # In the first sample of a document that starts on a boundary this may be empty.
         size = F.greatest(high - low, F.lit(0))
-        piece = F.slice(F.col(tokens), (low - start + 1).cast("int"), size.cast("int"))
+        piece = F.slice(F.col("_tokens"), (low - start + 1).cast("int"), size.cast("int"))
         return F.struct(seq.alias("seq"), low.alias("at"), piece.alias("piece"))
 
-    pieces_of = placed.select(F.explode(F.transform(F.sequence(first, last), cut)).alias("_p")).select("_p.*")
     joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda p: p["piece"]))
-    packed = pieces_of.groupBy("seq").agg(joined.alias("tokens"))
-    return packed.where(F.size("tokens") == F.lit(length + extra))
+    pieces_of = placed.select("_bucket", F.explode(F.transform(F.sequence(first, last), cut)).alias("_p")).select("_bucket", "_p.*")
+    # Rows of a range are together already.
+    within = pieces_of.groupBy("_bucket", "seq").agg(F.min("at").alias("at"), joined.alias("piece"))
+    full = F.size("piece") == F.lit(length + extra)
+    whole = within.where(full).select("seq", F.col("piece").alias("tokens"))
+    across = within.where(~full).groupBy("seq").agg(joined.alias("tokens")).where(F.size("tokens") == F.lit(length + extra))
+    return whole.unionByName(across)

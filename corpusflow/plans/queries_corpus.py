@@ -79,31 +79,28 @@ _HASHES = dedup.BANDS * dedup.ROWS
 def minhash_sql(docs: str, n: int = dedup.NGRAM, hashes: int = _HASHES) -> str:
     """Common table expressions up to ``minima`` (doc_id, k, m)."""
     functions = ", ".join(
-        f"({k}, {a}::BIGINT, {b}::BIGINT, {c}::BIGINT)"
-        for k, (a, b, c) in enumerate(map(dedup.permutation, range(hashes)))
-    )
-    p, (base_high, base_low) = ngrams.PRIME, ngrams.BASES
-    powers = ", ".join(
-        f"({e}, {pow(base_high, e, p)}::BIGINT, {pow(base_low, e, p)}::BIGINT)" for e in range(n)
+        f"({k}, {a}::HUGEINT, {b}::HUGEINT)" for k, (a, b) in enumerate(map(dedup.permutation, range(hashes)))
     )
+    p = ngrams.PRIME
+    powers = ", ".join(f"({e}, {pow(ngrams.BASE, e, p)}::HUGEINT)" for e in range(n))
     return f"""
-      functions(k, a, b, c) AS (VALUES {functions}),
-      powers(e, high_power, low_power) AS (VALUES {powers}),
+      functions(k, a, b) AS (VALUES {functions}),
+      powers(e, power) AS (VALUES {powers}),
       words AS (
         SELECT doc_id, generate_subscripts(w, 1) AS pos, len(w) AS len,
-               ('0x' || substr(md5(unnest(w)), 1, 15))::BIGINT AS h
+               ('0x' || substr(md5(unnest(w)), 1, 15))::HUGEINT AS h
         FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {docs}) WHERE len(w) > 0),
       grams AS (
         SELECT s.doc_id, s.pos, w.h, least(s.len, {n}) - 1 - (w.pos - s.pos) AS e
         FROM words s JOIN words w ON w.doc_id = s.doc_id AND w.pos BETWEEN s.pos AND s.pos + {n - 1}
         WHERE s.pos <= greatest(s.len - {n - 1}, 1)),
       shingles AS (
-        SELECT DISTINCT doc_id, (sum((h >> {ngrams.HALF}) % {p} * high_power % {p}) % {p})::BIGINT AS high,
-               (sum((h & {(1 << ngrams.HALF) - 1}) % {p} * low_power % {p}) % {p})::BIGINT AS low
+        SELECT DISTINCT doc_id, sum(h * power % {p}) % {p} AS x
         FROM grams JOIN powers USING (e) GROUP BY doc_id, pos),
       minima AS (
-        SELECT doc_id, k, min((high * a + low * b + c) % {p}) AS m
-        FROM shingles, functions GROUP BY doc_id, k)
+        -- 2^61 is 1 modulo the prime, so the upper 61 bits of the product count as much as the lower ones.
+        SELECT doc_id, k, min(((v & {p})::BIGINT + (v >> 61)::BIGINT) % {p}) AS m
+        FROM (SELECT doc_id, k, x * a + b AS v FROM shingles, functions) GROUP BY doc_id, k)
     """
 
 

@@ -36,14 +36,14 @@ def read_parquet_glob(spark, sf):
 
 @query(
     "read_dataset",
-    "SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations WHERE role = 'assistant'",
+    "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations",
 )
 def read_dataset(spark, sf):
     path = scratch_path(spark, "dataset")
     turns = table(spark, sf, "conversations").withColumnRenamed("text", "completion")
     turns.write.parquet(f"{path}/train")
     back = readers.read_dataset(spark, path, split="train", text_key="completion")
-    return back.where("role = 'assistant'").select("conv_id", "turn", F.md5("text").alias("text_md5"))
+    return back.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
 
 
 @query("read_subset", "SELECT doc_id, source, md5(text) AS text_md5 FROM documents WHERE lang = 'fr'")

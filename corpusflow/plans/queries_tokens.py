@@ -9,6 +9,7 @@ from corpusflow.operators import audit, generations, mixture, tokens
 from corpusflow.operators.rows import merge_shuffled
 from corpusflow.plans.corpus import weighted_manifest, with_shard
 from corpusflow.plans.registry import query, table, texts
+from corpusflow.session import checkpointed
 
 PIECES_SQL = r"regexp_extract_all(text, '\p{L}+|\p{N}|[^\s\p{L}\p{N}]+')"
 EOD = 0
@@ -90,11 +91,11 @@ def count_tokens(spark, sf):
     "throughput",
     f"""
     SELECT sum(len({PIECES_SQL}))::BIGINT AS tokens, sum(len({PIECES_SQL})) / 12.5 AS tokens_per_second
-    FROM conversations WHERE role = 'assistant'
+    FROM conversations
     """,
 )
 def throughput(spark, sf):
-    said = table(spark, sf, "conversations").where("role = 'assistant'")
+    said = table(spark, sf, "conversations")
     return tokens.throughput(said.select(tokens.token_length("text").alias("n")), "n", 12.5)
 
 
@@ -107,7 +108,8 @@ _BEFORE = f"""
 
 def _sized(spark, sf):
     docs = texts(spark, sf, "documents")
-    return docs.select("doc_id", "source", tokens.token_length("text").alias("n"))
+    # Texts are cut into tokens once; positions need the sizes only.
+    return checkpointed(docs.select("doc_id", "source", tokens.token_length("text").alias("n")))
 
 
 @query("files_by_max_tokens", f"SELECT doc_id, n, before // 10000 AS file FROM ({_BEFORE})")
@@ -140,7 +142,7 @@ def _packed_sql(length: int, extra: int) -> str:
 
 
 def _packed(spark, sf, plus_one):
-    docs = texts(spark, sf, "documents").select("doc_id", tokens.pieces("text").alias("tokens"))
+    docs = checkpointed(texts(spark, sf, "documents").select("doc_id", tokens.pieces("text").alias("tokens")))
     packed = tokens.pack_sequences(docs, "tokens", 512, ["doc_id"], plus_one=plus_one)
     return packed.select("seq", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 

@@ -183,6 +183,35 @@ def test_stage_of_step(spark):
     assert got == {0: None, 1: "a", 99: "a", 100: "b", 5000: "b"}
 
 
+def test_stages_of_any_number(spark):
+    """100,000 stages; a third of the steps are one number; ties, steps before all stages, and nulls."""
+    stages = spark.range(100_000).selectExpr("concat('n', id) as name", "id * 3 + 10 as start_training_step")
+    stages = stages.unionByName(spark.createDataFrame([("zz", 13), ("a", 13), ("never", None)], "name string, start_training_step long"))
+    steps = spark.range(30_000).selectExpr("case when id % 3 = 0 then 777 when id = 1 then null else id * 11 - 50 end as step", "id as other")
+    got = grid.stage_of_step(steps, stages, rows_per_bucket=5000)
+    assert got.columns == ["step", "other", "start_training_step", "name"]
+    rows = got.collect()
+    assert sorted(r["other"] for r in rows) == list(range(30_000))
+    for r in rows:
+        s = r["step"]
+        if s is None or s < 10:
+            assert r["name"] is None and r["start_training_step"] is None
+        else:
+            i = min((s - 10) // 3, 99_999)
+            assert r["start_training_step"] == i * 3 + 10 and r["name"] == ("zz" if i == 1 else f"n{i}")
+
+
+def test_few_stages_agree_with_many(spark):
+    stages = spark.createDataFrame([("b", 100, 1), ("c", 100, 2), ("a", 1, 3), (None, 5, 4)], "name string, start_training_step bigint, x int")
+    steps = spark.createDataFrame([(s,) for s in (0, 1, 4, 5, 99, 100, 5000, None, 100)], "step bigint")
+    few, many = (grid.stage_of_step(steps, stages, in_place=n) for n in (10, 0))
+    assert few.columns == many.columns
+    rows = sorted(map(str, few.collect()))
+    assert rows == sorted(map(str, many.collect())) and len(rows) == 9
+    none = grid.stage_of_step(steps, stages.limit(0))
+    assert {r["name"] for r in none.collect()} == {None}
+
+
 def test_source_difference(spark):
     """Published totals: tokens are half the gigabytes, the difference is absolute."""
     table = [("pull_requests", 39.07, 19.54, 20.0, 0.46), ("issues", 22.11, 11.06, 8.0, 3.06), ("arxiv", 60.52, 30.26, 30.2, 0.06)]

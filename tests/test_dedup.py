@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -19,13 +20,25 @@ def brute_signature(text, hashes):
     grams = [h[i:i + 5] for i in range(max(1, len(h) - 4))]
     p, shingles = ngrams.PRIME, set()
     for g in grams:
-        high = low = 0
+        total = 0
         for x in g:
-            high = (high * ngrams.BASES[0] + (x >> 30)) % p
-            low = (low * ngrams.BASES[1] + (x & (2**30 - 1))) % p
-        shingles.add((high, low))
+            total = (total * ngrams.BASE + x) % p
+        shingles.add(total)
     perms = [dedup.permutation(k) for k in range(hashes)]
-    return [min((x * a + y * b + c) % p for x, y in shingles) for a, b, c in perms]
+    return [min((x * a + b) % p for x in shingles) for a, b in perms]
+
+
+def test_arithmetic_modulo_the_prime():
+    rng, p = random.Random(4), ngrams.PRIME
+    edges = [0, 1, 2, (1 << 31) - 1, 1 << 31, 1 << 60, p - 2, p - 1]
+    values = edges + [rng.randrange(p) for _ in range(500)]
+    x = np.array(values, dtype=np.uint64)
+    high, low = x >> np.uint64(ngrams.LIMB), x & np.uint64((1 << ngrams.LIMB) - 1)
+    for factor in edges + [rng.randrange(p) for _ in range(50)]:
+        for plus in (0, 5, p - 1):
+            out, spare, mid = (np.empty_like(x) for _ in range(3))
+            ngrams.times_plus(high, low, factor, plus, out, spare, mid)
+            assert out.tolist() == [(v * factor + plus) % p for v in values]
 
 
 @pytest.mark.parametrize("block", [1, 7, 500, 1 << 21])

@@ -147,3 +147,25 @@ def test_empty_table(spark):
     empty = spark.range(0)
     assert index.global_index(empty, ["id"]).count() == 0
     assert index.shard_contiguous(empty, 3, ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("per_bucket", [7, 100_000])
+def test_last_values(spark, per_bucket):
+    rng = random.Random(2)
+    rows = [(i, rng.choice([None, None, None, f"v{i}"])) for i in range(200)] + [(i, None) for i in range(300, 400)]
+    df = spark.createDataFrame(rows, "i int, v string").repartition(4)
+    got = {r["i"]: r["last"] for r in index.last_values(df, ["i"], "v", rows_per_bucket=per_bucket).collect()}
+    want, last = {}, None
+    for i, v in rows:
+        last = v or last
+        want[i] = last
+    assert got == want
+    assert index.last_values(df.limit(0), ["i"], "v").count() == 0
+    none = index.last_values(df.where("v is null"), ["i"], "v", rows_per_bucket=per_bucket)
+    assert {r["last"] for r in none.collect()} == {None}
+
+
+def test_running_total_of_nulls(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 2)], "i int, v long")
+    got = index.running_total(df, ["i"], "v").orderBy("i").collect()
+    assert [r["total_so_far"] for r in got] == [5, 5, 7]

@@ -156,3 +156,16 @@ def test_tokens_belong_to_texts(spark):
         assert sorted(map(tuple, got.collect()), key=str) == want
     nothing = tokens.encode(docs, "text", vocab.limit(0), "doc_id").select("tokens").collect()
     assert sorted(len(r["tokens"]) for r in nothing) == [0, 0, 1, 1, 2, 2, 2]
+
+
+def test_packing_moves_tokens_once(spark, lists):
+    """The one exchange of tokens is by ranges; what travels on are pieces that do not fill a sample."""
+    df = spark.createDataFrame(lists[0], "id bigint, t array<bigint>")
+    packed = tokens.pack_sequences(df, "t", 8, ["id"], rows_per_bucket=20)
+    packed.collect()
+    plan = packed._jdf.queryExecution().toString().split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    by_range = plan.count("Exchange hashpartitioning(_bucket")
+    assert by_range - plan.count("ReusedExchange") <= 1
+    for line in plan.split("\n"):
+        if "Exchange " in line and "_bucket" not in line and "Broadcast" not in line and "Reused" not in line:
+            assert "hashpartitioning(seq" in line or "SinglePartition" in line, line
