@@ -1,31 +1,25 @@
 """Remove documents that contain benchmark text.
 
 A document is contaminated when its lower-cased text contains a lower-cased benchmark string
-anywhere. Lists up to a checked size travel to the tasks as one Aho-Corasick automaton, which reads
-each text once whatever the number of strings. Longer lists are joined on word shingles
-(``contained_ids_by_anchor``) and every candidate is verified.
+anywhere. A list up to a checked size travels to the tasks, and each text is read once whatever the number
+of strings. Of a longer list a bitmap of grams does, and texts and strings are joined on the grams that both
+have; every candidate is verified (``substrings``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import ahocorasick
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.operators.ngrams import ngram_hashes
 from corpusflow.operators.rows import exclude_values, strip_non_empty
-from corpusflow.operators.sizing import broadcast_if_small, settle, skew_join
+from corpusflow.operators.sizing import broadcast_if_small, lookup, settle, skew_join
+from corpusflow.operators.substrings import first_found, grams_bitmap, held_grams, own_grams
 from corpusflow.session import checkpointed
 
-# An automaton takes roughly a hundred bytes of worker memory per byte of text.
-AUTOMATON_BYTES = 2 * 1024 * 1024
-SHINGLE_WORDS = (8, 4, 2, 1)
-# Hashes of word runs are sent to the executors up to these bounds.
-RUN_ROWS = 8_000_000
-RUN_BYTES = 128 * 1024 * 1024
+# Bytes of a list that travels whole; it takes roughly ten times as much memory in a worker.
+LIST_BYTES = 8 * 1024 * 1024
 
 
 def benchmark_strings(
@@ -50,39 +44,11 @@ def _pattern_bytes(patterns: DataFrame) -> int:
     return patterns.agg(F.sum(F.octet_length("pattern")).alias("bytes")).first()["bytes"] or 0
 
 
-def _first_hit(spark, entries: list, any_hit: bool):
-    """A function from lower-cased text to the smallest number of a contained string, or null.
-
-    ``any_hit`` stops at the first string found, where only the fact matters. Each task builds the
-    automaton once.
-    """
-    shared = spark.sparkContext.broadcast(entries)
-
-    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        automaton = ahocorasick.Automaton()
-        for number, pattern in shared.value:
-            automaton.add_word(pattern, number)
-        automaton.make_automaton()
-
-        def first(text: str | None) -> int | None:
-            if text is None:
-                return None
-            numbers = (number for _, number in automaton.iter(text))
-            return next(numbers, None) if any_hit else min(numbers, default=None)
-
-        for texts in batches:
-            yield pa.array([first(text.as_py()) for text in texts], pa.int64())
-
-    # Not deterministic, so that the optimizer does not run it once per use of its result.
-    return F.arrow_udf(scan, "long").asNondeterministic()
-
-
-def _hits_small(docs: DataFrame, text: str, entries: list, any_hit: bool) -> DataFrame:
-    """``docs`` with the column ``_hit``."""
+def _hits_small(docs: DataFrame, text: str, entries: list) -> DataFrame:
+    """``docs`` with the column ``_hit``, the smallest number of a string in the text."""
     if not entries:
         return docs.withColumn("_hit", F.lit(None).cast("long"))
-    scan = _first_hit(docs.sparkSession, entries, any_hit)
-    return docs.withColumn("_hit", scan(F.lower(F.col(text))))
+    return docs.withColumn("_hit", first_found(docs.sparkSession, entries)(F.lower(F.col(text))))
 
 
 def flag_contaminated(
@@ -92,7 +58,7 @@ def flag_contaminated(
     doc_id: str,
     string: str = "string",
     out: str = "keep",
-    max_bytes: int = AUTOMATON_BYTES,
+    max_bytes: int = LIST_BYTES,
 ) -> DataFrame:
     """Add a flag that is true for documents without any benchmark string (null text is kept).
 
@@ -101,9 +67,9 @@ def flag_contaminated(
     patterns = _patterns(strings, string)
     if _pattern_bytes(patterns) <= max_bytes:
         entries = [(i, row["pattern"]) for i, row in enumerate(patterns.collect())]
-        flagged = _hits_small(docs, text, entries, any_hit=True)
+        flagged = _hits_small(docs, text, entries)
         return flagged.withColumn(out, F.col("_hit").isNull()).drop("_hit")
-    hit = settle(contaminated_texts(docs, strings, text, string, max_bytes).withColumn("_hit", F.lit(True)))
+    hit = settle(contaminated_texts(docs, strings, text, string).withColumn("_hit", F.lit(True)))
     keyed = docs.withColumn("_key", text_key(text))
     return keyed.join(hit, "_key", "left").withColumn(out, F.col("_hit").isNull()).drop("_hit", "_key")
 
@@ -114,101 +80,56 @@ def decontaminate(
     text: str,
     doc_id: str,
     string: str = "string",
-    max_bytes: int = AUTOMATON_BYTES,
+    max_bytes: int = LIST_BYTES,
 ) -> DataFrame:
     """Documents that contain none of the strings."""
     flagged = flag_contaminated(docs, strings, text, doc_id, string, "_keep", max_bytes)
     return flagged.where("_keep").drop("_keep")
 
 
-def _tokens(c: Column) -> Column:
-    return F.split(c, r"\s+", -1)
-
-
-def contained_ids_by_anchor(
-    docs: DataFrame, patterns: DataFrame, text: str, doc_id: str
-) -> DataFrame:
-    """Distinct ids of documents that contain a pattern with at least one inner token.
+def contained(docs: DataFrame, patterns: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """Distinct (_id, pattern): which texts hold which of the distinct, lower-cased patterns, for lists of any length.
 
-    The inner tokens of a pattern stand whole and in a row in every text that contains it (the
-    first and the last may be parts of longer tokens there). So every run of 8, 4, 2 or 1 of them
-    occurs in the text; which length is used depends on the pattern. A pattern with a run that
-    occurs in no text is contained nowhere; of the others, each takes the run that the fewest
-    documents hold as its anchor. Documents and patterns meet on the hash of the anchor, and
+    Every gram of a pattern occurs in every text that holds it. A pattern with a gram that occurs in no text is held
+    nowhere; of the others, each takes the gram that the fewest texts hold. Texts and patterns meet on it, and
     ``contains`` decides.
     """
-    inner = F.size(_tokens(F.col("pattern"))) - 2
-    size = F.lit(0)
-    for k in reversed(SHINGLE_WORDS):
-        size = F.when(inner >= k, F.lit(k)).otherwise(size)
-    sized = patterns.withColumn("_size", size).withColumn("_pid", F.xxhash64("pattern"))
-    sizes = sorted(r["_size"] for r in sized.select("_size").distinct().collect() if r["_size"])
+    spark = docs.sparkSession
+    listed = patterns.select("pattern", F.md5("pattern").alias("_pid"))
+    runs = listed.select("_pid", F.explode(own_grams()(F.col("pattern"))).alias("r")).select("_pid", "r.*")
+    runs = checkpointed(runs)
+    sizes = sorted(r["q"] for r in runs.select("q").distinct().collect())
     if not sizes:
-        return docs.select(doc_id).limit(0)
-
-    runs = None
-    for k in sizes:
-        of_size = sized.where(F.col("_size") == k).withColumn("_all", _tokens(F.col("pattern")))
-        middle = F.slice(F.col("_all"), F.lit(2), F.size("_all") - 2)
-        part = of_size.select("_pid", F.explode(ngram_hashes([k])(middle)).alias("_h"))
-        runs = part if runs is None else runs.unionByName(part)
-    runs = checkpointed(runs.distinct())
-
-    found = ngram_hashes(sizes)(_tokens(F.lower(F.col(text))))
-    shingles = docs.where(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("_id"), F.explode(found).alias("_h")
-    )
-    # Only runs that occur in some pattern go on; they are few. A list of runs that fits the
-    # executors is sent there, and then no run of a document is shuffled.
-    wanted = broadcast_if_small(runs.select("_h").distinct(), RUN_ROWS, RUN_BYTES)
-    met = checkpointed(shingles.join(wanted, "_h", "left_semi").distinct())
-    spread = met.groupBy("_h").agg(F.count("*").alias("_docs"))
-    anchors = (
-        runs.join(spread, "_h", "left")
+        return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("pattern")).limit(0)
+    grams = held_grams(spark, grams_bitmap(runs), sizes)
+    lowered = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
+    # Grams that the bitmap lets through by chance meet no pattern.
+    held = checkpointed(lowered.select("_id", F.explode(grams(F.col("_text"))).alias("r")).select("_id", "r.q", "r.g").distinct())
+    spread = held.groupBy("q", "g").agg(F.count("*").alias("_docs"))
+    anchors = checkpointed(
+        runs.join(spread, ["q", "g"], "left")
         .groupBy("_pid")
         .agg(
-            F.min_by("_h", F.struct("_docs", "_h")).alias("_h"),
+            F.min_by(F.struct("q", "g"), F.struct("_docs", "q", "g")).alias("a"),
             F.bool_and(F.col("_docs").isNotNull()).alias("_everywhere"),
         )
         .where("_everywhere")
-        .select("_pid", "_h")
+        .select("_pid", "a.q", "a.g")
     )
-    pairs = checkpointed(skew_join(met, anchors, ["_h"]).select("_id", "_pid").distinct())
+    pairs = checkpointed(skew_join(held, anchors, ["q", "g"]).select("_id", "_pid").distinct())
     rows = pairs.count()
-    with_pattern = skew_join(pairs, sized.select("_pid", "pattern"), ["_pid"], rows=rows)
+    with_pattern = skew_join(pairs, listed, ["_pid"], rows=rows)
     # Candidates are few: their texts are picked out by a broadcast of ids where that is possible.
-    candidates = broadcast_if_small(pairs.select(F.col("_id").alias(doc_id)).distinct())
-    picked = docs.select(doc_id, text).join(candidates, doc_id, "left_semi")
-    texts = picked.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text")).distinct()
+    candidates = broadcast_if_small(pairs.select("_id").distinct())
+    texts = lowered.join(candidates, "_id", "left_semi").distinct()
     both = skew_join(with_pattern, texts, ["_id"], rows=rows)
-    verified = both.where(F.contains("_text", "pattern"))
-    return verified.select(F.col("_id").alias(doc_id)).distinct()
+    return both.where(F.contains("_text", "pattern")).select("_id", "pattern").distinct()
 
 
-def contained_ids(
-    docs: DataFrame,
-    strings: DataFrame,
-    text: str,
-    doc_id: str,
-    string: str = "string",
-    max_bytes: int = AUTOMATON_BYTES,
-) -> DataFrame:
-    """Distinct ids of documents that contain a string, for lists of any length.
-
-    Strings with inner tokens go through anchors; the few short ones through automata of at most
-    ``max_bytes`` each, one after the other.
-    """
+def contained_ids(docs: DataFrame, strings: DataFrame, text: str, doc_id: str, string: str = "string") -> DataFrame:
+    """Distinct ids of documents that contain a string, for lists of any length."""
     patterns = checkpointed(_patterns(strings, string))
-    has_inner = F.size(_tokens(F.col("pattern"))) > 2
-    ids = contained_ids_by_anchor(docs, patterns.where(has_inner), text, doc_id)
-    short = patterns.where(~has_inner)
-    parts = -(-2 * _pattern_bytes(short) // max_bytes)
-    for part in range(parts):
-        piece = short.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part)
-        entries = [(i, row["pattern"]) for i, row in enumerate(piece.collect())]
-        found = _hits_small(docs.select(doc_id, text), text, entries, any_hit=True)
-        ids = ids.unionByName(found.where(F.col("_hit").isNotNull()).select(doc_id))
-    return ids.distinct()
+    return contained(docs, patterns, text, doc_id).select(F.col("_id").alias(doc_id)).distinct()
 
 
 def text_key(text: str) -> Column:
@@ -216,12 +137,10 @@ def text_key(text: str) -> Column:
     return F.md5(F.lower(F.col(text)))
 
 
-def contaminated_texts(
-    docs: DataFrame, strings: DataFrame, text: str, string: str = "string", max_bytes: int = AUTOMATON_BYTES
-) -> DataFrame:
+def contaminated_texts(docs: DataFrame, strings: DataFrame, text: str, string: str = "string") -> DataFrame:
     """Distinct keys of texts that contain a string, as (_key)."""
     keyed = docs.select(text_key(text).alias("_key"), F.col(text).alias("_whole"))
-    return contained_ids(keyed, strings, "_whole", "_key", string, max_bytes)
+    return contained_ids(keyed, strings, "_whole", "_key", string)
 
 
 def decontaminate_anchored(
@@ -238,34 +157,27 @@ def contamination_hits(
     text: str,
     order: str,
     string: str = "string",
-    max_bytes: int = AUTOMATON_BYTES,
+    max_bytes: int = LIST_BYTES,
 ) -> DataFrame:
     """Documents with the first contained string in list order, as ``hit_<column>`` columns.
 
-    ``order`` numbers the strings (list by list) without repeats. Lists above ``max_bytes`` are
-    scanned in parts of that size; the smallest number over all parts wins.
+    ``order`` numbers the strings (list by list) without repeats. The hit of a row comes from its text alone. A list
+    above ``max_bytes`` is joined with the texts on grams.
     """
     listed = strings.withColumn("_pattern", F.lower(F.col(string))).where(F.length("_pattern") > 0)
-    bytes_total = listed.agg(F.sum(F.octet_length("_pattern")).alias("b")).first()["b"] or 0
-    parts = 1 if bytes_total <= max_bytes else -(-2 * bytes_total // max_bytes)
-    hit = F.lit(None).cast("long")
-    found, names = docs, []
-    for part in range(parts):
-        piece = listed.where(F.pmod(F.xxhash64("_pattern"), F.lit(parts)) == part)
-        first = piece.groupBy("_pattern").agg(F.min(order).alias("_n"))
+    first = checkpointed(listed.groupBy("_pattern").agg(F.min(F.col(order).cast("long")).alias("_n")))
+    info = strings.select(F.col(order).cast("long").alias("_hit"), *[F.col(c).alias(f"hit_{c}") for c in strings.columns])
+    size = first.agg(F.sum(F.octet_length("_pattern")).alias("b")).first()["b"] or 0
+    if size <= max_bytes:
         entries = [(row["_n"], row["_pattern"]) for row in first.collect()]
-        names.append(f"_hit_{part}")
-        found = _hits_small(found, text, entries, any_hit=False).withColumnRenamed("_hit", names[-1])
-    hit = F.least(*names) if len(names) > 1 else F.col(names[0])
-    found = found.withColumn("_hit", hit).where(F.col("_hit").isNotNull()).drop(*names)
-    info = strings.select(
-        F.col(order).cast("long").alias("_hit"),
-        *[F.col(c).alias(f"hit_{c}") for c in strings.columns],
-    )
-    if parts == 1:
-        # The list is within ``max_bytes``.
-        return found.join(F.broadcast(info), "_hit").drop("_hit")
-    return skew_join(checkpointed(found), info, ["_hit"]).drop("_hit")
+        found = _hits_small(docs, text, entries).where(F.col("_hit").isNotNull())
+    else:
+        keyed = docs.select(text_key(text).alias("_key"), F.col(text).alias("_whole"))
+        pairs = contained(keyed, first.select(F.col("_pattern").alias("pattern")), "_whole", "_key")
+        numbered = pairs.join(first, pairs["pattern"] == first["_pattern"])
+        least = settle(numbered.groupBy(F.col("_id").alias("_key")).agg(F.min("_n").alias("_hit")))
+        found = docs.withColumn("_key", text_key(text)).join(least, "_key").drop("_key")
+    return lookup(found, settle(info), ["_hit"]).drop("_hit")
 
 
 def removal_report(flagged: DataFrame, keep: str = "keep") -> DataFrame:

@@ -152,12 +152,15 @@ def prefix_sums(
 
 def range_buckets(
     df: DataFrame, order: Sequence[str], rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> Column:
-    """Number of the range of ``order`` in which a row lies: ranges of about equal size, from a sample, in order."""
+) -> Column | None:
+    """Number of the range of ``order`` in which a row lies: ranges of about equal size, from a sample, in order.
+
+    None where one range holds all rows.
+    """
     rows = df.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket)) if rows else 1
     cut_by, edges = _edges(df, list(order), rows, buckets) if buckets > 1 else (list(order), [])
-    return edges_at_or_below(df, cut_by, edges)
+    return edges_at_or_below(df, cut_by, edges) if edges else None
 
 
 def last_values(
@@ -167,7 +170,11 @@ def last_values(
 
     Ranges of the order are searched each on its own; what a range ends with is carried into those after it.
     """
-    bucketed = df.withColumn("_bucket", range_buckets(df, order, rows, rows_per_bucket))
+    bucket = range_buckets(df, order, rows, rows_per_bucket)
+    if bucket is None:
+        upto = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    bucketed = df.withColumn("_bucket", bucket)
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # MAX_BUCKETS rows at most.
     ends = bucketed.where(F.col(value).isNotNull()).groupBy("_bucket").agg(F.max_by(value, _key(order)).alias("_end"))

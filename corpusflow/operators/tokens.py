@@ -159,13 +159,17 @@ def pack_sequences(
     sized = df.withColumn("_size", F.greatest(F.size(tokens), F.lit(0)).cast("long")).where(F.col("_size") > 0)
     rows = options.get("rows") or df.count()
     bucket = range_buckets(df, order, rows, options.get("rows_per_bucket", PACK_ROWS_PER_BUCKET))
-    bucketed = sized.select(bucket.alias("_bucket"), "_size", F.col(tokens).alias("_tokens"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    bucketed = sized.select((F.lit(0) if bucket is None else bucket).alias("_bucket"), "_size", F.col(tokens).alias("_tokens"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     totals = bucketed.groupBy("_bucket").agg(F.sum("_size").alias("_total"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range.
     offsets = F.broadcast(totals.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")))
     inside = Window.partitionBy("_bucket").orderBy(*[f"_o{i}" for i in range(len(order))]).rowsBetween(Window.unboundedPreceding, 0)
-    placed = bucketed.withColumn("_upto", F.sum("_size").over(inside)).join(offsets, F.col("_bucket") == F.col("_b"))
+    placed = bucketed.withColumn("_upto", F.sum("_size").over(inside))
+    if bucket is None:
+        placed = placed.withColumn("_offset", F.lit(0).cast("long"))
+    else:
+        placed = placed.join(offsets, F.col("_bucket") == F.col("_b"))
     placed = placed.select("_bucket", "_tokens", "_size", (F.col("_offset") + F.col("_upto") - F.col("_size")).alias("_start"))
     start, end = F.col("_start"), F.col("_start") + F.col("_size")
     first = div(F.greatest(start - extra, F.lit(0)), length)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import decontam
+from corpusflow.operators import decontam, substrings
 from corpusflow.operators.sizing import lookup, skew_join
 
 
@@ -106,7 +106,7 @@ def test_verdicts_belong_to_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     strings = spark.createDataFrame([("of the hidden test text",), ("HIDDEN",)], "string string")
     want = sorted([(1, "clean"), (None, "clean"), (2, None), (3, "clean"), (3, "clean"), (4, "")], key=str)
-    for bound in (1, decontam.AUTOMATON_BYTES):
+    for bound in (1, decontam.LIST_BYTES):
         left = decontam.decontaminate(docs, strings, "text", "doc_id", max_bytes=bound)
         assert sorted(map(tuple, left.collect()), key=str) == want
     left = decontam.decontaminate_anchored(docs, strings, "text", "doc_id")
@@ -116,6 +116,38 @@ def test_verdicts_belong_to_texts(spark):
 def test_common_words_around_a_run(spark):
     docs = spark.createDataFrame([(1, "so a the b it is"), (2, "a the c"), (3, "the the the")], "doc_id int, text string")
     strings = spark.createDataFrame([("a the b",)], "string string")
-    for bound in (1, decontam.AUTOMATON_BYTES):
+    for bound in (1, decontam.LIST_BYTES):
         left = decontam.decontaminate(docs, strings, "text", "doc_id", max_bytes=bound)
         assert sorted(r["doc_id"] for r in left.collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 1])
+def test_strings_without_blanks_and_of_any_length(spark, max_bytes):
+    """One byte, two, three, eight, nine; strings that begin alike; ends of texts; letters of several bytes; a long text."""
+    rng = random.Random(9)
+    strings = ["q", "é", "zz", "xyz", "12345678", "123456789", "1234567890abc", "漢字かな交じり", "a the b", "no_such_text_anywhere"]
+    strings += ["common prefix " + str(i) for i in range(200)]
+    docs = [(i, "".join(rng.choices("abcdefg 1234567890\n", k=rng.randrange(60)))) for i in range(200)]
+    docs += [(300 + i, "x" * i + s.upper()) for i, s in enumerate(strings)] + [(700 + i, s[:-1]) for i, s in enumerate(strings)]
+    docs += [(600, "ab" * 400_000 + "12345678"), (601, "漢字かな交じ"), (602, "z"), (603, None), (604, "common prefix 19 and 20")]
+    df = spark.createDataFrame(docs, "id bigint, text string").repartition(3)
+    listed = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "ord bigint, string string")
+    bad = contaminated(docs, strings)
+    kept = {r["id"] for r in decontam.decontaminate(df, listed, "text", "id", max_bytes=max_bytes).collect()}
+    assert kept == {i for i, _ in docs} - bad and 600 in bad and 601 not in bad
+    want = {}
+    for i, text in docs:
+        hits = [n for n, s in enumerate(strings) if text is not None and s.lower() in text.lower()]
+        if hits:
+            want[i] = hits[0]
+    got = decontam.contamination_hits(df, listed, "text", "ord", max_bytes=max_bytes).collect()
+    assert {r["id"]: r["hit_ord"] for r in got} == want
+
+
+def test_grams_that_leave_texts_are_those_of_the_list(spark):
+    strings = spark.createDataFrame([("some benchmark text",)], "string string")
+    runs = strings.select(F.explode(substrings.own_grams()(F.col("string"))).alias("r")).select("r.*")
+    assert runs.count() == 12
+    known = substrings.held_grams(spark, substrings.grams_bitmap(runs), [8])
+    docs = spark.createDataFrame([("words " * 1000 + "some benchmark text",), ("nothing of it",), (None,)], "t string")
+    assert [r[0] for r in docs.select(F.size(known(F.col("t")))).collect()] == [12, 0, 0]
