@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, div, round_half_even, seeded_digest
+from corpusflow.functions.text import fill_template
 from corpusflow.operators.index import global_index, prefix_sums
+from corpusflow.operators.rows import expand_shards
 from corpusflow.operators.selection import kth_keys
 from corpusflow.operators.sizing import fits, lookup
 from corpusflow.session import checkpointed
@@ -45,6 +47,31 @@ def shard_size(
     return sizes.withColumn("weight", round_half_even(billions))
 
 
+def listed_shard_sizes(
+    files: DataFrame,
+    sources: DataFrame,
+    n_shards: ColumnOrName = "n_shards",
+    layout: str = "{source}/{source}_{shard}",
+    suffix: str = ".bin",
+    bytes_per_token: int = BYTES_PER_TOKEN,
+    unit: float = 1e9,
+) -> DataFrame:
+    """(source, shard, bytes, weight) from a listing (path, bytes), without reading a file.
+
+    Shards 0 to ``n_shards - 1`` of each source lie in folders named by ``layout``; the first file there by name that
+    ends with ``suffix`` counts. A shard without one has 0 bytes. Weights are tokens in ``unit``, rounded to two digits.
+    """
+    folder = r"((?:[^/]+/){" + str(layout.count("/")) + r"}[^/]+)/[^/]+$"
+    there = files.where(F.endswith(F.col("path"), F.lit(suffix))).groupBy(
+        F.regexp_extract("path", folder, 1).alias("_folder")
+    ).agg(F.min_by("bytes", "path").alias("_bytes"))
+    expected = expand_shards(sources, n_shards).select("source", "shard")
+    named = expected.withColumn("_folder", fill_template(layout, source="source", shard=F.col("shard").cast("string")))
+    size = F.coalesce("_bytes", F.lit(0)).cast("long")
+    weight = round_half_even(size / F.lit(float(bytes_per_token) * unit))
+    return named.join(there, "_folder", "left").select("source", "shard", size.alias("bytes"), weight.alias("weight"))
+
+
 def source_stats(
     shards: DataFrame,
     expected: DataFrame | None = None,

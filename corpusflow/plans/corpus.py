@@ -12,7 +12,13 @@ from corpusflow.operators.consistency import document_scores, split_sentences, s
 from corpusflow.operators.decontam import decontaminate
 from corpusflow.operators.dedup import document_bands, near_duplicates, remove_ids
 from corpusflow.operators.generations import align_by_position, clean_solutions
-from corpusflow.operators.mixture import manifest_path, shard_size, weights_override_first_shard
+from corpusflow.operators.mixture import (
+    listed_shard_sizes,
+    manifest_path,
+    shard_size,
+    weights_override_first_shard,
+    weights_override_scaled,
+)
 from corpusflow.operators.rows import filter_min_score
 from corpusflow.operators.sizing import broadcast_if_small
 
@@ -45,6 +51,19 @@ def weighted_manifest(
     return weights.select("source", "shard", "weight", manifest_path(base, "source", "shard").alias("path"))
 
 
+#: How weights set by hand are applied: to the first shard of a source alone, or over all its shards by size.
+RULES = {"first_shard": weights_override_first_shard, "scaled": weights_override_scaled}
+
+
+def listed_manifest(
+    files: DataFrame, sources: DataFrame, overrides: Mapping[str, float], base: str, rule: str = "scaled",
+    other_bases: Mapping[str, str] | None = None, **options,
+) -> DataFrame:
+    """(source, shard, weight, path) from a listing of files alone: sizes, weights set by hand, paths of a manifest."""
+    weights = RULES[rule](listed_shard_sizes(files, sources, **options), overrides)
+    return weights.select("source", "shard", "weight", manifest_path(base, "source", "shard", other_bases).alias("path"))
+
+
 def self_consistency(
     texts: DataFrame, samples: DataFrame, key: str, text: str = "text", passage: str = "text"
 ) -> DataFrame:

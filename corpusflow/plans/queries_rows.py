@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import extract_delimited, number_in
 from corpusflow.operators import audit, grid, index, rows
-from corpusflow.plans.registry import query, table
+from corpusflow.plans.registry import in_order, query, table
 from corpusflow.session import scratch_path
 from corpusflow.sources import readers, sinks
 
@@ -90,6 +90,26 @@ def read_sources(spark, sf):
     )
 
 
+@query(
+    "source_catalog",
+    """
+    SELECT 'lang=' || lang AS name, '/base' AS path, 'lang=' || lang AS subset, '/out/lang=' || lang AS output, 'text' AS text_column
+    FROM (SELECT DISTINCT lang FROM documents)
+    UNION ALL
+    SELECT 'docs_' || i, '/jsonl/docs-' || printf('%05d', i) || '-of-00004.jsonl', NULL, '/out/docs_' || i, 'content' FROM range(4) t(i)
+    """,
+)
+def source_catalog(spark, sf):
+    path = scratch_path(spark, "folders")
+    table(spark, sf, "documents").write.partitionBy("lang").parquet(path)
+    families = [
+        readers.folder_sources(spark, path, "text"), readers.sharded_sources("/jsonl/docs", 4, "docs", "content")
+    ]
+    catalog = readers.source_catalog(spark, families, "/out/")
+    # The folder is another one in every run.
+    return catalog.withColumn("path", F.replace("path", F.lit(path), F.lit("/base")))
+
+
 _FILES = """
   SELECT doc_id, lang, source, source || '/' || lang || '/' || lpad(doc_id::VARCHAR, 9, '0')
          || CASE WHEN doc_id % 3 = 0 THEN '.json' WHEN doc_id % 3 = 1 THEN '.ds' ELSE '.txt' END AS path,
@@ -133,13 +153,13 @@ def filter_files_by_pattern(spark, sf):
     return audit.filter_files_by_pattern(_files(spark, sf), r".*\.ds$").select("doc_id", "path")
 
 
-@query("write_jsonl_by_shard", "SELECT source AS shard, count(*) AS n, sum(doc_id)::BIGINT AS ids FROM documents GROUP BY 1")
+@query("write_jsonl_by_shard", "SELECT source AS shard, doc_id, md5(text) AS text_md5 FROM documents")
 def write_jsonl_by_shard(spark, sf):
     path = scratch_path(spark, "by-shard")
     docs = table(spark, sf, "documents").withColumnRenamed("source", "shard")
     sinks.write_jsonl(docs, path, shard="shard", order=["doc_id"])
     back = spark.read.schema("doc_id bigint, text string, shard string").json(path)
-    return back.groupBy("shard").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
+    return back.select("shard", "doc_id", F.md5("text").alias("text_md5"))
 
 
 @query("write_parquet_by_rank", "SELECT doc_id, md5(text) AS text_md5 FROM documents")
@@ -264,11 +284,14 @@ def iteration_filter(spark, sf):
 
 @query(
     "sort_numeric",
-    "SELECT c_name, regexp_extract(c_name, '(\\d+)', 1)::BIGINT AS number FROM customer",
+    """
+    SELECT c_name, number, row_number() OVER (ORDER BY number, c_name) - 1 AS position
+    FROM (SELECT c_name, regexp_extract(c_name, '(\\d+)', 1)::BIGINT AS number FROM customer)
+    """,
 )
 def sort_numeric(spark, sf):
     named = table(spark, sf, "customer").select("c_name", number_in("c_name").alias("number"))
-    return rows.sort_numeric(named, "c_name")
+    return in_order(rows.sort_numeric(named, "c_name"))
 
 
 @query("distinct_sources", "SELECT DISTINCT source, lang FROM documents")

@@ -16,7 +16,7 @@ from corpusflow.operators.index import global_index
 from corpusflow.operators.sizing import skew_join
 from corpusflow.plans.corpus import self_consistency, solutions
 from corpusflow.plans.registry import query, table, texts
-from corpusflow.session import scratch_path
+from corpusflow.session import checkpointed, scratch_path
 from corpusflow.sources import sinks
 
 # The stop strings of code do not occur in the test texts.
@@ -114,14 +114,17 @@ def clean_solutions(spark, sf):
 
 @query(
     "write_nested_generations",
-    f"SELECT md5(solutions) AS solutions_md5, count(*) AS n FROM ({_SOLUTIONS}) GROUP BY 1",
+    f"SELECT md5(solutions) AS solutions_md5, row_number() OVER (ORDER BY conv_id) - 1 AS position FROM ({_SOLUTIONS})",
 )
 def write_nested_generations(spark, sf):
     path = scratch_path(spark, "generations")
     cleaned = generations.clean_solutions(_problems(spark, sf), stops=STOPS)
     sinks.write_nested_generations(cleaned, path, "solutions", ["conv_id"])
-    lines = spark.read.text(path).select(F.from_json("value", "array<string>").alias("s"))
-    return lines.groupBy(F.md5(F.array_join("s", "\x01")).alias("solutions_md5")).agg(F.count("*").alias("n"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), F.from_json("value", "array<string>").alias("s"),
+    )
+    placed = global_index(checkpointed(lines), ["file", "line"], out="position")
+    return placed.select("position", F.md5(F.array_join("s", "\x01")).alias("solutions_md5"))
 
 
 @query(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from corpusflow.functions.numbers import round_half_even
 from corpusflow.operators import audit, generations, mixture, tokens
 from corpusflow.operators.rows import merge_shuffled
-from corpusflow.plans.corpus import weighted_manifest, with_shard
-from corpusflow.plans.registry import query, table, texts
-from corpusflow.session import checkpointed
+from corpusflow.plans.corpus import listed_manifest, weighted_manifest, with_shard
+from corpusflow.plans.registry import in_order, query, table, texts
+from corpusflow.session import checkpointed, scratch_path
+from corpusflow.sources import readers
 
 PIECES_SQL = r"regexp_extract_all(text, '\p{L}+|\p{N}|[^\s\p{L}\p{N}]+')"
 EOD = 0
@@ -160,7 +161,7 @@ def pack_sequences_exact(spark, sf):
 @query(
     "merge_tokenized",
     f"""
-    SELECT id, kind, md5(tokens) AS tokens_md5 FROM (
+    SELECT id, kind, md5(tokens) AS tokens_md5, row_number() OVER (ORDER BY md5('3:' || id || ':' || kind), id, kind) - 1 AS position FROM (
       SELECT doc_id AS id, 'documents' AS kind, array_to_string({PIECES_SQL}, ' ') AS tokens FROM documents
       UNION ALL SELECT item_id, 'benchmark', array_to_string({PIECES_SQL}, ' ') FROM benchmark)
     """,
@@ -172,7 +173,7 @@ def merge_tokenized(spark, sf):
         )
 
     merged = merge_shuffled([part("documents", "doc_id"), part("benchmark", "item_id")], 3, ["id", "kind"])
-    return merged.select("id", "kind", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+    return in_order(merged.select("id", "kind", F.md5(F.array_join("tokens", " ")).alias("tokens_md5")))
 
 
 # ---- shards and weights ------------------------------------------------------------------------
@@ -426,3 +427,79 @@ def pass_at_k(spark, sf):
 @query("round_half_even", "SELECT doc_id, round_even(n_chars / 2000.0::DOUBLE * 100, 0) / 100 AS rounded FROM documents")
 def round_half_even_query(spark, sf):
     return texts(spark, sf, "documents").select("doc_id", round_half_even(F.col("n_chars") / 2000.0).alias("rounded"))
+
+
+# ---- from a listing of files -------------------------------------------------------------------
+
+# The shards of the documents as text files, one per shard, of which only names and sizes are used.
+# The fifth shard of every source is missing.
+LISTED_UNIT = 1e4
+_LISTED = f"""
+  SELECT source, shard, coalesce(b, 0)::BIGINT AS bytes, round_even(coalesce(b, 0) / 20000.0::DOUBLE * 100, 0) / 100 AS weight
+  FROM ({_EXPECTED}) LEFT JOIN (
+    SELECT source, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 4 AS shard, sum(strlen(text) + 1) AS b
+    FROM documents GROUP BY 1, 2) USING (source, shard)
+"""
+_LAYOUT = {"layout": "source={source}/shard={shard}", "suffix": ".txt", "unit": LISTED_UNIT}
+
+
+def _listing(spark, sf):
+    """(files, sources)"""
+    path = scratch_path(spark, "listed")
+    docs = _sharded(spark, sf).select("source", "shard", "text")
+    docs.repartition("source", "shard").write.partitionBy("source", "shard").text(path)
+    sources = docs.select("source").distinct().withColumn("n_shards", F.lit(5))
+    return readers.list_files(spark, path), checkpointed(sources)
+
+
+@query("listed_shard_sizes", _LISTED)
+def listed_shard_sizes(spark, sf):
+    files, sources = _listing(spark, sf)
+    return mixture.listed_shard_sizes(files, sources, **_LAYOUT)
+
+
+_LISTED_WEIGHTS = f"""
+  SELECT source, shard, CASE WHEN override IS NULL THEN weight ELSE round_even(weight * (override / total) * 100, 0) / 100 END AS weight,
+    {_PATH_SQL} AS path
+  FROM (SELECT s.source, shard, weight, override, sum(weight) OVER (PARTITION BY s.source) AS total
+        FROM ({_LISTED}) s LEFT JOIN {_OVERRIDES_SQL} USING (source)) WHERE override IS NULL OR override <> 0
+"""
+
+
+@query("listed_weights_scaled", _LISTED_WEIGHTS)
+def listed_weights_scaled(spark, sf):
+    return listed_manifest(*_listing(spark, sf), _OVERRIDES, "/data", other_bases={"src1": "/small"}, **_LAYOUT)
+
+
+@query(
+    "listed_manifest_scaled",
+    f"SELECT string_agg(printf('%.2f', weight) || ' ' || path, ' ' ORDER BY source, shard) AS manifest FROM ({_LISTED_WEIGHTS})",
+)
+def listed_manifest_scaled(spark, sf):
+    weights = listed_manifest(*_listing(spark, sf), _OVERRIDES, "/data", other_bases={"src1": "/small"}, **_LAYOUT)
+    return mixture.render_manifest(weights, ["source", "shard"])
+
+
+@query(
+    "listed_weights_first_shard",
+    f"""
+    SELECT source, shard, coalesce(override, weight) AS weight, {_PATH_SQL} AS path
+    FROM ({_LISTED}) LEFT JOIN {_OVERRIDES_SQL} USING (source) WHERE override IS NULL OR shard = 0
+    """,
+)
+def listed_weights_first_shard(spark, sf):
+    return listed_manifest(*_listing(spark, sf), _OVERRIDES, "/data", "first_shard", {"src1": "/small"}, **_LAYOUT)
+
+
+@query(
+    "listed_shard_audit",
+    f"""
+    SELECT source, shard, CASE WHEN bytes > 0 THEN bytes END AS bytes, CASE WHEN bytes = 0 THEN 'Empty'
+      WHEN bytes < 0.8 * (SELECT median(bytes) FROM ({_LISTED}) WHERE bytes > 0) THEN 'small' ELSE 'ok' END AS status
+    FROM ({_LISTED})
+    """,
+)
+def listed_shard_audit(spark, sf):
+    files, sources = _listing(spark, sf)
+    sizes = checkpointed(mixture.listed_shard_sizes(files, sources, **_LAYOUT))
+    return audit.shard_audit(sizes.select("source", "shard"), sizes.select("source", "shard", "bytes"), small=0.8)
