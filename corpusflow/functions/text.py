@@ -79,12 +79,13 @@ def number_in(c: ColumnOrName) -> Column:
     return F.regexp_extract(as_column(c), r"(\d+)", 1).try_cast("long")
 
 
-def extract_delimited(c: ColumnOrName) -> Column:
+def extract_delimited(c: ColumnOrName, strict: bool = False) -> Column:
     """Docstring of a prompt as ``struct(value, status)``.
 
     Text between the only pair of triple double quotes, or between the second of two pairs;
     without any, text between the only pair of triple single quotes. Any other count of markers
     gives a null value and the status ``bad_markers``; no marker at all gives ``no_marker``.
+    With ``strict`` either ends the job; a null text stays null.
     """
     c = as_column(c)
 
@@ -102,6 +103,10 @@ def extract_delimited(c: ColumnOrName) -> Column:
             .when((n_double == 0) & (n_single == 0), F.lit("no_marker"))
             .otherwise(F.lit("bad_markers"))
         )
+        if strict:
+            # A null text has no markers to count.
+            problem = F.raise_error(F.concat(F.lit("no docstring can be told: "), status)).cast("string")
+            value = F.when(value.isNotNull() | n_double.isNull() | (n_double < 0), value).otherwise(problem)
         return F.struct(strip(value).alias("value"), status.alias("status"))
 
     return let(F.split(c, '"""', -1), pick)

@@ -8,13 +8,14 @@ same result; they only decide how even the work is.
 from __future__ import annotations
 
 import json
+import warnings
 from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.numbers import ColumnOrName, div, seeded_digest
+from corpusflow.functions.numbers import ColumnOrName, digest_below, div, seeded_digest
 from corpusflow.functions.text import let
 from corpusflow.operators.sizing import broadcast_if_small, settle
 from corpusflow.session import checkpointed
@@ -290,6 +291,38 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
+def _ratios(ratios: str | Sequence[float], names: Sequence[str]) -> list[float]:
+    listed = [float(r) for r in (ratios.split(",") if isinstance(ratios, str) else ratios)]
+    if len(listed) != len(names):
+        raise ValueError("one ratio per name")
+    if any(later > earlier for earlier, later in zip(listed, listed[1:])):
+        warnings.warn(f"a later split is larger than one before it: {listed}", stacklevel=3)
+    return listed
+
+
+def split_by_hash(
+    df: DataFrame,
+    ratios: str | Sequence[float],
+    seed: int,
+    ids: Sequence[str],
+    names: Sequence[str] = ("train", "validation", "test"),
+    out: str = "split",
+) -> DataFrame:
+    """Splits with shares of about ``ratios``, by the digest of the ids: a row's split depends on nothing but itself.
+
+    Nothing is counted or moved, and rows that are added later leave the others where they are.
+    """
+    listed = _ratios(ratios, names)
+    digest, done, split = seeded_digest(seed, *ids), 0.0, None
+    last = max(i for i, ratio in enumerate(listed) if ratio > 0)
+    for i, (ratio, name) in enumerate(zip(listed, names)):
+        done += ratio
+        # The last split that has a share takes the rest, whatever the float sum says.
+        branch = (digest_below(digest, 1.0 if i >= last else done / sum(listed)), F.lit(name))
+        split = F.when(*branch) if split is None else split.when(*branch)
+    return df.withColumn(out, split)
+
+
 def split_by_ratio(
     df: DataFrame,
     ratios: str | Sequence[float],
@@ -299,10 +332,7 @@ def split_by_ratio(
     **options,
 ) -> DataFrame:
     """Contiguous splits with shares ``ratios`` (text such as ``969,30,1``), normalized by sum."""
-    if isinstance(ratios, str):
-        ratios = [float(r) for r in ratios.split(",")]
-    if len(ratios) != len(names):
-        raise ValueError("one name per ratio")
+    ratios = _ratios(ratios, names)
     rows, total = df.count(), sum(ratios)
     i, done, split = F.col("_index"), 0.0, None
     for ratio, name in zip(ratios, names):

@@ -546,6 +546,17 @@ def split_by_ratio(spark, sf):
     return index.split_by_ratio(table(spark, sf, "documents").select("doc_id"), "969,30,1", ["doc_id"])
 
 
+@query(
+    "split_by_hash",
+    """
+    SELECT doc_id, CASE WHEN u < 969 / 1000.0::DOUBLE THEN 'train' WHEN u < 999 / 1000.0::DOUBLE THEN 'validation' ELSE 'test' END AS split
+    FROM (SELECT doc_id, ('0x' || substr(md5('7:' || doc_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM documents)
+    """,
+)
+def split_by_hash(spark, sf):
+    return index.split_by_hash(table(spark, sf, "documents").select("doc_id"), "969,30,1", 7, ["doc_id"])
+
+
 # ---- order, samples, unions --------------------------------------------------------------------
 
 

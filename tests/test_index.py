@@ -169,3 +169,16 @@ def test_running_total_of_nulls(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 2)], "i int, v long")
     got = index.running_total(df, ["i"], "v").orderBy("i").collect()
     assert [r["total_so_far"] for r in got] == [5, 5, 7]
+
+
+def test_split_by_hash(spark):
+    df = spark.range(4000)
+    got = {r["id"]: r["split"] for r in index.split_by_hash(df, "60,40,0", 1, ["id"]).collect()}
+    share = sum(s == "train" for s in got.values()) / 4000
+    assert set(got.values()) == {"train", "validation"} and 0.57 < share < 0.63
+    more = {r["id"]: r["split"] for r in index.split_by_hash(spark.range(8000).repartition(3), "60,40,0", 1, ["id"]).collect()}
+    assert all(more[i] == s for i, s in got.items())
+    with pytest.warns(UserWarning, match="larger"):
+        index.split_by_hash(df, [1, 5], 1, ["id"], names=("a", "b"))
+    with pytest.raises(ValueError):
+        index.split_by_hash(df, "1,2", 1, ["id"])

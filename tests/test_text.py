@@ -166,3 +166,12 @@ def test_fim_keeps_every_character(spark):
     assert 100 < changed < 300
     same = df.select(fim_transform("t", "i", 7, 0.0).alias("m"), "t").where("m <> t")
     assert same.count() == 0
+
+
+def test_docstrings_that_cannot_be_told_end_a_strict_job(spark):
+    good = spark.createDataFrame([('x """ a """ y',), ("'" * 3 + "b" + "'" * 3,), (None,)], "c string")
+    assert [r[0] for r in good.select(tx.extract_delimited("c", strict=True)["value"]).collect()] == ["a", "b", None]
+    for text in ("none", '"""', '""" a """ b """'):
+        bad = spark.createDataFrame([(text,)], "c string")
+        with pytest.raises(Exception, match="no docstring"):
+            bad.select(tx.extract_delimited("c", strict=True)["value"]).collect()
