@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.functions.text import let, words
 from corpusflow.operators.ngrams import LIMB, PRIME, blocks, ngrams, times_plus, word_hashes
@@ -22,6 +23,8 @@ NGRAM, BANDS, ROWS = 5, 14, 8
 # Shingles handled at a time, so that the arrays stay in the processor's cache.
 CACHED = 1 << 14
 MAX_ROUNDS = 100
+# Bits of the bitmap of buckets, at most: 32 MB.
+BITMAP_BITS = 28
 
 
 def permutation(i: int) -> tuple[int, int]:
@@ -83,12 +86,17 @@ def minhash_signature(
 def band_arrays(
     signatures: DataFrame, doc_id: str, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """(id, keys): one key per band, equal for equal minima; no keys without a signature."""
-    keys = F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda band: F.xxhash64(F.slice(F.col("signature"), band * F.lit(rows) + F.lit(1), rows)),
-    )
-    some = F.when(F.size("signature") > 0, keys).otherwise(F.array().cast("array<bigint>"))
+    """(id, keys): one key of 128 bits per band, equal for equal minima; no keys without a signature.
+
+    At the size of a large corpus 64 bits would agree by chance.
+    """
+
+    def key(band: Column) -> Column:
+        part = F.slice(F.col("signature"), band * F.lit(rows) + F.lit(1), rows)
+        return F.struct(F.xxhash64(part).alias("a"), F.xxhash64(part, F.lit(1)).alias("b"))
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)
+    some = F.when(F.size("signature") > 0, keys).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
     return signatures.select(doc_id, some.alias("keys"))
 
 
@@ -97,17 +105,65 @@ def band_keys(arrays: DataFrame, doc_id: str) -> DataFrame:
     return arrays.select(doc_id, F.posexplode("keys").alias("band", "key"))
 
 
-def band_edges(keys: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repeated_buckets(keys: DataFrame, doc_id: str) -> DataFrame:
+    """(band, key, hub, _n) of the buckets of several members."""
+    return checkpointed(
+        keys.groupBy("band", "key")
+        .agg(F.min(doc_id).alias("hub"), F.count("*").alias("_n"))
+        .where(F.col("_n") > 1)
+    )
+
+
+def _slots(band: np.ndarray, a: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of a bitmap that stands for a key."""
+    mixed = (a.astype(np.uint64) ^ band.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed >> np.uint64(64 - bits)
+
+
+def keys_in_buckets(arrays: DataFrame, buckets: DataFrame, doc_id: str, most_bits: int = BITMAP_BITS) -> DataFrame:
+    """(id, band, key) of the keys that may belong to a bucket; of the others about one in sixteen.
+
+    A bitmap of the buckets goes to the tasks, 32 MB at most, so that the keys of documents like no other
+    are not moved. Where buckets are so many that it fills up, more keys pass.
+    """
+    amount = buckets.count()
+    bits = min(most_bits, max(15, (16 * amount).bit_length()))
+
+    def slot(band: pa.Array, a: pa.Array) -> pa.Array:
+        return pa.array(_slots(band.to_numpy(), a.to_numpy(), bits).astype(np.int64))
+
+    slots = buckets.select((F.arrow_udf(slot, T.LongType())(F.col("band").cast("long"), F.col("key.a")) + 1).alias("s"))
+    packed = slots.groupBy(F.bitmap_bucket_number("s").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    for row in packed.toLocalIterator():
+        bitmap[(row["piece"] - 1) * 4096: row["piece"] * 4096] = np.frombuffer(row["bits"], dtype=np.uint8)
+    shared = arrays.sparkSession.sparkContext.broadcast(bitmap)
+
+    def known(lists: pa.Array) -> pa.Array:
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        offsets = offsets - offsets[0]
+        a, b = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        band = np.arange(len(flat)) - np.repeat(offsets[:-1], np.diff(offsets))
+        at = _slots(band, a, bits)
+        held = np.flatnonzero((shared.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+        key = pa.StructArray.from_arrays([pa.array(a[held]), pa.array(b[held])], ["a", "b"])
+        rows = pa.StructArray.from_arrays([pa.array(band[held].astype(np.int32)), key], ["band", "key"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(held, offsets).astype(np.int32)), rows)
+
+    kind = "array<struct<band:int,key:struct<a:bigint,b:bigint>>>"
+    return arrays.select(doc_id, F.explode(F.arrow_udf(known, kind)(F.col("keys"))).alias("k")).select(doc_id, "k.band", "k.key")
+
+
+def band_edges(
+    keys: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS, buckets: DataFrame | None = None
+) -> DataFrame:
     """Star edges (id, hub): every member of a bucket to its smallest id.
 
     ``m`` copies give ``m - 1`` edges per band, never pairs. Bucket minima are pre-aggregated before
     the shuffle, and very large buckets are salted.
     """
-    buckets = checkpointed(
-        keys.groupBy("band", "key")
-        .agg(F.min(doc_id).alias("hub"), F.count("*").alias("_n"))
-        .where(F.col("_n") > 1)
-    )
+    buckets = repeated_buckets(keys, doc_id) if buckets is None else buckets
     # Only buckets of several members matter, so only their members count.
     rows = buckets.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     hubs = buckets.select("band", "key", "hub")
@@ -180,6 +236,7 @@ def verify_jaccard(
         )
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(many))
 
+    edges = checkpointed(edges)
     linked = broadcast_if_small(edges.select(F.explode(F.array(doc_id, "hub")).alias(doc_id)).distinct())
     sets = checkpointed(
         docs.join(linked, doc_id, "left_semi").select(doc_id, let(words(F.col(text)), grams).alias("_set"))
@@ -201,7 +258,8 @@ def remove_ids(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
 
 def near_duplicates(arrays: DataFrame, doc_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(id, cluster) of the documents to remove, from the band keys of all."""
-    edges = band_edges(band_keys(arrays, doc_id), doc_id, hot_rows)
+    buckets = repeated_buckets(band_keys(arrays, doc_id), doc_id)
+    edges = band_edges(keys_in_buckets(arrays, buckets, doc_id), doc_id, hot_rows, buckets)
     clusters = duplicate_clusters(edges, doc_id, "hub", hot_rows)
     return clusters.withColumnRenamed("id", doc_id)
 

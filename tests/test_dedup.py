@@ -143,3 +143,26 @@ def test_texts_are_not_shuffled(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     plan = dedup.minhash_signature(docs, "text", "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_keys_of_documents_like_no_other_stay_where_they_are(spark):
+    signatures = spark.range(3000).select("id", F.transform(F.sequence(F.lit(0), F.lit(111)), lambda i: F.col("id") * 1000 + i).alias("signature"))
+    twins = spark.range(3000, 3040).select("id", F.transform(F.sequence(F.lit(0), F.lit(111)), lambda i: (F.col("id") % 20) * -1000 - 200 - i).alias("signature"))
+    none = spark.range(5000, 5003).select("id", F.array().cast("array<bigint>").alias("signature"))
+    arrays = dedup.band_arrays(signatures.unionByName(twins).unionByName(none), "id")
+    buckets = dedup.repeated_buckets(dedup.band_keys(arrays, "id"), "id")
+    moved = dedup.keys_in_buckets(arrays, buckets, "id")
+    assert moved.where("id >= 3000").count() == 40 * 14
+    assert moved.where("id < 3000").count() < 3000 * 14 / 8
+    got = {r["id"]: r["cluster"] for r in dedup.near_duplicates(arrays, "id").collect()}
+    plain = dedup.duplicate_clusters(dedup.band_edges(dedup.band_keys(arrays, "id"), "id"), "id", "hub")
+    assert got == {r["id"]: r["cluster"] for r in plain.collect()} and len(got) == 20
+    full = dedup.keys_in_buckets(arrays, buckets, "id", most_bits=15)
+    assert full.where("id >= 3000").count() == 40 * 14
+
+
+def test_half_a_key_makes_no_link(spark):
+    """Keys that agree in 64 bits and differ in the others are different bands."""
+    rows = [(1, [(5, 1)]), (2, [(5, 2)]), (3, [(5, 1)]), (4, [(6, 1)])]
+    arrays = spark.createDataFrame(rows, "id long, keys array<struct<a:bigint,b:bigint>>")
+    assert [tuple(r) for r in dedup.near_duplicates(arrays, "id").collect()] == [(3, 1)]
