@@ -10,7 +10,7 @@ from corpusflow.operators.rows import merge_shuffled
 from corpusflow.plans.corpus import listed_manifest, weighted_manifest, with_shard
 from corpusflow.plans.registry import in_order, query, table, texts
 from corpusflow.session import checkpointed, scratch_path
-from corpusflow.sources import readers
+from corpusflow.sources import readers, sinks
 
 PIECES_SQL = r"regexp_extract_all(text, '\p{L}+|\p{N}|[^\s\p{L}\p{N}]+')"
 EOD = 0
@@ -289,6 +289,19 @@ def render_manifest(spark, sf):
     return mixture.render_manifest(weights, ["source", "shard"])
 
 
+@query(
+    "write_manifest_line",
+    f"""
+    SELECT string_agg(printf('%.2f', weight) || ' ' || {_PATH_SQL}, ' ' ORDER BY source, shard) AS manifest FROM ({_SHARDS})
+    """,
+)
+def write_manifest_line(spark, sf):
+    path = scratch_path(spark, "manifest")
+    entries = _shards(spark, sf).withColumn("path", mixture.manifest_path("/data", "source", "shard", {"src1": "/small"}))
+    sinks.write_manifest_line(entries, ["source", "shard"], path)
+    return spark.read.text(path).toDF("manifest")
+
+
 @query(
     "manifest_lines",
     f"""

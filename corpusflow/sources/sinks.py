@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.operators.mixture import format_weight
+
 
 def write_jsonl(
     df: DataFrame, path: str, shard: str | None = None, order: Sequence[str] = (), mode: str = "errorifexists"
@@ -25,9 +28,82 @@ def write_jsonl(
     laid_out.write.mode(mode).partitionBy(shard).json(path)
 
 
+#: Bytes copied at a time.
+COPIED = 1 << 20
+
+
+class _Folder:
+    """A folder in whatever store Spark writes to: only names are handled here, and bytes only as streams."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.jvm, self.spark = spark._jvm, spark
+        self.path = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.conf = spark._jsc.hadoopConfiguration()
+        self.fs = self.path.getFileSystem(self.conf)
+
+    def at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.path, name)
+
+    def parts(self, folder: str) -> list:
+        """Files that tasks have written, by number of the task."""
+        found = [s.getPath() for s in self.fs.listStatus(self.at(folder)) if s.getPath().getName().startswith("part-")]
+        return sorted(found, key=lambda f: f.getName())
+
+    def make_room(self, name: str, mode: str) -> None:
+        if self.fs.exists(self.at(name)):
+            if mode != "overwrite":
+                raise FileExistsError(f"{self.at(name)} exists")
+            self.fs.delete(self.at(name), True)
+
+
 def write_parquet_by_rank(df: DataFrame, path: str, n: int, mode: str = "errorifexists") -> None:
-    """``n`` Parquet files of about equal size, whatever the input partitions were."""
-    df.repartition(n).write.mode(mode).parquet(f"{path.rstrip('/')}/data")
+    """``data/00000.parquet`` and so on, ``n`` files of about equal size, whatever the input partitions were.
+
+    Tasks write and commit below a folder of this call, a retried task like any other; then files are renamed, so that no
+    name appears before all are whole. A rank without rows has no file.
+    """
+    folder, staged = _Folder(df.sparkSession, path), f"_staged-{uuid.uuid4().hex}"
+    folder.make_room("data", mode)
+    try:
+        df.repartition(n).write.parquet(str(folder.at(staged)))
+        folder.fs.mkdirs(folder.at("data"))
+        for file in folder.parts(staged):
+            rank = int(file.getName().split("-")[1])
+            if not folder.fs.rename(file, folder.at(f"data/{rank:05d}.parquet")):
+                raise OSError(f"cannot rename {file}")
+    finally:
+        folder.fs.delete(folder.at(staged), True)
+
+
+def write_manifest_line(weights: DataFrame, order: Sequence[str], path: str, name: str = "manifest.txt", mode: str = "errorifexists") -> None:
+    """One line ``w path w path …`` of any length in one file.
+
+    Entries are sorted by range over the tasks and written as parts; the parts are streamed into the file one after the
+    other, so that neither a task nor the driver holds the line.
+    """
+    folder, staged = _Folder(weights.sparkSession, path), f"_staged-{uuid.uuid4().hex}"
+    folder.make_room(name, mode)
+    entry = F.concat_ws(" ", format_weight("weight"), F.col("path"))
+    try:
+        weights.orderBy(*order).select(entry.alias("value")).write.option("lineSep", " ").text(str(folder.at(staged)))
+        parts = [p for p in folder.parts(staged) if folder.fs.getFileStatus(p).getLen()]
+        out = folder.fs.create(folder.at(f"{staged}/line"))
+        try:
+            for i, part in enumerate(parts):
+                # The blank behind the last entry stays out.
+                size = folder.fs.getFileStatus(part).getLen() - (i == len(parts) - 1)
+                stream = folder.fs.open(part)
+                try:
+                    bounded = folder.jvm.org.apache.commons.io.input.BoundedInputStream(stream, size)
+                    folder.jvm.org.apache.hadoop.io.IOUtils.copyBytes(bounded, out, COPIED, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+        if not folder.fs.rename(folder.at(f"{staged}/line"), folder.at(name)):
+            raise OSError(f"cannot write {folder.at(name)}")
+    finally:
+        folder.fs.delete(folder.at(staged), True)
 
 
 def write_kept_and_removed(df: DataFrame, path: str, keep: str = "keep", mode: str = "errorifexists") -> None:
