@@ -10,8 +10,8 @@ are closed to components, and only buckets that still hold several components go
 the largest component of a bucket is its hub, a new one each time; then samples of its classes are, four
 times as many each time. A large group of near copies is one component after the first rounds and does
 not expand into its pairs; a bucket is left only when one component or no untested pair is left in it, so
-no link between classes that share a bucket is lost. 36 bands of 5 miss a pair at similarity 0.8 with a
-probability of 7e-7.
+no link between classes that share a bucket is lost. 60 bands of 7 miss a pair at similarity 0.8 with a
+probability of 7e-7; pairs at 0.4 share a bucket with one of 0.1.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; fewer words than a shingle are one
 shingle; a null or wordless text has the empty set, is linked with nothing and is its own component. Rows
@@ -31,7 +31,7 @@ from corpusflow.llm.common import written
 from corpusflow.operators.dedup import duplicate_clusters
 from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
 
-BANDS, ROWS = 36, 5
+BANDS, ROWS = 60, 7
 #: Distinct shingles whose minima are taken together; their 32-bit places stay in the cache.
 CACHED = 1 << 15
 #: Cells into which the shingles of a set are counted, and the highest count.
@@ -158,7 +158,7 @@ def _may_link(least: int):
 def sketches(docs: DataFrame, doc_id: str, text: str, n: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(_id, _ref, n_shingles, node, keys), written down; ``_ref`` finds the text again."""
     read = docs.select(
-        F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_ref"), _sketch(n, bands, rows)(F.col(text)).alias("s")
+        F.col(doc_id).alias("_id"), common.text_key(F.col(text)).alias("_ref"), _sketch(n, bands, rows)(F.col(text)).alias("s")
     )
     return written(read.select("_id", "_ref", "s.*"), "minhash")
 
@@ -244,7 +244,7 @@ def components(
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept, _ref, _root) per row: near-duplicate components of whole texts.
 
-    ``least`` is the least similarity in hundredths. ``_ref`` is the hash of the text; ``_root`` names
+    ``least`` is the least similarity in hundredths. ``_ref`` is 128 bits of the text; ``_root`` names
     a component of several rows and is null for a row of its own.
     """
     read = sketches(docs, doc_id, text, n, bands, rows)
@@ -261,7 +261,7 @@ def components(
     # Texts are read again only where a class shares a bucket.
     wanted = members.select("node").distinct()
     refs = lookup(classes.select("node", "_ref"), wanted, ["node"]).select("_ref").distinct()
-    again = lookup(docs.select(F.xxhash64(text).alias("_ref"), F.col(text).alias("_t")), written(refs, "refs"), ["_ref"])
+    again = lookup(docs.select(common.text_key(F.col(text)).alias("_ref"), F.col(text).alias("_t")), written(refs, "refs"), ["_ref"])
     full = again.dropDuplicates(["_ref"]).select(_full_sets(n)(F.col("_t")).alias("s")).select("s.*")
     sets = written(full.where(F.col("node").isNotNull()).groupBy("node").agg(F.first(F.struct("set", "cells")).alias("s")).select("node", "s.*"), "sets")
     clusters = clusters_in_buckets(members, sets, least)
@@ -297,7 +297,7 @@ def keep_one(docs: DataFrame, n: int = 5, least: int = 80, doc_id: str = "doc_id
 
     def without(df: DataFrame, these: DataFrame, how: str) -> DataFrame:
         these = broadcast_if_small(these)
-        same = df[doc_id].eqNullSafe(these["_id"]) & (F.xxhash64(df[text]) == these["_ref"])
+        same = df[doc_id].eqNullSafe(these["_id"]) & common.text_key(df[text]).eqNullSafe(these["_ref"])
         return df.join(these, same, how)
 
     left = without(docs, gone, "left_anti")
