@@ -10,16 +10,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from corpusflow.functions.numbers import ColumnOrName, as_column, div
 from corpusflow.operators.index import global_index, prefix_sums, range_buckets, shuffle_seeded
-from corpusflow.operators.sizing import fits, skew_join
+from corpusflow.operators.sizing import fits
 from corpusflow.session import checkpointed
 
 # Runs of letters, single digits, runs of anything else but white space.
 PIECES = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 VOCAB_ROWS = 1_000_000
 VOCAB_BYTES = 64 * 1024 * 1024
+# Bytes of texts whose distinct tokens are looked up together in a larger vocabulary.
+BLOCK_BYTES = 32 * 1024 * 1024
 PACK_ROWS_PER_BUCKET = 2_048
 
 
@@ -59,6 +62,59 @@ def _lookup(spark, tokens: list[str], ids: list[int], unknown: int):
     return F.arrow_udf(encode, "array<bigint>")
 
 
+def _number_blocks(kept: Sequence[str], out: str):
+    """A function over partitions in which the tokens of a block stand before its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, listed, known, numbers = None, [], None, None
+        for batch in batches:
+            blocks, names = batch.column("_block").to_numpy(), batch.column("_token")
+            named = pc.is_valid(names).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (named[1:] != named[:-1])) + 1
+            for low, high in zip([0, *edges], [*edges, len(blocks)]):
+                if low == high:
+                    continue
+                part = batch.slice(low, high - low)
+                if blocks[low] != block:
+                    block, listed, known = blocks[low], [], None
+                if named[low]:
+                    listed.append((part.column("_token"), part.column("_number")))
+                    continue
+                if known is None:
+                    known = pa.concat_arrays([t for t, _ in listed]) if listed else names.slice(0, 0)
+                    numbers = np.concatenate([n.to_numpy() for _, n in listed] or [np.zeros(0, np.int64)])
+                    listed = []
+                lists = part.column("_pieces")
+                flat = lists.flatten().dictionary_encode()
+                places = pc.index_in(flat.dictionary, value_set=known)
+                if places.null_count:
+                    raise RuntimeError("the texts changed between two readings: write them down before")
+                found = numbers[places.to_numpy()][flat.indices.to_numpy()]
+                offsets = pc.subtract(lists.offsets, lists.offsets[0])
+                encoded = pa.ListArray.from_arrays(offsets, pa.array(found, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), encoded], names=[*kept, out])
+
+    return run
+
+
+def _encode_joined(df: DataFrame, text: str, vocab: DataFrame, doc_id: str, out: str, unknown: int) -> DataFrame:
+    """Texts dealt into blocks; the distinct tokens of each block meet the vocabulary and come back as its list."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
+    dealt = df.withColumn("_block", F.pmod(F.xxhash64(doc_id, text), F.lit(size // BLOCK_BYTES + 1)))
+    named = dealt.select("_block", F.explode(pieces(text)).alias("_token")).distinct()
+    # A token is there once per block, however frequent it is.
+    number = F.coalesce("_number", F.lit(unknown).cast("long")).alias("_number")
+    listed = named.join(vocab, "_token", "left").select("_block", "_token", number)
+    both = dealt.unionByName(listed, allowMissingColumns=True).repartition("_block")
+    placed = both.sortWithinPartitions("_block", F.col("_token").isNull())
+    kept = [c for c in df.columns if c != out]
+    fields = [StructField(df.schema[c].name, df.schema[c].dataType) for c in kept]
+    schema = StructType([*fields, StructField(out, ArrayType(LongType()))])
+    return placed.select("_block", "_token", "_number", *kept, pieces(text).alias("_pieces")).mapInArrow(
+        _number_blocks(kept, out), schema
+    )
+
+
 def encode(
     df: DataFrame,
     text: str,
@@ -72,24 +128,17 @@ def encode(
     """Text to token ids by a vocabulary (token, id); tokens it lacks become ``unknown``.
 
     A vocabulary within the bounds goes to the tasks, and documents are neither exploded nor
-    shuffled. A larger one is joined token by token, each distinct text once. Either way the tokens
-    of a row come from its text alone, whatever ``doc_id`` it has; null text has none.
+    shuffled. A larger one is joined with the distinct tokens of blocks of texts, and texts move once, as they
+    are. They are read three times then, so write them down before if they are dear to make or come out
+    differently each time. Either way the tokens of a row come from its text alone, whatever ``doc_id`` it has;
+    null text has none.
     """
     vocab = vocab.select(F.col("token").alias("_token"), F.col("id").cast("long").alias("_number"))
     if fits(vocab, max_rows, max_bytes):
         rows = vocab.collect()
         lookup = _lookup(df.sparkSession, [r["_token"] for r in rows], [r["_number"] for r in rows], unknown)
         return df.withColumn(out, lookup(pieces(text)))
-    key = F.md5(F.col(text)).alias("_key")
-    placed = checkpointed(df.select(key, F.posexplode(pieces(text)).alias("_pos", "_token")).distinct())
-    found = skew_join(placed, vocab, ["_token"], "left")
-    number = F.coalesce("_number", F.lit(unknown).cast("long"))
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", number.alias("n"))))
-    # One group is one text, which was a single row before.
-    encoded = checkpointed(found.groupBy("_key").agg(F.transform(ordered, lambda t: t["n"]).alias(out)))
-    empty = F.array().cast("array<bigint>")
-    keyed = df.drop(out).withColumn("_key", F.md5(F.col(text)))
-    return skew_join(keyed, encoded, ["_key"], "left").drop("_key").withColumn(out, F.coalesce(out, empty))
+    return _encode_joined(df, text, vocab, doc_id, out, unknown)
 
 
 def append_eod(tokens: ColumnOrName, eod: int) -> Column:

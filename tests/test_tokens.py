@@ -1,6 +1,7 @@
 """Tokens, packing and mixtures against plain Python."""
 
 import random
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,22 @@ def test_packing_moves_tokens_once(spark, lists):
     for line in plan.split("\n"):
         if "Exchange " in line and "_bucket" not in line and "Broadcast" not in line and "Reused" not in line:
             assert "hashpartitioning(seq" in line or "SinglePartition" in line, line
+
+
+def test_a_long_vocabulary_meets_distinct_tokens_only(spark, monkeypatch):
+    """Nothing is written down by token, and blocks, copies and a replaced text column change no row."""
+    written = []
+    monkeypatch.setattr(tokens, "checkpointed", lambda df: written.append(df.count()) or df.checkpoint())
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 3000, raising=False)
+    spark.sparkContext.setCheckpointDir(spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp())
+    rows = [(i % 7, " ".join(f"w{chr(97 + (i + j) % 11)}" for j in range(400)), i) for i in range(20)]
+    rows += [rows[0]] * 30 + [(None, None, 1), (3, "", 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, other int").repartition(5)
+    vocab = spark.createDataFrame([(f"w{chr(97 + i)}", i) for i in range(9)], "token string, id bigint")
+    ids = {f"w{chr(97 + i)}": i for i in range(9)}
+    want = sorted(((d, o, [ids.get(w, -1) for w in (t or "").split()]) for d, t, o in rows), key=str)
+    got = tokens.encode(docs, "text", vocab, "doc_id", max_rows=1).select("doc_id", "other", "tokens")
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert sum(written) == 0
+    same = tokens.encode(docs, "text", vocab, "doc_id", out="text", max_rows=1).select("doc_id", "other", "text")
+    assert sorted(map(tuple, same.collect()), key=str) == want
