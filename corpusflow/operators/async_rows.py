@@ -35,9 +35,16 @@ class Stream:
     """An event loop of its own, which goes on while the task waits for rows; answers in the order of the rows."""
 
     def __init__(
-        self, open_client: Callable[[], Any], ask: Ask, in_flight: int, timeout: float | None, retries: int, wait: float
+        self,
+        open_client: Callable[[], Any],
+        ask: Ask,
+        in_flight: int,
+        timeout: float | None,
+        retries: int,
+        wait: float,
+        number: str | None = None,
     ) -> None:
-        self.ask, self.timeout, self.retries, self.wait = ask, timeout, retries, wait
+        self.ask, self.timeout, self.retries, self.wait, self.number = ask, timeout, retries, wait, number
         self.ahead, self.exit = in_flight * AHEAD, None
         self.loop = asyncio.new_event_loop()
         self.thread = threading.Thread(target=self.loop.run_forever, daemon=True)
@@ -67,9 +74,10 @@ class Stream:
         for attempt in range(self.retries + 1):
             if attempt:
                 await asyncio.sleep(self.wait * 2 ** (attempt - 1) * (1 + random.random() / 4))
+            asked = row if self.number is None else {**row, self.number: attempt + 1}
             async with self.slots:
                 try:
-                    return await asyncio.wait_for(self.ask(self.client, row), self.timeout), None, attempt + 1
+                    return await asyncio.wait_for(self.ask(self.client, asked), self.timeout), None, attempt + 1
                 except Exception as problem:  # noqa: BLE001 - whatever a service does belongs to its row
                     error = f"{type(problem).__name__}: {problem}"
         return None, error, self.retries + 1
@@ -106,6 +114,7 @@ def map_async(
     error: str = "error",
     attempts: str = "attempts",
     once: bool = True,
+    number: str | None = None,
 ) -> DataFrame:
     """All columns, those of ``answer`` (a schema), and ``error`` and ``attempts``.
 
@@ -114,7 +123,8 @@ def map_async(
     (all, if None). At most ``in_flight`` requests of a task run at once, over the borders of batches too; an attempt
     ends after ``timeout`` seconds, and a row has ``retries`` more, after ``wait`` seconds that double. A row
     whose attempts all fail keeps null answers and the last error: it is not lost, and it does not end the
-    job. Rows come out in the order in which they went in.
+    job. Rows come out in the order in which they went in. With ``number``, ``row`` also holds the number of
+    the attempt under that name, from 1: a client that counts for itself cannot tell rows that are equal.
 
     A service need not answer twice alike, and asking costs: with ``once`` the answers are written down, and what is
     derived from the result asks no one again.
@@ -128,9 +138,11 @@ def map_async(
     names = [f.name for f in answer.fields]
     types = [field.type for field in to_arrow_schema(answer)]
     asked = list(df.columns if columns is None else columns)
+    if number in asked:
+        raise ValueError(f"column exists already: {number}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = Stream(open_client, ask, in_flight, timeout, retries, wait)
+        stream = Stream(open_client, ask, in_flight, timeout, retries, wait, number)
         waiting: deque[tuple[pa.RecordBatch, int]] = deque()  # rows not yet given out, as (batch, row)
         out: list[tuple] = []
 
@@ -173,24 +185,29 @@ def map_async(
 def complete(
     df: DataFrame,
     open_client: Callable[[], Any],
-    generate: Callable[[Any, str], Awaitable[str]],
+    generate: Callable[..., Awaitable[str]],
     prompt: str = "prompt",
     stops: Sequence[str] = ("<|endoftext|>",),
     out: str = "completion",
     length: str = "token_length",
     count: Callable[[Column], Column] = token_length,
+    numbered: bool = False,
     **options,
 ) -> DataFrame:
     """Completions of prompts, each sent as a chat of one turn: stop strings taken off the end, tokens counted.
 
-    ``generate(client, text)`` gives the completion; a null prompt is not sent. Errors and options as in ``map_async``.
+    ``generate(client, text)`` gives the completion, or ``generate(client, text, attempt)`` if ``numbered``, attempts
+    counted from 1 for each row; a null prompt is not sent. Errors and options as in ``map_async``.
     """
     chat = render_messages(F.array(F.struct(F.lit("user").alias("role"), F.col(prompt).alias("text"))))
     sent = df.withColumn("_chat", F.when(F.col(prompt).isNotNull(), chat))
 
     async def ask(client: Any, row: Mapping[str, Any]) -> Mapping[str, Any]:
-        return {out: None if row["_chat"] is None else await generate(client, row["_chat"])}
+        if row["_chat"] is None:
+            return {out: None}
+        return {out: await generate(client, row["_chat"], *([row["_attempt"]] if numbered else []))}
 
-    answered = map_async(sent, open_client, ask, f"`{out}` string", ["_chat"], **options).drop("_chat")
+    number = "_attempt" if numbered else None
+    answered = map_async(sent, open_client, ask, f"`{out}` string", ["_chat"], number=number, **options).drop("_chat")
     cleaned = strip_trailing_stop(F.col(out), stops)
     return answered.withColumn(out, cleaned).withColumn(length, F.when(F.col(out).isNotNull(), count(F.col(out))))

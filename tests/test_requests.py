@@ -7,6 +7,7 @@ import threading
 import time
 from functools import partial
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark import cloudpickle
@@ -190,3 +191,17 @@ def test_samples_are_asked_for_where_there_are_none(spark):
 
     got = consistency.with_samples_asked_for(prompts, samples, "k", "prompt", 2, lambda: None, generate)
     assert sorted(map(tuple, got.collect())) == [(1, 0, "given"), (2, 0, "y made"), (2, 1, "y made")]
+
+
+def test_equal_prompts_are_counted_by_row(spark, tmp_path):
+    """Rows with one prompt, and rows with one key, each have attempts of their own, as in the SQL."""
+    from compare import compare
+
+    from corpusflow.plans.queries import ORACLES, QUERIES
+
+    said = [(i % 40, i % 3, "user", "ab" * (i % 25)) for i in range(300)] + [(1, 1, "user", None)] * 3
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{folder}/conversations.parquet/*.parquet')")
+    assert compare(spark, con, folder, QUERIES["complete"], ORACLES["complete"])[:2] == ("equal", 303)
