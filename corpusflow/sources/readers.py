@@ -21,9 +21,39 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
 def read_parquet_glob(
     spark: SparkSession, base: str, glob: str = "*.parquet", text_key: str | None = None
 ) -> DataFrame:
-    """All Parquet files below a folder whose names match; the text column becomes ``text``."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return rename_text(reader.parquet(base), text_key)
+    """All Parquet files below a folder whose names match; the text column becomes ``text``.
+
+    A dataset may be one file or a folder of part files: all files of a folder whose name matches belong to it.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    folders = _matching_folders(spark, base, glob)
+    if not folders:
+        return rename_text(reader.option("pathGlobFilter", glob).parquet(base), text_key)
+    # Names only; files in the matching folders are named there.
+    inside = F.lit(False)
+    for folder in folders:
+        inside = inside | F.startswith("path", F.lit(f"{folder}/"))
+    alone = list_files(spark, base, glob).where(~inside).select("path")
+    return rename_text(reader.parquet(*folders, *(row["path"] for row in alone.collect())), text_key)
+
+
+def _matching_folders(spark: SparkSession, base: str, glob: str) -> list[str]:
+    """Folders below ``base`` whose names match and that do not lie in one that does; hidden ones are left out."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(base)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted, found = hadoop.GlobFilter(glob), []
+    below = [entry.getPath() for entry in fs.globStatus(top) or () if entry.isDirectory()]
+    while below:
+        for entry in fs.listStatus(below.pop()):
+            path = entry.getPath()
+            if not entry.isDirectory() or path.getName().startswith((".", "_")):
+                continue
+            if wanted.accept(path):
+                found.append(path.toString())
+            else:
+                below.append(path)
+    return sorted(found)
 
 
 def read_dataset(spark: SparkSession, path: str, split: str | None = None, text_key: str | None = None) -> DataFrame:
