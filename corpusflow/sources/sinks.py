@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.operators.mixture import format_weight
+from corpusflow.operators.sizing import approx_bytes
 
 
 def write_jsonl(
@@ -56,20 +57,33 @@ class _Folder:
             self.fs.delete(self.at(name), True)
 
 
-def write_parquet_by_rank(df: DataFrame, path: str, n: int, mode: str = "errorifexists") -> None:
-    """``data/00000.parquet`` and so on, ``n`` files of about equal size, whatever the input partitions were.
+#: Rough bytes of rows that one task writes.
+FILE_BYTES = 128 * 1024 * 1024
+
+
+def write_parquet_by_rank(
+    df: DataFrame, path: str, n: int, mode: str = "errorifexists", max_bytes: int | None = None
+) -> None:
+    """``data/00000.parquet`` and so on, ``n`` ranks of about equal size, whatever the input partitions were.
+
+    A rank of more than ``max_bytes`` (rough, as rows; None: FILE_BYTES) is written by several tasks, as
+    ``data/000_00000.parquet``, ``data/001_00000.parquet`` and so on; all ranks have as many files. Rows are read once
+    for their sizes before, so write them down if they are dear to make.
 
     Tasks write and commit below a folder of this call, a retried task like any other; then files are renamed, so that no
     name appears before all are whole. A rank without rows has no file.
     """
     folder, staged = _Folder(df.sparkSession, path), f"_staged-{uuid.uuid4().hex}"
     folder.make_room("data", mode)
+    size = df.agg(F.sum(approx_bytes(df)).alias("bytes")).first()["bytes"] or 0
+    files = max(1, -(-size // (n * (max_bytes or FILE_BYTES))))
     try:
-        df.repartition(n).write.parquet(str(folder.at(staged)))
+        df.repartition(n * files).write.parquet(str(folder.at(staged)))
         folder.fs.mkdirs(folder.at("data"))
         for file in folder.parts(staged):
-            rank = int(file.getName().split("-")[1])
-            if not folder.fs.rename(file, folder.at(f"data/{rank:05d}.parquet")):
+            number, rank = divmod(int(file.getName().split("-")[1]), n)
+            name = f"{rank:05d}.parquet" if files == 1 else f"{number:03d}_{rank:05d}.parquet"
+            if not folder.fs.rename(file, folder.at(f"data/{name}")):
                 raise OSError(f"cannot rename {file}")
     finally:
         folder.fs.delete(folder.at(staged), True)

@@ -45,3 +45,15 @@ def test_a_manifest_of_one_line(spark, tmp_path):
     assert words[:2000] + words[-10:] == [r["text"][2:] for r in lines]
     sinks.write_manifest_line(weights.limit(0), ["id"], str(tmp_path / "none"))
     assert (tmp_path / "none" / "manifest.txt").read_text() == ""
+
+
+def test_a_large_rank_is_several_files(spark, tmp_path, monkeypatch):
+    """However few ranks there are, no task has more rows than the bound allows."""
+    monkeypatch.setattr(sinks, "FILE_BYTES", 4000, raising=False)
+    df = spark.range(0, 1000, 1, 3).withColumn("text", F.repeat(F.lit("x"), 56))
+    path = str(tmp_path / "out")
+    sinks.write_parquet_by_rank(df, path, 4)
+    names = sorted(n for n in os.listdir(f"{path}/data") if not n.startswith("."))
+    assert names == [f"{i:03d}_{rank:05d}.parquet" for i in range(5) for rank in range(4)]
+    assert sorted(r["id"] for r in spark.read.parquet(f"{path}/data").collect()) == list(range(1000))
+    assert max(spark.read.parquet(f"{path}/data/{n}").count() for n in names) <= 60
