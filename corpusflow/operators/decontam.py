@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.rows import exclude_values, strip_non_empty
 from corpusflow.operators.sizing import broadcast_if_small, lookup, settle, skew_join
-from corpusflow.operators.substrings import first_found, grams_bitmap, held_grams, own_grams
+from corpusflow.operators.substrings import first_found, gram_counts, grams_bitmap, held_grams, own_grams
 from corpusflow.session import checkpointed
 
 # Bytes of a list that travels whole; it takes roughly ten times as much memory in a worker.
@@ -91,8 +91,8 @@ def contained(docs: DataFrame, patterns: DataFrame, text: str, doc_id: str) -> D
     """Distinct (_id, pattern): which texts hold which of the distinct, lower-cased patterns, for lists of any length.
 
     Every gram of a pattern occurs in every text that holds it. A pattern with a gram that occurs in no text is held
-    nowhere; of the others, each takes the gram that the fewest texts hold. Texts and patterns meet on it, and
-    ``contains`` decides.
+    nowhere; of the others, each takes the gram that texts hold in the fewest places. Texts are read again for
+    those grams alone; texts and patterns meet on them, and ``contains`` decides.
     """
     spark = docs.sparkSession
     listed = patterns.select("pattern", F.md5("pattern").alias("_pid"))
@@ -101,21 +101,24 @@ def contained(docs: DataFrame, patterns: DataFrame, text: str, doc_id: str) -> D
     sizes = sorted(r["q"] for r in runs.select("q").distinct().collect())
     if not sizes:
         return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("pattern")).limit(0)
-    grams = held_grams(spark, grams_bitmap(runs), sizes)
     lowered = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_text"))
-    # Grams that the bitmap lets through by chance meet no pattern.
-    held = checkpointed(lowered.select("_id", F.explode(grams(F.col("_text"))).alias("r")).select("_id", "r.q", "r.g").distinct())
-    spread = held.groupBy("q", "g").agg(F.count("*").alias("_docs"))
+    # Grams that the bitmap lets through by chance meet no pattern. Of most grams only counts leave the texts.
+    spread = gram_counts(lowered, "_text", grams_bitmap(runs), sizes)
     anchors = checkpointed(
         runs.join(spread, ["q", "g"], "left")
         .groupBy("_pid")
         .agg(
-            F.min_by(F.struct("q", "g"), F.struct("_docs", "q", "g")).alias("a"),
-            F.bool_and(F.col("_docs").isNotNull()).alias("_everywhere"),
+            F.min_by(F.struct("q", "g", "bit"), F.struct("n", "q", "g")).alias("a"),
+            F.bool_and(F.col("n").isNotNull()).alias("_everywhere"),
         )
         .where("_everywhere")
-        .select("_pid", "a.q", "a.g")
+        .select("_pid", "a.*")
     )
+    sizes = sorted(r["q"] for r in anchors.select("q").distinct().collect())
+    if not sizes:
+        return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("pattern")).limit(0)
+    chosen = held_grams(spark, grams_bitmap(anchors), sizes)
+    held = checkpointed(lowered.select("_id", F.explode(chosen(F.col("_text"))).alias("r")).select("_id", "r.q", "r.g").distinct())
     pairs = checkpointed(skew_join(held, anchors, ["q", "g"]).select("_id", "_pid").distinct())
     rows = pairs.count()
     with_pattern = skew_join(pairs, listed, ["_pid"], rows=rows)

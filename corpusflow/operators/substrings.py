@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 #: Bytes of a gram, the longest that fits a string first.
 SIZES = (8, 4, 2, 1)
 #: Bytes of text looked at together, and places compared together.
-PIECE, PLACES = 1 << 20, 1 << 20
+PIECE, PLACES = 1 << 18, 1 << 18
 #: Bits of the filter for a short list, and of the bitmap for a long one (16 MB).
 FILTER_BITS, MAP_BITS = 20, 27
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -229,6 +229,38 @@ def grams_bitmap(grams: DataFrame, bit: str = "bit") -> np.ndarray:
     return out
 
 
+def gram_counts(texts: DataFrame, text: str, bitmap: np.ndarray, sizes: Sequence[int]) -> DataFrame:
+    """(q, g, n): how many places of all texts hold each gram that the bitmap knows; counted by piece first."""
+    shared, schema = texts.sparkSession.sparkContext.broadcast(bitmap), "q int, g bigint, n bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part in pieces(batch.column(0)):
+                data, offsets = flat(part)
+                code = codes(data)
+                for size in sizes:
+                    owner, place, gram = _known(code, offsets, shared.value, size)
+                    found, often = np.unique(gram[place], return_counts=True)
+                    q = np.full(len(found), size, dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(q), pa.array(found.view(np.int64)), pa.array(often.astype(np.int64))], names=["q", "g", "n"]
+                    )
+
+    counted = texts.select(text).mapInArrow(run, schema)
+    return counted.groupBy("q", "g").agg(F.sum("n").alias("n"))
+
+
+def _known(code: np.ndarray, offsets: np.ndarray, bitmap: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place) of all grams of one size that the bitmap knows and a text holds, and the grams of all places."""
+    gram = code >> np.uint64(64 - 8 * size)
+    bit = _positions(gram, size)
+    known = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+    place = np.flatnonzero(known)
+    owner = np.searchsorted(offsets, place, side="right") - 1
+    inside = place + size <= offsets[owner + 1]
+    return owner[inside], place[inside], gram
+
+
 def held_grams(spark, bitmap: np.ndarray, sizes: Sequence[int]):
     """A column function from texts to those of their distinct grams that the bitmap knows."""
     shared = spark.sparkContext.broadcast(bitmap)
@@ -239,13 +271,8 @@ def held_grams(spark, bitmap: np.ndarray, sizes: Sequence[int]):
             data, offsets = flat(part)
             code, parts = codes(data), []
             for size in sizes:
-                gram = code >> np.uint64(64 - 8 * size)
-                bit = _positions(gram, size)
-                known = (shared.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-                place = np.flatnonzero(known)
-                owner = np.searchsorted(offsets, place, side="right") - 1
-                inside = place + size <= offsets[owner + 1]
-                parts.append((owner[inside], gram[place[inside]], size))
+                owner, place, gram = _known(code, offsets, shared.value, size)
+                parts.append((owner, gram[place], size))
             out.append(_gram_lists(len(part), parts))
         return pa.concat_arrays(out) if out else _gram_lists(0, [])
 

@@ -151,3 +151,23 @@ def test_grams_that_leave_texts_are_those_of_the_list(spark):
     known = substrings.held_grams(spark, substrings.grams_bitmap(runs), [8])
     docs = spark.createDataFrame([("words " * 1000 + "some benchmark text",), ("nothing of it",), (None,)], "t string")
     assert [r[0] for r in docs.select(F.size(known(F.col("t")))).collect()] == [12, 0, 0]
+
+
+def test_common_grams_stay_in_the_texts(spark, monkeypatch):
+    """Grams that most texts hold are counted where they are; only the rarest of each string leave texts."""
+    written = []
+
+    def kept(df):
+        out = df.localCheckpoint()
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontam, "checkpointed", kept)
+    common = "words that are in all of the texts and in all of the strings"
+    patterns = [(f"{common} zyx{i:03d}qq",) for i in range(5)]
+    texts = [(i, f"{common} abc{i}") for i in range(300)] + [(300 + i, f"so {common.upper()} zyx{i:03d}qq.") for i in range(3)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    strings = spark.createDataFrame(patterns, "string string")
+    got = decontam.decontaminate_anchored(docs, strings, "text", "doc_id")
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(300))
+    assert sum(written) < 1000
