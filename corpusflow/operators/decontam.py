@@ -173,7 +173,8 @@ def contamination_hits(
     size = first.agg(F.sum(F.octet_length("_pattern")).alias("b")).first()["b"] or 0
     if size <= max_bytes:
         entries = [(row["_n"], row["_pattern"]) for row in first.collect()]
-        found = _hits_small(docs, text, entries).where(F.col("_hit").isNotNull())
+        # Few rows, written down: all texts are read here, in batches of a bounded size.
+        found = checkpointed(_hits_small(docs, text, entries).where(F.col("_hit").isNotNull()))
     else:
         keyed = docs.select(text_key(text).alias("_key"), F.col(text).alias("_whole"))
         pairs = contained(keyed, first.select(F.col("_pattern").alias("pattern")), "_whole", "_key")

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch between Spark and Python. Both sides hold whole batches, and texts may be long.
+BATCH_BYTES = 8 << 20
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -48,10 +53,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside exchange Arrow batches of at most BATCH_BYTES, or less where the session says so."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    digits = before.rstrip("b")
+    if digits.isdigit() and int(digits) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read on from there (survives lost executors)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with short_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -171,3 +171,14 @@ def test_common_grams_stay_in_the_texts(spark, monkeypatch):
     got = decontam.decontaminate_anchored(docs, strings, "text", "doc_id")
     assert sorted(r["doc_id"] for r in got.collect()) == list(range(300))
     assert sum(written) < 1000
+
+
+def test_hits_of_a_short_list_are_written_down(spark, monkeypatch):
+    """All texts are read while the hits are written, where batches are short; what follows reads the hits."""
+    written = []
+    monkeypatch.setattr(decontam, "checkpointed", lambda df: written.append(df.count()) or df.localCheckpoint())
+    docs = spark.createDataFrame([(i, f"text {i} of some") for i in range(50)], "doc_id bigint, text string")
+    strings = spark.createDataFrame([("1 of", 0), ("7 OF", 1)], "string string, ord int")
+    got = decontam.contamination_hits(docs, strings, "text", "ord").select("doc_id", "hit_ord")
+    assert {tuple(r) for r in got.collect()} == {(i, i % 10 // 7) for i in range(50) if i % 10 in (1, 7)}
+    assert 10 in written

@@ -1,5 +1,6 @@
 """Rows with null weights, chunks and shares are neither lost nor counted wrongly."""
 
+import pyarrow as pa
 import pytest
 
 from corpusflow.operators import index, mixture
@@ -35,3 +36,18 @@ def test_interleave_keeps_rows_without_a_share(spark):
 def test_rows_with_null_counts_stay(spark):
     df = spark.createDataFrame([(1, 2), (2, None)], "id int, n int")
     assert index.prefix_sums(df, ["id"], weight="n", out="s").count() == 2
+
+
+def test_written_tables_cross_in_short_batches(spark):
+    """Long texts reach a worker a few at a time, whatever the session allows, and its setting stays."""
+    from pyspark.sql import functions as F
+
+    from corpusflow import session
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    held = F.arrow_udf(lambda texts: pa.array([texts.nbytes] * len(texts), pa.int64()), "bigint")
+    texts = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("t"))
+    sizes = [r["n"] for r in session.checkpointed(texts.select(held(F.col("t")).alias("n"))).collect()]
+    assert len(sizes) == 40 and max(sizes) < 10_000_000
+    assert spark.conf.get(key) == before
