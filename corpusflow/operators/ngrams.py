@@ -56,7 +56,7 @@ def times_plus(
 
 
 # Lists are handled in blocks of about this many words, whatever the size of the Arrow batch.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 19
 
 
 def blocks(lists: pa.Array, words: int = BLOCK_WORDS) -> Iterator[pa.Array]:
@@ -73,11 +73,9 @@ def word_hashes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """60 bits of md5 per word of all lists, and where each list begins and ends in them."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
     encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    distinct = (
-        int.from_bytes(hashlib.md5(word.encode()).digest()[:8], "big") >> 4
-        for word in encoded.dictionary.to_pylist()
-    )
-    table = np.fromiter(distinct, dtype=np.uint64, count=len(encoded.dictionary))
+    distinct = encoded.dictionary.to_numpy(zero_copy_only=False)
+    digests = b"".join([hashlib.md5(word.encode()).digest() for word in distinct])
+    table = np.frombuffer(digests, dtype=">u8")[::2].astype(np.uint64) >> np.uint64(4)
     return table[encoded.indices.to_numpy(zero_copy_only=False)], offsets - offsets[0]
 
 
