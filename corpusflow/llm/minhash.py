@@ -5,13 +5,15 @@ places, the second orders the places, and coordinate ``k`` reads the order throu
 by ``k`` steps. Bands of coordinates are buckets. Rows with equal shingle sets become one class before
 anything is compared, so copies cost nothing, however many there are.
 
-Buckets are worked off in rounds: every class is compared with the hub of its bucket, confirmed links
-are closed to components, and only buckets that still hold several components go on. First one class of
-the largest component of a bucket is its hub, a new one each time; then samples of its classes are, four
-times as many each time. A large group of near copies is one component after the first rounds and does
-not expand into its pairs; a bucket is left only when one component or no untested pair is left in it, so
-no link between classes that share a bucket is lost. 60 bands of 7 miss a pair at similarity 0.8 with a
-probability of 7e-7; pairs at 0.4 share a bucket with one of 0.1.
+Every class is first compared with one hub of its bucket, confirmed links are closed to components, and
+only buckets that still hold several components go on. There all pairs of different components meet as
+bitmaps inside tasks: each bit says whether the shingles that fall to it are odd in number, so each bit
+that two sets do not share stands for a shingle that one of them lacks, and a pair becomes a row only if
+its bitmaps leave a link possible. A first pass names one such pair of every two components, so that
+large groups close; a second one names all that are left between components. A bucket of many classes is
+cut into blocks, and a task compares two of them at a time. So no link between classes that share a bucket
+is lost. 60 bands of 7 miss a pair at similarity 0.8 with a probability of 7e-7; pairs at 0.4 share a
+bucket with one of 0.1.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z; fewer words than a shingle are one
 shingle; a null or wordless text has the empty set, is linked with nothing and is its own component. Rows
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm import common
+from corpusflow.llm import common, exchange
 from corpusflow.llm.common import written
 from corpusflow.operators.dedup import duplicate_clusters
 from corpusflow.operators.sizing import broadcast_if_small, lookup, skew_join
@@ -36,8 +38,16 @@ BANDS, ROWS = 60, 7
 CACHED = 1 << 15
 #: Cells into which the shingles of a set are counted, and the highest count.
 CELLS, FULL = 256, 255
-#: Rounds with one hub per bucket; hubs per bucket in the round after them, and their growth per round.
-STARS, HUBS, GROWTH = 4, 8, 4
+#: Bits of the bitmap of a set, a multiple of 64.
+BITS = 1 << 10
+#: Classes of a bucket that meet inside one task at a time.
+BLOCK = 1 << 11
+#: Pairs that a task gathers before it hands them on.
+FOUND = 1 << 16
+#: A class in a bucket. ``side`` 0 meets ``side`` 1 only; those of 2 meet each other.
+MEMBER = np.dtype([
+    ("key", "<i8"), ("part", "<i8"), ("side", "<i4"), ("n", "<i8"), ("node", "S16"), ("component", "S16"), ("bits", "<u8", BITS // 64),
+])
 
 
 def order(ring: np.ndarray, out: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -118,7 +128,7 @@ def _sketch(n: int, bands: int, rows: int):
 
 
 def _full_sets(n: int):
-    """text -> (digest of the set, sorted distinct shingle hashes, how many fall into each cell)."""
+    """text -> (digest of the set, sorted distinct shingle hashes, how many fall into each cell, bitmap of odd counts)."""
 
     def of(texts: pa.Array) -> pa.Array:
         held = list(_sets(texts, n))
@@ -128,15 +138,23 @@ def _full_sets(n: int):
         pairs = np.zeros((0, 2))
         if len(at):
             pairs = common.digests(flat, (np.cumsum(sizes) - sizes)[at])
-        cells = np.repeat(np.arange(len(texts)) * CELLS, sizes) + (flat % np.uint64(CELLS)).astype(np.int64)
-        counts = np.minimum(np.bincount(cells, minlength=len(texts) * CELLS), FULL).astype(np.uint8)
-        counts = pa.FixedSizeBinaryArray.from_buffers(pa.binary(CELLS), len(texts), [None, pa.py_buffer(counts.tobytes())])
+
+        def counted(places):
+            owner = np.repeat(np.arange(len(texts)) * places, sizes)
+            return np.bincount(owner + (flat % np.uint64(places)).astype(np.int64), minlength=len(texts) * places)
+
+        def binary(values, width):
+            data = pa.py_buffer(values.tobytes())
+            return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(texts), [None, data]).cast(pa.binary())
+
+        cells = np.minimum(counted(CELLS), FULL).astype(np.uint8)
+        odd = np.packbits((counted(BITS) & 1).astype(bool), bitorder="little")
         return pa.StructArray.from_arrays(
-            [common.binary16(pairs, at, len(texts)), common.lists(flat.view(np.int64), sizes), counts.cast(pa.binary())],
-            ["node", "set", "cells"],
+            [common.binary16(pairs, at, len(texts)), common.lists(flat.view(np.int64), sizes), binary(cells, CELLS), binary(odd, BITS // 8)],
+            ["node", "set", "cells", "bits"],
         )
 
-    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>,cells:binary>")
+    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>,cells:binary,bits:binary>")
 
 
 def _may_link(least: int):
@@ -181,56 +199,127 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.where(F.lit(100) * shared >= F.lit(least) * union).select("a", "b")
 
 
-def clusters_in_buckets(members: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+def _near(x: np.ndarray, y: np.ndarray, both: np.ndarray, least: int) -> np.ndarray:
+    """Whether sets of ``both`` shingles together can be that similar, by their bitmaps.
+
+    100 |intersection| >= least |union| turned into shingles that one side lacks.
+    """
+    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return (100 + least) * apart <= (100 - least) * both
+
+
+def compared(members: DataFrame, least: int, parts: int, first: bool, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (a, b) of a bucket and of different components whose bitmaps leave a link possible.
+
+    ``members`` is (key, size, node, n, component, bits). With ``first``, one pair of every two components
+    that meet in a task will do. A bucket of more than ``block`` classes is cut into blocks, and each two
+    of them meet by themselves, so a task holds two blocks of it at a time.
+    """
+    width = BITS // 8
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("long")
+    own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))
+    cut = members.withColumn("blocks", blocks).withColumn("own", own)
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
+    rows = cut.select("key", part.alias("part"), side.alias("side"), "n", "node", "component", "bits")
+    buckets = parts * exchange.BUCKETS
+
+    def records(batches):
+        for batch in batches:
+            out = np.empty(batch.num_rows, dtype=MEMBER)
+            for name, column in zip(("key", "part", "side", "n"), batch.columns):
+                out[name] = column.to_numpy(zero_copy_only=False)
+            for name, column in zip(("node", "component"), batch.columns[4:]):
+                out[name] = common.flat_bytes(column)[0].view("S16")
+            out["bits"] = common.flat_bytes(batch.column(6))[0].reshape(-1, width).view("<u8")
+            yield out
+
+    def pack(batches):
+        def packed(found):
+            place = common.mix64(found["key"].view(np.uint64) + common.mix64(found["part"].astype(np.uint64)))
+            return exchange.block(found, (place % np.uint64(buckets)).astype(np.int64))
+
+        return exchange.gathered(records(batches), packed)
+
+    def binary(values):
+        data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(values), [None, data]).cast(pa.binary())
+
+    def compare(rows):
+        rows = rows[np.lexsort((rows["part"], rows["key"]))]
+        key, cell, side, n, bits = (np.ascontiguousarray(rows[c]) for c in ("key", "part", "side", "n", "bits"))
+        names, component = np.unique(rows["component"], return_inverse=True)
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])))
+        sizes = np.diff(np.append(starts, len(rows)))
+        rest = np.repeat(sizes, sizes) - (np.arange(len(rows)) - np.repeat(starts, sizes))  # rows to the end of the unit
+
+        def told(held):
+            i, j = (np.concatenate(v) for v in zip(*held))
+            if first:
+                low, high = np.minimum(component[i], component[j]), np.maximum(component[i], component[j])
+                one = np.unique(low * len(names) + high, return_index=True)[1]
+                i, j = i[one], j[one]
+            return i, j
+
+        held, step, at = [(np.zeros(0, np.int64),) * 2], 0, np.flatnonzero(rest > 1)
+        while len(at):
+            step += 1
+            at = at[rest[at] > step]
+            later = at + step
+            small, large = np.minimum(n[at], n[later]), np.maximum(n[at], n[later])
+            meet = (component[at] != component[later]) & ((side[at] != side[later]) | (side[at] == 2))
+            meet &= 100 * small >= least * large
+            i, j = at[meet], later[meet]
+            near = _near(bits[i], bits[j], n[i] + n[j], least)
+            held.append((i[near], j[near]))
+            if sum(len(i) for i, _ in held) >= FOUND:
+                held = [told(held)]
+                if not first or len(held[0][0]) >= FOUND // 2:
+                    yield pa.RecordBatch.from_arrays([binary(rows["node"][v]) for v in held[0]], ["x", "y"])
+                    held = [(np.zeros(0, np.int64),) * 2]
+        yield pa.RecordBatch.from_arrays([binary(rows["node"][v]) for v in told(held)], ["x", "y"])
+
+    def run(batches):
+        for rows in exchange.by_bucket(batches, MEMBER):
+            yield from compare(rows)
+
+    found = exchange.dealt(rows.mapInArrow(pack, exchange.PACKED), parts).mapInArrow(run, "x binary, y binary")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def clusters_in_buckets(members: DataFrame, sets: DataFrame, least: int, block: int = BLOCK) -> DataFrame:
     """(node, cluster) for every node that is not the smallest of its component.
 
     Components are those of all links between classes of a bucket. ``members`` is (key, node, n), in
     buckets of several nodes only. A pair inside one component need not be looked at.
     """
+    hubs = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h")).select("key", "h.*")
+    hubs = written(hubs.select("key", F.col("node").alias("hub"), F.col("n").alias("nb")), "hubs")
+    met = skew_join(members.withColumnRenamed("n", "na"), hubs, ["key"])
     fair = F.lit(100) * F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb")
-
-    def pairs(of: DataFrame, hubs: DataFrame, differ) -> DataFrame:
-        hub = hubs.select("key", F.col("node").alias("hub"), F.col("n").alias("nb"), F.col("component").alias("theirs"))
-        met = skew_join(of.withColumnRenamed("n", "na"), hub, ["key"])
-        return met.where(differ & fair).select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-        ).distinct()
-
-    own = members.withColumn("component", F.col("node"))
-    first = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h"), F.count("*").alias("size"))
-    sizes = written(first.select("key", "h.*", "size"), "hubs")
-    hubs = sizes.select("key", "node", "n", F.col("node").alias("component"))
-    tested = written(pairs(own, hubs, F.col("node") != F.col("hub")), "pairs")
+    # The hub is the smallest node of its bucket.
+    tested = written(met.where((F.col("node") != F.col("hub")) & fair).select(
+        F.col("hub").alias("a"), F.col("node").alias("b")
+    ).distinct(), "pairs")
     links = written(confirm(tested, sets, least), "links")
-    rounds, reach, left = 1, 0, members
-    while True:
+    parts, left = exchange.partitions(members), members
+    for first in (True, False):
         clusters = duplicate_clusters(links, "a", "b").select(F.col("id").alias("node"), "cluster")
-        weights = clusters.groupBy("cluster").agg(F.count("*").alias("weight"))
-        known = clusters.join(weights, "cluster").select("node", "cluster", "weight")
-        heads = weights.select(F.col("cluster").alias("node"), "cluster", "weight")
-        now = lookup(left, written(known.unionByName(heads), "clusters"), ["node"], "left").select(
-            "key", "node", "n", F.coalesce("cluster", "node").alias("component"), F.coalesce("weight", F.lit(0)).alias("weight")
-        )
-        # A bucket is open while it holds several components and not all its classes have been hubs.
-        mixed = now.groupBy("key").agg(
-            F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"),
-            F.max(F.struct("weight", F.xxhash64("node", F.lit(rounds)), "node", "n", "component")).alias("h"),
-        ).where((F.col("x") != F.col("y")) & (F.col("size") > F.lit(reach)))
-        mixed = written(mixed.select("key", "size", "h"), "mixed")
+        now = lookup(left, clusters, ["node"], "left").select("key", "node", "n", F.coalesce("cluster", "node").alias("component"))
+        # A bucket is open while it holds several components.
+        mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+        mixed = written(mixed.where(F.col("x") != F.col("y")).select("key", "size"), "mixed")
         if mixed.isEmpty():
             return clusters
-        open_now = written(lookup(now, mixed.select("key", "size"), ["key"]), "open")
-        if rounds < STARS:
-            hubs = mixed.select("key", "h.node", "h.n", "h.component")
-        else:
-            reach = reach * GROWTH or HUBS
-            share = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-            hubs = open_now.where(share * F.col("size") < F.lit(reach))
-        rest = pairs(open_now.drop("size", "weight"), hubs, F.col("component") != F.col("theirs"))
-        fresh = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
+        open_now = written(lookup(now, mixed, ["key"]), "open")
+        with_bits = lookup(open_now, sets.select("node", "bits"), ["node"])
+        fresh = compared(with_bits, least, parts, first, block).join(tested, ["a", "b"], "left_anti")
+        fresh = written(fresh, "pairs")
         links = links.unionByName(written(confirm(fresh, sets, least), "links"))
         tested = tested.unionByName(fresh)
-        left, rounds = open_now.select("key", "node", "n"), rounds + 1
+        left = open_now.select("key", "node", "n")
+    return duplicate_clusters(links, "a", "b").select(F.col("id").alias("node"), "cluster")
 
 
 def components(
@@ -263,7 +352,7 @@ def components(
     refs = lookup(classes.select("node", "_ref"), wanted, ["node"]).select("_ref").distinct()
     again = lookup(docs.select(common.text_key(F.col(text)).alias("_ref"), F.col(text).alias("_t")), written(refs, "refs"), ["_ref"])
     full = again.dropDuplicates(["_ref"]).select(_full_sets(n)(F.col("_t")).alias("s")).select("s.*")
-    sets = written(full.where(F.col("node").isNotNull()).groupBy("node").agg(F.first(F.struct("set", "cells")).alias("s")).select("node", "s.*"), "sets")
+    sets = written(full.where(F.col("node").isNotNull()).groupBy("node").agg(F.first(F.struct("set", "cells", "bits")).alias("s")).select("node", "s.*"), "sets")
     clusters = clusters_in_buckets(members, sets, least)
     # Only classes of several rows or of a larger component differ from their own id.
     grouped = lookup(classes.select("node", "low", "copies"), clusters, ["node"], "left").withColumn(

@@ -361,3 +361,41 @@ def test_cells_refute_no_link():
         for (i, j), passed in zip(places, may):
             shared = len(sets[i] & sets[j])
             assert passed or 100 * shared < 80 * (len(sets[i]) + len(sets[j]) - shared)
+
+
+def test_minhash_tests_few_pairs_of_a_large_group(spark, monkeypatch):
+    """A group of texts that share buckets but no links, in blocks too, must not become its pairs; no link is lost."""
+    rng = np.random.default_rng(11)
+    pool = [f"v{i}" for i in range(4000)]
+    base = rng.choice(pool, 150).tolist()
+
+    def edited(text, n):
+        out = list(text)
+        for i in rng.choice(len(out), n, replace=False):
+            out[i] = str(rng.choice(pool))
+        return out
+
+    texts = [edited(base, 10) for _ in range(150)]
+    texts += [edited(t, 3) for t in texts[::3]]
+    sets = [shingle_set(" ".join(t), 2) for t in texts]
+    group = list(range(len(sets)))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and group[i] != group[j]:
+            a, b = group[i], group[j]
+            group = [a if g == b else g for g in group]
+    low = {g: group.index(g) for g in set(group)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    tested, confirm, inside = [], minhash.confirm, minhash.clusters_in_buckets
+
+    def counted(pairs, sets, least):
+        tested.append(pairs.count())
+        return confirm(pairs, sets, least)
+
+    monkeypatch.setattr(minhash, "confirm", counted)
+    for size in (None, 16):
+        if size:
+            monkeypatch.setattr(minhash, "clusters_in_buckets", lambda m, s, least: inside(m, s, least, block=size))
+        tested.clear()
+        got = {r["doc_id"]: r["component_id"] for r in minhash.components(docs, n=2).collect()}
+        assert got == {i: low[g] for i, g in enumerate(group)}
+        assert sum(tested) < 25 * len(texts), tested
