@@ -37,8 +37,10 @@ from corpusflow.operators.sizing import broadcast_if_small, fits, lookup, skew_j
 
 #: Counters of the rarity table: one byte each in every worker, whatever the vocabulary.
 COUNTERS = 1 << 22
-#: Counters that travel together.
+#: Counters that travel together; places among them take two bytes.
 PACKED = 1 << 16
+#: Bytes of texts that are hashed together.
+HASHED = 1 << 20
 #: Words of texts that are sorted together.
 SORTED_WORDS = 1 << 18
 #: Words counted this often or more are worked off in rounds, so that a bucket of the others stays small.
@@ -61,28 +63,46 @@ def code_of(n):
 def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndarray:
     """One byte per counter: 0 if one word of all texts at most falls to it, else the log of how many.
 
-    Words are counted where they are read; the driver gets one byte per counter.
+    Words are counted where they are read; counts travel packed by block of counters and are added block
+    by block; the driver gets one byte per counter.
     """
 
     def count(batches):
         total = np.zeros(counters, dtype=np.int32)
         for batch in batches:
-            for _, texts in common.row_blocks(batch.column(0)):
+            for _, texts in common.row_blocks(batch.column(0), HASHED):
                 words = common.hash_words(texts)[0]
                 np.add.at(total, (words & np.uint64(counters - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(total)
-        for low in range(0, len(used), PACKED):
-            part = used[low: low + PACKED]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["word", "n"])
-
-    def pack(part: pa.Table) -> pa.Table:
-        word, n = part["word"].to_numpy(), part["n"].to_numpy()
-        codes = np.zeros(PACKED, dtype=np.uint8)
-        codes[word % PACKED] = code_of(n)
-        return pa.table({"block": pa.array([int(word[0]) // PACKED], pa.int32()), "codes": pa.array([codes.tobytes()])})
-
-    counted = docs.select(text).mapInArrow(count, "word int, n int").groupBy("word").agg(F.sum("n").alias("n"))
-    packed = counted.groupBy(F.shiftright("word", 16)).applyInArrow(pack, "block int, codes binary")
+        blocks, data = [], []
+        for low in range(0, counters, PACKED):
+            part = total[low: low + PACKED]
+            used = np.flatnonzero(part)
+            if len(used):
+                blocks.append(low // PACKED)
+                data.append(used.astype("<u2").tobytes() + part[used].astype("<i4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
+
+    def add(batches):
+        def told():
+            codes = code_of(np.maximum(total, 1)).astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([codes.tobytes()])], ["block", "codes"])
+
+        block = None
+        for batch in batches:
+            for own, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own != block:
+                    if block is not None:
+                        yield told()
+                    block, total = own, np.zeros(PACKED, dtype=np.int64)
+                size = len(data.as_buffer()) // 6
+                # The places of one block of counts are distinct.
+                total[np.frombuffer(data.as_buffer(), "<u2", size)] += np.frombuffer(data.as_buffer(), "<i4", size, 2 * size)
+        if block is not None:
+            yield told()
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = docs.select(text).mapInArrow(count, "block int, data binary")
+    packed = counted.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(add, "block int, codes binary")
     out = np.zeros(counters, dtype=np.uint8)
     with common.short_batches(docs.sparkSession):
         found = packed.collect()
@@ -97,7 +117,7 @@ def _line_sets(texts: pa.Array, codes: np.ndarray, asked=None):
 
     ``asked`` (text, line) restricts them to some lines.
     """
-    for low, part in common.row_blocks(texts):
+    for low, part in common.row_blocks(texts, HASHED):
         own = None
         if asked is not None:
             inside = (asked[0] >= low) & (asked[0] < low + len(part))
@@ -320,12 +340,19 @@ def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED)
     return found.groupBy("cid", "other", "word").agg(F.max(F.col("more").cast("int")).alias("more"))
 
 
-def candidates(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
-    """Distinct (cid, other) under a frequent word that pass all filters; ``other`` comes first."""
+def candidates(later: DataFrame, earlier: DataFrame, least: int, once: bool = False) -> DataFrame:
+    """Distinct (cid, other) under a frequent word that pass all filters; ``other`` comes first.
+
+    With ``once``, a pair is made under the first of its words only: the earliest in ``words``, the prefix of
+    ``later`` in order, under which ``earlier`` has the other one. A pair that passes by place under a later word passes there.
+    """
     hub = earlier.select(
         "word", F.struct("_id", "cid").alias("before"), F.col("cid").alias("other"), F.col("n").alias("m"),
         F.col("pos").alias("at"), F.col("x").alias("u"), F.col("y").alias("v"),
     )
+    if once:
+        under = earlier.groupBy(F.col("cid").alias("other")).agg(F.collect_set("word").alias("under"))
+        hub = lookup(hub, written(under, "line-hubs"), ["other"])
     if fits(later):
         met = hub.join(F.broadcast(later), "word")
     else:
@@ -339,6 +366,8 @@ def candidates(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
         & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) >= shared)
         & (apart <= both - F.lit(2) * shared)
     )
+    if once:
+        passing &= F.get(F.array_intersect("words", "under"), F.lit(0)) == F.col("word")
     return met.where(passing).select("cid", "other").distinct()
 
 
@@ -378,7 +407,7 @@ def matches_by_name(
 def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFrame, reach: int = HUBS) -> DataFrame:
     """``matched`` and the (cid) of classes with an earlier match under a frequent word.
 
-    ``members`` is (word, _id, cid, pos, n, x, y), written down.
+    ``members`` is (word, _id, cid, pos, n, x, y, words), written down; ``words`` is the prefix of the class in order.
     """
     first = F.min(F.struct("_id", "cid", "pos", "n", "x", "y"))
     lead = members.groupBy("word").agg(first.alias("h"), F.count("*").alias("size"))
@@ -387,7 +416,7 @@ def matches_in_rounds(members: DataFrame, sets_of, least: int, matched: DataFram
         return matched
 
     def meet(later: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        pairs = candidates(later, hubs, least)
+        pairs = candidates(later, hubs, least, once=True)
         pairs = written(pairs if tested is None else pairs.join(tested, ["cid", "other"], "left_anti"), "line-pairs")
         return pairs, settled(pairs, sets_of, least)
 
@@ -442,9 +471,11 @@ def removed_lines(
     classes = marked.where(F.col("lead").isNull() | (F.col("cid") == F.col("lead.cid")))
 
     def entries(column: str) -> DataFrame:
-        flat = classes.select(F.explode(column).alias("e"), F.col("rank").alias("_id"), "cid", "n", "x", "y")
+        flat = classes.select(F.explode(column).alias("e"), F.col("rank").alias("_id"), "cid", "n", "x", "y", "prefix", "frequent")
         word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
-        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y")
+        # The place is the upper half of an entry.
+        ordered = F.transform(F.array_sort(F.concat("prefix", "frequent")), lambda e: e.bitwiseAND(F.lit(0xFFFFFFFF)))
+        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y", ordered.alias("words"))
 
     def sets_of(cids: DataFrame) -> DataFrame:
         asked = lookup(lines.select("cid", "_id", "_ref", "line"), written(cids, "line-cids"), ["cid"])
@@ -456,7 +487,7 @@ def removed_lines(
         return found.select("s.cid", "s.set")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    matched, full = matches_by_name(classes, entries("prefix"), sets_of, least, parts, crowded)
+    matched, full = matches_by_name(classes, entries("prefix").drop("words"), sets_of, least, parts, crowded)
     many = entries("frequent").unionByName(lookup(entries("prefix"), full, ["word"]))
     matched = matches_in_rounds(written(many, "line-entries"), sets_of, least, matched, hubs)
     names = lookup(lines.select("cid", "node"), matched, ["cid"]).select("node", F.lit(True).alias("matched"))

@@ -399,3 +399,25 @@ def test_minhash_tests_few_pairs_of_a_large_group(spark, monkeypatch):
         got = {r["doc_id"]: r["component_id"] for r in minhash.components(docs, n=2).collect()}
         assert got == {i: low[g] for i, g in enumerate(group)}
         assert sum(tested) < 25 * len(texts), tested
+
+
+def test_lines_pair_under_several_frequent_words_is_made_once(spark):
+    """Classes that share three words meet in one row of the join, not in three."""
+    schema = "word long, _id long, cid long, pos int, n int, x long, y long, words array<long>"
+    rows = [(w, i, i, pos, 20, 0, 0, [5, 6, 7]) for i in range(4) for pos, w in enumerate((5, 6, 7))]
+    entries = spark.createDataFrame(rows, schema)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = lines.candidates(entries, entries.where("cid = 0"), 80, once=True)
+        assert sorted(map(tuple, met.collect())) == [(1, 0), (2, 0), (3, 0)]
+        nodes, made = [met._jdf.queryExecution().executedPlan()], []
+        while nodes:
+            node = nodes.pop()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+            if "Join" in node.nodeName() and "word" in node.simpleString(200):
+                made.append(node.metrics().apply("numOutputRows").value())
+        assert 3 in made and max(made) <= 3, made
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
