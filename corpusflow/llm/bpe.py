@@ -207,11 +207,10 @@ def cut(text: str, special: re.Pattern) -> list[str]:
     return _UNICODE.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
 
-def encoder(spark: SparkSession, path: str):
-    """A column function from texts to their lists of token ids."""
-    tables = spark.sparkContext.broadcast(load(path))
+def _encode(tables, finish):
+    """A function from texts to what ``finish`` makes of the tables and the token lists of each block of texts."""
 
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(texts: pa.Array) -> list[pa.Array]:
         known = tables.value
         special = re.compile("(" + "|".join(map(re.escape, known["specials"])) + ")") if known["specials"] else NOTHING
         parts, low = [], 0
@@ -220,9 +219,9 @@ def encoder(spark: SparkSession, path: str):
             done = ends[low - 1] if low else 0
             high = max(int(np.searchsorted(ends, done + BLOCK, side="right")), low + 1)
             rows = texts.slice(low, high - low).to_pylist()
-            parts.append(block(known, [cut(row or "", special) for row in rows]))
+            parts.append(finish(known, block(known, [cut(row or "", special) for row in rows])))
             low = high
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        return parts
 
     def forget() -> dict:
         return {"place": {}, "flat": np.zeros(0, np.int32), "sizes": np.zeros(0, np.int64)}
@@ -253,17 +252,48 @@ def encoder(spark: SparkSession, path: str):
         edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(tokens))
 
+    return encode
+
+
+def _decoded(names: list[str], ids: pa.ListArray) -> pa.Array:
+    flat = pa.array(names).take(ids.flatten())
+    offsets = np.concatenate(([0], np.cumsum(np.diff(ids.offsets.to_numpy())))).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), flat), " ")
+
+
+def encoder(spark: SparkSession, path: str):
+    """A column function from texts to their lists of token ids."""
+    run = _encode(spark.sparkContext.broadcast(load(path)), lambda known, tokens: tokens)
+
+    def encode(texts: pa.Array) -> pa.Array:
+        parts = run(texts)
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
     # Marked so that a plan that uses the tokens more than once does not encode more than once.
     return F.arrow_udf(encode, "array<int>").asNondeterministic()
 
 
+def coder(spark: SparkSession, path: str):
+    """A column function from texts to (tokens, decoded): their token ids and the text of these, by one Python worker a task."""
+    kind = pa.struct([("tokens", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    def finish(known: dict, tokens: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([tokens, _decoded(known["text"], tokens)], fields=list(kind))
+
+    run = _encode(spark.sparkContext.broadcast(load(path)), finish)
+
+    def code(texts: pa.Array) -> pa.Array:
+        parts = run(texts)
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return F.arrow_udf(code, "struct<tokens:array<int>,decoded:string>").asNondeterministic()
+
+
 def decoder(spark: SparkSession, path: str):
     """A column function from lists of token ids to their text."""
     names = spark.sparkContext.broadcast(load(path)["text"])
 
     def decode(ids: pa.Array) -> pa.Array:
-        flat = pa.array(names.value).take(ids.flatten())
-        offsets = np.concatenate(([0], np.cumsum(np.diff(ids.offsets.to_numpy())))).astype(np.int32)
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), flat), " ")
+        return _decoded(names.value, ids)
 
     return F.arrow_udf(decode, "string")

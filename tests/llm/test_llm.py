@@ -401,6 +401,21 @@ def test_minhash_tests_few_pairs_of_a_large_group(spark, monkeypatch):
         assert sum(tested) < 25 * len(texts), tested
 
 
+def test_bpe_stage_needs_one_python_worker_a_task(docs):
+    """Encoding and decoding in two nodes keeps two workers a task, and both stay for the stages after it."""
+    import corpus_pipeline
+
+    done = corpus_pipeline.encode(docs.sparkSession, docs, "")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bArrowEvalPython\b", plan)) == 1, plan
+    path = vocabulary()
+    two = docs.withColumn("want", bpe.encoder(docs.sparkSession, path)(F.col("text")))
+    two = two.withColumn("back", bpe.decoder(docs.sparkSession, path)(F.col("want"))).select("want", F.size("want"), "back")
+    got = done.select("tokens", "n_tokens", "decoded")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, two.collect())))
+    assert done.columns == [*docs.columns, "tokens", "n_tokens", "decoded"]
+
+
 def test_lines_pair_under_several_frequent_words_is_made_once(spark):
     """Classes that share three words meet in one row of the join, not in three."""
     schema = "word long, _id long, cid long, pos int, n int, x long, y long, words array<long>"
