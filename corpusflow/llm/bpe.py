@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -208,20 +209,22 @@ def cut(text: str, special: re.Pattern) -> list[str]:
 
 
 def _encode(tables, finish):
-    """A function from texts to what ``finish`` makes of the tables and the token lists of each block of texts."""
+    """A function from texts to what ``finish`` makes of the tables and the token lists, block by block of texts.
 
-    def encode(texts: pa.Array) -> list[pa.Array]:
+    Blocks leave as they are made, so neither side of the exchange holds the tokens of a whole batch.
+    """
+
+    def encode(texts: pa.Array) -> Iterator[pa.Array]:
         known = tables.value
         special = re.compile("(" + "|".join(map(re.escape, known["specials"])) + ")") if known["specials"] else NOTHING
-        parts, low = [], 0
+        low = 0
         ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         while low < len(texts):
             done = ends[low - 1] if low else 0
             high = max(int(np.searchsorted(ends, done + BLOCK, side="right")), low + 1)
             rows = texts.slice(low, high - low).to_pylist()
-            parts.append(finish(known, block(known, [cut(row or "", special) for row in rows])))
+            yield finish(known, block(known, [cut(row or "", special) for row in rows]))
             low = high
-        return parts
 
     def forget() -> dict:
         return {"place": {}, "flat": np.zeros(0, np.int32), "sizes": np.zeros(0, np.int64)}
@@ -265,9 +268,9 @@ def encoder(spark: SparkSession, path: str):
     """A column function from texts to their lists of token ids."""
     run = _encode(spark.sparkContext.broadcast(load(path)), lambda known, tokens: tokens)
 
-    def encode(texts: pa.Array) -> pa.Array:
-        parts = run(texts)
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield from run(texts)
 
     # Marked so that a plan that uses the tokens more than once does not encode more than once.
     return F.arrow_udf(encode, "array<int>").asNondeterministic()
@@ -282,9 +285,9 @@ def coder(spark: SparkSession, path: str):
 
     run = _encode(spark.sparkContext.broadcast(load(path)), finish)
 
-    def code(texts: pa.Array) -> pa.Array:
-        parts = run(texts)
-        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield from run(texts)
 
     return F.arrow_udf(code, "struct<tokens:array<int>,decoded:string>").asNondeterministic()
 

@@ -436,3 +436,12 @@ def test_lines_pair_under_several_frequent_words_is_made_once(spark):
         assert 3 in made and max(made) <= 3, made
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_tokens_leave_block_by_block(spark, monkeypatch):
+    """A batch of many texts gives its tokens in pieces, not as one array that holds them all."""
+    monkeypatch.setattr(bpe, "BLOCK", 1000)
+    texts = [f"some words of text {i} " * 10 for i in range(40)] + [None, "", "x" * 5000]
+    for udf in (bpe.coder(spark, vocabulary()), bpe.encoder(spark, vocabulary())):
+        out = list(udf.func(iter([pa.array(texts), pa.array([], pa.string())])))
+        assert len(out) > 5 and max(map(len, out)) <= 10 and sum(map(len, out)) == len(texts)
