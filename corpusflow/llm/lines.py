@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import common
@@ -48,9 +48,7 @@ FREQUENT = 1 << 16
 #: So are words with more classes than this: all pairs under fewer are compared where they are.
 CROWDED = 1 << 12
 #: Buckets of words per shuffle partition, and entries that a task packs at a time.
-BUCKETS, PACKED_ENTRIES = 2, 1 << 18
-#: Candidates that a class names under a word at first.
-NAMED = 1
+BUCKETS, PACKED_ENTRIES = 2, 1 << 17
 #: Classes per frequent word that the others meet in the first round, and their growth per round.
 HUBS, GROWTH = 256, 16
 
@@ -60,6 +58,12 @@ def code_of(n):
     return np.minimum(255, np.floor(12 * np.log2(n)))
 
 
+def add_words(total: np.ndarray, words: np.ndarray) -> None:
+    """Counts words in their counters."""
+    # A one of the table's own type: of another, add.at leaves its fast loop and takes ten times as long.
+    np.add.at(total, (words & np.uint64(len(total) - 1)).astype(np.int64), total.dtype.type(1))
+
+
 def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndarray:
     """One byte per counter: 0 if one word of all texts at most falls to it, else the log of how many.
 
@@ -72,7 +76,7 @@ def word_rarity(docs: DataFrame, text: str, counters: int = COUNTERS) -> np.ndar
         for batch in batches:
             for _, texts in common.row_blocks(batch.column(0), HASHED):
                 words = common.hash_words(texts)[0]
-                np.add.at(total, (words & np.uint64(counters - 1)).astype(np.int64), 1)
+                add_words(total, words)
         blocks, data = [], []
         for low in range(0, counters, PACKED):
             part = total[low: low + PACKED]
@@ -237,15 +241,9 @@ def _chosen_sets(codes):
     return F.arrow_udf(of, "array<struct<cid:bigint,set:array<bigint>>>")
 
 
-def _passing(n, m, pos, at, apart, least: int):
-    """Whether a pair can match: lengths, places of the word, words that one side lacks."""
-    # 100 |intersection| >= least |union| turned into words in common, and into words not in common.
-    both = n + m
-    shared = (least * both + 99 + least) // (100 + least)
-    small, large = np.minimum(n, m), np.maximum(n, m)
-    return (
-        (100 * small >= least * large) & (np.minimum(n - pos, m - at) >= shared) & (apart <= both - 2 * shared)
-    )
+def _shared(both, least: int):
+    """Words that two lines of ``both`` words must have in common: 100 |intersection| >= least |union|, turned round."""
+    return (least * both + 99 + least) // (100 + least)
 
 
 ENTRY = np.dtype([("word", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("id", "<i8"), ("cid", "<i8"), ("x", "<u8"), ("y", "<u8")])
@@ -254,9 +252,10 @@ ENTRY = np.dtype([("word", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("id", "<i8"),
 def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED) -> DataFrame:
     """(cid, other, more, word): pairs under a word that pass all filters, ``other`` read earlier.
 
-    A class names the NAMED candidates right before it; ``more`` says that it has others. A word that
+    A class names the candidate right before it; ``more`` says that it has others. A word that
     is too crowded gives one row with no ``cid``. Entries travel packed by bucket of words, and a task
-    holds one bucket at a time; no word in it is frequent.
+    holds one bucket at a time; no word in it is frequent. Under a word, classes are met in the order of
+    their sizes, so that those too large to match are never reached.
     """
     buckets = parts * BUCKETS
 
@@ -267,8 +266,9 @@ def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
             starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            data = [rows[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rows)))]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(data, pa.binary())], ["bucket", "data"])
+            offsets = (np.append(starts, len(rows)) * ENTRY.itemsize).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8))])
+            return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), data], ["bucket", "data"])
 
         held, size = [], 0
         for batch in batches:
@@ -289,35 +289,48 @@ def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED)
             yield flush(held)
 
     def compare(rows):
-        rows = rows[np.lexsort((rows["cid"], rows["id"], rows["word"]))]
+        read = np.lexsort((rows["cid"].copy(), rows["id"].copy()))
+        key = rows["word"][read].astype(np.uint64) << np.uint64(32)
+        own = rows["n"][read]
+        # ``rank`` is the place of an entry in the order of reading.
+        rank = np.argsort(key | own, kind="stable")
+        key, rows = key[rank], rows[read[rank]]
         word, cid, pos, n = (rows[c].astype(np.int64) for c in ("word", "cid", "pos", "n"))
         x, y = rows["x"].copy(), rows["y"].copy()
         starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         sizes = np.diff(np.append(starts, len(word)))
         crowded = word[starts[sizes > most]]
-        rest = np.repeat(sizes, sizes) - (np.arange(len(word)) - np.repeat(starts, sizes))  # rows to the end of the word
+        # Entries after each that are under its word and not too large for it.
+        reach = np.searchsorted(key | rows["n"], key | (100 * n // least).astype(np.uint64), side="right") - np.arange(len(word)) - 1
+        reach[np.repeat(sizes > most, sizes)] = 0
+        at = np.argsort(-reach, kind="stable")
+        going = np.cumsum(np.bincount(reach)[::-1])[::-1] if len(reach) else []
         count = np.zeros(len(word), dtype=np.int32)
-        out, step = [(np.zeros(0, np.int64),) * 2], 0
-        at = np.flatnonzero((rest > 1) & np.repeat(sizes <= most, sizes))
-        while len(at):
-            step += 1
-            at = at[rest[at] > step]
-            later = at + step
-            near = 100 * np.minimum(n[at], n[later]) >= least * np.maximum(n[at], n[later])
-            i, j = at[near], later[near]
+        # The rank of the last candidate before each entry, and its class.
+        last, other = np.full(len(word), -1), np.zeros(len(word), dtype=np.int64)
+        for step in range(1, len(going)):
+            i = at[: going[step]]
+            j = i + step
+            both = n[i] + n[j]
+            shared = _shared(both, least)
+            good = np.flatnonzero(np.minimum(n[i] - pos[i], n[j] - pos[j]) >= shared)
+            i, j, most_apart = i[good], j[good], both[good] - 2 * shared[good]
             apart = np.bitwise_count(x[i] ^ x[j]).astype(np.int64) + np.bitwise_count(y[i] ^ y[j])
-            good = _passing(n[j], n[i], pos[j], pos[i], apart, least) & (cid[i] != cid[j])
+            good = np.flatnonzero((apart <= most_apart) & (cid[i] != cid[j]))
             i, j = i[good], j[good]
-            count[j] += 1
-            few = count[j] <= NAMED
-            out.append((i[few], j[few]))
-        i, j = (np.concatenate(v) for v in zip(*out))
-        pairs = len(i)
+            before = rank[i] < rank[j]
+            # An entry is at most once on either side of a step.
+            for own, earlier in ((j[before], i[before]), (i[~before], j[~before])):
+                count[own] += 1
+                nearer = rank[earlier] > last[own]
+                own, earlier = own[nearer], earlier[nearer]
+                last[own], other[own] = rank[earlier], cid[earlier]
+        j = np.flatnonzero(count)
         return pa.RecordBatch.from_arrays([
             pa.concat_arrays([pa.array(cid[j]), pa.nulls(len(crowded), pa.int64())]),
-            pa.concat_arrays([pa.array(cid[i]), pa.nulls(len(crowded), pa.int64())]),
-            pa.array(np.append(count[j] > NAMED, np.zeros(len(crowded), bool))),
-            pa.array(np.append(word[i], crowded), mask=np.append(np.ones(pairs, bool), np.zeros(len(crowded), bool))),
+            pa.concat_arrays([pa.array(other[j]), pa.nulls(len(crowded), pa.int64())]),
+            pa.array(np.append(count[j] > 1, np.zeros(len(crowded), bool))),
+            pa.array(np.append(word[j], crowded), mask=np.append(np.ones(len(j), bool), np.zeros(len(crowded), bool))),
         ], ["cid", "other", "more", "word"])
 
     def run(batches):
@@ -340,17 +353,31 @@ def named_pairs(classes: DataFrame, least: int, parts: int, most: int = CROWDED)
     return found.groupBy("cid", "other", "word").agg(F.max(F.col("more").cast("int")).alias("more"))
 
 
+def words_of(entries) -> Column:
+    """The words of entries; the place is their upper half."""
+    return F.transform(entries, lambda e: e.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def entries_of(classes: DataFrame, column: str, *more: str) -> DataFrame:
+    """One row per entry of ``column``: (word, _id, cid, pos, n, x, y) and the columns ``more``."""
+    flat = classes.select(F.explode(column).alias("e"), F.col("rank").alias("_id"), "cid", "n", "x", "y", *more)
+    word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
+    return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y", *more)
+
+
 def candidates(later: DataFrame, earlier: DataFrame, least: int, once: bool = False) -> DataFrame:
     """Distinct (cid, other) under a frequent word that pass all filters; ``other`` comes first.
 
     With ``once``, a pair is made under the first of its words only: the earliest in ``words``, the prefix of
     ``later`` in order, under which ``earlier`` has the other one. A pair that passes by place under a later word passes there.
+    The words of the other one are those of its entries ``prefix``, if ``earlier`` has them, else those of its rows.
     """
+    known = once and "prefix" in earlier.columns
     hub = earlier.select(
         "word", F.struct("_id", "cid").alias("before"), F.col("cid").alias("other"), F.col("n").alias("m"),
-        F.col("pos").alias("at"), F.col("x").alias("u"), F.col("y").alias("v"),
+        F.col("pos").alias("at"), F.col("x").alias("u"), F.col("y").alias("v"), *([F.col("prefix").alias("there")] if known else []),
     )
-    if once:
+    if once and not known:
         under = earlier.groupBy(F.col("cid").alias("other")).agg(F.collect_set("word").alias("under"))
         hub = lookup(hub, written(under, "line-hubs"), ["other"])
     if fits(later):
@@ -367,7 +394,8 @@ def candidates(later: DataFrame, earlier: DataFrame, least: int, once: bool = Fa
         & (apart <= both - F.lit(2) * shared)
     )
     if once:
-        passing &= F.get(F.array_intersect("words", "under"), F.lit(0)) == F.col("word")
+        under = words_of(F.col("there")) if known else F.col("under")
+        passing &= F.get(F.array_intersect("words", under), F.lit(0)) == F.col("word")
     return met.where(passing).select("cid", "other").distinct()
 
 
@@ -387,9 +415,12 @@ def settled(pairs: DataFrame, sets_of, least: int) -> DataFrame:
 
 
 def matches_by_name(
-    classes: DataFrame, entries: DataFrame, sets_of, least: int, parts: int, most: int = CROWDED
+    classes: DataFrame, sets_of, least: int, parts: int, most: int = CROWDED
 ) -> tuple[DataFrame, DataFrame]:
-    """(cid) of classes with an earlier match under a word, and the (word) that are too crowded for it."""
+    """(cid) of classes with an earlier match under a word, and the (word) that are too crowded for it.
+
+    Pairs whose first common word is crowded may be left to that word.
+    """
     named = written(named_pairs(classes, least, parts, most), "line-pairs")
     pairs = named.where(F.col("cid").isNotNull())
     crowded = written(named.where(F.col("cid").isNull()).select("word").distinct(), "line-crowded")
@@ -398,8 +429,14 @@ def matches_by_name(
     rest = written(rest, "line-rest")
     if rest.isEmpty():
         return matched, crowded
-    asking = written(lookup(entries, rest, ["cid"]).join(broadcast_if_small(crowded), "word", "left_anti"), "line-asking")
-    fresh = candidates(asking, entries, least).join(pairs, ["cid", "other"], "left_anti")
+    own = lookup(classes, rest, ["cid"]).withColumn("words", words_of(F.col("prefix")))
+    asking = written(entries_of(own, "prefix", "words").join(broadcast_if_small(crowded), "word", "left_anti"), "line-asking")
+    # Prefixes go along where nothing but ``asking`` has to travel for it.
+    if fits(asking):
+        met = candidates(asking, entries_of(classes, "prefix", "prefix"), least, once=True)
+    else:
+        met = candidates(asking.drop("words"), entries_of(classes, "prefix"), least)
+    fresh = met.join(pairs, ["cid", "other"], "left_anti")
     more = settled(written(fresh, "line-pairs"), sets_of, least)
     return matched.unionByName(more).distinct(), crowded
 
@@ -470,13 +507,6 @@ def removed_lines(
     marked = lookup(lines, several, ["node"], "left")
     classes = marked.where(F.col("lead").isNull() | (F.col("cid") == F.col("lead.cid")))
 
-    def entries(column: str) -> DataFrame:
-        flat = classes.select(F.explode(column).alias("e"), F.col("rank").alias("_id"), "cid", "n", "x", "y", "prefix", "frequent")
-        word = F.col("e").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
-        # The place is the upper half of an entry.
-        ordered = F.transform(F.array_sort(F.concat("prefix", "frequent")), lambda e: e.bitwiseAND(F.lit(0xFFFFFFFF)))
-        return flat.select(word, "_id", "cid", F.shiftright("e", 32).cast("int").alias("pos"), "n", "x", "y", ordered.alias("words"))
-
     def sets_of(cids: DataFrame) -> DataFrame:
         asked = lookup(lines.select("cid", "_id", "_ref", "line"), written(cids, "line-cids"), ["cid"])
         ask = asked.groupBy("_id", "_ref").agg(F.collect_list("line").alias("at"), F.collect_list("cid").alias("cids"))
@@ -487,9 +517,13 @@ def removed_lines(
         return found.select("s.cid", "s.set")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    matched, full = matches_by_name(classes, entries("prefix").drop("words"), sets_of, least, parts, crowded)
-    many = entries("frequent").unionByName(lookup(entries("prefix"), full, ["word"]))
-    matched = matches_in_rounds(written(many, "line-entries"), sets_of, least, matched, hubs)
+    matched, full = matches_by_name(classes, sets_of, least, parts, crowded)
+    many = entries_of(classes, "frequent", "prefix", "frequent")
+    if not full.isEmpty():
+        many = many.unionByName(lookup(entries_of(classes, "prefix", "prefix", "frequent"), full, ["word"]))
+    ordered = words_of(F.array_sort(F.concat("prefix", "frequent")))
+    many = written(many.withColumn("words", ordered).drop("prefix", "frequent"), "line-entries")
+    matched = matches_in_rounds(many, sets_of, least, matched, hubs)
     names = lookup(lines.select("cid", "node"), matched, ["cid"]).select("node", F.lit(True).alias("matched"))
     # A repeated row has the place of its first; only lines at another place come later.
     same = F.col("_id").eqNullSafe(F.col("lead._id")) & (F.col("_ref") == F.col("lead._ref")) & (F.col("line") == F.col("lead.line"))

@@ -3,6 +3,7 @@
 import itertools
 import re
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -438,6 +439,64 @@ def test_lines_pair_under_several_frequent_words_is_made_once(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
+def test_lines_pair_that_knows_its_prefixes_is_made_once(spark):
+    """The same where the earlier side brings its entries along; a pair whose first word is not asked under is left to that word."""
+    schema = "word long, _id long, cid long, pos int, n int, x long, y long, words array<long>, prefix array<long>"
+    rows = [(w, i, i, pos, 20, 0, 0, [5, 6, 7], [5, 1 << 32 | 6, 2 << 32 | 7]) for i in range(4) for pos, w in enumerate((5, 6, 7))]
+    entries = spark.createDataFrame(rows, schema)
+    earlier = entries.where("cid = 0").drop("words")
+    met = lines.candidates(entries.drop("prefix"), earlier, 80, once=True)
+    assert sorted(map(tuple, met.collect())) == [(1, 0), (2, 0), (3, 0)]
+    assert "line-hubs" not in met._jdf.queryExecution().toString()
+    assert lines.candidates(entries.drop("prefix").where("word > 5"), earlier, 80, once=True).count() == 0
+
+
+def test_lines_name_the_class_right_before(spark):
+    """Named pairs against brute force: sizes far apart, repeated places, ids in another order than classes, one crowded word."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for cid in range(300):
+        n, x, y = int(rng.integers(4, 40)), int(rng.integers(0, 8)), int(rng.integers(0, 8))
+        found = sorted(set(rng.integers(1, 40, 3).tolist())) + ([99] if cid % 2 else [])
+        rows.append((int(rng.integers(0, 200)), cid, n, x, y, [place << 32 | w for place, w in enumerate(found)]))
+    df = spark.createDataFrame(rows, "rank long, cid long, n int, x long, y long, prefix array<long>")
+    want = {}
+    for rank, cid, n, x, y, prefix in rows:
+        for e in prefix:
+            met = []
+            for rank2, other, m, u, v, there in rows:
+                for e2 in there:
+                    if e2 & 0xFFFFFFFF == e & 0xFFFFFFFF != 99 and (rank2, other) < (rank, cid):
+                        shared = -(-80 * (n + m) // 180)
+                        fits = 100 * min(n, m) >= 80 * max(n, m) and min(n - (e >> 32), m - (e2 >> 32)) >= shared
+                        if fits and (x ^ u).bit_count() + (y ^ v).bit_count() <= n + m - 2 * shared:
+                            met.append((rank2, other))
+            if met:
+                pair = cid, max(met)[1]
+                want[pair] = want.get(pair, False) or len(met) > 1
+    got = lines.named_pairs(df, 80, 3, most=100).collect()
+    assert [r["word"] for r in got if r["cid"] is None] == [99]
+    assert {(r["cid"], r["other"]): bool(r["more"]) for r in got if r["cid"] is not None} == want
+    assert len(got) == len(want) + 1 > 200
+
+
+def test_counting_words_is_quicker_than_sorting_them():
+    """A one of another type than the counters made this several times slower than a sort."""
+    found = np.random.default_rng(1).integers(0, 1 << 62, 1 << 19).astype(np.uint64)
+
+    def least_time(run):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    total = np.zeros(1 << 16, dtype=np.int32)
+    assert least_time(lambda: lines.add_words(total, found)) < least_time(lambda: np.sort(found, kind="heapsort"))
+    assert (total == 5 * np.bincount((found & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)).all()
+
+
 def test_tokens_leave_block_by_block(spark, monkeypatch):
     """A batch of many texts gives its tokens in pieces, not as one array that holds them all."""
     monkeypatch.setattr(bpe, "BLOCK", 1000)
