@@ -78,7 +78,8 @@ def _grams(sizes: list[int], own: bool, bits=None):
         )
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)), rows)
 
-    return F.arrow_udf(of, "array<struct<gram:bigint,at:int,n:int>>")
+    # Marked so that a filter on the result does not run it a second time, in a second Python worker a task.
+    return F.arrow_udf(of, "array<struct<gram:bigint,at:int,n:int>>").asNondeterministic()
 
 
 def tiles(pos: list[int], at: list[int], n: int, seed: int = SEED) -> list[tuple[int, int, int]]:
@@ -128,7 +129,7 @@ def _tile():
         kind = pa.list_(pa.struct([("item_at", pa.int32()), ("text_at", pa.int32()), ("words", pa.int32())]))
         return pa.array(out, kind)
 
-    return F.arrow_udf(of, "array<struct<item_at:int,text_at:int,words:int>>")
+    return F.arrow_udf(of, "array<struct<item_at:int,text_at:int,words:int>>").asNondeterministic()
 
 
 def contamination(

@@ -504,3 +504,19 @@ def test_tokens_leave_block_by_block(spark, monkeypatch):
     for udf in (bpe.coder(spark, vocabulary()), bpe.encoder(spark, vocabulary())):
         out = list(udf.func(iter([pa.array(texts), pa.array([], pa.string())])))
         assert len(out) > 5 and max(map(len, out)) <= 10 and sum(map(len, out)) == len(texts)
+
+
+def test_tiling_runs_one_worker_a_task(spark, monkeypatch):
+    """Filters on seeds and tiles ran their functions twice, by two workers a task that stayed for the stages after it."""
+    docs = spark.createDataFrame([(1, BASE), (2, OTHER), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, BASE)], "item_id long, text string")
+    plans, write = {}, tiling.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(tiling, "written", seen)
+    assert [r["doc_id"] for r in tiling.contamination(docs, items).collect()] == [1]
+    made = {name: len(re.findall(r"ArrowEvalPython \[", plan.split("+- == Initial Plan ==")[0])) for name, plan in plans.items()}
+    assert made["hits"] == 1 and made["contaminated"] == 1, (made, plans["hits"])
