@@ -195,6 +195,17 @@ def short_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Jobs of the session exchange Arrow batches of at most ``size`` bytes from now on, or less where it says so.
+
+    For results that the caller evaluates: their batches are cut as the session says then.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = spark.conf.get(key).rstrip("b")
+    if digits.isdigit() and int(digits) > size:
+        spark.conf.set(key, str(size))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet in the shared folder, read again: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -154,7 +154,8 @@ def _full_sets(n: int):
             ["node", "set", "cells", "bits"],
         )
 
-    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>,cells:binary,bits:binary>")
+    # Marked so that a filter on the result does not run it a second time, in a second Python worker a task.
+    return F.arrow_udf(of, "struct<node:binary,set:array<bigint>,cells:binary,bits:binary>").asNondeterministic()
 
 
 def _may_link(least: int):

@@ -520,3 +520,40 @@ def test_tiling_runs_one_worker_a_task(spark, monkeypatch):
     assert [r["doc_id"] for r in tiling.contamination(docs, items).collect()] == [1]
     made = {name: len(re.findall(r"ArrowEvalPython \[", plan.split("+- == Initial Plan ==")[0])) for name, plan in plans.items()}
     assert made["hits"] == 1 and made["contaminated"] == 1, (made, plans["hits"])
+
+
+def test_full_sets_run_one_worker_a_task(spark, monkeypatch):
+    """A filter on the sets ran their function twice, by two workers a task that stayed for the stages after it."""
+    docs = spark.createDataFrame([(1, BASE), (2, BASE + " end"), (3, OTHER), (4, None), (5, BASE)], "doc_id long, text string")
+    plans, write = {}, minhash.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "written", seen)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.components(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+    made = {name: len(re.findall(r"ArrowEvalPython \[", plan.split("+- == Initial Plan ==")[0])) for name, plan in plans.items()}
+    assert made["sets"] == 1 and max(made.values()) == 1, (made, plans["sets"])
+
+
+def test_pipeline_bounds_the_batches_its_caller_reads(docs):
+    """The first and the last stage ran in the session's own batches, which workers and executors kept."""
+    import corpus_pipeline
+
+    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 200).alias("text"))
+    texts = texts.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("de"))
+    try:
+        for stage, n in ((corpus_pipeline.identify_language, None), (corpus_pipeline.encode, 6000)):
+            spark.conf.set(key, str(1 << 30))
+            done = stage(spark, texts, "")
+            assert int(spark.conf.get(key)) <= corpus_pipeline.BATCH_BYTES
+            assert n is None or done.count() == n
+            spark.conf.set(key, "1000")
+            stage(spark, texts, "")
+            assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.set(key, before)
